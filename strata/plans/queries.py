@@ -1,0 +1,942 @@
+"""Registered queries: each operator of the survey exercised over the driver tables.
+
+Every entry is ``fn(spark, sf_dir) -> DataFrame`` and has an equivalent SQL
+text in ``ORACLE_SQL`` (DuckDB dialect, over views named after the tables).
+Column names match between the two.  Integer outputs are BIGINT, money and
+ratios DOUBLE; sums are exact decimals converted at the end, so both engines
+produce bit-identical doubles.
+"""
+
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.functions.columns import year_of, year_range
+from strata.functions.numeric import change_pct, money, pct, ratio, round_half_away
+from strata.functions.parse import format_brl, parse_amount, parse_area, parse_brl, parse_count
+from strata.functions.rules import normalise_by_rules, normalise_state, rules_sql
+from strata.operators.aggregate import annual_sum
+from strata.operators.cleaning import range_filter, split_valid
+from strata.operators.quality import Check, count_rows, count_where, null_rate, run_checks, run_suite
+from strata.operators.window import top_n, with_trend
+from strata.plans import cross, deforestation, spending, tax
+from strata.plans import tpch_analogues as A
+from strata.plans.common import rounded, type_columns
+from strata.session import scratch_path
+from strata.sources.csv import read_csv, sniff_delimiter, string_schema, write_csv
+from strata.sources.harmonise import harmonise_tax
+from strata.sources.json_items import explode_items
+from strata.sources.series import explode_series
+from strata.sources.tables import read_table, run_sql, write_table
+from strata.streaming.incremental import diff_snapshots, ingest_new_files
+
+QUERIES = {}
+ORACLE_SQL = {}
+
+
+def register(name: str, sql: str | None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE_SQL[name] = sql.strip()
+        return fn
+
+    return deco
+
+
+# ----------------------------------------------------------------------------
+# SQL fragments shared by the oracle texts
+# ----------------------------------------------------------------------------
+
+def _d(x: str) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+def _yoy_sql(cur: str, prev: str, k: int = 1) -> str:
+    return f"CASE WHEN {_d(prev)} > 0 THEN round(({_d(cur)} - {_d(prev)}) / {_d(prev)} * 100, {k}) END"
+
+
+NET_SQL = "round(l_extendedprice * (1 - l_discount), 2)"
+GEO_SQL = """
+    SELECT s.s_suppkey, n.n_name, r.r_name
+    FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+    JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+
+def _def_rows_sql(value_sql: str) -> str:
+    return f"""
+    SELECT CAST(year(l.l_shipdate) AS BIGINT) AS year, g.r_name AS biome, g.n_name AS state,
+           CAST({value_sql} AS DECIMAL(18,2)) AS area
+    FROM lineitem l JOIN ({GEO_SQL}) g ON l.l_suppkey = g.s_suppkey"""
+
+
+# ----------------------------------------------------------------------------
+# Gold KPIs
+# ----------------------------------------------------------------------------
+
+def annual_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    annual = A.orders_by_segment_year(spark, sf_dir)
+    t = with_trend(annual, ["c_mktsegment"], "year", "total_price", "cumulative_price", "prev_year_price")
+    return t.select(
+        "year",
+        "c_mktsegment",
+        rounded("total_price").alias("total_price"),
+        rounded("cumulative_price").alias("cumulative_price"),
+        rounded("prev_year_price").alias("prev_year_price"),
+        change_pct(F.col("total_price"), F.col("prev_year_price"), 1).alias("yoy_change_pct"),
+    )
+
+
+ANNUAL_TREND_SQL = f"""
+WITH annual AS (
+    SELECT CAST(year(o.o_orderdate) AS BIGINT) AS year, c.c_mktsegment,
+           sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS total_price
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+    GROUP BY 1, 2
+), w AS (
+    SELECT year, c_mktsegment, total_price,
+           sum(total_price) OVER (PARTITION BY c_mktsegment ORDER BY year) AS cumulative_price,
+           lag(total_price) OVER (PARTITION BY c_mktsegment ORDER BY year) AS prev_year_price
+    FROM annual
+)
+SELECT year, c_mktsegment,
+       round({_d('total_price')}, 2) AS total_price,
+       round({_d('cumulative_price')}, 2) AS cumulative_price,
+       round({_d('prev_year_price')}, 2) AS prev_year_price,
+       {_yoy_sql('total_price', 'prev_year_price')} AS yoy_change_pct
+FROM w"""
+
+register("q_annual_trend", ANNUAL_TREND_SQL)(annual_trend)
+
+
+def _by_state(spark, sf_dir):
+    rows = A.deforestation_rows(spark, sf_dir, A.net_price())
+    return deforestation.gold_by_state(rows, audit=False)
+
+
+BY_STATE_SQL = f"""
+WITH silver AS ({_def_rows_sql(NET_SQL)}),
+state_data AS (
+    SELECT year, biome, state, sum(area) AS area_km2 FROM silver WHERE state != 'ALL' GROUP BY 1, 2, 3
+), ranked AS (
+    SELECT year, biome, state, area_km2,
+           lag(area_km2) OVER (PARTITION BY biome, state ORDER BY year) AS prev_year_km2,
+           rank() OVER (PARTITION BY year, biome ORDER BY area_km2 DESC) AS rank_in_year
+    FROM state_data
+)
+SELECT year, biome, state, round({_d('area_km2')}, 2) AS area_km2, round({_d('prev_year_km2')}, 2) AS prev_year_km2,
+       {_yoy_sql('area_km2', 'prev_year_km2')} AS yoy_change_pct, CAST(rank_in_year AS BIGINT) AS rank_in_year
+FROM ranked"""
+
+
+@register("q_rank_in_year", BY_STATE_SQL)
+def q_rank_in_year(spark, sf_dir):
+    return _by_state(spark, sf_dir)
+
+
+@register("q_topn_per_year", f"SELECT * FROM ({BY_STATE_SQL}) WHERE rank_in_year <= 3")
+def q_topn_per_year(spark, sf_dir):
+    return _by_state(spark, sf_dir).where(F.col("rank_in_year") <= 3)
+
+
+def _spending_gold_sql(rows_sql: str) -> str:
+    return f"""
+    WITH s AS ({rows_sql}),
+    annual AS (
+        SELECT year, functional_category, sum(executed) AS executed_brl, sum(budgeted) AS budgeted_brl
+        FROM s GROUP BY 1, 2
+    ), totals AS (
+        SELECT year, sum(executed_brl) AS total_executed FROM annual GROUP BY year
+    ), enriched AS (
+        SELECT a.year, a.functional_category, a.executed_brl, a.budgeted_brl,
+               CASE WHEN t.total_executed > 0
+                    THEN round({_d('a.executed_brl')} / {_d('t.total_executed')} * 100, 2) ELSE 0 END AS pct_of_total,
+               lag(a.executed_brl) OVER (PARTITION BY a.functional_category ORDER BY a.year) AS prev_year_brl
+        FROM annual a JOIN totals t ON a.year = t.year
+    )
+    SELECT year, functional_category, round({_d('executed_brl')}, 2) AS executed_brl,
+           round({_d('budgeted_brl')}, 2) AS budgeted_brl, {_d('pct_of_total')} AS pct_of_total,
+           {_yoy_sql('executed_brl', 'prev_year_brl')} AS yoy_nominal_growth_pct
+    FROM enriched"""
+
+
+FLAG_ROWS_SQL = f"""
+    SELECT CAST(year(l_shipdate) AS BIGINT) AS year, l_returnflag AS functional_category,
+           CAST(l_extendedprice AS DECIMAL(18,2)) AS budgeted, CAST({NET_SQL} AS DECIMAL(18,2)) AS executed
+    FROM lineitem"""
+
+
+@register("q_share_of_total", _spending_gold_sql(FLAG_ROWS_SQL))
+def q_share_of_total(spark, sf_dir):
+    rows = A.spending_rows_by_flag(spark, sf_dir)
+    return spending.gold_by_function(rows, audit=False).withColumn("year", F.col("year").cast("bigint"))
+
+
+def _tax_gold_sql(where: str = "") -> str:
+    return f"""
+    WITH li AS (
+        SELECT l_orderkey, CASE WHEN l_linestatus = 'O' THEN 'ALL' ELSE l_linestatus END AS state,
+               CAST(l_extendedprice AS DECIMAL(18,2)) AS base,
+               CAST(round(l_extendedprice * l_tax, 2) AS DECIMAL(18,2)) AS tax
+        FROM lineitem
+    ), silver AS (
+        SELECT CAST(year(o.o_orderdate) AS BIGINT) AS year, o.o_orderpriority AS income_bracket, li.state, li.base, li.tax
+        FROM li JOIN orders o ON li.l_orderkey = o.o_orderkey
+    ), b AS (
+        SELECT year, income_bracket, CAST(count(*) AS BIGINT) AS total_declarations,
+               sum(base) AS total_taxable_income, sum(tax) AS total_tax_due,
+               CASE WHEN sum(base) > 0 THEN round({_d('sum(tax)')} / {_d('sum(base)')} * 100, 2) ELSE 0 END
+                   AS effective_rate_pct
+        FROM silver WHERE state = 'ALL' {where} GROUP BY 1, 2
+    ), y AS (
+        SELECT year, sum(total_tax_due) AS grand_total_tax FROM b GROUP BY year
+    ), enriched AS (
+        SELECT b.*, CASE WHEN y.grand_total_tax > 0
+                         THEN round({_d('b.total_tax_due')} / {_d('y.grand_total_tax')} * 100, 2) ELSE 0 END
+                         AS pct_of_total_tax,
+               lag(b.total_tax_due) OVER (PARTITION BY b.income_bracket ORDER BY b.year) AS prev_tax
+        FROM b JOIN y ON b.year = y.year
+    )
+    SELECT year, income_bracket, total_declarations,
+           round({_d('total_taxable_income')}, 2) AS total_taxable_income,
+           round({_d('total_tax_due')}, 2) AS total_tax_due,
+           {_d('effective_rate_pct')} AS effective_rate_pct, {_d('pct_of_total_tax')} AS pct_of_total_tax,
+           {_yoy_sql('total_tax_due', 'prev_tax')} AS yoy_growth_pct
+    FROM enriched"""
+
+
+@register("q_effective_rate", _tax_gold_sql())
+def q_effective_rate(spark, sf_dir):
+    rows = A.tax_rows(spark, sf_dir)
+    return tax.gold_by_bracket(rows, audit=False).withColumn("year", F.col("year").cast("bigint"))
+
+
+# Fiscal balance: tax side limited to years <= 1999, spending side to >= 1997,
+# so both unmatched sides of the full outer join occur.
+FISCAL_TAX_YEARS = (1900, 1999)
+FISCAL_SPEND_YEARS = (1997, 2100)
+
+
+@register(
+    "q_fiscal_balance",
+    f"""
+WITH tg AS ({_tax_gold_sql(f"AND year BETWEEN {FISCAL_TAX_YEARS[0]} AND {FISCAL_TAX_YEARS[1]}")}),
+sg AS ({_spending_gold_sql(FLAG_ROWS_SQL + f" WHERE year(l_shipdate) BETWEEN {FISCAL_SPEND_YEARS[0]} AND {FISCAL_SPEND_YEARS[1]}")}),
+t AS (SELECT year, sum(CAST(total_tax_due AS DECIMAL(38,2))) AS r FROM tg GROUP BY year),
+s AS (SELECT year, sum(CAST(executed_brl AS DECIMAL(38,2))) AS sp FROM sg GROUP BY year)
+SELECT coalesce(t.year, s.year) AS year,
+       round({_d('coalesce(t.r, 0)')}, 2) AS irpf_revenue_brl,
+       round({_d('coalesce(s.sp, 0)')}, 2) AS total_spending_brl,
+       round({_d('coalesce(t.r, 0) - coalesce(s.sp, 0)')}, 2) AS balance_brl,
+       CASE WHEN s.sp > 0 THEN round({_d('t.r')} / {_d('s.sp')} * 100, 1) END AS irpf_covers_pct
+FROM t FULL OUTER JOIN s ON t.year = s.year""",
+)
+def q_fiscal_balance(spark, sf_dir):
+    tax_silver = tax.silver(A.tax_rows(spark, sf_dir), years=FISCAL_TAX_YEARS, audit=False)
+    tax_gold = tax.gold_by_bracket(tax_silver, audit=False)
+    spend_silver = spending.silver(A.spending_rows_by_flag(spark, sf_dir), years=FISCAL_SPEND_YEARS, audit=False)
+    spend_gold = spending.gold_by_function(spend_silver, audit=False)
+    out = cross.fiscal_balance(tax_gold, spend_gold, audit=False)
+    return out.withColumn("year", F.col("year").cast("bigint"))
+
+
+OUTCOME_CATEGORY = "PROMO"
+
+
+@register(
+    "q_outcome_vs_spend",
+    f"""
+WITH d AS (
+    SELECT year, sum(CAST(area_km2 AS DECIMAL(38,2))) AS total_deforested_km2
+    FROM (
+        SELECT CAST(year(l_shipdate) AS BIGINT) AS year, l_returnflag AS biome,
+               round({_d('sum(CAST(l_quantity AS DECIMAL(18,2)))')}, 2) AS area_km2
+        FROM lineitem GROUP BY 1, 2
+    ) GROUP BY year
+), e AS (
+    SELECT year, sum(CAST(executed_brl AS DECIMAL(38,2))) AS env_spending_brl
+    FROM ({_spending_gold_sql(f'''
+        SELECT CAST(year(l.l_shipdate) AS BIGINT) AS year, p.p_type AS functional_category,
+               CAST(l.l_extendedprice AS DECIMAL(18,2)) AS budgeted,
+               CAST(round(l.l_extendedprice * (1 - l.l_discount), 2) AS DECIMAL(18,2)) AS executed
+        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey''')})
+    WHERE functional_category = '{OUTCOME_CATEGORY}' GROUP BY year
+)
+SELECT coalesce(d.year, e.year) AS year,
+       round({_d('coalesce(d.total_deforested_km2, 0)')}, 2) AS deforested_km2,
+       round({_d('coalesce(e.env_spending_brl, 0)')}, 2) AS env_spending_brl,
+       CASE WHEN d.total_deforested_km2 > 0
+            THEN round({_d('e.env_spending_brl')} / {_d('d.total_deforested_km2')}, 0) END AS spending_per_km2_deforested
+FROM d FULL OUTER JOIN e ON d.year = e.year""",
+)
+def q_outcome_vs_spend(spark, sf_dir):
+    li = A.table(spark, sf_dir, "lineitem")
+    area_rows = li.select(
+        year_of("l_shipdate").alias("year"),
+        F.col("l_returnflag").alias("biome"),
+        F.col("l_linestatus").alias("state"),
+        F.col("l_quantity").alias("area_km2"),
+    )
+    biome_gold = deforestation.gold_by_biome(area_rows, audit=False)
+    spend_gold = spending.gold_by_function(A.spending_rows_by_part_type(spark, sf_dir), audit=False)
+    out = cross.outcome_vs_spend(biome_gold, spend_gold, category=OUTCOME_CATEGORY, audit=False)
+    return out.withColumn("year", F.col("year").cast("bigint"))
+
+
+def _rollup_sql(as_executed: bool) -> str:
+    if as_executed:
+        annual = """
+        SELECT year, biome, sum(CAST(area_km2 AS DECIMAL(18,2))) AS area_km2
+        FROM silver
+        WHERE state = 'ALL' OR state NOT IN (
+            SELECT DISTINCT state FROM silver sub
+            WHERE sub.state = 'ALL' AND sub.year = year AND sub.biome = biome
+        )
+        GROUP BY year, biome"""
+    else:
+        annual = """
+        SELECT year, biome,
+               coalesce(sum(CAST(area_km2 AS DECIMAL(18,2))) FILTER (WHERE state = 'ALL'),
+                        sum(CAST(area_km2 AS DECIMAL(18,2))) FILTER (WHERE state <> 'ALL')) AS area_km2
+        FROM silver GROUP BY year, biome"""
+    return f"""
+WITH base AS (
+    SELECT year, biome, state, {_d('sum(area)')} AS area_km2
+    FROM ({_def_rows_sql('l.l_quantity')}) GROUP BY 1, 2, 3
+), silver AS (
+    SELECT year, biome, 'ALL' AS state, {_d('sum(CAST(area_km2 AS DECIMAL(18,2)))')} AS area_km2
+    FROM base WHERE year <= 1998 GROUP BY year, biome
+    UNION ALL
+    SELECT year, biome, state, area_km2 FROM base WHERE year >= 1997
+), annual AS ({annual}
+), w AS (
+    SELECT year, biome, area_km2,
+           sum(area_km2) OVER (PARTITION BY biome ORDER BY year) AS cumulative_km2,
+           lag(area_km2) OVER (PARTITION BY biome ORDER BY year) AS prev_year_km2
+    FROM annual
+)
+SELECT year, biome, round({_d('area_km2')}, 2) AS area_km2, round({_d('cumulative_km2')}, 2) AS cumulative_km2,
+       round({_d('prev_year_km2')}, 2) AS prev_year_km2, {_yoy_sql('area_km2', 'prev_year_km2')} AS yoy_change_pct
+FROM w"""
+
+
+@register("q_rollup_as_executed", _rollup_sql(True))
+def q_rollup_as_executed(spark, sf_dir):
+    return deforestation.gold_by_biome(A.rollup_rows(spark, sf_dir), mode="as_executed", audit=False)
+
+
+@register("q_rollup_preferred", _rollup_sql(False))
+def q_rollup_preferred(spark, sf_dir):
+    return deforestation.gold_by_biome(A.rollup_rows(spark, sf_dir), mode="prefer_rollup", audit=False)
+
+
+# ----------------------------------------------------------------------------
+# Scalar operators: rules, filters, guarded ratios
+# ----------------------------------------------------------------------------
+
+# Fixed values of this analogue (not from the reference): ordered part-type
+# rules with a multi-wildcard pattern and an unmatched passthrough (LARGE).
+PART_TYPE_RULES = [
+    (["%promo%"], "Promotional"),
+    (["%s%a%l%", "%medium%"], "Compact"),
+    (["%stand%", "%econ%"], "Regular"),
+]
+
+
+@register(
+    "q_rule_normalise",
+    f"""
+SELECT p_partkey, {rules_sql('p_type', PART_TYPE_RULES)} AS type_group,
+       upper(p_brand) AS brand_code, CAST(length(p_name) AS BIGINT) AS name_len
+FROM part""",
+)
+def q_rule_normalise(spark, sf_dir):
+    p = A.table(spark, sf_dir, "part")
+    return p.select(
+        "p_partkey",
+        normalise_by_rules("p_type", PART_TYPE_RULES).alias("type_group"),
+        normalise_state("p_brand").alias("brand_code"),
+        F.length("p_name").cast("bigint").alias("name_len"),
+    )
+
+
+SILVER_YEARS = (1996, 2000)
+SILVER_PRICE_OPEN = (1000.0, 400000.0)
+
+
+@register(
+    "q_silver_filter",
+    f"""
+SELECT o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS year, upper(o_orderstatus) AS o_orderstatus,
+       round(o_totalprice, 2) AS o_totalprice
+FROM orders
+WHERE year(o_orderdate) BETWEEN {SILVER_YEARS[0]} AND {SILVER_YEARS[1]}
+  AND o_totalprice > {SILVER_PRICE_OPEN[0]} AND o_totalprice < {SILVER_PRICE_OPEN[1]}""",
+)
+def q_silver_filter(spark, sf_dir):
+    o = A.table(spark, sf_dir, "orders")
+    lo, hi = SILVER_PRICE_OPEN
+    kept = range_filter(
+        o,
+        conditions=[year_range("o_orderdate", *SILVER_YEARS), F.col("o_totalprice") > lo, F.col("o_totalprice") < hi],
+    )
+    return kept.select(
+        "o_orderkey",
+        year_of("o_orderdate").alias("year"),
+        F.upper("o_orderstatus").alias("o_orderstatus"),
+        round_half_away(F.col("o_totalprice"), 2).alias("o_totalprice"),
+    )
+
+
+@register(
+    "q_safe_ratio",
+    f"""
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       {NET_SQL} AS net_price,
+       CASE WHEN l_discount > 0 THEN round(l_tax / l_discount * 100, 2) ELSE 0 END AS tax_vs_discount_pct,
+       CASE WHEN l_tax > 0 THEN round(l_discount / l_tax, 1) END AS discount_per_tax
+FROM lineitem""",
+)
+def q_safe_ratio(spark, sf_dir):
+    li = A.table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey",
+        F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
+        A.net_price().alias("net_price"),
+        pct(F.col("l_tax"), F.col("l_discount"), 2, 0.0).alias("tax_vs_discount_pct"),
+        ratio(F.col("l_discount"), F.col("l_tax"), 1, None).alias("discount_per_tax"),
+    )
+
+
+# ----------------------------------------------------------------------------
+# Sources and sinks
+# ----------------------------------------------------------------------------
+
+ORDERS_RAW = ["o_orderkey", "o_custkey", "year", "o_totalprice", "o_orderpriority"]
+ORDERS_TYPES = {
+    "o_orderkey": "bigint",
+    "o_custkey": "bigint",
+    "year": "int",
+    "o_totalprice": "double",
+    "o_orderpriority": "string",
+}
+
+
+@register(
+    "q_csv_ingest",
+    """
+SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS BIGINT) AS year, o_totalprice, o_orderpriority
+FROM orders""",
+)
+def q_csv_ingest(spark, sf_dir):
+    o = A.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", year_of("o_orderdate").alias("year"), "o_totalprice", "o_orderpriority"
+    )
+    path = scratch_path(spark, "csv-ingest")
+    write_csv(o, path, columns=ORDERS_RAW)
+    raw = read_csv(spark, path, schema=string_schema(ORDERS_RAW), with_source=True)
+    good, _bad = type_columns(raw, ORDERS_TYPES, keep=("_source_file",))
+    return good.select(
+        "o_orderkey", "o_custkey", F.col("year").cast("bigint").alias("year"), "o_totalprice", "o_orderpriority"
+    )
+
+
+def _orders_by_year(spark, sf_dir):
+    o = A.table(spark, sf_dir, "orders")
+    return o.select(
+        year_of("o_orderdate").cast("int").alias("year"), "o_orderkey", "o_orderstatus", "o_totalprice"
+    )
+
+
+def _count_by_year(df):
+    return df.groupBy(F.col("year").cast("bigint").alias("year")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum(money("o_totalprice")).cast("double").alias("total_price")
+    )
+
+
+@register(
+    "q_partitioned_roundtrip",
+    """
+SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n_orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+FROM orders GROUP BY 1""",
+)
+def q_partitioned_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "orders-by-year")
+    write_table(_orders_by_year(spark, sf_dir), path, partition_by=["year"], sort_by=["o_orderkey"])
+    return _count_by_year(read_table(spark, path))
+
+
+BACKFILL_YEAR = 1998
+
+
+@register(
+    "q_backfill_year",
+    f"""
+SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n_orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+FROM orders
+WHERE year(o_orderdate) <> {BACKFILL_YEAR} OR o_orderstatus = 'F'
+GROUP BY 1""",
+)
+def q_backfill_year(spark, sf_dir):
+    """Write all years, then rewrite one year (closed orders only) with dynamic overwrite."""
+    path = scratch_path(spark, "orders-backfill")
+    all_years = _orders_by_year(spark, sf_dir)
+    write_table(all_years, path, partition_by=["year"], overwrite="all")
+    one_year = all_years.where((F.col("year") == BACKFILL_YEAR) & (F.col("o_orderstatus") == "F"))
+    write_table(one_year, path, partition_by=["year"], overwrite="partitions")
+    return _count_by_year(read_table(spark, path))
+
+
+def _tax_drop_a(o):
+    """';' file, Portuguese headers, Brazilian money, thousands marks, blank state on urgent orders."""
+    return o.where(F.col("o_orderstatus") == "F").select(
+        F.col("year").cast("string").alias("ano"),
+        F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")).alias("Faixa de Renda"),
+        F.format_number(F.col("o_custkey").cast("double"), 0).alias("quantidade"),
+        format_brl(F.col("o_totalprice")).alias("rendimento_tributavel"),
+        format_brl(F.col("o_custkey") / 100, prefix="").alias("imposto_devido"),
+        F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderstatus")).alias("uf"),
+    )
+
+
+def _tax_drop_b(o):
+    """',' file, English headers, no money columns, blank bracket on low-priority orders."""
+    return o.where(F.col("o_orderstatus") != "F").select(
+        F.col("year").cast("string").alias("year"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("bracket"),
+        F.col("o_custkey").cast("string").alias("count"),
+        F.col("o_orderstatus").alias("UF"),
+    )
+
+
+@register(
+    "q_header_harmonise",
+    """
+SELECT CAST(year(o_orderdate) AS BIGINT) AS year, o_orderpriority AS income_bracket,
+       CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderstatus ELSE 'ALL' END AS state,
+       o_custkey AS num_declarations, o_totalprice AS taxable_income_brl,
+       CAST(o_custkey AS DOUBLE) / 100 AS tax_due_brl
+FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT CAST(year(o_orderdate) AS BIGINT), o_orderpriority, o_orderstatus, o_custkey,
+       CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+FROM orders WHERE o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW'""",
+)
+def q_header_harmonise(spark, sf_dir):
+    o = A.table(spark, sf_dir, "orders").select(
+        year_of("o_orderdate").alias("year"), "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
+    )
+    root = scratch_path(spark, "tax-landing")
+    write_csv(_tax_drop_a(o), f"{root}/a", sep=";")
+    write_csv(_tax_drop_b(o), f"{root}/b", sep=",")
+    parts = []
+    for sub in ("a", "b"):
+        path = f"{root}/{sub}"
+        sep = sniff_delimiter(spark, path)
+        raw = read_csv(spark, path, sep=sep)
+        good, _bad = harmonise_tax(raw)
+        parts.append(good)
+    out = parts[0].unionByName(parts[1])
+    return out.withColumn("year", F.col("year").cast("bigint"))
+
+
+def _digits_as(p_sql: str, int_digits_from_end: int) -> str:
+    d = f"CAST(CAST(round({p_sql} * 100) AS BIGINT) AS VARCHAR)"
+    return (
+        f"CAST(substr({d}, 1, length({d}) - {int_digits_from_end}) || '.' || "
+        f"substr({d}, length({d}) - {int_digits_from_end} + 1) AS DOUBLE)"
+    )
+
+
+@register(
+    "q_money_parse",
+    f"""
+SELECT o_orderkey,
+       o_totalprice AS tax_money, o_totalprice AS spend_money, o_totalprice AS area_value,
+       o_custkey AS count_value,
+       CASE WHEN o_totalprice < 1000 THEN o_totalprice
+            WHEN o_totalprice < 1000000 THEN {_digits_as('o_totalprice', 5)}
+            ELSE CAST(0 AS DOUBLE) END AS us_text_as_brl
+FROM orders""",
+)
+def q_money_parse(spark, sf_dir):
+    o = A.table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice")
+    return o.select(
+        "o_orderkey",
+        parse_brl(format_brl(price)).alias("tax_money"),
+        parse_amount(format_brl(price, prefix="")).alias("spend_money"),
+        parse_area(F.replace(F.format_string("%.2f", price), F.lit("."), F.lit(","))).alias("area_value"),
+        parse_count(F.format_number(F.col("o_custkey").cast("double"), 0)).alias("count_value"),
+        parse_brl(F.format_number(price, 2)).alias("us_text_as_brl"),
+    )
+
+
+@register(
+    "q_quarantine",
+    """
+SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'bad_amount'
+            WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN 'bad_year'
+            ELSE 'good' END AS outcome,
+       count(*) AS n_rows,
+       CAST(sum(CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE)
+           AS total_amount
+FROM orders GROUP BY 1""",
+)
+def q_quarantine(spark, sf_dir):
+    """Raw text rows with injected defects, split into good rows and rejected rows by reason."""
+    o = A.table(spark, sf_dir, "orders")
+    raw = o.select(
+        F.when(
+            (F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "P"), F.lit("n/a")
+        ).otherwise(year_of("o_orderdate").cast("string")).alias("year_text"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("R$ --")).otherwise(format_brl(F.col("o_totalprice"))).alias(
+            "amount_text"
+        ),
+    )
+    typed = raw.select(
+        F.col("year_text").try_cast("int").alias("year"), parse_brl("amount_text", unparseable=None).alias("amount")
+    )
+    good, bad = split_valid(typed, {"bad_amount": F.col("amount").isNotNull(), "bad_year": F.col("year").isNotNull()})
+    good_counts = good.agg(
+        F.lit("good").alias("outcome"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(money("amount")).cast("double").alias("total_amount"),
+    )
+    bad_counts = bad.groupBy(F.col("_reject_reason").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(money("amount")).cast("double").alias("total_amount")
+    )
+    return good_counts.unionByName(bad_counts)
+
+
+def _item_payload() -> F.Column:
+    """One API-style payload per line: a text amount, a numeric amount and an empty item."""
+    br = format_brl(F.col("l_extendedprice"), prefix="")
+    return F.concat(
+        F.lit('{"items":[{"coluna":"'), F.col("l_returnflag"),
+        F.lit('","rotulo":"line '), F.col("l_linenumber").cast("string"),
+        F.lit('","valor":"'), br,
+        F.lit('"},{"coluna":"'), F.col("l_linestatus"),
+        F.lit('","valor":'), F.col("l_quantity").cast("string"),
+        F.lit('},{"rotulo":"tax"}]}'),
+    )
+
+
+@register(
+    "q_json_items",
+    """
+SELECT l_orderkey, l_returnflag AS category, 'line ' || CAST(l_linenumber AS VARCHAR) AS description,
+       l_extendedprice AS amount FROM lineitem
+UNION ALL
+SELECT l_orderkey, l_linestatus, '', l_quantity FROM lineitem
+UNION ALL
+SELECT l_orderkey, '', 'tax', CAST(0 AS DOUBLE) FROM lineitem""",
+)
+def q_json_items(spark, sf_dir):
+    li = A.table(spark, sf_dir, "lineitem").select("l_orderkey", _item_payload().alias("payload"))
+    return explode_items(li, "payload", keep=["l_orderkey"])
+
+
+@register(
+    "q_posexplode_series",
+    """
+WITH annual AS (
+    SELECT c.c_mktsegment, CAST(year(o.o_orderdate) AS BIGINT) AS year,
+           CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2
+)
+SELECT c_mktsegment, year, total AS budgeted, round(total * 0.95, 2) AS executed FROM annual""",
+)
+def q_posexplode_series(spark, sf_dir):
+    """Yearly totals packed into one dense array per segment, then exploded back."""
+    annual = A.orders_by_segment_year(spark, sf_dir).withColumn("total", F.col("total_price").cast("double"))
+    packed = annual.groupBy("c_mktsegment").agg(
+        F.min("year").alias("first_year"),
+        F.max("year").alias("last_year"),
+        F.map_from_entries(F.collect_list(F.struct("year", "total"))).alias("by_year"),
+    )
+    series = packed.select(
+        "c_mktsegment",
+        "first_year",
+        F.transform(
+            F.sequence("first_year", "last_year"), lambda y: F.coalesce(F.try_element_at(F.col("by_year"), y), F.lit(0.0))
+        ).alias("values"),
+    )
+    rows = explode_series(series, ["c_mktsegment"], "values", "first_year", value="budgeted")
+    return rows.select(
+        "c_mktsegment",
+        "year",
+        "budgeted",
+        round_half_away(F.col("budgeted") * F.lit(0.95), 2).alias("executed"),
+    )
+
+
+@register(
+    "q_allocate",
+    f"""
+WITH oc AS (
+    SELECT CAST(year(o.o_orderdate) AS BIGINT) AS year, c.c_mktsegment, o.o_totalprice
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+), yearly AS (
+    SELECT year, count(*) AS total_declarations,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_tax
+    FROM oc GROUP BY year
+), seg AS (
+    SELECT year, c_mktsegment AS income_bracket, count(*) AS n,
+           CAST(length(c_mktsegment) * 100 AS BIGINT) AS rate_bp
+    FROM oc GROUP BY 1, 2
+), w AS (
+    SELECT seg.*, CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY year) AS DOUBLE) AS decl_share,
+           CAST(rate_bp AS DOUBLE) / CAST(10000 AS DOUBLE) AS rate, CAST(n * rate_bp AS DOUBLE) AS weight,
+           CAST(sum(n * rate_bp) OVER (PARTITION BY year) AS DOUBLE) AS wsum
+    FROM seg
+), a AS (
+    SELECT w.*, y.total_declarations, y.total_tax, y.total_tax * w.weight / w.wsum AS tax
+    FROM w JOIN yearly y ON w.year = y.year
+)
+SELECT year, income_bracket, 'ALL' AS state,
+       CAST(trunc(total_declarations * decl_share) AS BIGINT) AS num_declarations,
+       round(CASE WHEN rate > 0 THEN tax / rate ELSE 0 END, 2) AS taxable_income_brl,
+       round(tax, 2) AS tax_due_brl
+FROM a""",
+)
+def q_allocate(spark, sf_dir):
+    """Yearly order totals split over segments by weight = orders x rate (an equi-join on year)."""
+    o = A.table(spark, sf_dir, "orders").select("o_custkey", year_of("o_orderdate").alias("year"), "o_totalprice")
+    c = A.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    oc = o.join(c, o.o_custkey == c.c_custkey)
+    yearly = oc.groupBy("year").agg(
+        F.count(F.lit(1)).alias("total_declarations"), F.sum(money("o_totalprice")).cast("double").alias("total_tax")
+    )
+    seg = oc.groupBy("year", F.col("c_mktsegment").alias("income_bracket")).agg(F.count(F.lit(1)).alias("n"))
+    seg = seg.withColumn("rate_bp", (F.length("income_bracket") * 100).cast("bigint"))
+    year_n = seg.groupBy("year").agg(F.sum("n").alias("_yn"))
+    brackets = seg.join(F.broadcast(year_n), "year").select(
+        "year",
+        "income_bracket",
+        (F.col("n").cast("double") / F.col("_yn").cast("double")).alias("decl_share"),
+        (F.col("rate_bp") / F.lit(10000.0)).alias("rate"),
+        (F.col("n") * F.col("rate_bp")).cast("double").alias("weight"),
+    )
+    out = tax.allocate_compiled(yearly, brackets)
+    return out.withColumn("year", F.col("year").cast("bigint"))
+
+
+# ----------------------------------------------------------------------------
+# Quality gates (Q1 - Q7)
+# ----------------------------------------------------------------------------
+
+def _quality_suite(spark, sf_dir):
+    customer = A.table(spark, sf_dir, "customer")
+    lineitem = A.table(spark, sf_dir, "lineitem")
+    orders = A.table(spark, sf_dir, "orders")
+    return [
+        ("customer", customer, [
+            Check("row_count", count_rows(), "gt", 0),
+            Check("negative_balance", count_where(F.col("c_acctbal") < 0), "eq", 0),
+            Check("null_segment", count_where(F.col("c_mktsegment").isNull()), "eq", 0),
+        ]),
+        ("lineitem", lineitem, [
+            Check("row_count", count_rows(), "gt", 0),
+            Check("null_shipdate", count_where(F.col("l_shipdate").isNull()), "eq", 0),
+            Check("negative_quantity", count_where(F.col("l_quantity") < 0), "eq", 0),
+            Check("max_discount", F.max("l_discount"), "between", (0.0, 0.1)),
+            Check("tax_null_rate", null_rate("l_tax"), "lte", 0.01),
+        ]),
+        ("orders", orders, [
+            Check("row_count", count_rows(), "gt", 0),
+            Check("null_orderdate", count_where(F.col("o_orderdate").isNull()), "eq", 0),
+            Check("min_totalprice", F.min("o_totalprice"), "gt", 0),
+        ]),
+    ]
+
+
+def _check_sql(table: str, name: str, value_sql: str, op: str, lo, hi=None) -> str:
+    v = f"CAST(({value_sql}) AS DOUBLE)"
+    lo_s = "CAST(NULL AS DOUBLE)" if lo is None else f"CAST({lo} AS DOUBLE)"
+    hi_s = "CAST(NULL AS DOUBLE)" if hi is None else f"CAST({hi} AS DOUBLE)"
+    pred = {
+        "gt": f"v > {lo_s}", "gte": f"v >= {lo_s}", "lt": f"v < {lo_s}", "lte": f"v <= {lo_s}",
+        "eq": f"v = {lo_s}", "between": f"{lo_s} <= v AND v <= {hi_s}", "not_null": "v IS NOT NULL AND v > 0",
+    }[op]
+    return (
+        f"SELECT '{table}' AS table_name, '{name}' AS check_name, v AS value, '{op}' AS op, "
+        f"{lo_s} AS threshold_lo, {hi_s} AS threshold_hi, coalesce({pred}, false) AS passed "
+        f"FROM (SELECT {v} AS v FROM {table})"
+    )
+
+
+QUALITY_REPORT_SQL = "\nUNION ALL\n".join([
+    _check_sql("customer", "row_count", "count(*)", "gt", 0),
+    _check_sql("customer", "negative_balance", "count(*) FILTER (WHERE c_acctbal < 0)", "eq", 0),
+    _check_sql("customer", "null_segment", "count(*) FILTER (WHERE c_mktsegment IS NULL)", "eq", 0),
+    _check_sql("lineitem", "row_count", "count(*)", "gt", 0),
+    _check_sql("lineitem", "null_shipdate", "count(*) FILTER (WHERE l_shipdate IS NULL)", "eq", 0),
+    _check_sql("lineitem", "negative_quantity", "count(*) FILTER (WHERE l_quantity < 0)", "eq", 0),
+    _check_sql("lineitem", "max_discount", "max(l_discount)", "between", 0.0, 0.1),
+    _check_sql("lineitem", "tax_null_rate", "avg(CASE WHEN l_tax IS NULL THEN 1.0 ELSE 0.0 END)", "lte", 0.01),
+    _check_sql("orders", "row_count", "count(*)", "gt", 0),
+    _check_sql("orders", "null_orderdate", "count(*) FILTER (WHERE o_orderdate IS NULL)", "eq", 0),
+    _check_sql("orders", "min_totalprice", "min(o_totalprice)", "gt", 0),
+])
+
+
+@register("q_quality_report", QUALITY_REPORT_SQL)
+def q_quality_report(spark, sf_dir):
+    return run_suite(_quality_suite(spark, sf_dir))
+
+
+# Comparator matrix at exact boundaries, all from one scan of lineitem.
+QUALITY_OPS = [
+    ("min_qty_gte_1", "min(l_quantity)", lambda: F.min("l_quantity"), "gte", 1.0, None),
+    ("min_qty_gt_1", "min(l_quantity)", lambda: F.min("l_quantity"), "gt", 1.0, None),
+    ("max_disc_lte", "max(l_discount)", lambda: F.max("l_discount"), "lte", 0.1, None),
+    ("max_disc_lt", "max(l_discount)", lambda: F.max("l_discount"), "lt", 0.1, None),
+    ("max_disc_eq", "max(l_discount)", lambda: F.max("l_discount"), "eq", 0.1, None),
+    ("max_qty_between", "max(l_quantity)", lambda: F.max("l_quantity"), "between", 1.0, 50.0),
+    ("neg_tax_not_null", "count(*) FILTER (WHERE l_tax < 0)", lambda: count_where(F.col("l_tax") < 0),
+     "not_null", None, None),
+    ("rows_not_null", "count(*)", count_rows, "not_null", None, None),
+    ("null_value_gt", "max(CASE WHEN l_quantity < 0 THEN l_quantity END)",
+     lambda: F.max(F.when(F.col("l_quantity") < 0, F.col("l_quantity"))), "gt", 0.0, None),
+]
+
+
+@register(
+    "q_quality_ops",
+    "\nUNION ALL\n".join(_check_sql("lineitem", n, s, op, lo, hi) for n, s, _, op, lo, hi in QUALITY_OPS),
+)
+def q_quality_ops(spark, sf_dir):
+    checks = [
+        Check(n, expr(), op, (lo, hi) if op == "between" else (0 if lo is None else lo))
+        for n, _, expr, op, lo, hi in QUALITY_OPS
+    ]
+    return run_checks(A.table(spark, sf_dir, "lineitem"), checks, "lineitem")
+
+
+# ----------------------------------------------------------------------------
+# Views and SQL stages
+# ----------------------------------------------------------------------------
+
+@register("q_gold_views", f"SELECT * FROM ({ANNUAL_TREND_SQL}) ORDER BY total_price DESC LIMIT 10")
+def q_gold_views(spark, sf_dir):
+    """Publish a gold frame as a named view and read a top-10 report through it."""
+    annual_trend(spark, sf_dir).createOrReplaceTempView("gold_annual_trend")
+    return spark.sql("SELECT * FROM gold_annual_trend ORDER BY total_price DESC LIMIT 10")
+
+
+SQL_STAGE_TEXT = """
+WITH annual AS (
+    SELECT year(o.o_orderdate) AS year, c.c_mktsegment,
+           sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS total_price
+    FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
+    WHERE o.o_orderdate >= make_timestamp_ntz(:first_year, 1, 1, 0, 0, 0)
+      AND o.o_orderdate < make_timestamp_ntz(:last_year + 1, 1, 1, 0, 0, 0)
+    GROUP BY 1, 2
+)
+SELECT CAST(year AS BIGINT) AS year, c_mktsegment, CAST(total_price AS DOUBLE) AS total_price,
+       CAST(sum(total_price) OVER (PARTITION BY c_mktsegment ORDER BY year) AS DOUBLE) AS cumulative_price
+FROM annual"""
+SQL_STAGE_YEARS = (1996, 2000)
+
+
+@register(
+    "q_sql_stage",
+    f"""
+WITH annual AS (
+    SELECT year(o.o_orderdate) AS year, c.c_mktsegment,
+           sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS total_price
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+    WHERE year(o.o_orderdate) BETWEEN {SQL_STAGE_YEARS[0]} AND {SQL_STAGE_YEARS[1]}
+    GROUP BY 1, 2
+)
+SELECT CAST(year AS BIGINT) AS year, c_mktsegment, CAST(total_price AS DOUBLE) AS total_price,
+       CAST(sum(total_price) OVER (PARTITION BY c_mktsegment ORDER BY year) AS DOUBLE) AS cumulative_price
+FROM annual""",
+)
+def q_sql_stage(spark, sf_dir):
+    """A SQL-text stage with bound parameters (a per-year backfill window)."""
+    return run_sql(
+        spark,
+        SQL_STAGE_TEXT,
+        args={"first_year": SQL_STAGE_YEARS[0], "last_year": SQL_STAGE_YEARS[1]},
+        frames={"orders": A.table(spark, sf_dir, "orders"), "customer": A.table(spark, sf_dir, "customer")},
+    )
+
+
+# ----------------------------------------------------------------------------
+# Incremental
+# ----------------------------------------------------------------------------
+
+def customer_v2(customer: DataFrame) -> DataFrame:
+    """A second snapshot: BUILDING removed, MACHINERY balances changed, HOUSEHOLD re-keyed copies added."""
+    kept = customer.where(F.col("c_mktsegment") != "BUILDING").withColumn(
+        "c_acctbal",
+        F.when(F.col("c_mktsegment") == "MACHINERY", F.col("c_acctbal") + F.lit(1.0)).otherwise(F.col("c_acctbal")),
+    )
+    added = customer.where(F.col("c_mktsegment") == "HOUSEHOLD").withColumn(
+        "c_custkey", F.col("c_custkey") + F.lit(10_000_000_000)
+    )
+    return kept.unionByName(added)
+
+
+@register(
+    "q_snapshot_diff",
+    """
+WITH v1 AS (SELECT * FROM customer),
+v2 AS (
+    SELECT c_custkey, c_name, c_nationkey,
+           CASE WHEN c_mktsegment = 'MACHINERY' THEN c_acctbal + 1.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+    FROM customer WHERE c_mktsegment <> 'BUILDING'
+    UNION ALL
+    SELECT c_custkey + 10000000000, c_name, c_nationkey, c_acctbal, c_mktsegment
+    FROM customer WHERE c_mktsegment = 'HOUSEHOLD'
+)
+SELECT CASE WHEN v1.c_custkey IS NULL THEN 'added'
+            WHEN v2.c_custkey IS NULL THEN 'removed'
+            WHEN v1.c_name IS NOT DISTINCT FROM v2.c_name AND v1.c_nationkey IS NOT DISTINCT FROM v2.c_nationkey
+                 AND v1.c_acctbal IS NOT DISTINCT FROM v2.c_acctbal AND v1.c_mktsegment IS NOT DISTINCT FROM v2.c_mktsegment
+            THEN 'unchanged' ELSE 'changed' END AS change_type,
+       count(*) AS n_rows
+FROM v1 FULL OUTER JOIN v2 ON v1.c_custkey = v2.c_custkey
+GROUP BY 1""",
+)
+def q_snapshot_diff(spark, sf_dir):
+    v1 = A.table(spark, sf_dir, "customer")
+    diff = diff_snapshots(v1, customer_v2(v1), keys=["c_custkey"])
+    return diff.groupBy("change_type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register(
+    "q_incremental_ingest",
+    """
+SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n_orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+FROM orders GROUP BY 1""",
+)
+def q_incremental_ingest(spark, sf_dir):
+    """Two CSV drops into a landing folder, each picked up once by an AvailableNow stream."""
+    root = scratch_path(spark, "incremental")
+    landing, bronze, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
+    o = A.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", year_of("o_orderdate").alias("year"), "o_totalprice", "o_orderpriority",
+        "o_orderstatus",
+    )
+    schema = string_schema(ORDERS_RAW)
+    for i, cond in enumerate([F.col("o_orderstatus") == "F", F.col("o_orderstatus") != "F"]):
+        write_csv(o.where(cond), f"{landing}/drop{i}", columns=ORDERS_RAW)
+        ingest_new_files(
+            spark,
+            f"{landing}/*",
+            schema,
+            bronze,
+            ckpt,
+            transform=lambda df: type_columns(df, ORDERS_TYPES)[0],
+            partition_by=["year"],
+        )
+    return _count_by_year(read_table(spark, bronze))
