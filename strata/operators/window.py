@@ -100,21 +100,28 @@ def with_share(
     decimals: int = 2,
     default: float | None = 0.0,
     total_col: str | None = None,
-    broadcast_totals: bool = True,
+    method: str = "window",
 ) -> DataFrame:
     """Share of the group total, ``CASE WHEN total > 0 THEN round(x / total * 100, k) ELSE default``.
 
-    The totals come from a second aggregate over ``df`` (one row per value of
-    ``total_keys``) joined back on those keys.  For a period key such as
-    ``year`` that frame is bounded by the number of periods, so it is
-    broadcast and ``df`` is not shuffled again; with ``broadcast_totals=False``
-    the planner (and AQE at run time) chooses.  Unlike a window summed over
-    ``partitionBy(year)``, no task has to hold all members of one year.
+    ``df`` is an aggregated frame (one row per member and period).
+
+    * ``method="window"`` (default): ``sum(x) OVER (PARTITION BY total_keys)``.
+      The aggregate is computed once; the only extra cost is an exchange of
+      the aggregated rows by period, which hold one row per member.
+    * ``method="join"``: a second aggregate to one row per period, broadcast
+      and joined back (the literal two-CTE form).  Spark does not share the
+      two branches (column pruning makes their exchanges differ), so the
+      input of ``df`` is computed twice; use it only when ``df`` is cached or
+      read from a table.
     """
     tcol = total_col or f"_total_{measure}"
-    totals = df.groupBy(*total_keys).agg(F.sum(measure).alias(tcol))
-    if broadcast_totals:
-        totals = F.broadcast(totals)
-    joined = df.join(totals, on=list(total_keys), how="inner")
+    if method == "window":
+        joined = df.withColumn(tcol, F.sum(measure).over(Window.partitionBy(*total_keys)))
+    elif method == "join":
+        totals = F.broadcast(df.groupBy(*total_keys).agg(F.sum(measure).alias(tcol)))
+        joined = df.join(totals, on=list(total_keys), how="inner")
+    else:
+        raise ValueError("method must be 'window' or 'join'")
     joined = joined.withColumn(out, pct(F.col(measure), F.col(tcol), decimals, default))
     return joined if total_col else joined.drop(tcol)

@@ -72,16 +72,17 @@ def rollup_rows(spark: SparkSession, sf_dir: str, rollup_until: int = 1998, deta
     """'ALL' rows per (year, region) up to ``rollup_until`` plus state rows from ``detail_from``.
 
     Years in between carry both kinds, which is where the rollup policy matters.
+    Both kinds come out of one pass: each input row is exploded into the
+    marker(s) it contributes to and then aggregated once.
     """
     rows = deforestation_rows(spark, sf_dir, F.col("l_quantity"))
-    rolled = (
-        rows.where(F.col("year") <= rollup_until)
-        .groupBy("year", "biome")
-        .agg(F.sum(money("area_km2")).cast("double").alias("area_km2"))
-        .select("year", "biome", F.lit("ALL").alias("state"), "area_km2")
+    y = F.col("year")
+    targets = F.filter(
+        F.array(F.when(y <= rollup_until, F.lit("ALL")), F.when(y >= detail_from, F.col("state"))),
+        lambda x: x.isNotNull(),
     )
-    detail = rows.where(F.col("year") >= detail_from).select("year", "biome", "state", "area_km2")
-    return rolled.unionByName(detail)
+    tagged = rows.select("year", "biome", F.explode(targets).alias("state"), "area_km2")
+    return tagged.groupBy("year", "biome", "state").agg(F.sum(money("area_km2")).cast("double").alias("area_km2"))
 
 
 def spending_rows_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
