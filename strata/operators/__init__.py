@@ -7,6 +7,7 @@ from strata.operators.quality import (
     Check,
     QualityCheckFailed,
     assert_checks,
+    assert_details,
     count_rows,
     count_where,
     evaluate,
@@ -14,6 +15,7 @@ from strata.operators.quality import (
     null_rate,
     observe_checks,
     run_checks,
+    run_sql_checks,
     run_suite,
 )
 from strata.operators.window import (
@@ -33,6 +35,7 @@ __all__ = [
     "allocate",
     "annual_sum",
     "assert_checks",
+    "assert_details",
     "bounded_broadcast",
     "count_rows",
     "count_where",
@@ -44,6 +47,7 @@ __all__ = [
     "range_filter",
     "rollup_sum",
     "run_checks",
+    "run_sql_checks",
     "run_suite",
     "split_valid",
     "top_n",

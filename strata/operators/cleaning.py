@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -29,14 +29,19 @@ def range_filter(
 
 
 def split_valid(
-    df: DataFrame, checks: Mapping[str, Column], reason_col: str = "_reject_reason"
+    df: DataFrame,
+    checks: Mapping[str, Column],
+    reason_col: str = "_reject_reason",
+    observation: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Split rows into (good, bad) instead of rejecting a whole file.
 
     ``checks`` maps a reason name to a predicate that a good row satisfies; a
     NULL predicate counts as failed.  Bad rows carry the name of the first
-    failed check.  Both outputs are lazy filters over the same input: write
-    them in one job (or cache the input) to scan once.
+    failed check.  Both outputs are lazy filters over the same input.  With
+    an ``observation`` the counts ``rows`` and ``rejected`` are collected while
+    the good rows are written, so the bad rows need a pass of their own only
+    when there are any.
     """
     if not checks:
         raise ValueError("split_valid needs at least one check")
@@ -45,6 +50,12 @@ def split_valid(
         failed = ~F.coalesce(pred, F.lit(False))
         reason = F.when(failed, F.lit(name)) if reason is None else reason.when(failed, F.lit(name))
     tagged = df.withColumn(reason_col, reason)
+    if observation is not None:
+        tagged = tagged.observe(
+            observation,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col(reason_col).isNotNull()).alias("rejected"),
+        )
     good = tagged.where(F.col(reason_col).isNull()).drop(reason_col)
     bad = tagged.where(F.col(reason_col).isNotNull())
     return good, bad

@@ -116,19 +116,42 @@ def run_suite(suite: Sequence[tuple[str, DataFrame, Sequence[Check]]]) -> DataFr
     return out
 
 
+def run_sql_checks(spark, checks: Sequence[dict]) -> list[dict]:
+    """Checks given as scalar SQL queries: ``{"name", "sql", "op"="gt", "threshold"=0}``.
+
+    Each query must return one row (a global aggregate), so fetching its first
+    cell is bounded.  A query that fails counts as a failed check with its
+    error text; the remaining checks still run.
+    """
+    details = []
+    for chk in checks:
+        name, op, threshold = chk["name"], chk.get("op", "gt"), chk.get("threshold", 0)
+        try:
+            row = spark.sql(chk["sql"]).first()
+            value = None if row is None else row[0]
+            details.append({"check_name": name, "value": value, "op": op, "threshold": threshold,
+                            "passed": evaluate(value, op, threshold)})
+        except Exception as exc:  # the failure is the result of this check
+            details.append({"check_name": name, "error": str(exc), "passed": False})
+    return details
+
+
+def assert_details(details: Sequence[dict]) -> dict:
+    failed = [d for d in details if not d["passed"]]
+    summary = {"passed": len(details) - len(failed), "failed": len(failed), "details": list(details)}
+    if failed:
+        names = ", ".join(d["check_name"] for d in failed)
+        raise QualityCheckFailed(f"{len(failed)} quality check(s) failed: {names}. Details: {failed}")
+    return summary
+
+
 def assert_checks(report: DataFrame) -> dict:
     """Raise ``QualityCheckFailed`` listing every failed check, else return a summary.
 
     The report has one row per check, so collecting it is bounded by the
     number of checks.
     """
-    rows = [r.asDict() for r in report.collect()]
-    failed = [r for r in rows if not r["passed"]]
-    summary = {"passed": len(rows) - len(failed), "failed": len(failed), "details": rows}
-    if failed:
-        names = ", ".join(r["check_name"] for r in failed)
-        raise QualityCheckFailed(f"{len(failed)} quality check(s) failed: {names}. Details: {failed}")
-    return summary
+    return assert_details([r.asDict() for r in report.collect()])
 
 
 def observe_checks(df: DataFrame, checks: Sequence[Check], name: str = "quality"):

@@ -35,7 +35,7 @@ def _typed(name: str, kind: str) -> Column:
 
 
 def type_columns(
-    df: DataFrame, types: Mapping[str, str], keep: tuple[str, ...] = ()
+    df: DataFrame, types: Mapping[str, str], keep: tuple[str, ...] = (), observation=None
 ) -> tuple[DataFrame, DataFrame]:
     """Bronze typing with row-level quarantine.
 
@@ -46,7 +46,7 @@ def type_columns(
     checks = {
         f"bad_{n}": F.col(n).isNull() | _typed(n, k).isNotNull() for n, k in types.items() if k != "string"
     }
-    good, bad = split_valid(df, checks) if checks else (df, df.limit(0))
+    good, bad = split_valid(df, checks, observation=observation) if checks else (df, df.limit(0))
     good = good.select(*[_typed(n, k).alias(n) for n, k in types.items()], *keep)
     return good, bad
 

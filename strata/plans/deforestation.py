@@ -21,9 +21,12 @@ SILVER_YEARS = (2000, 2025)
 AREA_OPEN_RANGE = (0.0, 100000.0)
 
 
-def bronze(raw: DataFrame, source_file: str | None = None, audit: bool = True) -> tuple[DataFrame, DataFrame]:
+def bronze(
+    raw: DataFrame, source_file: str | None = None, audit: bool = True, observation=None
+) -> tuple[DataFrame, DataFrame]:
     """Typed bronze rows (plus lineage and audit columns) and rejected rows."""
-    good, bad = type_columns(raw, BRONZE_TYPES, keep=("_source_file",) if "_source_file" in raw.columns else ())
+    keep = ("_source_file",) if "_source_file" in raw.columns else ()
+    good, bad = type_columns(raw, BRONZE_TYPES, keep=keep, observation=observation)
     good = with_audit(good, "_ingested_at", audit)
     if source_file is not None:
         good = good.withColumn("_source_file", F.lit(source_file))

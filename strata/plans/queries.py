@@ -25,6 +25,7 @@ from strata.operators.window import top_n, with_trend
 from strata.plans import cross, deforestation, spending, tax
 from strata.plans import tpch_analogues as A
 from strata.plans.common import rounded, type_columns
+from strata.plans.medallion import Layout, run_deforestation
 from strata.session import scratch_path
 from strata.sources.csv import read_csv, sniff_delimiter, string_schema, write_csv
 from strata.sources.harmonise import harmonise_tax
@@ -333,6 +334,30 @@ def q_rollup_preferred(spark, sf_dir):
     return deforestation.gold_by_biome(A.rollup_rows(spark, sf_dir), mode="prefer_rollup", audit=False)
 
 
+@register("q_medallion_deforestation", _rollup_sql(False))
+def q_medallion_deforestation(spark, sf_dir):
+    """The whole domain run: raw CSV -> bronze -> silver -> gold tables -> gate -> views.
+
+    The raw drop is the rollup-shaped rows written as text; silver ranges are
+    widened to the analogue's years and magnitudes.  The result is read back
+    from the written gold table.
+    """
+    root = scratch_path(spark, "medallion")
+    raw = A.rollup_rows(spark, sf_dir).select(
+        *[F.col(c).cast("string").alias(c) for c in deforestation.RAW_COLUMNS]
+    )
+    write_csv(raw, f"{root}/raw", columns=deforestation.RAW_COLUMNS)
+    run_deforestation(
+        spark, f"{root}/raw", f"{root}/lake", audit=False,
+        silver_kwargs={"years": (1900, 2100), "area_open_range": (0.0, 1e15)},
+    )
+    gold = read_table(spark, Layout(f"{root}/lake").gold("deforestation_by_biome"))
+    return gold.select(
+        F.col("year").cast("bigint").alias("year"), "biome", "area_km2", "cumulative_km2", "prev_year_km2",
+        "yoy_change_pct",
+    )
+
+
 # ----------------------------------------------------------------------------
 # Scalar operators: rules, filters, guarded ratios
 # ----------------------------------------------------------------------------

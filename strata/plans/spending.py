@@ -29,8 +29,11 @@ EXECUTION_SHARE = 0.95
 SERIES_UNIT = 1e9
 
 
-def bronze(raw: DataFrame, source_file: str | None = None, audit: bool = True) -> tuple[DataFrame, DataFrame]:
-    good, bad = type_columns(raw, BRONZE_TYPES, keep=("_source_file",) if "_source_file" in raw.columns else ())
+def bronze(
+    raw: DataFrame, source_file: str | None = None, audit: bool = True, observation=None
+) -> tuple[DataFrame, DataFrame]:
+    keep = ("_source_file",) if "_source_file" in raw.columns else ()
+    good, bad = type_columns(raw, BRONZE_TYPES, keep=keep, observation=observation)
     good = with_audit(good, "_ingested_at", audit)
     if source_file is not None:
         good = good.withColumn("_source_file", F.lit(source_file))

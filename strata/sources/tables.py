@@ -18,8 +18,9 @@ def write_table(
     path: str,
     partition_by: Sequence[str] | None = None,
     overwrite: str = "all",
-    sort_by: Sequence[str] | None = None,
+    sort_by: Sequence | None = None,
     max_records_per_file: int | None = None,
+    single_file: bool = False,
 ) -> None:
     """Write ``df`` as a (hive-partitioned) Parquet table.
 
@@ -33,13 +34,21 @@ def write_table(
     the partition columns (the writer's own requirement) and ``sort_by``.  A
     hot partition value is therefore written by many tasks in parallel
     instead of by one.
+
+    ``single_file`` (unpartitioned, year-grained outputs only: their size is
+    bounded by the number of periods) sorts globally by ``sort_by`` and writes
+    one file.
     """
     if overwrite not in OVERWRITE_MODES:
         raise ValueError(f"overwrite must be one of {OVERWRITE_MODES}")
     keys = list(partition_by or [])
     out = df
     order = keys + list(sort_by or [])
-    if order:
+    if single_file:
+        if keys:
+            raise ValueError("single_file is for unpartitioned outputs")
+        out = (out.orderBy(*order) if order else out).coalesce(1)
+    elif order:
         out = out.sortWithinPartitions(*order)
     writer = out.write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic" if overwrite == "partitions" else "static"
