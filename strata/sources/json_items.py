@@ -16,12 +16,19 @@ ITEMS_SCHEMA = "items array<struct<coluna:string, rotulo:string, valor:variant>>
 
 
 def variant_amount(v: Column) -> Column:
+    """Amount from a VARIANT: JSON numbers as they are, JSON strings by the money rule, else 0.0.
+
+    The value is extracted once as text (cheaper than a typed extraction)
+    and branched on the variant's type name.
+    """
     kind = F.schema_of_variant(v)
-    numeric = kind.startswith("DECIMAL") | kind.isin("BIGINT", "INT", "DOUBLE", "FLOAT", "BOOLEAN")
+    text = F.try_variant_get(v, "$", "string")
+    numeric = kind.startswith("DECIMAL") | kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
     return (
-        F.when(v.isNull() | (kind == F.lit("NULL")), F.lit(0.0))
-        .when(kind == F.lit("STRING"), parse_amount(F.try_variant_get(v, "$", "string")))
-        .when(numeric, F.try_variant_get(v, "$", "double"))
+        F.when(v.isNull(), F.lit(0.0))
+        .when(kind == F.lit("STRING"), parse_amount(text))
+        .when(numeric, text.try_cast("double"))
+        .when(kind == F.lit("BOOLEAN"), F.when(text == F.lit("true"), F.lit(1.0)).otherwise(F.lit(0.0)))
         .otherwise(F.lit(0.0))
     )
 
