@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
 from strata.operators.aggregate import ROLLUP_MODES, annual_sum, rollup_sum
-from strata.operators.cleaning import range_filter, split_valid
+from strata.operators.cleaning import range_filter, split_valid, tag_valid
 from strata.operators.join import allocate, bounded_broadcast, outer_balance
 from strata.operators.quality import (
     Check,
@@ -50,6 +50,7 @@ __all__ = [
     "run_sql_checks",
     "run_suite",
     "split_valid",
+    "tag_valid",
     "top_n",
     "with_cumulative",
     "with_prev",

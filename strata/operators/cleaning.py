@@ -28,6 +28,17 @@ def range_filter(
     return df if pred is None else df.where(pred)
 
 
+def tag_valid(df: DataFrame, checks: Mapping[str, Column], reason_col: str = "_reject_reason") -> DataFrame:
+    """Add the name of the first failed check (NULL for a good row); see ``split_valid``."""
+    if not checks:
+        raise ValueError("tag_valid needs at least one check")
+    reason = None
+    for name, pred in checks.items():
+        failed = ~F.coalesce(pred, F.lit(False))
+        reason = F.when(failed, F.lit(name)) if reason is None else reason.when(failed, F.lit(name))
+    return df.withColumn(reason_col, reason)
+
+
 def split_valid(
     df: DataFrame,
     checks: Mapping[str, Column],
@@ -43,13 +54,7 @@ def split_valid(
     the good rows are written, so the bad rows need a pass of their own only
     when there are any.
     """
-    if not checks:
-        raise ValueError("split_valid needs at least one check")
-    reason = None
-    for name, pred in checks.items():
-        failed = ~F.coalesce(pred, F.lit(False))
-        reason = F.when(failed, F.lit(name)) if reason is None else reason.when(failed, F.lit(name))
-    tagged = df.withColumn(reason_col, reason)
+    tagged = tag_valid(df, checks, reason_col)
     if observation is not None:
         tagged = tagged.observe(
             observation,

@@ -19,7 +19,7 @@ from strata.functions.numeric import change_pct, money, pct, ratio, round_half_a
 from strata.functions.parse import format_brl, parse_amount, parse_area, parse_brl, parse_count
 from strata.functions.rules import normalise_by_rules, normalise_state, rules_sql
 from strata.operators.aggregate import annual_sum
-from strata.operators.cleaning import range_filter, split_valid
+from strata.operators.cleaning import range_filter, tag_valid
 from strata.operators.quality import Check, count_rows, count_where, null_rate, run_checks, run_suite
 from strata.operators.window import top_n, with_trend
 from strata.plans import cross, deforestation, spending, tax
@@ -627,16 +627,11 @@ def q_quarantine(spark, sf_dir):
     typed = raw.select(
         F.col("year_text").try_cast("int").alias("year"), parse_brl("amount_text", unparseable=None).alias("amount")
     )
-    good, bad = split_valid(typed, {"bad_amount": F.col("amount").isNotNull(), "bad_year": F.col("year").isNotNull()})
-    good_counts = good.agg(
-        F.lit("good").alias("outcome"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(money("amount")).cast("double").alias("total_amount"),
-    )
-    bad_counts = bad.groupBy(F.col("_reject_reason").alias("outcome")).agg(
+    tagged = tag_valid(typed, {"bad_amount": F.col("amount").isNotNull(), "bad_year": F.col("year").isNotNull()})
+    # Good and rejected counts in one aggregate over one scan.
+    return tagged.groupBy(F.coalesce(F.col("_reject_reason"), F.lit("good")).alias("outcome")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(money("amount")).cast("double").alias("total_amount")
     )
-    return good_counts.unionByName(bad_counts)
 
 
 def _item_payload() -> F.Column:

@@ -39,15 +39,17 @@ def net_price() -> F.Column:
 
 
 def supplier_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(s_suppkey, n_name, r_name).  Nation and region are broadcast behind a size check."""
+    """(s_suppkey, n_name, r_name).
+
+    Nation and region are joined first (both tiny) and the result is
+    broadcast to the supplier join behind one size check.
+    """
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), DIMENSION_ROW_BOUND)
-    r = bounded_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), DIMENSION_ROW_BOUND)
-    return (
-        s.join(n, s.s_nationkey == n.n_nationkey)
-        .join(r, n.n_regionkey == r.r_regionkey)
-        .select("s_suppkey", "n_name", "r_name")
-    )
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    geo = bounded_broadcast(n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name"),
+                            DIMENSION_ROW_BOUND)
+    return s.join(geo, s.s_nationkey == geo.n_nationkey).select("s_suppkey", "n_name", "r_name")
 
 
 def lines_by_supplier_year(spark: SparkSession, sf_dir: str, value: F.Column) -> DataFrame:
