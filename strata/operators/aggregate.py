@@ -65,19 +65,49 @@ def rollup_sum(
       subquery is not correlated.  Its set is ``{'ALL'}`` as soon as one rollup
       row exists anywhere, so rollup **and** detail rows are summed (double
       counting) and NULL markers drop; with no rollup row at all every row is
-      kept.  The existence test is a scalar subquery run once, not a join.
+      kept.  Computed in one pass: per key, the sums of rollup, detail and
+      NULL-marker rows are aggregated once and checkpointed (one row per key);
+      the global "any rollup row" flag is read from that small frame and the
+      kept parts are added per key.  Keys with no kept row disappear, as with
+      ``WHERE`` before ``GROUP BY``.
     """
     if mode not in ROLLUP_MODES:
         raise ValueError(f"mode must be one of {ROLLUP_MODES}, got {mode!r}")
     out = out or measure
     m = F.col(marker_col)
     value = money(measure) if exact else F.col(measure).cast("double")
+    is_marker = m == F.lit(marker)
     if mode == "prefer_rollup":
-        rolled = F.sum(F.when(m == F.lit(marker), value))
+        rolled = F.sum(F.when(is_marker, value))
         detail = F.sum(F.when(m != F.lit(marker), value))
         return df.groupBy(*keys).agg(F.coalesce(rolled, detail).alias(out))
 
-    has_rollup = df.where(m == F.lit(marker)).select((F.count(F.lit(1)) > 0).alias("f")).scalar()
-    not_in = ~has_rollup | (m.isNotNull() & (m != F.lit(marker)))
-    kept = df.where((m == F.lit(marker)) | not_in)
-    return kept.groupBy(*keys).agg(F.sum(value).alias(out))
+    parts = (
+        df.groupBy(*keys)
+        .agg(
+            F.sum(F.when(is_marker, value)).alias("_s_marker"),
+            F.sum(F.when(m.isNotNull() & ~is_marker, value)).alias("_s_detail"),
+            F.sum(F.when(m.isNull(), value)).alias("_s_null"),
+            F.count(F.when(is_marker, F.lit(1))).alias("_n_marker"),
+            F.count(F.when(m.isNotNull() & ~is_marker, F.lit(1))).alias("_n_detail"),
+            F.count(F.when(m.isNull(), F.lit(1))).alias("_n_null"),
+        )
+        .checkpoint()
+    )
+    has_rollup = parts.select((F.sum("_n_marker") > 0).alias("f")).scalar()
+    keep_null = ~F.coalesce(has_rollup, F.lit(False))
+    kept_rows = F.col("_n_marker") + F.col("_n_detail") + F.when(keep_null, F.col("_n_null")).otherwise(F.lit(0))
+    parts_kept = [F.col("_s_marker"), F.col("_s_detail"), F.when(keep_null, F.col("_s_null"))]
+    total = _nullable_sum(parts_kept)
+    return parts.where(kept_rows > 0).select(*keys, total.alias(out))
+
+
+def _nullable_sum(cols: Sequence[Column]) -> Column:
+    """SQL ``sum`` over several partial sums: NULL only when every part is NULL."""
+    any_value = None
+    acc = None
+    for c in cols:
+        any_value = c.isNotNull() if any_value is None else (any_value | c.isNotNull())
+        term = F.coalesce(c, F.lit(0))
+        acc = term if acc is None else acc + term
+    return F.when(any_value, acc)

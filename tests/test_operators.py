@@ -41,7 +41,8 @@ def test_rollup_modes_toy_case(spark):
 
 
 def test_rollup_as_executed_null_state_semantics(spark):
-    with_marker = _toy(spark, [(2020, "A", "ALL", 10.0), (2020, "A", None, 5.0)])
+    with_marker = _toy(spark, [(2020, "A", "ALL", 10.0), (2020, "A", None, 5.0), (2021, "A", None, 7.0)])
+    # 2021 holds only a NULL state: every row of the key is dropped, so the key disappears.
     assert _sum_by_year(rollup_sum(with_marker, ["year", "biome"], "state", "area", mode="as_executed")) == {2020: 10.0}
     # No rollup row anywhere: NOT IN over an empty set keeps every row, NULL state included.
     without = _toy(spark, [(2020, "A", "PA", 1.0), (2020, "A", None, 5.0)])
