@@ -88,8 +88,14 @@ def process_new_files(
 
 
 def row_fingerprint(df: DataFrame, columns: Sequence[str]) -> F.Column:
-    """SHA-256 of the row's values; NULLs and field names are part of the text."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"}), 256)
+    """128-bit fingerprint of the row's values as two 64-bit hashes.
+
+    The hashed text is the row as JSON with NULL fields kept, so NULLs and
+    field names are part of it.  Fixed-width longs keep the diff aggregate a
+    hash aggregate (string maxima would force a sort-based one).
+    """
+    text = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
+    return F.struct(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("#"), text).alias("h2"))
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -101,16 +107,24 @@ def diff_snapshots(old: DataFrame, new: DataFrame, keys: Sequence[str], columns:
     expected to be unique within each snapshot.
     """
     cols = list(columns or [c for c in old.columns if c not in keys])
-    a = old.select(*keys, row_fingerprint(old, cols).alias("_fp"), F.lit(1).alias("_side"))
-    b = new.select(*keys, row_fingerprint(new, cols).alias("_fp"), F.lit(2).alias("_side"))
-    g = a.unionByName(b).groupBy(*keys).agg(
-        F.max(F.when(F.col("_side") == 1, F.col("_fp"))).alias("_old"),
-        F.max(F.when(F.col("_side") == 2, F.col("_fp"))).alias("_new"),
+
+    def side(df: DataFrame, tag: int) -> DataFrame:
+        fp = row_fingerprint(df, cols)
+        return df.select(*keys, F.lit(tag).alias("_side"), fp.getField("h1").alias("_h1"), fp.getField("h2").alias("_h2"))
+
+    g = side(old, 1).unionByName(side(new, 2)).groupBy(*keys).agg(
+        F.max(F.when(F.col("_side") == 1, F.col("_h1"))).alias("_o1"),
+        F.max(F.when(F.col("_side") == 1, F.col("_h2"))).alias("_o2"),
+        F.max(F.when(F.col("_side") == 2, F.col("_h1"))).alias("_n1"),
+        F.max(F.when(F.col("_side") == 2, F.col("_h2"))).alias("_n2"),
+        F.max(F.when(F.col("_side") == 1, F.lit(1))).alias("_in_old"),
+        F.max(F.when(F.col("_side") == 2, F.lit(1))).alias("_in_new"),
     )
+    same = (F.col("_o1") == F.col("_n1")) & (F.col("_o2") == F.col("_n2"))
     change = (
-        F.when(F.col("_old").isNull(), F.lit("added"))
-        .when(F.col("_new").isNull(), F.lit("removed"))
-        .when(F.col("_old") == F.col("_new"), F.lit("unchanged"))
+        F.when(F.col("_in_old").isNull(), F.lit("added"))
+        .when(F.col("_in_new").isNull(), F.lit("removed"))
+        .when(same, F.lit("unchanged"))
         .otherwise(F.lit("changed"))
     )
     return g.select(*keys, change.alias("change_type"))
