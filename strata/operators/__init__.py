@@ -3,6 +3,7 @@
 from strata.operators.aggregate import ROLLUP_MODES, annual_sum, rollup_sum
 from strata.operators.cleaning import range_filter, split_valid, tag_valid
 from strata.operators.join import allocate, bounded_broadcast, outer_balance
+from strata.operators.partitioning import spread_if_narrow
 from strata.operators.quality import (
     Check,
     QualityCheckFailed,
@@ -50,6 +51,7 @@ __all__ = [
     "run_sql_checks",
     "run_suite",
     "split_valid",
+    "spread_if_narrow",
     "tag_valid",
     "top_n",
     "with_cumulative",

@@ -1,0 +1,18 @@
+"""Partition-count helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when it has fewer partitions than cores.
+
+    For CPU-heavy per-row work (JSON parsing, text formatting) over an input
+    that arrives in a few unsplittable files.  A large input already has many
+    splits, so this is a no-op there and adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

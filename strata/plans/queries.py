@@ -20,6 +20,7 @@ from strata.functions.parse import format_brl, parse_amount, parse_area, parse_b
 from strata.functions.rules import normalise_by_rules, normalise_state, rules_sql
 from strata.operators.aggregate import annual_sum
 from strata.operators.cleaning import range_filter, tag_valid
+from strata.operators.partitioning import spread_if_narrow
 from strata.operators.quality import Check, count_rows, count_where, null_rate, run_checks, run_suite
 from strata.operators.window import top_n, with_trend
 from strata.plans import cross, deforestation, spending, tax
@@ -634,6 +635,9 @@ def q_quarantine(spark, sf_dir):
     )
 
 
+_PAYLOAD_COLUMNS = ["l_returnflag", "l_linenumber", "l_extendedprice", "l_linestatus", "l_quantity"]
+
+
 def _item_payload() -> F.Column:
     """One API-style payload per line: a text amount, a numeric amount and an empty item."""
     br = format_brl(F.col("l_extendedprice"), prefix="")
@@ -658,8 +662,9 @@ UNION ALL
 SELECT l_orderkey, '', 'tax', CAST(0 AS DOUBLE) FROM lineitem""",
 )
 def q_json_items(spark, sf_dir):
-    li = A.table(spark, sf_dir, "lineitem").select("l_orderkey", _item_payload().alias("payload"))
-    return explode_items(li, "payload", keep=["l_orderkey"])
+    # Per-row text work: spread a narrow scan over all cores first (no-op on large inputs).
+    li = spread_if_narrow(A.table(spark, sf_dir, "lineitem").select("l_orderkey", *_PAYLOAD_COLUMNS))
+    return explode_items(li.select("l_orderkey", _item_payload().alias("payload")), "payload", keep=["l_orderkey"])
 
 
 @register(
