@@ -28,7 +28,8 @@ from strata.plans import tpch_analogues as A
 from strata.plans.common import rounded, type_columns
 from strata.plans.medallion import Layout, run_deforestation
 from strata.session import scratch_path
-from strata.sources.csv import read_csv, sniff_delimiter, string_schema, write_csv
+from strata.sources.csv import read_csv, string_schema, write_csv
+from strata.sources.landing import read_landing
 from strata.sources.harmonise import harmonise_tax
 from strata.sources.json_items import explode_items
 from strata.sources.series import explode_series
@@ -560,15 +561,12 @@ def q_header_harmonise(spark, sf_dir):
     root = scratch_path(spark, "tax-landing")
     write_csv(_tax_drop_a(o), f"{root}/a", sep=";")
     write_csv(_tax_drop_b(o), f"{root}/b", sep=",")
-    parts = []
-    for sub in ("a", "b"):
-        path = f"{root}/{sub}"
-        sep = sniff_delimiter(spark, path)
-        raw = read_csv(spark, path, sep=sep)
-        good, _bad = harmonise_tax(raw)
-        parts.append(good)
-    out = parts[0].unionByName(parts[1])
-    return out.withColumn("year", F.col("year").cast("bigint"))
+    # One header pass over all files, then one read per layout (delimiter + header).
+    good, _bad = read_landing(spark, f"{root}/*", harmonise_tax)
+    return good.select(
+        F.col("year").cast("bigint").alias("year"),
+        "income_bracket", "state", "num_declarations", "taxable_income_brl", "tax_due_brl",
+    )
 
 
 def _digits_as(p_sql: str, int_digits_from_end: int) -> str:

@@ -10,6 +10,7 @@ from strata.sources.harmonise import (
     harmonise_tax,
 )
 from strata.sources.json_items import explode_items, read_json_items
+from strata.sources.landing import group_layouts, header_lines, read_landing
 from strata.sources.series import explode_series
 from strata.sources.tables import (
     create_path_view,
@@ -28,11 +29,14 @@ __all__ = [
     "explode_items",
     "explode_series",
     "first_alias",
+    "group_layouts",
     "harmonise",
     "harmonise_deforestation",
     "harmonise_tax",
+    "header_lines",
     "read_csv",
     "read_json_items",
+    "read_landing",
     "read_table",
     "register_views",
     "resolve_sql",

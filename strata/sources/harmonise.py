@@ -48,9 +48,17 @@ def first_alias(df: DataFrame, aliases: Sequence[str], default: str | None = Non
     return cols[0] if len(cols) == 1 else F.coalesce(*cols)
 
 
+LINEAGE = ("_source_file",)
+
+
+def _lineage(df: DataFrame) -> list[str]:
+    return [c for c in LINEAGE if c in df.columns]
+
+
 def harmonise(df: DataFrame, spec: Mapping[str, tuple[Sequence[str], str | None]]) -> DataFrame:
-    """Select one string column per standard name from its aliases."""
-    return df.select(*[first_alias(df, aliases, default).alias(name) for name, (aliases, default) in spec.items()])
+    """Select one string column per standard name from its aliases (lineage columns kept)."""
+    cols = [first_alias(df, aliases, default).alias(name) for name, (aliases, default) in spec.items()]
+    return df.select(*cols, *_lineage(df))
 
 
 def harmonise_tax(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -67,6 +75,7 @@ def harmonise_tax(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         parse_count("num_declarations").alias("num_declarations"),
         parse_brl("taxable_income_brl").alias("taxable_income_brl"),
         parse_brl("tax_due_brl").alias("tax_due_brl"),
+        *_lineage(h),
     )
     return split_valid(
         typed,
@@ -85,6 +94,7 @@ def harmonise_deforestation(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("biome"),
         F.col("state"),
         parse_area("area_km2").alias("area_km2"),
+        *_lineage(h),
     )
     return split_valid(
         typed,

@@ -119,3 +119,19 @@ def test_path_view(spark, scratch):
     spark.createDataFrame([(1,), (2,)], "x int").write.parquet(path)
     create_path_view(spark, "v_path", path)
     assert spark.sql("SELECT sum(x) AS s FROM v_path").first().s == 3
+
+
+def test_read_landing_groups_files_by_layout(spark, scratch):
+    from strata.sources import group_layouts, read_landing
+
+    root = scratch("landing")
+    _write(f"{root}/2020.csv", "﻿ano;faixa;quantidade;uf\n2020;A;1.000;sp\n")
+    _write(f"{root}/2021.csv", "ano;faixa;quantidade;uf\n2021;B;7;\n")
+    _write(f"{root}/2022.csv", "year,bracket,count\n2022,C,3\n,D,4\n")
+    layouts = group_layouts(spark, root)
+    assert sorted((sep, len(files)) for (sep, _), files in layouts.items()) == [(",", 1), (";", 2)]
+    good, bad = read_landing(spark, root, harmonise_tax)
+    rows = sorted((r.year, r.income_bracket, r.state, r.num_declarations) for r in good.collect())
+    assert rows == [(2020, "A", "sp", 1000), (2021, "B", "ALL", 7), (2022, "C", "ALL", 3)]
+    assert {r._source_file.rsplit("/", 1)[-1] for r in good.collect()} == {"2020.csv", "2021.csv", "2022.csv"}
+    assert bad.count() == 0
