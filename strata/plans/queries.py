@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import year_of, year_range
 from strata.functions.numeric import change_pct, money, pct, ratio, round_half_away
 from strata.functions.parse import format_brl, parse_amount, parse_area, parse_brl, parse_count
-from strata.functions.rules import normalise_by_rules, normalise_state, rules_sql
+from strata.functions.rules import CATEGORY_RULES, normalise_by_rules, normalise_state, rules_sql
 from strata.operators.aggregate import annual_sum
 from strata.operators.cleaning import range_filter, tag_valid
 from strata.operators.partitioning import spread_if_narrow
@@ -30,7 +30,7 @@ from strata.plans.medallion import Layout, run_deforestation
 from strata.session import scratch_path
 from strata.sources.csv import read_csv, string_schema, write_csv
 from strata.sources.landing import read_landing
-from strata.sources.harmonise import harmonise_tax
+from strata.sources.harmonise import harmonise_deforestation, harmonise_tax
 from strata.sources.json_items import explode_items
 from strata.sources.series import explode_series
 from strata.sources.tables import read_table, run_sql, write_table
@@ -69,9 +69,9 @@ GEO_SQL = """
     JOIN region r ON n.n_regionkey = r.r_regionkey"""
 
 
-def _def_rows_sql(value_sql: str) -> str:
+def _def_rows_sql(value_sql: str, biome_sql: str = "g.r_name") -> str:
     return f"""
-    SELECT CAST(year(l.l_shipdate) AS BIGINT) AS year, g.r_name AS biome, g.n_name AS state,
+    SELECT CAST(year(l.l_shipdate) AS BIGINT) AS year, {biome_sql} AS biome, g.n_name AS state,
            CAST({value_sql} AS DECIMAL(18,2)) AS area
     FROM lineitem l JOIN ({GEO_SQL}) g ON l.l_suppkey = g.s_suppkey"""
 
@@ -120,8 +120,9 @@ def _by_state(spark, sf_dir):
     return deforestation.gold_by_state(rows, audit=False)
 
 
-BY_STATE_SQL = f"""
-WITH silver AS ({_def_rows_sql(NET_SQL)}),
+def _by_state_sql(value_sql: str, biome_sql: str = "g.r_name") -> str:
+    return f"""
+WITH silver AS ({_def_rows_sql(value_sql, biome_sql)}),
 state_data AS (
     SELECT year, biome, state, sum(area) AS area_km2 FROM silver WHERE state != 'ALL' GROUP BY 1, 2, 3
 ), ranked AS (
@@ -135,6 +136,9 @@ SELECT year, biome, state, round({_d('area_km2')}, 2) AS area_km2, round({_d('pr
 FROM ranked"""
 
 
+BY_STATE_SQL = _by_state_sql(NET_SQL)
+
+
 @register("q_rank_in_year", BY_STATE_SQL)
 def q_rank_in_year(spark, sf_dir):
     return _by_state(spark, sf_dir)
@@ -665,6 +669,80 @@ def q_json_items(spark, sf_dir):
     return explode_items(li.select("l_orderkey", _item_payload().alias("payload")), "payload", keep=["l_orderkey"])
 
 
+# Fixed values of this analogue: return flag -> category text as a raw API reports it.
+API_CATEGORY_BY_FLAG = {"A": "Saúde", "N": "Educacao", "R": "Previdencia Social"}
+
+
+def _api_payload() -> F.Column:
+    """One JSON line per line item: the year and one item (category text, label, BR money text)."""
+    category = F.coalesce(*[F.when(F.col("l_returnflag") == k, F.lit(v)) for k, v in API_CATEGORY_BY_FLAG.items()])
+    return F.concat(
+        F.lit('{"year":'), year_of("l_shipdate").cast("string"),
+        F.lit(',"items":[{"coluna":"'), category,
+        F.lit('","rotulo":"line '), F.col("l_linenumber").cast("string"),
+        F.lit('","valor":"'), format_brl(A.net_price(), prefix=""),
+        F.lit('"}]}'),
+    )
+
+
+@register(
+    "q_api_spending",
+    _spending_gold_sql(
+        """
+    SELECT CAST(year(l_shipdate) AS BIGINT) AS year,
+           """ + rules_sql("(CASE l_returnflag " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in API_CATEGORY_BY_FLAG.items()) + " END)", CATEGORY_RULES) + """ AS functional_category,
+           CAST(""" + NET_SQL + """ AS DECIMAL(18,2)) AS budgeted, CAST(""" + NET_SQL + """ AS DECIMAL(18,2)) AS executed
+    FROM lineitem"""
+    ),
+)
+def q_api_spending(spark, sf_dir):
+    """API payloads (JSON lines) -> items -> spending bronze/silver -> gold by function."""
+    root = scratch_path(spark, "api-landing")
+    li = spread_if_narrow(A.table(spark, sf_dir, "lineitem").select(
+        "l_shipdate", "l_returnflag", "l_linenumber", "l_extendedprice", "l_discount"
+    ))
+    li.select(_api_payload().alias("value")).write.mode("overwrite").text(root)
+    docs = spark.read.text(root).withColumn("year", F.get_json_object("value", "$.year").cast("int"))
+    items = explode_items(docs, "value", keep=["year"])
+    bronze, _bad = spending.bronze(
+        spending.from_api_items(items).select(*[F.col(c).cast("string").alias(c) for c in spending.RAW_COLUMNS]),
+        audit=False,
+    )
+    silver = spending.silver(bronze, years=(1900, 2100), audit=False)
+    return spending.gold_by_function(silver, audit=False).withColumn("year", F.col("year").cast("bigint"))
+
+
+def _deforestation_drops(spark, sf_dir, root):
+    """Two raw layouts: ';' with Portuguese headers and decimal commas, and ',' without a biome column."""
+    rows = A.deforestation_rows(spark, sf_dir, F.col("l_quantity"))
+    a = rows.where(F.col("biome") != "ASIA").select(
+        F.col("year").cast("string").alias("ano"),
+        F.replace(F.col("area_km2").cast("string"), F.lit("."), F.lit(",")).alias("area"),
+        F.lower("state").alias("uf"),
+        F.col("biome").alias("bioma"),
+    )
+    b = rows.where(F.col("biome") == "ASIA").select(
+        F.col("year").cast("string").alias("Year"),
+        F.col("area_km2").cast("string").alias("Area"),
+        F.col("state").alias("UF"),
+    )
+    write_csv(a, f"{root}/a", sep=";")
+    write_csv(b, f"{root}/b", sep=",")
+
+
+@register(
+    "q_deforestation_landing",
+    _by_state_sql("l.l_quantity", "CASE WHEN g.r_name = 'ASIA' THEN 'Amazonia' ELSE g.r_name END"),
+)
+def q_deforestation_landing(spark, sf_dir):
+    """Raw drops of two layouts -> harmonised -> silver (rules, ranges) -> gold by state."""
+    root = scratch_path(spark, "prodes-landing")
+    _deforestation_drops(spark, sf_dir, root)
+    good, _bad = read_landing(spark, f"{root}/*", harmonise_deforestation)
+    silver = deforestation.silver(good, years=(1900, 2100), area_open_range=(0.0, 1e15), audit=False)
+    return deforestation.gold_by_state(silver, audit=False)
+
+
 @register(
     "q_posexplode_series",
     """
