@@ -24,17 +24,39 @@ DEFAULT_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, 100 TB inputs).
+# Shuffles start wide and AQE coalesces them to the advisory size; skewed join
+# partitions are split; scans read 256 MB splits.  Size executor memory so a
+# 256 MB shuffle partition plus its sort buffer fits per core.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.sources.partitionOverwriteMode": "static",
+}
+
+
 def get_spark(
     app: str = "strata",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    profile: str = "default",
 ) -> SparkSession:
-    """Build (or reuse) a session with AQE on and the UI off."""
+    """Build (or reuse) a session with AQE on and the UI off.
+
+    ``profile="cluster"`` adds ``CLUSTER_CONF``; explicit ``conf`` wins.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        settings.update(CLUSTER_CONF)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})

@@ -21,6 +21,7 @@ def write_table(
     sort_by: Sequence | None = None,
     max_records_per_file: int | None = None,
     single_file: bool = False,
+    rebalance: bool = False,
 ) -> None:
     """Write ``df`` as a (hive-partitioned) Parquet table.
 
@@ -35,6 +36,13 @@ def write_table(
     hot partition value is therefore written by many tasks in parallel
     instead of by one.
 
+    That is the right default when the input is already clustered by the
+    partition column (a layer read from a table partitioned the same way).
+    For an unclustered input, ``rebalance=True`` adds one ``REBALANCE``
+    shuffle on the partition columns: AQE then splits a hot value over
+    several tasks and merges small ones, so files approach the advisory size
+    instead of one file per task and value.
+
     ``single_file`` (unpartitioned, year-grained outputs only: their size is
     bounded by the number of periods) sorts globally by ``sort_by`` and writes
     one file.
@@ -48,8 +56,11 @@ def write_table(
         if keys:
             raise ValueError("single_file is for unpartitioned outputs")
         out = (out.orderBy(*order) if order else out).coalesce(1)
-    elif order:
-        out = out.sortWithinPartitions(*order)
+    else:
+        if rebalance:
+            out = out.hint("rebalance", *keys)
+        if order:
+            out = out.sortWithinPartitions(*order)
     writer = out.write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic" if overwrite == "partitions" else "static"
     )

@@ -135,3 +135,11 @@ def test_read_landing_groups_files_by_layout(spark, scratch):
     assert rows == [(2020, "A", "sp", 1000), (2021, "B", "ALL", 7), (2022, "C", "ALL", 3)]
     assert {r._source_file.rsplit("/", 1)[-1] for r in good.collect()} == {"2020.csv", "2021.csv", "2022.csv"}
     assert bad.count() == 0
+
+
+def test_rebalanced_partitioned_write(spark, scratch):
+    path = scratch("rebalanced")
+    df = spark.range(1000).select((F.col("id") % 3).cast("int").alias("year"), "id")
+    write_table(df, path, partition_by=["year"], rebalance=True, sort_by=["id"])
+    assert read_table(spark, path).groupBy("year").count().count() == 3
+    assert read_table(spark, path).count() == 1000
