@@ -34,3 +34,37 @@ def test_plan_shape(spark, name):
         assert args.strip(), f"unpartitioned window in {name}"
     for schema in re.findall(r"ReadSchema: struct<(l_[^>]*)>", plan):
         assert schema.count(":") < LINEITEM_COLUMNS, f"lineitem read without pruning in {name}: {schema}"
+
+
+# Queries whose fact rows must be aggregated before any shuffle.
+PRE_AGGREGATED = [
+    "q_annual_trend", "q_rank_in_year", "q_topn_per_year", "q_share_of_total", "q_effective_rate",
+    "q_fiscal_balance", "q_outcome_vs_spend", "q_rollup_as_executed", "q_rollup_preferred",
+    "q_allocate", "q_quality_report", "q_quality_ops",
+]
+RAW_MEASURES = ("l_extendedprice#", "l_quantity#", "l_discount#", "l_tax#", "o_totalprice#")
+
+
+def _exchange_inputs(plan: str):
+    blocks = re.split(r"\n\(\d+\) ", plan)
+    for b in blocks:
+        if b.startswith("Exchange") or b.startswith("ShuffleQueryStage"):
+            m = re.search(r"Input \[\d+\]: \[(.*?)\]\n", b)
+            if m:
+                yield m.group(1)
+
+
+@pytest.mark.parametrize("name", PRE_AGGREGATED)
+def test_no_raw_fact_rows_in_shuffles(spark, name):
+    plan = _final_plan(E.queries()[name](spark, SF_SMALL))
+    for inputs in _exchange_inputs(plan):
+        cols = [c.strip() for c in inputs.split(",")]
+        raw = [c for c in cols if c.startswith(RAW_MEASURES)]
+        assert not raw, f"{name} shuffles raw fact columns {raw}"
+
+
+def test_year_range_reaches_parquet(spark):
+    plan = _final_plan(E.queries()["q_silver_filter"](spark, SF_SMALL))
+    pushed = re.search(r"PushedFilters: \[(.*?)\]\n", plan).group(1)
+    assert "GreaterThanOrEqual(o_orderdate" in pushed and "LessThan(o_orderdate" in pushed
+    assert "GreaterThan(o_totalprice" in pushed
