@@ -70,14 +70,21 @@ def get_spark(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    When the setting is missing (a bare local test session) a private folder
-    under the system temp dir is configured once and reused.
+    Resolution order: the ``spark.checkpoint.dir`` setting, then a directory
+    already given to ``SparkContext.setCheckpointDir``, then (bare local test
+    sessions only) a private folder under the system temp dir, registered as
+    the context's checkpoint dir.  The setting itself is a startup option and
+    cannot be changed on a running session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    fallback = tempfile.mkdtemp(prefix="strata-ckpt-")
+    spark.sparkContext.setCheckpointDir(fallback)
+    return fallback
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -23,9 +22,7 @@ def spark():
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    # Tests only: a private checkpoint root when the session names none.
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-test-ckpt-"))
+    # Uses spark.checkpoint.dir when the session names one; else a private test folder.
     from strata.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
