@@ -740,7 +740,7 @@ def q_deforestation_landing(spark, sf_dir):
     _deforestation_drops(spark, sf_dir, root)
     good, _bad = read_landing(spark, f"{root}/*", harmonise_deforestation)
     silver = deforestation.silver(good, years=(1900, 2100), area_open_range=(0.0, 1e15), audit=False)
-    return deforestation.gold_by_state(silver, audit=False)
+    return deforestation.gold_by_state(silver, audit=False).withColumn("year", F.col("year").cast("bigint"))
 
 
 @register(

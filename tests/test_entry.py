@@ -10,6 +10,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TYPE_MAP = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER"}
 
 
 def test_entry_runs(spark):
@@ -50,6 +51,9 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.execute(E.oracle_sql()[name])
     names = [d[0] for d in rel.description]
     assert sorted(names) == cols
+    spark_types = {f.name: TYPE_MAP.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    oracle_types = {d[0]: str(d[1]) for d in rel.description}
+    assert spark_types == oracle_types
     idx = [names.index(c) for c in cols]
     want = _canon(tuple(row[i] for i in idx) for row in rel.fetchall())
     assert got == want
