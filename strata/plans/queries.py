@@ -9,7 +9,6 @@ produce bit-identical doubles.
 
 from __future__ import annotations
 
-import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +17,10 @@ from strata.functions.columns import year_of, year_range
 from strata.functions.numeric import change_pct, money, pct, ratio, round_half_away
 from strata.functions.parse import format_brl, parse_amount, parse_area, parse_brl, parse_count
 from strata.functions.rules import CATEGORY_RULES, normalise_by_rules, normalise_state, rules_sql
-from strata.operators.aggregate import annual_sum
 from strata.operators.cleaning import range_filter, tag_valid
 from strata.operators.partitioning import spread_if_narrow
 from strata.operators.quality import Check, count_rows, count_where, null_rate, run_checks, run_suite
-from strata.operators.window import top_n, with_trend
+from strata.operators.window import with_trend
 from strata.plans import cross, deforestation, spending, tax
 from strata.plans import tpch_analogues as A
 from strata.plans.common import rounded, type_columns
