@@ -29,7 +29,7 @@ from strata.session import scratch_path
 from strata.sources.csv import read_csv, string_schema, write_csv
 from strata.sources.landing import read_landing
 from strata.sources.harmonise import harmonise_deforestation, harmonise_tax
-from strata.sources.json_items import explode_items
+from strata.sources.json_items import explode_items, read_json_lines_items
 from strata.sources.series import explode_series
 from strata.sources.tables import read_table, run_sql, write_table
 from strata.streaming.incremental import diff_snapshots, ingest_new_files
@@ -700,8 +700,7 @@ def q_api_spending(spark, sf_dir):
         "l_shipdate", "l_returnflag", "l_linenumber", "l_extendedprice", "l_discount"
     ))
     li.select(_api_payload().alias("value")).write.mode("overwrite").text(root)
-    docs = spark.read.text(root).withColumn("year", F.get_json_object("value", "$.year").cast("int"))
-    items = explode_items(docs, "value", keep=["year"])
+    items = read_json_lines_items(spark, root, keep_fields={"year": "$.year"})
     bronze, _bad = spending.bronze(
         spending.from_api_items(items).select(*[F.col(c).cast("string").alias(c) for c in spending.RAW_COLUMNS]),
         audit=False,

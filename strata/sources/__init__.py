@@ -9,7 +9,7 @@ from strata.sources.harmonise import (
     harmonise_deforestation,
     harmonise_tax,
 )
-from strata.sources.json_items import explode_items, read_json_items
+from strata.sources.json_items import explode_items, read_json_items, read_json_lines_items
 from strata.sources.landing import group_layouts, header_lines, read_landing
 from strata.sources.series import explode_series
 from strata.sources.tables import (
@@ -36,6 +36,7 @@ __all__ = [
     "header_lines",
     "read_csv",
     "read_json_items",
+    "read_json_lines_items",
     "read_landing",
     "read_table",
     "register_views",

@@ -50,6 +50,25 @@ def explode_items(df: DataFrame, json_col: str, keep: list[str] | None = None) -
 
 
 def read_json_items(spark: SparkSession, path: str) -> DataFrame:
-    """Each file is one payload document (one API response)."""
+    """Each file is one payload document (one API response).
+
+    A document is parsed whole, so one file is one task: fine for API pages,
+    not for very large files.  Those should arrive as JSON lines
+    (``read_json_lines_items``), which split like any text file.
+    """
     docs = spark.read.option("wholetext", True).text(path).withColumn("_source_file", F.col("_metadata.file_path"))
     return explode_items(docs, "value", keep=["_source_file"])
+
+
+def read_json_lines_items(spark: SparkSession, path: str, keep_fields: dict[str, str] | None = None) -> DataFrame:
+    """One payload per line (JSON lines).  Splittable: large drops spread over all tasks.
+
+    ``keep_fields`` maps output column -> JSON path of top-level payload fields
+    to carry onto every item, e.g. ``{"year": "$.year"}``.
+    """
+    docs = spark.read.text(path).withColumn("_source_file", F.col("_metadata.file_path"))
+    keep = ["_source_file"]
+    for name, json_path in (keep_fields or {}).items():
+        docs = docs.withColumn(name, F.get_json_object("value", json_path))
+        keep.append(name)
+    return explode_items(docs, "value", keep=keep)
