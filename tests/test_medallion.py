@@ -47,3 +47,33 @@ def test_gate_failure_raises_and_quarantine_written(spark, scratch):
     assert "silver.deforestation" not in str(err.value) or "row_count" in str(err.value)
     rejected = read_table(spark, medallion.Layout(root).rejected("deforestation"))
     assert [r._reject_reason for r in rejected.collect()] == ["bad_year"]
+
+
+def test_incremental_runs_only_on_new_files(spark, scratch):
+    from strata.sources.csv import write_csv
+
+    root, landing = scratch("lake-inc"), scratch("landing-inc")
+    raw = fx.deforestation_raw(spark)
+    write_csv(raw.where("year < '2019'"), f"{landing}/d1")
+    first = medallion.run_incremental(spark, "deforestation", f"{landing}/*", root, audit=False)
+    assert len(first) == 1
+    assert medallion.run_incremental(spark, "deforestation", f"{landing}/*", root, audit=False) == []
+    write_csv(raw.where("year >= '2019'"), f"{landing}/d2")
+    second = medallion.run_incremental(spark, "deforestation", f"{landing}/*", root, audit=False)
+    assert len(second) == 1
+    silver = read_table(spark, medallion.Layout(root).silver("deforestation"))
+    assert silver.count() == 57
+    biome = {r.year: r for r in read_table(spark, medallion.Layout(root).gold("deforestation_by_biome")).collect()}
+    assert biome[2024].cumulative_km2 == 294886.0
+
+
+def test_cli_run_and_query(spark, scratch, capsys):
+    from strata.__main__ import main
+    from strata.sources.csv import write_csv
+
+    root, raw_dir = scratch("lake-cli"), scratch("raw-cli")
+    write_csv(fx.deforestation_raw(spark), raw_dir)
+    main(["run", "deforestation", "--raw", raw_dir, "--root", root])
+    main(["query", "--root", root, "SELECT max(cumulative_km2) AS c FROM v_deforestation_by_biome"])
+    out = capsys.readouterr().out
+    assert "294886.0" in out
