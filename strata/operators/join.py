@@ -41,21 +41,22 @@ def allocate(
     total_col: str,
     out: str,
     decimals: int | None = 2,
-    broadcast_weights: bool = False,
+    weights_row_bound: int | None = None,
 ) -> DataFrame:
     """Split each total over its members in proportion to their weights.
 
     ``out = total * w_i / sum(w over the same key)``.  Both inputs carry the
     join keys ``on`` (e.g. ``year``): this is an equi-join, never a cross
     product.  The weight sum per key is a grouped aggregate joined back, so no
-    key has to fit one task.  ``broadcast_weights`` is for weight tables whose
-    size is known to be small (one row per bracket and year).
+    key has to fit one task.  With ``weights_row_bound`` the weights are
+    broadcast after a check that they hold at most that many rows; otherwise
+    AQE broadcasts them at run time if their measured size is small.
     """
     keys = list(on)
     wsum = weights.groupBy(*keys).agg(F.sum(weight_col).alias("_wsum"))
     w = weights.join(wsum, on=keys, how="inner")
-    if broadcast_weights:
-        w = F.broadcast(w)
+    if weights_row_bound is not None:
+        w = bounded_broadcast(w, weights_row_bound)
     joined = totals.join(w, on=keys, how="inner")
     share = F.col(total_col).cast("double") * F.col(weight_col).cast("double") / F.col("_wsum").cast("double")
     value = F.when(F.col("_wsum") > 0, share)

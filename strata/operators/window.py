@@ -109,9 +109,10 @@ def with_share(
     * ``method="window"`` (default): ``sum(x) OVER (PARTITION BY total_keys)``.
       The aggregate is computed once; the only extra cost is an exchange of
       the aggregated rows by period, which hold one row per member.
-    * ``method="join"``: a second aggregate to one row per period, broadcast
-      and joined back (the literal two-CTE form).  Spark does not share the
-      two branches (column pruning makes their exchanges differ), so the
+    * ``method="join"``: a second aggregate to one row per period, joined
+      back (the literal two-CTE form); AQE broadcasts the totals at run time
+      once their measured size is known to be small.  Spark does not share
+      the two branches (column pruning makes their exchanges differ), so the
       input of ``df`` is computed twice; use it only when ``df`` is cached or
       read from a table.
     """
@@ -119,7 +120,7 @@ def with_share(
     if method == "window":
         joined = df.withColumn(tcol, F.sum(measure).over(Window.partitionBy(*total_keys)))
     elif method == "join":
-        totals = F.broadcast(df.groupBy(*total_keys).agg(F.sum(measure).alias(tcol)))
+        totals = df.groupBy(*total_keys).agg(F.sum(measure).alias(tcol))
         joined = df.join(totals, on=list(total_keys), how="inner")
     else:
         raise ValueError("method must be 'window' or 'join'")

@@ -821,7 +821,7 @@ def q_allocate(spark, sf_dir):
     )
     seg = seg.withColumn("rate_bp", (F.length("income_bracket") * 100).cast("bigint"))
     year_n = seg.groupBy("year").agg(F.sum("n").alias("_yn"))
-    brackets = seg.join(F.broadcast(year_n), "year").select(
+    brackets = seg.join(year_n, "year").select(
         "year",
         "income_bracket",
         (F.col("n").cast("double") / F.col("_yn").cast("double")).alias("decl_share"),

@@ -96,7 +96,7 @@ def allocate_compiled(yearly: DataFrame, brackets: DataFrame) -> DataFrame:
     """
     weight = F.col("weight") if "weight" in brackets.columns else F.col("decl_share") * F.col("rate")
     w = brackets.withColumn("_w", weight)
-    out = allocate(yearly, w, ["year"], "_w", "total_tax", "_tax", decimals=None, broadcast_weights=True)
+    out = allocate(yearly, w, ["year"], "_w", "total_tax", "_tax", decimals=None)
     return out.select(
         F.col("year").cast("int").alias("year"),
         "income_bracket",
