@@ -700,7 +700,7 @@ def q_api_spending(spark, sf_dir):
         "l_shipdate", "l_returnflag", "l_linenumber", "l_extendedprice", "l_discount"
     ))
     li.select(_api_payload().alias("value")).write.mode("overwrite").text(root)
-    items = read_json_lines_items(spark, root, keep_fields={"year": "$.year"})
+    items = read_json_lines_items(spark, root, fields={"year": "int"})
     bronze, _bad = spending.bronze(
         spending.from_api_items(items).select(*[F.col(c).cast("string").alias(c) for c in spending.RAW_COLUMNS]),
         audit=False,

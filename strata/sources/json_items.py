@@ -33,16 +33,27 @@ def variant_amount(v: Column) -> Column:
     )
 
 
-def explode_items(df: DataFrame, json_col: str, keep: list[str] | None = None) -> DataFrame:
+def explode_items(
+    df: DataFrame, json_col: str, keep: list[str] | None = None, fields: dict[str, str] | None = None
+) -> DataFrame:
     """One row per item (an empty item included) with defaults '' / '' / 0 for missing fields.
 
     ``amount`` is NULL only for string amounts that cannot be parsed (the
-    source raised there), so callers can quarantine them.
+    source raised there), so callers can quarantine them.  ``fields`` maps
+    top-level payload fields to SQL types (e.g. ``{"year": "int"}``); they are
+    read in the same single parse and carried onto every item.
     """
     keep = keep or []
-    items = df.select(*keep, F.inline(F.from_json(F.col(json_col), ITEMS_SCHEMA).getField("items")))
+    fields = fields or {}
+    schema = ", ".join([f"{k} {t}" for k, t in fields.items()] + [ITEMS_SCHEMA])
+    doc = F.from_json(F.col(json_col), schema)
+    parsed = df.select(*keep, doc.alias("_doc"))
+    items = parsed.select(
+        *keep, *[F.col("_doc").getField(k).alias(k) for k in fields], F.inline(F.col("_doc").getField("items"))
+    )
     return items.select(
         *keep,
+        *fields,
         F.coalesce(F.col("coluna"), F.lit("")).alias("category"),
         F.coalesce(F.col("rotulo"), F.lit("")).alias("description"),
         variant_amount(F.col("valor")).alias("amount"),
@@ -60,15 +71,11 @@ def read_json_items(spark: SparkSession, path: str) -> DataFrame:
     return explode_items(docs, "value", keep=["_source_file"])
 
 
-def read_json_lines_items(spark: SparkSession, path: str, keep_fields: dict[str, str] | None = None) -> DataFrame:
+def read_json_lines_items(spark: SparkSession, path: str, fields: dict[str, str] | None = None) -> DataFrame:
     """One payload per line (JSON lines).  Splittable: large drops spread over all tasks.
 
-    ``keep_fields`` maps output column -> JSON path of top-level payload fields
-    to carry onto every item, e.g. ``{"year": "$.year"}``.
+    ``fields`` maps top-level payload fields to SQL types, e.g. ``{"year": "int"}``,
+    parsed together with the items.
     """
     docs = spark.read.text(path).withColumn("_source_file", F.col("_metadata.file_path"))
-    keep = ["_source_file"]
-    for name, json_path in (keep_fields or {}).items():
-        docs = docs.withColumn(name, F.get_json_object("value", json_path))
-        keep.append(name)
-    return explode_items(docs, "value", keep=keep)
+    return explode_items(docs, "value", keep=["_source_file"], fields=fields)
