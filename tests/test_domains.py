@@ -136,3 +136,17 @@ def test_audit_columns_present(def_silver, spark):
     g = deforestation.gold_by_biome(def_silver)
     assert "_computed_at" in g.columns
     assert g.select(F.countDistinct("_computed_at")).first()[0] == 1
+
+
+def test_bronze_integer_cast_matches_sql_csv_path(spark, tmp_path):
+    """A fractional year column is sniffed as DOUBLE and cast half-to-even, as the SQL engine does."""
+    import duckdb
+
+    path = tmp_path / "raw.csv"
+    path.write_text("year,biome,state,area_km2\n2.5,A,ALL,1\n3.5,A,ALL,1\n2020.7,A,ALL,1\n-0.5,A,ALL,1\n")
+    con = duckdb.connect()
+    want = [r[0] for r in con.execute(f"SELECT year::INTEGER FROM read_csv_auto('{path}', header=true)").fetchall()]
+    raw = spark.read.option("header", True).csv(str(path))
+    good, _ = deforestation.bronze(raw, audit=False)
+    got = [r.year for r in good.collect()]
+    assert got == want == [2, 4, 2021, 0]
