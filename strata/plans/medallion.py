@@ -49,9 +49,11 @@ def _years_filter(df: DataFrame, years: tuple[int, int] | None) -> DataFrame:
 
 
 def _load_raw(spark: SparkSession, raw, columns: Sequence[str], sep: str) -> DataFrame:
+    """Standard raw files: columns are taken from the header by name (any order), as text."""
     if isinstance(raw, DataFrame):
         return raw
-    return read_csv(spark, raw, schema=string_schema(columns), sep=sep, with_source=True)
+    df = read_csv(spark, raw, sep=sep, with_source=True)
+    return df.select(*[F.col(f"`{c}`") for c in columns], "_source_file")
 
 
 def _bronze_and_silver(
@@ -227,5 +229,7 @@ def run_incremental(
         summary["batch_id"] = batch_id
         results.append(summary)
 
-    process_new_files(spark, landing, string_schema(columns), ckpt, batch, options={"sep": sep})
+    # A stream needs a schema; enforceSchema=false checks every file's header against it.
+    process_new_files(spark, landing, string_schema(columns), ckpt, batch,
+                      options={"sep": sep, "enforceSchema": "false"})
     return results

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from strata.operators import QualityCheckFailed
 from strata.plans import deforestation, medallion
 from strata.sources.csv import write_csv
+from strata.sources.csv import write_csv
 from strata.sources.tables import read_table
 from tests import fixtures as fx
 
@@ -77,3 +78,12 @@ def test_cli_run_and_query(spark, scratch, capsys):
     main(["query", "--root", root, "SELECT max(cumulative_km2) AS c FROM v_deforestation_by_biome"])
     out = capsys.readouterr().out
     assert "294886.0" in out
+
+
+def test_raw_columns_are_taken_by_header_name(spark, scratch):
+    root, raw_dir = scratch("lake-order"), scratch("raw-order")
+    reordered = fx.deforestation_raw(spark).select("area_km2", "state", "year", "biome")
+    write_csv(reordered, raw_dir)
+    medallion.run_deforestation(spark, raw_dir, root, audit=False)
+    biome = {r.year: r for r in read_table(spark, medallion.Layout(root).gold("deforestation_by_biome")).collect()}
+    assert biome[2024].cumulative_km2 == 294886.0
