@@ -19,7 +19,8 @@ from pyspark.sql.types import StructType
 
 def _reader(spark: SparkSession, schema: StructType, fmt: str, options: dict | None):
     r = spark.readStream.schema(schema).format(fmt)
-    opts = {"header": "true"} if fmt == "csv" else {}
+    # CSV: every file's header is checked against the schema instead of being mapped by position.
+    opts = {"header": "true", "enforceSchema": "false"} if fmt == "csv" else {}
     opts.update(options or {})
     for k, v in opts.items():
         r = r.option(k, v)
