@@ -4,7 +4,7 @@
     python -m strata run tax --raw 'landing/irpf/*.csv' --root lake --years 2023:2023   # backfill
     python -m strata incremental spending --landing landing/siconfi --root lake
     python -m strata cross --root lake
-    python -m strata query --root lake "SELECT * FROM v_deforestation_by_biome ORDER BY year LIMIT 10"
+    python -m strata query --root lake "SELECT * FROM gold_deforestation_by_biome ORDER BY year LIMIT 10"
 """
 
 from __future__ import annotations
@@ -18,10 +18,6 @@ from strata.plans import medallion
 from strata.session import get_spark
 from strata.sources.tables import register_views
 
-GOLD_TABLES = ("deforestation_by_biome", "deforestation_by_state", "spending_by_function",
-               "tax_by_bracket", "fiscal_balance", "deforestation_vs_spending")
-
-
 def _years(text: str | None):
     if not text:
         return None
@@ -75,9 +71,9 @@ def main(argv=None) -> None:
     else:
         layout = medallion.Layout(a.root)
         present = {}
-        for t in GOLD_TABLES:
+        for t in medallion.GOLD_TABLES:
             try:  # a domain that has not run yet has no table
-                present[f"v_{t}"] = spark.read.parquet(layout.gold(t))
+                present[f"{medallion.VIEW_PREFIX}{t}"] = spark.read.parquet(layout.gold(t))
             except AnalysisException:
                 continue
         register_views(spark, present)

@@ -27,6 +27,13 @@ from strata.streaming.incremental import process_new_files
 from strata.sources.tables import read_table, register_views, write_table
 
 
+# Names users query: views are "gold_<table>"; cross-domain tables sit under gold/cross_domain.
+VIEW_PREFIX = "gold_"
+CROSS_DOMAIN_TABLES = ("fiscal_balance", "deforestation_vs_spending")
+GOLD_TABLES = ("deforestation_by_biome", "deforestation_by_state", "spending_by_function", "tax_by_bracket",
+               *CROSS_DOMAIN_TABLES)
+
+
 @dataclass(frozen=True)
 class Layout:
     root: str
@@ -38,6 +45,8 @@ class Layout:
         return os.path.join(self.root, "silver", domain)
 
     def gold(self, table: str) -> str:
+        if table in CROSS_DOMAIN_TABLES:
+            return os.path.join(self.root, "gold", "cross_domain", table)
         return os.path.join(self.root, "gold", table)
 
     def rejected(self, domain: str) -> str:
@@ -97,8 +106,9 @@ def run_deforestation(
     )
     biome = _write_gold(spark, deforestation.gold_by_biome(silver, mode=mode, audit=audit),
                         L.gold("deforestation_by_biome"), ["biome"], sort_by=["year"])
+    # One file, like the other state-grained output: its size is years x biomes x states.
     _write_gold(spark, deforestation.gold_by_state(silver, audit=audit), L.gold("deforestation_by_state"),
-                sort_by=deforestation.state_order())
+                sort_by=deforestation.state_order(), single_file=True)
     suite = [
         ("bronze.deforestation", bronze,
          [Check("row_count", count_rows())]),
@@ -179,15 +189,13 @@ def run_cross_domain(spark: SparkSession, root: str, category: str = "Environmen
         cross.outcome_vs_spend(gold("deforestation_by_biome"), gold("spending_by_function"), category, audit=audit),
         L.gold("deforestation_vs_spending"), sort_by=["year"], single_file=True,
     )
-    names = ("deforestation_by_biome", "deforestation_by_state", "spending_by_function",
-             "tax_by_bracket", "fiscal_balance", "deforestation_vs_spending")
-    return {"views": register_views(spark, {f"v_{n}": L.gold(n) for n in names})}
+    return {"views": register_views(spark, {f"{VIEW_PREFIX}{n}": L.gold(n) for n in GOLD_TABLES})}
 
 
 def _finish(spark, layout, suite, gate, gold_tables) -> dict:
     report = run_suite(suite)
     summary = assert_checks(report) if gate else {"details": [r.asDict() for r in report.collect()]}
-    summary["views"] = register_views(spark, {f"v_{t}": layout.gold(t) for t in gold_tables})
+    summary["views"] = register_views(spark, {f"{VIEW_PREFIX}{t}": layout.gold(t) for t in gold_tables})
     return summary
 
 

@@ -13,18 +13,18 @@ def test_full_run_three_domains_and_cross(spark, scratch):
     root = scratch("lake")
     write_csv(fx.deforestation_raw(spark), f"{root}/raw/deforestation")
     out = medallion.run_deforestation(spark, f"{root}/raw/deforestation", root)
-    assert out["failed"] == 0 and "v_deforestation_by_biome" in out["views"]
+    assert out["failed"] == 0 and "gold_deforestation_by_biome" in out["views"]
     medallion.run_spending(spark, fx.spending_raw(spark), root)
     medallion.run_tax(spark, fx.tax_raw(spark), root)
     views = medallion.run_cross_domain(spark, root)["views"]
     assert len(views) == 6
-    fb = {r.year: r for r in spark.sql("SELECT * FROM v_fiscal_balance").collect()}
+    fb = {r.year: r for r in spark.sql("SELECT * FROM gold_fiscal_balance").collect()}
     assert fb[2024].irpf_covers_pct == 23.6
-    ovs = {r.year: r for r in spark.sql("SELECT * FROM v_deforestation_vs_spending").collect()}
+    ovs = {r.year: r for r in spark.sql("SELECT * FROM gold_deforestation_vs_spending").collect()}
     assert ovs[2024].spending_per_km2_deforested == 528785.0
-    biome = {r.year: r for r in spark.sql("SELECT * FROM v_deforestation_by_biome").collect()}
+    biome = {r.year: r for r in spark.sql("SELECT * FROM gold_deforestation_by_biome").collect()}
     assert biome[2024].cumulative_km2 == 294886.0
-    assert "_computed_at" in spark.table("v_deforestation_by_biome").columns
+    assert "_computed_at" in spark.table("gold_deforestation_by_biome").columns
 
 
 def test_year_backfill_keeps_other_years(spark, scratch):
@@ -75,7 +75,7 @@ def test_cli_run_and_query(spark, scratch, capsys):
     root, raw_dir = scratch("lake-cli"), scratch("raw-cli")
     write_csv(fx.deforestation_raw(spark), raw_dir)
     main(["run", "deforestation", "--raw", raw_dir, "--root", root])
-    main(["query", "--root", root, "SELECT max(cumulative_km2) AS c FROM v_deforestation_by_biome"])
+    main(["query", "--root", root, "SELECT max(cumulative_km2) AS c FROM gold_deforestation_by_biome"])
     out = capsys.readouterr().out
     assert "294886.0" in out
 
