@@ -27,11 +27,15 @@ from strata.streaming.incremental import process_new_files
 from strata.sources.tables import read_table, register_views, write_table
 
 
-# Names users query: views are "gold_<table>"; cross-domain tables sit under gold/cross_domain.
+# --- Fixed values: lake layout and view names users already query ---------
+# Bronze/silver folders per domain; views "gold_<table>"; cross-domain tables
+# under gold/cross_domain.
+DOMAIN_DIRS = {"deforestation": "prodes", "tax": "irpf", "spending": "spending"}
 VIEW_PREFIX = "gold_"
 CROSS_DOMAIN_TABLES = ("fiscal_balance", "deforestation_vs_spending")
 GOLD_TABLES = ("deforestation_by_biome", "deforestation_by_state", "spending_by_function", "tax_by_bracket",
                *CROSS_DOMAIN_TABLES)
+# ---------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
@@ -39,10 +43,10 @@ class Layout:
     root: str
 
     def bronze(self, domain: str) -> str:
-        return os.path.join(self.root, "bronze", domain)
+        return os.path.join(self.root, "bronze", DOMAIN_DIRS.get(domain, domain))
 
     def silver(self, domain: str) -> str:
-        return os.path.join(self.root, "silver", domain)
+        return os.path.join(self.root, "silver", DOMAIN_DIRS.get(domain, domain))
 
     def gold(self, table: str) -> str:
         if table in CROSS_DOMAIN_TABLES:
@@ -50,7 +54,7 @@ class Layout:
         return os.path.join(self.root, "gold", table)
 
     def rejected(self, domain: str) -> str:
-        return os.path.join(self.root, "quarantine", domain)
+        return os.path.join(self.root, "quarantine", DOMAIN_DIRS.get(domain, domain))
 
 
 def _years_filter(df: DataFrame, years: tuple[int, int] | None) -> DataFrame:
