@@ -141,3 +141,20 @@ def test_observe_checks_during_write(spark, scratch):
     observed.write.mode("overwrite").parquet(scratch("observe"))
     verdicts = {v["name"]: v["passed"] for v in evaluate_observation(obs, checks)}
     assert verdicts == {"rows": True, "neg": False}
+
+
+def test_sql_checks_count_errors_as_failures(spark):
+    from strata.operators import assert_details, run_sql_checks
+
+    spark.createDataFrame([(1,), (2,)], "x int").createOrReplaceTempView("t_checks")
+    details = run_sql_checks(spark, [
+        {"name": "rows", "sql": "SELECT count(*) FROM t_checks"},                      # default gt 0
+        {"name": "max_le_1", "sql": "SELECT max(x) FROM t_checks", "op": "lte", "threshold": 1},
+        {"name": "broken", "sql": "SELECT count(*) FROM no_such_table"},
+        {"name": "range", "sql": "SELECT min(x) FROM t_checks", "op": "between", "threshold": [1, 2]},
+    ])
+    assert [d["passed"] for d in details] == [True, False, False, True]
+    assert "error" in details[2]
+    with pytest.raises(QualityCheckFailed) as err:
+        assert_details(details)
+    assert "max_le_1" in str(err.value) and "broken" in str(err.value)
