@@ -13,6 +13,7 @@ from strata.operators.quality import (
     count_where,
     evaluate,
     evaluate_observation,
+    load_named_checks,
     null_rate,
     observe_checks,
     run_checks,
@@ -42,6 +43,7 @@ __all__ = [
     "count_where",
     "evaluate",
     "evaluate_observation",
+    "load_named_checks",
     "null_rate",
     "observe_checks",
     "outer_balance",

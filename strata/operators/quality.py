@@ -116,18 +116,50 @@ def run_suite(suite: Sequence[tuple[str, DataFrame, Sequence[Check]]]) -> DataFr
     return out
 
 
-def run_sql_checks(spark, checks: Sequence[dict]) -> list[dict]:
+def load_named_checks(path: str, op: str = "gt", threshold=0) -> list[dict]:
+    """Checks from a SQL file whose statements follow ``-- name: <check>`` lines.
+
+    Other comment lines are dropped; each statement keeps its text up to the
+    next marker (a trailing ``;`` is removed).  Comparator and threshold apply
+    to all checks of the file and can be changed per check afterwards.
+    """
+    checks: list[dict] = []
+    name, lines = None, []
+
+    def flush():
+        if name is not None:
+            sql = "\n".join(lines).strip().rstrip(";").strip()
+            checks.append({"name": name, "sql": sql, "op": op, "threshold": threshold})
+
+    with open(path, encoding="utf-8") as f:
+        for raw in f:
+            line = raw.rstrip("\n")
+            stripped = line.strip()
+            if stripped.lower().startswith("-- name:"):
+                flush()
+                name, lines = stripped.split(":", 1)[1].strip(), []
+            elif stripped.startswith("--") or name is None:
+                continue
+            else:
+                lines.append(line)
+    flush()
+    return checks
+
+
+def run_sql_checks(spark, checks: Sequence[dict], args: dict | None = None) -> list[dict]:
     """Checks given as scalar SQL queries: ``{"name", "sql", "op"="gt", "threshold"=0}``.
 
     Each query must return one row (a global aggregate), so fetching its first
-    cell is bounded.  A query that fails counts as a failed check with its
-    error text; the remaining checks still run.
+    cell is bounded.  ``args`` binds named parameters (``:silver``,
+    ``IDENTIFIER(:table)``) in every query.  A query that fails counts as a
+    failed check with its error text; the remaining checks still run.
     """
     details = []
     for chk in checks:
         name, op, threshold = chk["name"], chk.get("op", "gt"), chk.get("threshold", 0)
         try:
-            row = spark.sql(chk["sql"]).first()
+            used = {k: v for k, v in (args or {}).items() if f":{k}" in chk["sql"]}
+            row = spark.sql(chk["sql"], args=used).first()
             value = None if row is None else row[0]
             details.append({"check_name": name, "value": value, "op": op, "threshold": threshold,
                             "passed": evaluate(value, op, threshold)})

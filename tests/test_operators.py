@@ -158,3 +158,21 @@ def test_sql_checks_count_errors_as_failures(spark):
     with pytest.raises(QualityCheckFailed) as err:
         assert_details(details)
     assert "max_le_1" in str(err.value) and "broken" in str(err.value)
+
+
+def test_named_check_file(spark, tmp_path):
+    from strata.operators import assert_details, load_named_checks, run_sql_checks
+
+    spark.createDataFrame([(2020, 5.0), (2021, None)], "year int, area double").createOrReplaceTempView("silver_x")
+    f = tmp_path / "checks.sql"
+    f.write_text(
+        "-- Checks for the silver table\n\n"
+        "-- Row count\n-- name: row_count\nSELECT count(*) FROM IDENTIFIER(:silver);\n\n"
+        "-- name: null_years\nSELECT count(*)\nFROM IDENTIFIER(:silver)\nWHERE year IS NULL;\n"
+    )
+    checks = load_named_checks(str(f))
+    assert [c["name"] for c in checks] == ["row_count", "null_years"]
+    checks[1].update(op="eq", threshold=0)
+    details = run_sql_checks(spark, checks, args={"silver": "silver_x"})
+    assert [d["passed"] for d in details] == [True, True]
+    assert assert_details(details)["passed"] == 2
