@@ -41,13 +41,17 @@ def type_columns(
 
     Every standard column is cast to its type.  A row whose non-NULL raw value
     does not cast goes to the rejected frame (with the reason) instead of
-    failing the load; NULL stays NULL, as a SQL cast would leave it.
+    failing the load; NULL stays NULL, as a SQL cast would leave it.  Columns
+    that already have their type (a typed source such as parsed API items)
+    pass through without a cast or a check.
     """
-    checks = {
-        f"bad_{n}": F.col(n).isNull() | _typed(n, k).isNotNull() for n, k in types.items() if k != "string"
-    }
-    good, bad = split_valid(df, checks, observation=observation) if checks else (df, df.limit(0))
-    good = good.select(*[_typed(n, k).alias(n) for n, k in types.items()], *keep)
+    current = dict(df.dtypes)
+    to_cast = {n: k for n, k in types.items() if current.get(n) != k}
+    checks = {f"bad_{n}": F.col(n).isNull() | _typed(n, k).isNotNull() for n, k in to_cast.items() if k != "string"}
+    if not checks:
+        checks = {"never": F.lit(True)}  # keeps the observation wiring uniform
+    good, bad = split_valid(df, checks, observation=observation)
+    good = good.select(*[(_typed(n, k) if n in to_cast else F.col(n)).alias(n) for n, k in types.items()], *keep)
     return good, bad
 
 

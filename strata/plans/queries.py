@@ -701,10 +701,8 @@ def q_api_spending(spark, sf_dir):
     ))
     li.select(_api_payload().alias("value")).write.mode("overwrite").text(root)
     items = read_json_lines_items(spark, root, fields={"year": "int"})
-    bronze, _bad = spending.bronze(
-        spending.from_api_items(items).select(*[F.col(c).cast("string").alias(c) for c in spending.RAW_COLUMNS]),
-        audit=False,
-    )
+    raw, _rejected = spending.api_items_to_raw(items)
+    bronze, _bad = spending.bronze(raw, audit=False)  # typed items pass through
     silver = spending.silver(bronze, years=(1900, 2100), audit=False)
     return spending.gold_by_function(silver, audit=False).withColumn("year", F.col("year").cast("bigint"))
 

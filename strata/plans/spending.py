@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions.numeric import change_pct, pct, round_half_away
 from strata.functions.rules import CATEGORY_RULES, normalise_by_rules
 from strata.operators.aggregate import annual_sum
-from strata.operators.cleaning import range_filter
+from strata.operators.cleaning import range_filter, split_valid
 from strata.operators.window import with_prev, with_share
 from strata.plans.common import rounded, type_columns
 from strata.sources.series import explode_series
@@ -54,6 +54,16 @@ def from_api_items(items: DataFrame, year_col: str = "year") -> DataFrame:
     )
 
 
+def api_items_to_raw(items: DataFrame, year_col: str = "year") -> tuple[DataFrame, DataFrame]:
+    """API items -> (raw spending rows, rejected items).
+
+    An item whose amount text could not be read (NULL amount) is rejected
+    with its reason instead of vanishing later in the silver filters.
+    """
+    good, bad = split_valid(items, {"bad_amount": F.col("amount").isNotNull()})
+    return from_api_items(good, year_col), bad
+
+
 def from_series(series: DataFrame, key: str, values_col: str, first_year: int) -> DataFrame:
     """Compiled yearly series (one array per function) -> raw rows.
 

@@ -143,3 +143,16 @@ def test_rebalanced_partitioned_write(spark, scratch):
     write_table(df, path, partition_by=["year"], rebalance=True, sort_by=["id"])
     assert read_table(spark, path).groupBy("year").count().count() == 3
     assert read_table(spark, path).count() == 1000
+
+
+def test_api_items_reject_unreadable_amounts(spark):
+    from strata.plans import spending
+
+    docs = spark.createDataFrame(
+        [('{"year": 2020, "items": [{"coluna": "Saude", "valor": "1.234,5"}, {"coluna": "Saude", "valor": "x,y"}]}',)],
+        "value string",
+    )
+    items = explode_items(docs, "value", fields={"year": "int"})
+    raw, rejected = spending.api_items_to_raw(items)
+    assert [(r.year, r.functional_category, r.budgeted_brl) for r in raw.collect()] == [(2020, "Saude", 1234.5)]
+    assert [r._reject_reason for r in rejected.collect()] == ["bad_amount"]
