@@ -24,6 +24,7 @@ from strata.operators.window import (
     top_n,
     with_cumulative,
     with_prev,
+    with_prev_period,
     with_rank,
     with_share,
     with_trend,
@@ -58,6 +59,7 @@ __all__ = [
     "top_n",
     "with_cumulative",
     "with_prev",
+    "with_prev_period",
     "with_rank",
     "with_share",
     "with_trend",

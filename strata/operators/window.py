@@ -40,6 +40,19 @@ def with_prev(
     return df.withColumn(out, F.lag(measure, 1).over(_spec(partition_by, order_by)))
 
 
+def with_prev_period(
+    df: DataFrame, keys: Sequence[str], period: str, measure: str, out: str, step: int = 1
+) -> DataFrame:
+    """Value of the *calendar* previous period (``period - step``), NULL across a gap.
+
+    ``with_prev`` takes the previous row, so after a missing year it compares
+    with an older year.  This is an equi-join of the aggregated frame with
+    itself shifted by ``step`` on (keys, period): no window and no pairs.
+    """
+    shifted = df.select(*keys, (F.col(period) + F.lit(step)).alias(period), F.col(measure).alias(out))
+    return df.join(shifted, on=[*keys, period], how="left")
+
+
 def with_trend(
     df: DataFrame,
     partition_by: Sequence[str],

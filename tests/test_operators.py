@@ -176,3 +176,12 @@ def test_named_check_file(spark, tmp_path):
     details = run_sql_checks(spark, checks, args={"silver": "silver_x"})
     assert [d["passed"] for d in details] == [True, True]
     assert assert_details(details)["passed"] == 2
+
+
+def test_prev_period_is_null_across_gaps(spark):
+    from strata.operators import with_prev_period
+
+    df = spark.createDataFrame([("k", 2000, 1.0), ("k", 2001, 2.0), ("k", 2003, 4.0), ("j", 2001, 9.0)],
+                               "k string, y int, v double")
+    out = sorted((r.k, r.y, r.p) for r in with_prev_period(df, ["k"], "y", "v", "p").collect())
+    assert out == [("j", 2001, None), ("k", 2000, None), ("k", 2001, 1.0), ("k", 2003, None)]
