@@ -44,7 +44,13 @@ CATEGORY_RULES: list[Rule] = [
 
 
 def normalise_by_rules(c, rules: Sequence[Rule], lowercase: bool = True) -> Column:
-    """Map a string column through ordered LIKE rules; unmatched values pass through."""
+    """Map a string column through ordered LIKE rules; unmatched values pass through.
+
+    A column name builds the whole chain as one SQL expression (one call into
+    the JVM); a Column builds it node by node.
+    """
+    if isinstance(c, str) and lowercase and rules:
+        return F.expr(rules_sql(c, rules))
     source = as_col(c)
     probe = F.lower(source) if lowercase else source
     expr = None

@@ -58,8 +58,8 @@ def allocate(
     if weights_row_bound is not None:
         w = bounded_broadcast(w, weights_row_bound)
     joined = totals.join(w, on=keys, how="inner")
-    share = F.col(total_col).cast("double") * F.col(weight_col).cast("double") / F.col("_wsum").cast("double")
-    value = F.when(F.col("_wsum") > 0, share)
+    share = f"CAST({total_col} AS DOUBLE) * CAST({weight_col} AS DOUBLE) / CAST(_wsum AS DOUBLE)"
+    value = F.when(F.col("_wsum") > 0, F.expr(share))
     if decimals is not None:
         value = F.when(F.col("_wsum") > 0, round_half_away(share, decimals))
     return joined.withColumn(out, value).drop("_wsum")

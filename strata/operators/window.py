@@ -73,7 +73,7 @@ def with_trend(
 
 def with_yoy(df: DataFrame, current: str, previous: str, out: str, decimals: int = 1) -> DataFrame:
     """``round((cur - prev) / prev * 100, k)`` when ``prev > 0``, else NULL."""
-    return df.withColumn(out, change_pct(F.col(current), F.col(previous), decimals))
+    return df.withColumn(out, change_pct(current, previous, decimals))
 
 
 def with_rank(
@@ -137,5 +137,5 @@ def with_share(
         joined = df.join(totals, on=list(total_keys), how="inner")
     else:
         raise ValueError("method must be 'window' or 'join'")
-    joined = joined.withColumn(out, pct(F.col(measure), F.col(tcol), decimals, default))
+    joined = joined.withColumn(out, pct(measure, tcol, decimals, default))
     return joined if total_col else joined.drop(tcol)

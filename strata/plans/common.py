@@ -57,4 +57,4 @@ def type_columns(
 
 def rounded(c: str, decimals: int = 2) -> Column:
     """Decimal or double measure -> double rounded half away from zero."""
-    return round_half_away(F.col(c).cast("double"), decimals)
+    return round_half_away(c, decimals)

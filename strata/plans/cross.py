@@ -10,18 +10,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import money, pct, ratio, round_half_away
+from strata.functions.numeric import pct, ratio, round_half_away
 from strata.operators.join import outer_balance
 from strata.sources.tables import with_audit
 
 
+# Gold values are already sums: re-aggregating them uses the widest exact type.
+WIDE_MONEY = "decimal(38,2)"
+
+
 def yearly(df: DataFrame, measure: str, out: str, where=None) -> DataFrame:
     src = df if where is None else df.where(where)
-    return src.groupBy("year").agg(F.sum(money(measure)).alias(out))
+    return src.groupBy("year").agg(F.sum(F.col(measure).cast(WIDE_MONEY)).alias(out))
 
 
-def _zero(c: str):
-    return F.coalesce(F.col(c), F.lit(0).cast("decimal(38,2)"))
+def _zero(c: str) -> str:
+    return f"coalesce({c}, CAST(0 AS DECIMAL(38,2)))"
 
 
 def fiscal_balance(tax_gold: DataFrame, spending_gold: DataFrame, audit: bool = True) -> DataFrame:
@@ -31,12 +35,10 @@ def fiscal_balance(tax_gold: DataFrame, spending_gold: DataFrame, audit: bool =
     j = outer_balance(t, s, "year")
     out = j.select(
         "year",
-        round_half_away(_zero("total_tax_revenue").cast("double"), 2).alias("irpf_revenue_brl"),
-        round_half_away(_zero("total_spending").cast("double"), 2).alias("total_spending_brl"),
-        round_half_away((_zero("total_tax_revenue") - _zero("total_spending")).cast("double"), 2).alias(
-            "balance_brl"
-        ),
-        pct(F.col("total_tax_revenue"), F.col("total_spending"), 1, None).alias("irpf_covers_pct"),
+        round_half_away(_zero("total_tax_revenue"), 2).alias("irpf_revenue_brl"),
+        round_half_away(_zero("total_spending"), 2).alias("total_spending_brl"),
+        round_half_away(f"{_zero('total_tax_revenue')} - {_zero('total_spending')}", 2).alias("balance_brl"),
+        pct("total_tax_revenue", "total_spending", 1, None).alias("irpf_covers_pct"),
     )
     return with_audit(out, "_computed_at", audit)
 
@@ -53,10 +55,8 @@ def outcome_vs_spend(
     j = outer_balance(d, e, "year")
     out = j.select(
         "year",
-        round_half_away(_zero("total_deforested_km2").cast("double"), 2).alias("deforested_km2"),
-        round_half_away(_zero("env_spending_brl").cast("double"), 2).alias("env_spending_brl"),
-        ratio(F.col("env_spending_brl"), F.col("total_deforested_km2"), 0, None).alias(
-            "spending_per_km2_deforested"
-        ),
+        round_half_away(_zero("total_deforested_km2"), 2).alias("deforested_km2"),
+        round_half_away(_zero("env_spending_brl"), 2).alias("env_spending_brl"),
+        ratio("env_spending_brl", "total_deforested_km2", 0, None).alias("spending_per_km2_deforested"),
     )
     return with_audit(out, "_computed_at", audit)

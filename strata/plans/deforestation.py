@@ -50,7 +50,7 @@ def silver(
         "year",
         normalise_by_rules("biome", BIOME_RULES).alias("biome"),
         normalise_state("state").alias("state"),
-        round_half_away(F.col("area_km2"), 2).alias("area_km2"),
+        round_half_away("area_km2", 2).alias("area_km2"),
     )
     return with_audit(out, "_processed_at", audit)
 
@@ -69,7 +69,7 @@ def gold_by_biome(silver_df: DataFrame, mode: str = "prefer_rollup", audit: bool
         rounded("area_km2").alias("area_km2"),
         rounded("cumulative_km2").alias("cumulative_km2"),
         rounded("prev_year_km2").alias("prev_year_km2"),
-        change_pct(F.col("area_km2"), F.col("prev_year_km2"), 1).alias("yoy_change_pct"),
+        change_pct("area_km2", "prev_year_km2", 1).alias("yoy_change_pct"),
     )
     return with_audit(out, "_computed_at", audit)
 
@@ -89,7 +89,7 @@ def gold_by_state(silver_df: DataFrame, audit: bool = True) -> DataFrame:
         "state",
         rounded("area_km2").alias("area_km2"),
         rounded("prev_year_km2").alias("prev_year_km2"),
-        change_pct(F.col("area_km2"), F.col("prev_year_km2"), 1).alias("yoy_change_pct"),
+        change_pct("area_km2", "prev_year_km2", 1).alias("yoy_change_pct"),
         "rank_in_year",
     )
     return with_audit(out, "_computed_at", audit)

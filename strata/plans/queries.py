@@ -87,7 +87,7 @@ def annual_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
         rounded("total_price").alias("total_price"),
         rounded("cumulative_price").alias("cumulative_price"),
         rounded("prev_year_price").alias("prev_year_price"),
-        change_pct(F.col("total_price"), F.col("prev_year_price"), 1).alias("yoy_change_pct"),
+        change_pct("total_price", "prev_year_price", 1).alias("yoy_change_pct"),
     )
 
 
@@ -416,7 +416,7 @@ def q_silver_filter(spark, sf_dir):
         "o_orderkey",
         year_of("o_orderdate").alias("year"),
         F.upper("o_orderstatus").alias("o_orderstatus"),
-        round_half_away(F.col("o_totalprice"), 2).alias("o_totalprice"),
+        round_half_away("o_totalprice", 2).alias("o_totalprice"),
     )
 
 
@@ -435,8 +435,8 @@ def q_safe_ratio(spark, sf_dir):
         "l_orderkey",
         F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
         A.net_price().alias("net_price"),
-        pct(F.col("l_tax"), F.col("l_discount"), 2, 0.0).alias("tax_vs_discount_pct"),
-        ratio(F.col("l_discount"), F.col("l_tax"), 1, None).alias("discount_per_tax"),
+        pct("l_tax", "l_discount", 2, 0.0).alias("tax_vs_discount_pct"),
+        ratio("l_discount", "l_tax", 1, None).alias("discount_per_tax"),
     )
 
 
@@ -768,7 +768,7 @@ def q_posexplode_series(spark, sf_dir):
         "c_mktsegment",
         "year",
         "budgeted",
-        round_half_away(F.col("budgeted") * F.lit(0.95), 2).alias("executed"),
+        round_half_away("budgeted * 0.95D", 2).alias("executed"),
     )
 
 

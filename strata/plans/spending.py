@@ -86,9 +86,9 @@ def silver(bronze_df: DataFrame, years: tuple[int, int] = SILVER_YEARS, audit: b
         "year",
         normalise_by_rules("functional_category", CATEGORY_RULES).alias("functional_category"),
         "description",
-        round_half_away(F.col("budgeted_brl"), 2).alias("budgeted_brl"),
-        round_half_away(F.col("executed_brl"), 2).alias("executed_brl"),
-        pct(F.col("executed_brl"), F.col("budgeted_brl"), 1, 0.0).alias("execution_rate_pct"),
+        round_half_away("budgeted_brl", 2).alias("budgeted_brl"),
+        round_half_away("executed_brl", 2).alias("executed_brl"),
+        pct("executed_brl", "budgeted_brl", 1, 0.0).alias("execution_rate_pct"),
     )
     return with_audit(out, "_processed_at", audit)
 
@@ -106,7 +106,7 @@ def gold_by_function(silver_df: DataFrame, audit: bool = True) -> DataFrame:
         rounded("executed_brl").alias("executed_brl"),
         rounded("budgeted_brl").alias("budgeted_brl"),
         "pct_of_total",
-        change_pct(F.col("executed_brl"), F.col("prev_year_brl"), 1).alias("yoy_nominal_growth_pct"),
+        change_pct("executed_brl", "prev_year_brl", 1).alias("yoy_nominal_growth_pct"),
     )
     return with_audit(out, "_computed_at", audit)
 

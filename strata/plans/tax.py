@@ -51,9 +51,9 @@ def silver(bronze_df: DataFrame, years: tuple[int, int] = SILVER_YEARS, audit: b
         "income_bracket",
         normalise_state("state").alias("state"),
         "num_declarations",
-        round_half_away(F.col("taxable_income_brl"), 2).alias("taxable_income_brl"),
-        round_half_away(F.col("tax_due_brl"), 2).alias("tax_due_brl"),
-        pct(F.col("tax_due_brl"), F.col("taxable_income_brl"), 2, 0.0).alias("effective_tax_rate_pct"),
+        round_half_away("taxable_income_brl", 2).alias("taxable_income_brl"),
+        round_half_away("tax_due_brl", 2).alias("tax_due_brl"),
+        pct("tax_due_brl", "taxable_income_brl", 2, 0.0).alias("effective_tax_rate_pct"),
     )
     return with_audit(out, "_processed_at", audit)
 
@@ -68,7 +68,7 @@ def gold_by_bracket(silver_df: DataFrame, audit: bool = True, rollup_marker: str
         counts={"total_declarations": "num_declarations"},
     )
     annual = annual.withColumn(
-        "effective_rate_pct", pct(F.col("total_tax_due"), F.col("total_taxable_income"), 2, 0.0)
+        "effective_rate_pct", pct("total_tax_due", "total_taxable_income", 2, 0.0)
     )
     shared = with_share(annual, ["year"], "total_tax_due", "pct_of_total_tax", decimals=2, default=0.0)
     trended = with_prev(shared, ["income_bracket"], "year", "total_tax_due", "prev_tax")
@@ -80,7 +80,7 @@ def gold_by_bracket(silver_df: DataFrame, audit: bool = True, rollup_marker: str
         rounded("total_tax_due").alias("total_tax_due"),
         "effective_rate_pct",
         "pct_of_total_tax",
-        change_pct(F.col("total_tax_due"), F.col("prev_tax"), 1).alias("yoy_growth_pct"),
+        change_pct("total_tax_due", "prev_tax", 1).alias("yoy_growth_pct"),
     )
     return with_audit(out, "_computed_at", audit)
 
@@ -102,10 +102,8 @@ def allocate_compiled(yearly: DataFrame, brackets: DataFrame) -> DataFrame:
         "income_bracket",
         F.lit("ALL").alias("state"),
         (F.col("total_declarations") * F.col("decl_share")).cast("bigint").alias("num_declarations"),
-        round_half_away(F.when(F.col("rate") > 0, F.col("_tax") / F.col("rate")).otherwise(F.lit(0.0)), 2).alias(
-            "taxable_income_brl"
-        ),
-        round_half_away(F.col("_tax"), 2).alias("tax_due_brl"),
+        round_half_away("CASE WHEN rate > 0 THEN _tax / rate ELSE 0.0D END", 2).alias("taxable_income_brl"),
+        round_half_away("_tax", 2).alias("tax_due_brl"),
     )
 
 

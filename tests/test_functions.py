@@ -109,3 +109,21 @@ def test_rules_sql_matches_column_expression(spark):
 def test_state_upper(spark):
     df = spark.createDataFrame([("pa",), ("all",), ("Sao Paulo",)], "s string")
     assert [r[0] for r in df.select(normalise_state("s")).collect()] == ["PA", "ALL", "SAO PAULO"]
+
+
+def test_sql_and_column_paths_agree(spark):
+    from pyspark.sql import functions as F
+
+    from strata.functions.numeric import change_pct
+
+    rnd = random.Random(11)
+    rows = [(rnd.uniform(-1e5, 1e5), rnd.choice([0.0, -1.0, None, rnd.uniform(0, 1e5)])) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    out = df.select(
+        round_half_away("a", 2).alias("r_sql"), round_half_away(F.col("a"), 2).alias("r_col"),
+        pct("a", "b", 2, 0.0).alias("p_sql"), pct(F.col("a"), F.col("b"), 2, 0.0).alias("p_col"),
+        ratio("a", "b", 1).alias("q_sql"), ratio(F.col("a"), F.col("b"), 1).alias("q_col"),
+        change_pct("a", "b", 1).alias("c_sql"), change_pct(F.col("a"), F.col("b"), 1).alias("c_col"),
+    ).collect()
+    for r in out:
+        assert (r.r_sql, r.p_sql, r.q_sql, r.c_sql) == (r.r_col, r.p_col, r.q_col, r.c_col)
