@@ -111,8 +111,8 @@ def run_deforestation(
     biome = _write_gold(spark, deforestation.gold_by_biome(silver, mode=mode, audit=audit),
                         L.gold("deforestation_by_biome"), ["biome"], sort_by=["year"])
     # One file, like the other state-grained output: its size is years x biomes x states.
-    _write_gold(spark, deforestation.gold_by_state(silver, audit=audit), L.gold("deforestation_by_state"),
-                sort_by=deforestation.state_order(), single_file=True)
+    state = _write_gold(spark, deforestation.gold_by_state(silver, audit=audit), L.gold("deforestation_by_state"),
+                        sort_by=deforestation.state_order(), single_file=True)
     suite = [
         ("bronze.deforestation", bronze,
          [Check("row_count", count_rows())]),
@@ -123,7 +123,7 @@ def run_deforestation(
         ]),
         ("gold.deforestation_by_biome", biome, [Check("row_count", count_rows())]),
     ]
-    return _finish(spark, L, suite, gate, ["deforestation_by_biome", "deforestation_by_state"])
+    return _finish(spark, suite, gate, {"deforestation_by_biome": biome, "deforestation_by_state": state})
 
 
 def run_spending(
@@ -152,7 +152,7 @@ def run_spending(
         ]),
         ("gold.spending_by_function", gold, [Check("row_count", count_rows())]),
     ]
-    return _finish(spark, L, suite, gate, ["spending_by_function"])
+    return _finish(spark, suite, gate, {"spending_by_function": gold})
 
 
 def run_tax(
@@ -180,7 +180,7 @@ def run_tax(
         ]),
         ("gold.tax_by_bracket", gold, [Check("row_count", count_rows())]),
     ]
-    return _finish(spark, L, suite, gate, ["tax_by_bracket"])
+    return _finish(spark, suite, gate, {"tax_by_bracket": gold})
 
 
 def run_cross_domain(spark: SparkSession, root: str, category: str = "Environment", audit: bool = True) -> dict:
@@ -196,10 +196,11 @@ def run_cross_domain(spark: SparkSession, root: str, category: str = "Environmen
     return {"views": register_views(spark, {f"{VIEW_PREFIX}{n}": L.gold(n) for n in GOLD_TABLES})}
 
 
-def _finish(spark, layout, suite, gate, gold_tables) -> dict:
+def _finish(spark, suite, gate, gold: dict[str, DataFrame]) -> dict:
+    """Gate, then publish: views over the written gold tables (read with their known schemas)."""
     report = run_suite(suite)
     summary = assert_checks(report) if gate else {"details": [r.asDict() for r in report.collect()]}
-    summary["views"] = register_views(spark, {f"{VIEW_PREFIX}{t}": layout.gold(t) for t in gold_tables})
+    summary["views"] = register_views(spark, {f"{VIEW_PREFIX}{t}": df for t, df in gold.items()})
     return summary
 
 

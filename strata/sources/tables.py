@@ -55,7 +55,10 @@ def write_table(
     if single_file:
         if keys:
             raise ValueError("single_file is for unpartitioned outputs")
-        out = (out.orderBy(*order) if order else out).coalesce(1)
+        # One partition sorted in place: no range-sampling job, upstream stays parallel.
+        out = out.repartition(1)
+        if order:
+            out = out.sortWithinPartitions(*order)
     else:
         if rebalance:
             out = out.hint("rebalance", *keys)
