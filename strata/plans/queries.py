@@ -662,6 +662,7 @@ UNION ALL
 SELECT l_orderkey, '', 'tax', CAST(0 AS DOUBLE) FROM lineitem""",
 )
 def q_json_items(spark, sf_dir):
+    """API-style payloads (a text amount, a numeric amount, an empty item) exploded into items."""
     # Per-row text work: spread a narrow scan over all cores first (no-op on large inputs).
     li = spread_if_narrow(A.table(spark, sf_dir, "lineitem").select("l_orderkey", *_PAYLOAD_COLUMNS))
     return explode_items(li.select("l_orderkey", _item_payload().alias("payload")), "payload", keep=["l_orderkey"])
@@ -683,16 +684,19 @@ def _api_payload() -> F.Column:
     )
 
 
-@register(
-    "q_api_spending",
-    _spending_gold_sql(
-        """
+def _api_rows_sql() -> str:
+    """Oracle rows of the API path: category text mapped by the spending rules, net price as both amounts."""
+    raw_category = "(CASE l_returnflag " + " ".join(
+        f"WHEN '{k}' THEN '{v}'" for k, v in API_CATEGORY_BY_FLAG.items()
+    ) + " END)"
+    return f"""
     SELECT CAST(year(l_shipdate) AS BIGINT) AS year,
-           """ + rules_sql("(CASE l_returnflag " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in API_CATEGORY_BY_FLAG.items()) + " END)", CATEGORY_RULES) + """ AS functional_category,
-           CAST(""" + NET_SQL + """ AS DECIMAL(18,2)) AS budgeted, CAST(""" + NET_SQL + """ AS DECIMAL(18,2)) AS executed
+           {rules_sql(raw_category, CATEGORY_RULES)} AS functional_category,
+           CAST({NET_SQL} AS DECIMAL(18,2)) AS budgeted, CAST({NET_SQL} AS DECIMAL(18,2)) AS executed
     FROM lineitem"""
-    ),
-)
+
+
+@register("q_api_spending", _spending_gold_sql(_api_rows_sql()))
 def q_api_spending(spark, sf_dir):
     """API payloads (JSON lines) -> items -> spending bronze/silver -> gold by function."""
     root = scratch_path(spark, "api-landing")
