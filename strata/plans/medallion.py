@@ -233,14 +233,20 @@ def run_incremental(
     results: list[dict] = []
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        years = df.select(F.col("year").try_cast("double").try_cast("int").alias("y")).agg(
-            F.min("y").alias("lo"), F.max("y").alias("hi")
-        ).first()
-        if years is None or years.lo is None:
-            return
-        summary = run_fn(spark, df, root, years=(years.lo, years.hi), **run_kwargs)
-        summary["batch_id"] = batch_id
-        results.append(summary)
+        # The batch is read twice (its year range, then the run): keep it for the batch only.
+        # A lost executor recomputes the cached blocks from the landing files.
+        df.persist()
+        try:
+            years = df.select(F.col("year").try_cast("double").try_cast("int").alias("y")).agg(
+                F.min("y").alias("lo"), F.max("y").alias("hi")
+            ).first()
+            if years is None or years.lo is None:
+                return
+            summary = run_fn(spark, df, root, years=(years.lo, years.hi), **run_kwargs)
+            summary["batch_id"] = batch_id
+            results.append(summary)
+        finally:
+            df.unpersist()
 
     # A stream needs a schema; enforceSchema=false checks every file's header against it.
     process_new_files(spark, landing, string_schema(columns), ckpt, batch,
