@@ -156,3 +156,13 @@ def test_api_items_reject_unreadable_amounts(spark):
     raw, rejected = spending.api_items_to_raw(items)
     assert [(r.year, r.functional_category, r.budgeted_brl) for r in raw.collect()] == [(2020, "Saude", 1234.5)]
     assert [r._reject_reason for r in rejected.collect()] == ["bad_amount"]
+
+
+def test_read_csv_keeps_malformed_lines(spark, scratch):
+    root = scratch("corrupt")
+    _write(f"{root}/a.csv", "year,area\n2020,1.5\n2021,abc\n2022\n")
+    df = read_csv(spark, f"{root}/a.csv", schema="year int, area double", corrupt_column="_corrupt")
+    rows = sorted((r.year, r.area, r._corrupt) for r in df.collect())
+    assert rows[0] == (2020, 1.5, None)
+    assert rows[1][0] == 2021 and rows[1][2] == "2021,abc"
+    assert rows[2][0] == 2022 and rows[2][2] == "2022"
