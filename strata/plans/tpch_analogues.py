@@ -22,11 +22,6 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import year_of
 from strata.functions.numeric import money, round_half_away
-from strata.operators.join import bounded_broadcast
-
-# Dimension tables of fixed size (TPC-H: 25 nations, 5 regions).  The bound is
-# checked before broadcasting; beyond it the join is shuffled.
-DIMENSION_ROW_BOUND = 10_000
 
 
 # --- Fixed values: schemas of the driver tables (identical at every scale factor) ---
@@ -61,14 +56,16 @@ def net_price() -> F.Column:
 def supplier_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(s_suppkey, n_name, r_name).
 
-    Nation and region are joined first (both tiny) and the result is
-    broadcast to the supplier join behind one size check.
+    Nation and region are joined first.  No hint: the planner broadcasts them
+    only while its size estimate (from the file sizes) is under
+    ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks with the
+    measured size; beyond that the joins shuffle.  Both checks happen without
+    an extra job (``bounded_broadcast`` is the explicit alternative).
     """
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = bounded_broadcast(n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name"),
-                            DIMENSION_ROW_BOUND)
+    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
     return s.join(geo, s.s_nationkey == geo.n_nationkey).select("s_suppkey", "n_name", "r_name")
 
 
