@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 
 
 def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster when it has fewer partitions than cores.
+    """Round-robin ``df`` over the cluster when its scan cannot use the cores.
 
     For CPU-heavy per-row work (JSON parsing, text formatting) over an input
-    that arrives in a few unsplittable files.  A large input already has many
-    splits, so this is a no-op there and adds no shuffle.
+    that arrives in a few unsplittable files.  The split count alone can
+    mislead: a file of one row group is cut into several byte ranges, but
+    only the range holding the row group reads anything.  So when the split
+    count is modest the input file count is checked too.  A large input has
+    many splits and files, so this is a no-op there and adds no shuffle.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    splits = df.rdd.getNumPartitions()
+    if splits >= 4 * target:
+        return df
+    if splits >= target and len(df.inputFiles()) >= target:
+        return df
+    return df.repartition(target)

@@ -185,3 +185,16 @@ def test_prev_period_is_null_across_gaps(spark):
                                "k string, y int, v double")
     out = sorted((r.k, r.y, r.p) for r in with_prev_period(df, ["k"], "y", "v", "p").collect())
     assert out == [("j", 2001, None), ("k", 2000, None), ("k", 2001, 1.0), ("k", 2003, None)]
+
+
+def test_spread_if_narrow(spark, scratch):
+    from strata.operators import spread_if_narrow
+
+    one = scratch("one-file")
+    spark.range(100000).coalesce(1).write.parquet(one)
+    narrow = spark.read.parquet(one)
+    assert spread_if_narrow(narrow, 8).rdd.getNumPartitions() == 8
+    many = scratch("many-files")
+    spark.range(100000).repartition(40).write.parquet(many)
+    wide = spark.read.parquet(many)
+    assert spread_if_narrow(wide, 8) is wide
