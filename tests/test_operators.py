@@ -196,5 +196,14 @@ def test_spread_if_narrow(spark, scratch):
     assert spread_if_narrow(narrow, 8).rdd.getNumPartitions() == 8
     many = scratch("many-files")
     spark.range(100000).repartition(40).write.parquet(many)
-    wide = spark.read.parquet(many)
-    assert spread_if_narrow(wide, 8) is wide
+    # Tiny files are packed into few splits (narrow, spread); with small splits the scan is wide.
+    assert spread_if_narrow(spark.read.parquet(many), 8).rdd.getNumPartitions() == 8
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        wide = spark.read.parquet(many)
+        assert wide.rdd.getNumPartitions() >= 40
+        assert spread_if_narrow(wide, 8) is wide
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
