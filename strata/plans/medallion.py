@@ -69,12 +69,20 @@ def _load_raw(spark: SparkSession, raw, columns: Sequence[str], sep: str) -> Dat
     return df.select(*[F.col(f"`{c}`") for c in columns], "_source_file")
 
 
+class RejectedRowsError(ValueError):
+    """Raised by ``fail_fast`` runs when raw rows could not be typed."""
+
+
 def _bronze_and_silver(
-    spark, layout, domain, raw_df, bronze_fn, silver_fn, years, audit, silver_kwargs
+    spark, layout, domain, raw_df, bronze_fn, silver_fn, years, audit, silver_kwargs, fail_fast=False
 ) -> tuple[DataFrame, DataFrame]:
     overwrite = "partitions" if years else "all"
     counts = Observation(f"bronze_{domain}")
     good, bad = bronze_fn(raw_df, audit=audit, observation=counts)
+    if fail_fast and bad.limit(1).count() > 0:
+        # Reject the whole drop before bronze is touched (the scan stops at the first bad row).
+        write_table(bad, layout.rejected(domain), overwrite="all")
+        raise RejectedRowsError(f"raw {domain} rows could not be typed; see {layout.rejected(domain)}")
     write_table(_years_filter(good, years), layout.bronze(domain), ["year"], overwrite)
     if counts.get.get("rejected", 0) > 0:  # second pass over raw only when rows were rejected
         write_table(bad, layout.rejected(domain), overwrite="all")
@@ -101,12 +109,18 @@ def run_deforestation(
     audit: bool = True,
     sep: str = ",",
     silver_kwargs: dict | None = None,
+    fail_fast: bool = False,
 ) -> dict:
-    """Deforestation domain: raw CSV paths (or a raw frame) to both gold tables."""
+    """Deforestation domain: raw CSV paths (or a raw frame) to both gold tables.
+
+    Rows that cannot be typed go to quarantine; with ``fail_fast`` one such
+    row rejects the whole drop before bronze is written (the source's behaviour).
+    """
     L = Layout(root)
     raw_df = _load_raw(spark, raw, deforestation.RAW_COLUMNS, sep)
     bronze, silver = _bronze_and_silver(
-        spark, L, "deforestation", raw_df, deforestation.bronze, deforestation.silver, years, audit, silver_kwargs
+        spark, L, "deforestation", raw_df, deforestation.bronze, deforestation.silver, years, audit, silver_kwargs,
+        fail_fast,
     )
     biome = _write_gold(spark, deforestation.gold_by_biome(silver, mode=mode, audit=audit),
                         L.gold("deforestation_by_biome"), ["biome"], sort_by=["year"])
@@ -135,12 +149,13 @@ def run_spending(
     audit: bool = True,
     sep: str = ",",
     silver_kwargs: dict | None = None,
+    fail_fast: bool = False,
 ) -> dict:
     """Spending domain: raw CSV paths (or a raw frame, e.g. from API items) to gold by function."""
     L = Layout(root)
     raw_df = _load_raw(spark, raw, spending.RAW_COLUMNS, sep)
     bronze, silver = _bronze_and_silver(spark, L, "spending", raw_df, spending.bronze, spending.silver, years, audit,
-                                silver_kwargs)
+                                        silver_kwargs, fail_fast)
     gold = _write_gold(spark, spending.gold_by_function(silver, audit=audit), L.gold("spending_by_function"),
                        ["functional_category"], sort_by=["year"])
     suite = [
@@ -164,11 +179,13 @@ def run_tax(
     audit: bool = True,
     sep: str = ",",
     silver_kwargs: dict | None = None,
+    fail_fast: bool = False,
 ) -> dict:
     """Tax domain: raw CSV paths (or a raw frame) to gold by bracket."""
     L = Layout(root)
     raw_df = _load_raw(spark, raw, tax.RAW_COLUMNS, sep)
-    bronze, silver = _bronze_and_silver(spark, L, "tax", raw_df, tax.bronze, tax.silver, years, audit, silver_kwargs)
+    bronze, silver = _bronze_and_silver(spark, L, "tax", raw_df, tax.bronze, tax.silver, years, audit, silver_kwargs,
+                                        fail_fast)
     gold = _write_gold(spark, tax.gold_by_bracket(silver, audit=audit), L.gold("tax_by_bracket"), ["year"],
                        sort_by=["income_bracket"])
     suite = [

@@ -87,3 +87,14 @@ def test_raw_columns_are_taken_by_header_name(spark, scratch):
     medallion.run_deforestation(spark, raw_dir, root, audit=False)
     biome = {r.year: r for r in read_table(spark, medallion.Layout(root).gold("deforestation_by_biome")).collect()}
     assert biome[2024].cumulative_km2 == 294886.0
+
+
+def test_fail_fast_rejects_the_drop(spark, scratch):
+    root = scratch("lake-failfast")
+    raw = spark.createDataFrame([("2020", "Amazon", "ALL", "5"), ("20x", "Amazon", "ALL", "5")],
+                                "year string, biome string, state string, area_km2 string")
+    with pytest.raises(medallion.RejectedRowsError):
+        medallion.run_deforestation(spark, raw, root, fail_fast=True)
+    assert read_table(spark, medallion.Layout(root).rejected("deforestation")).count() == 1
+    import os
+    assert not os.path.exists(medallion.Layout(root).bronze("deforestation"))  # bronze untouched
