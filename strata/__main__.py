@@ -39,6 +39,7 @@ def main(argv=None) -> None:
     r.add_argument("--sep", default=",")
     r.add_argument("--mode", default="prefer_rollup", choices=["prefer_rollup", "as_executed"])
     r.add_argument("--no-gate", action="store_true")
+    r.add_argument("--fail-fast", action="store_true", help="reject the whole drop if any row cannot be typed")
 
     i = sub.add_parser("incremental", help="run a domain for new landing files only")
     i.add_argument("domain", choices=sorted(medallion.DOMAINS))
@@ -58,7 +59,7 @@ def main(argv=None) -> None:
     a = p.parse_args(argv)
     spark = get_spark(app=f"strata-{a.cmd}", master=a.master, profile=a.profile)
     if a.cmd == "run":
-        kwargs = {"years": _years(a.years), "gate": not a.no_gate, "sep": a.sep}
+        kwargs = {"years": _years(a.years), "gate": not a.no_gate, "sep": a.sep, "fail_fast": a.fail_fast}
         if a.domain == "deforestation":
             kwargs["mode"] = a.mode
         out = medallion.DOMAINS[a.domain][0](spark, a.raw, a.root, **kwargs)
