@@ -57,3 +57,15 @@ def test_query_matches_oracle(spark, con, name):
     idx = [names.index(c) for c in cols]
     want = _canon(tuple(row[i] for i in idx) for row in rel.fetchall())
     assert got == want
+
+
+STATEFUL = ["q_medallion_deforestation", "q_incremental_ingest", "q_gold_views", "q_header_harmonise",
+            "q_backfill_year", "q_allocate", "q_rollup_as_executed", "q_api_spending"]
+
+
+@pytest.mark.parametrize("name", STATEFUL)
+def test_stateful_queries_repeat(spark, name):
+    """Views, observations, stream checkpoints and scratch folders do not leak between calls."""
+    first = _canon(tuple(r) for r in E.queries()[name](spark, SF_SMALL).collect())
+    second = _canon(tuple(r) for r in E.queries()[name](spark, SF_SMALL).collect())
+    assert first == second and first
