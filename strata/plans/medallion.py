@@ -20,7 +20,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.quality import Check, assert_checks, count_rows, count_where, run_suite
+from strata.operators.quality import (
+    Check,
+    assert_details,
+    count_rows,
+    count_where,
+    evaluate,
+    evaluate_observation,
+    observe_checks,
+    run_suite,
+)
 from strata.plans import cross, deforestation, spending, tax
 from strata.sources.csv import read_csv, string_schema
 from strata.streaming.incremental import process_new_files
@@ -74,8 +83,16 @@ class RejectedRowsError(ValueError):
 
 
 def _bronze_and_silver(
-    spark, layout, domain, raw_df, bronze_fn, silver_fn, years, audit, silver_kwargs, fail_fast=False
-) -> tuple[DataFrame, DataFrame]:
+    spark, layout, domain, raw_df, bronze_fn, silver_fn, years, audit, silver_kwargs, fail_fast=False,
+    silver_checks=(),
+):
+    """Write bronze and silver; return (bronze table, silver table, observed gate results or None).
+
+    On a full run the silver checks are observed while silver is written and
+    the bronze row count comes from the rejected-rows observation, so neither
+    table is scanned again for the gate.  A backfill (``years``) returns None:
+    its gate must cover the whole tables, not only the rewritten years.
+    """
     overwrite = "partitions" if years else "all"
     counts = Observation(f"bronze_{domain}")
     good, bad = bronze_fn(raw_df, audit=audit, observation=counts)
@@ -89,9 +106,26 @@ def _bronze_and_silver(
     # Read back with the known schema: an empty partitioned write leaves no file to infer it from.
     bronze = _years_filter(read_table(spark, layout.bronze(domain), schema=good.schema), years)
     silver = silver_fn(bronze, audit=audit, **(silver_kwargs or {}))
+    observed = None
+    if years is None and silver_checks:
+        silver, observed = observe_checks(silver, silver_checks, name=f"silver_{domain}")
     write_table(silver, layout.silver(domain), ["year"], overwrite)
     bronze_all = read_table(spark, layout.bronze(domain), schema=good.schema)
-    return bronze_all, read_table(spark, layout.silver(domain), schema=silver.schema)
+    silver_all = read_table(spark, layout.silver(domain), schema=silver.schema)
+    details = None
+    if observed is not None:
+        rows = counts.get.get("rows", 0) - counts.get.get("rejected", 0)
+        details = [_detail(f"bronze.{domain}", "row_count", rows, "gt", 0)]
+        details += [
+            _detail(f"silver.{domain}", v["name"], v["value"], v["op"], v["threshold"], v["passed"])
+            for v in evaluate_observation(observed, silver_checks)
+        ]
+    return bronze_all, silver_all, details
+
+
+def _detail(table, name, value, op, threshold, passed=None) -> dict:
+    return {"table_name": table, "check_name": name, "value": value, "op": op, "threshold": threshold,
+            "passed": evaluate(value, op, threshold) if passed is None else passed}
 
 
 def _write_gold(spark, df: DataFrame, path: str, partition_by=None, sort_by=None, single_file=False) -> DataFrame:
@@ -118,26 +152,26 @@ def run_deforestation(
     """
     L = Layout(root)
     raw_df = _load_raw(spark, raw, deforestation.RAW_COLUMNS, sep)
-    bronze, silver = _bronze_and_silver(
+    silver_checks = [
+        Check("row_count", count_rows()),
+        Check("null_years", count_where(F.col("year").isNull()), "eq", 0),
+        Check("negative_areas", count_where(F.col("area_km2") < 0), "eq", 0),
+    ]
+    bronze, silver, observed = _bronze_and_silver(
         spark, L, "deforestation", raw_df, deforestation.bronze, deforestation.silver, years, audit, silver_kwargs,
-        fail_fast,
+        fail_fast, silver_checks,
     )
     biome = _write_gold(spark, deforestation.gold_by_biome(silver, mode=mode, audit=audit),
                         L.gold("deforestation_by_biome"), ["biome"], sort_by=["year"])
     # One file, like the other state-grained output: its size is years x biomes x states.
     state = _write_gold(spark, deforestation.gold_by_state(silver, audit=audit), L.gold("deforestation_by_state"),
                         sort_by=deforestation.state_order(), single_file=True)
-    suite = [
-        ("bronze.deforestation", bronze,
-         [Check("row_count", count_rows())]),
-        ("silver.deforestation", silver, [
-            Check("row_count", count_rows()),
-            Check("null_years", count_where(F.col("year").isNull()), "eq", 0),
-            Check("negative_areas", count_where(F.col("area_km2") < 0), "eq", 0),
-        ]),
-        ("gold.deforestation_by_biome", biome, [Check("row_count", count_rows())]),
-    ]
-    return _finish(spark, suite, gate, {"deforestation_by_biome": biome, "deforestation_by_state": state})
+    suite = [("gold.deforestation_by_biome", biome, [Check("row_count", count_rows())])]
+    if observed is None:
+        suite = [("bronze.deforestation", bronze, [Check("row_count", count_rows())]),
+                 ("silver.deforestation", silver, silver_checks)] + suite
+    return _finish(spark, suite, gate, {"deforestation_by_biome": biome, "deforestation_by_state": state},
+                   observed)
 
 
 def run_spending(
@@ -154,20 +188,21 @@ def run_spending(
     """Spending domain: raw CSV paths (or a raw frame, e.g. from API items) to gold by function."""
     L = Layout(root)
     raw_df = _load_raw(spark, raw, spending.RAW_COLUMNS, sep)
-    bronze, silver = _bronze_and_silver(spark, L, "spending", raw_df, spending.bronze, spending.silver, years, audit,
-                                        silver_kwargs, fail_fast)
+    silver_checks = [
+        Check("row_count", count_rows()),
+        Check("negative_executed", count_where(F.col("executed_brl") < 0), "eq", 0),
+    ]
+    bronze, silver, observed = _bronze_and_silver(
+        spark, L, "spending", raw_df, spending.bronze, spending.silver, years, audit, silver_kwargs, fail_fast,
+        silver_checks,
+    )
     gold = _write_gold(spark, spending.gold_by_function(silver, audit=audit), L.gold("spending_by_function"),
                        ["functional_category"], sort_by=["year"])
-    suite = [
-        ("bronze.spending", bronze,
-         [Check("row_count", count_rows())]),
-        ("silver.spending", silver, [
-            Check("row_count", count_rows()),
-            Check("negative_executed", count_where(F.col("executed_brl") < 0), "eq", 0),
-        ]),
-        ("gold.spending_by_function", gold, [Check("row_count", count_rows())]),
-    ]
-    return _finish(spark, suite, gate, {"spending_by_function": gold})
+    suite = [("gold.spending_by_function", gold, [Check("row_count", count_rows())])]
+    if observed is None:
+        suite = [("bronze.spending", bronze, [Check("row_count", count_rows())]),
+                 ("silver.spending", silver, silver_checks)] + suite
+    return _finish(spark, suite, gate, {"spending_by_function": gold}, observed)
 
 
 def run_tax(
@@ -184,20 +219,20 @@ def run_tax(
     """Tax domain: raw CSV paths (or a raw frame) to gold by bracket."""
     L = Layout(root)
     raw_df = _load_raw(spark, raw, tax.RAW_COLUMNS, sep)
-    bronze, silver = _bronze_and_silver(spark, L, "tax", raw_df, tax.bronze, tax.silver, years, audit, silver_kwargs,
-                                        fail_fast)
+    silver_checks = [
+        Check("row_count", count_rows()),
+        Check("negative_tax", count_where(F.col("tax_due_brl") < 0), "eq", 0),
+    ]
+    bronze, silver, observed = _bronze_and_silver(
+        spark, L, "tax", raw_df, tax.bronze, tax.silver, years, audit, silver_kwargs, fail_fast, silver_checks,
+    )
     gold = _write_gold(spark, tax.gold_by_bracket(silver, audit=audit), L.gold("tax_by_bracket"), ["year"],
                        sort_by=["income_bracket"])
-    suite = [
-        ("bronze.tax", bronze,
-         [Check("row_count", count_rows())]),
-        ("silver.tax", silver, [
-            Check("row_count", count_rows()),
-            Check("negative_tax", count_where(F.col("tax_due_brl") < 0), "eq", 0),
-        ]),
-        ("gold.tax_by_bracket", gold, [Check("row_count", count_rows())]),
-    ]
-    return _finish(spark, suite, gate, {"tax_by_bracket": gold})
+    suite = [("gold.tax_by_bracket", gold, [Check("row_count", count_rows())])]
+    if observed is None:
+        suite = [("bronze.tax", bronze, [Check("row_count", count_rows())]),
+                 ("silver.tax", silver, silver_checks)] + suite
+    return _finish(spark, suite, gate, {"tax_by_bracket": gold}, observed)
 
 
 def run_cross_domain(spark: SparkSession, root: str, category: str = "Environment", audit: bool = True) -> dict:
@@ -213,10 +248,10 @@ def run_cross_domain(spark: SparkSession, root: str, category: str = "Environmen
     return {"views": register_views(spark, {f"{VIEW_PREFIX}{n}": L.gold(n) for n in GOLD_TABLES})}
 
 
-def _finish(spark, suite, gate, gold: dict[str, DataFrame]) -> dict:
-    """Gate, then publish: views over the written gold tables (read with their known schemas)."""
-    report = run_suite(suite)
-    summary = assert_checks(report) if gate else {"details": [r.asDict() for r in report.collect()]}
+def _finish(spark, suite, gate, gold: dict[str, DataFrame], observed: list[dict] | None = None) -> dict:
+    """Gate (observed results plus the scanned suite), then publish views over the gold tables."""
+    details = list(observed or []) + [r.asDict() for r in run_suite(suite).collect()]
+    summary = assert_details(details) if gate else {"details": details}
     summary["views"] = register_views(spark, {f"{VIEW_PREFIX}{t}": df for t, df in gold.items()})
     return summary
 

@@ -98,3 +98,17 @@ def test_fail_fast_rejects_the_drop(spark, scratch):
     assert read_table(spark, medallion.Layout(root).rejected("deforestation")).count() == 1
     import os
     assert not os.path.exists(medallion.Layout(root).bronze("deforestation"))  # bronze untouched
+
+
+def test_gate_results_observed_on_full_runs_scanned_on_backfills(spark, scratch):
+    root = scratch("lake-gate-obs")
+    full = medallion.run_deforestation(spark, fx.deforestation_raw(spark), root, audit=False)
+    by = {(d["table_name"], d["check_name"]): d for d in full["details"]}
+    assert by[("bronze.deforestation", "row_count")]["value"] == 57
+    assert by[("silver.deforestation", "row_count")]["value"] == 57.0
+    assert by[("silver.deforestation", "negative_areas")]["passed"]
+    assert ("gold.deforestation_by_biome", "row_count") in by
+    one = fx.deforestation_raw(spark).where("year = '2024'")
+    back = medallion.run_deforestation(spark, one, root, years=(2024, 2024), audit=False)
+    by = {(d["table_name"], d["check_name"]): d for d in back["details"]}
+    assert by[("silver.deforestation", "row_count")]["value"] == 57.0  # the whole table, not the year
