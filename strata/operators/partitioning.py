@@ -15,8 +15,11 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     count is modest the input file count is checked too.  A large input has
     many splits and files, so this is a no-op there and adds no shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except NotImplementedError:  # a Spark Connect session exposes neither; leave the plan as is
+        return df
     if splits >= 4 * target:
         return df
     if splits >= target and len(df.inputFiles()) >= target:

@@ -79,19 +79,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except NotImplementedError:  # Spark Connect: the server side owns the checkpoint settings
+        current = None
     if current:
         return current.rstrip("/")
     fallback = tempfile.mkdtemp(prefix="strata-ckpt-")
-    spark.sparkContext.setCheckpointDir(fallback)
+    try:
+        spark.sparkContext.setCheckpointDir(fallback)
+    except NotImplementedError as exc:  # a client-side folder is useless to a remote server
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder on the Spark server") from exc
     return fallback
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable: point the context at the shared root."""
     root = checkpoint_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root)
+    except NotImplementedError:  # Spark Connect: nothing to set from the client
+        pass
     return root
 
 
