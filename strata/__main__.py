@@ -46,6 +46,7 @@ def main(argv=None) -> None:
     i.add_argument("--landing", required=True)
     i.add_argument("--root", required=True)
     i.add_argument("--sep", default=",")
+    i.add_argument("--max-files-per-batch", type=int, default=None)
 
     c = sub.add_parser("cross", help="cross-domain KPIs and views")
     c.add_argument("--root", required=True)
@@ -65,7 +66,8 @@ def main(argv=None) -> None:
         out = medallion.DOMAINS[a.domain][0](spark, a.raw, a.root, **kwargs)
         print(json.dumps({k: v for k, v in out.items() if k != "details"}, default=str))
     elif a.cmd == "incremental":
-        out = medallion.run_incremental(spark, a.domain, a.landing, a.root, sep=a.sep)
+        out = medallion.run_incremental(spark, a.domain, a.landing, a.root, sep=a.sep,
+                                        max_files_per_batch=a.max_files_per_batch)
         print(json.dumps({"batches": len(out)}))
     elif a.cmd == "cross":
         print(json.dumps(medallion.run_cross_domain(spark, a.root, a.category)))

@@ -270,6 +270,7 @@ def run_incremental(
     root: str,
     checkpoint: str | None = None,
     sep: str = ",",
+    max_files_per_batch: int | None = None,
     **run_kwargs,
 ) -> list[dict]:
     """Run a domain only for files that arrived since the last run ("only if the source changed").
@@ -279,6 +280,8 @@ def run_incremental(
     overwrite) and recomputes gold.  Each file is expected to hold complete
     years.  With no new file nothing runs.  The stream checkpoint commits
     after the batch has been written, so a failed run is retried next time.
+    ``max_files_per_batch`` bounds each batch, so a large backlog is worked off
+    as several bounded runs (AvailableNow still stops when it is done).
     """
     run_fn, columns = DOMAINS[domain]
     ckpt = checkpoint or os.path.join(root, "_checkpoints", f"landing_{domain}")
@@ -301,6 +304,8 @@ def run_incremental(
             df.unpersist()
 
     # A stream needs a schema; enforceSchema=false checks every file's header against it.
-    process_new_files(spark, landing, string_schema(columns), ckpt, batch,
-                      options={"sep": sep, "enforceSchema": "false"})
+    options = {"sep": sep, "enforceSchema": "false"}
+    if max_files_per_batch:
+        options["maxFilesPerTrigger"] = str(int(max_files_per_batch))
+    process_new_files(spark, landing, string_schema(columns), ckpt, batch, options=options)
     return results

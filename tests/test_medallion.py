@@ -112,3 +112,15 @@ def test_gate_results_observed_on_full_runs_scanned_on_backfills(spark, scratch)
     back = medallion.run_deforestation(spark, one, root, years=(2024, 2024), audit=False)
     by = {(d["table_name"], d["check_name"]): d for d in back["details"]}
     assert by[("silver.deforestation", "row_count")]["value"] == 57.0  # the whole table, not the year
+
+
+def test_incremental_backlog_in_bounded_batches(spark, scratch):
+    root, landing = scratch("lake-backlog"), scratch("landing-backlog")
+    raw = fx.deforestation_raw(spark)
+    for i, cond in enumerate(["year < '2010'", "year >= '2010' AND year < '2020'", "year >= '2020'"]):
+        write_csv(raw.where(cond).coalesce(1), f"{landing}/d{i}")
+    runs = medallion.run_incremental(spark, "deforestation", f"{landing}/*", root, max_files_per_batch=1,
+                                     audit=False)
+    assert len(runs) == 3
+    biome = {r.year: r for r in read_table(spark, medallion.Layout(root).gold("deforestation_by_biome")).collect()}
+    assert biome[2024].cumulative_km2 == 294886.0
