@@ -124,3 +124,21 @@ def test_incremental_backlog_in_bounded_batches(spark, scratch):
     assert len(runs) == 3
     biome = {r.year: r for r in read_table(spark, medallion.Layout(root).gold("deforestation_by_biome")).collect()}
     assert biome[2024].cumulative_km2 == 294886.0
+
+
+def test_cli_incremental_and_cross(spark, scratch, capsys):
+    import json
+
+    from strata.__main__ import main
+
+    root, landing = scratch("lake-cli2"), scratch("landing-cli2")
+    write_csv(fx.deforestation_raw(spark), f"{landing}/d0")
+    main(["incremental", "deforestation", "--landing", f"{landing}/*", "--root", root])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"batches": 1}
+    medallion.run_spending(spark, fx.spending_raw(spark), root, audit=False)
+    medallion.run_tax(spark, fx.tax_raw(spark), root, audit=False)
+    main(["cross", "--root", root])
+    views = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["views"]
+    assert "gold_fiscal_balance" in views and "gold_deforestation_vs_spending" in views
+    main(["query", "--root", root, "SELECT irpf_covers_pct FROM gold_fiscal_balance WHERE year = 2024"])
+    assert "23.6" in capsys.readouterr().out
