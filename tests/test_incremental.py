@@ -39,3 +39,22 @@ def test_diff_snapshots(spark):
     new = spark.createDataFrame([(1, "a", 1.0), (2, "b", 0.0), (4, "d", 4.0)], "k int, s string, v double")
     out = {r.k: r.change_type for r in diff_snapshots(old, new, ["k"]).collect()}
     assert out == {1: "unchanged", 2: "changed", 3: "removed", 4: "added"}
+
+
+def test_failed_batch_is_retried_on_the_next_run(spark, scratch):
+    """The checkpoint commits only after the batch succeeds, so a failed run is not skipped."""
+    import pytest
+
+    root = scratch("retry")
+    landing, ckpt = f"{root}/landing", f"{root}/_ckpt"
+    schema = string_schema(["id"])
+    write_csv(spark.createDataFrame([("1",), ("2",)], "id string"), f"{landing}/d1")
+
+    def failing(df, batch_id):
+        raise RuntimeError("sink unavailable")
+
+    with pytest.raises(Exception):
+        process_new_files(spark, f"{landing}/*", schema, ckpt, failing)
+    seen = []
+    process_new_files(spark, f"{landing}/*", schema, ckpt, lambda df, bid: seen.append(df.count()))
+    assert seen == [2]
