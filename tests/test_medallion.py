@@ -142,3 +142,15 @@ def test_cli_incremental_and_cross(spark, scratch, capsys):
     assert "gold_fiscal_balance" in views and "gold_deforestation_vs_spending" in views
     main(["query", "--root", root, "SELECT irpf_covers_pct FROM gold_fiscal_balance WHERE year = 2024"])
     assert "23.6" in capsys.readouterr().out
+
+
+def test_errors_propagate(spark, scratch):
+    """Nothing is swallowed: a missing drop or bad SQL fails the run instead of reporting 0 rows."""
+    from pyspark.errors import AnalysisException
+
+    from strata.sources.tables import run_sql
+
+    with pytest.raises(AnalysisException):
+        medallion.run_deforestation(spark, scratch("missing") + "/none/*.csv", scratch("lake-err"))
+    with pytest.raises(AnalysisException):
+        run_sql(spark, "SELECT no_such_column FROM {t}", frames={"t": spark.range(1)})
