@@ -53,6 +53,7 @@ FROM v1 FULL OUTER JOIN v2 ON v1.c_custkey = v2.c_custkey
 GROUP BY 1""",
 )
 def q_snapshot_diff(spark, sf_dir):
+    """Added / removed / changed / unchanged customers between two snapshots (one union + groupBy)."""
     v1 = A.table(spark, sf_dir, "customer")
     diff = diff_snapshots(v1, customer_v2(v1), keys=["c_custkey"])
     return diff.groupBy("change_type").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -69,6 +69,7 @@ QUALITY_REPORT_SQL = "\nUNION ALL\n".join([
 
 @register("q_quality_report", QUALITY_REPORT_SQL)
 def q_quality_report(spark, sf_dir):
+    """Quality checks on customer, lineitem and orders: one aggregate scan per table, one row per check."""
     return run_suite(_quality_suite(spark, sf_dir))
 
 
@@ -93,6 +94,7 @@ QUALITY_OPS = [
     "\nUNION ALL\n".join(_check_sql("lineitem", n, s, op, lo, hi) for n, s, _, op, lo, hi in QUALITY_OPS),
 )
 def q_quality_ops(spark, sf_dir):
+    """Every comparator at its exact boundary, from one aggregate scan of lineitem."""
     checks = [
         Check(n, expr(), op, (lo, hi) if op == "between" else (0 if lo is None else lo))
         for n, _, expr, op, lo, hi in QUALITY_OPS

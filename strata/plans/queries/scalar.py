@@ -33,6 +33,7 @@ SELECT p_partkey, {rules_sql('p_type', PART_TYPE_RULES)} AS type_group,
 FROM part""",
 )
 def q_rule_normalise(spark, sf_dir):
+    """Ordered LIKE rules on part type (multi-wildcard, order trap, passthrough), upper and length."""
     p = A.table(spark, sf_dir, "part")
     return p.select(
         "p_partkey",
@@ -56,6 +57,8 @@ WHERE year(o_orderdate) BETWEEN {SILVER_YEARS[0]} AND {SILVER_YEARS[1]}
   AND o_totalprice > {SILVER_PRICE_OPEN[0]} AND o_totalprice < {SILVER_PRICE_OPEN[1]}""",
 )
 def q_silver_filter(spark, sf_dir):
+    """Silver-style filters: an inclusive year range (pushed to Parquet as a timestamp range) and open
+    price bounds."""
     o = A.table(spark, sf_dir, "orders")
     lo, hi = SILVER_PRICE_OPEN
     kept = range_filter(
@@ -80,6 +83,7 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
 FROM lineitem""",
 )
 def q_safe_ratio(spark, sf_dir):
+    """Row-level rounding and guarded ratios over lineitem: zero and NULL denominators."""
     li = A.table(spark, sf_dir, "lineitem")
     return li.select(
         "l_orderkey",

@@ -46,6 +46,8 @@ SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS BIGINT) AS year, o_total
 FROM orders""",
 )
 def q_csv_ingest(spark, sf_dir):
+    """Orders written as a header CSV in a fixed field order, read back with a text schema, typed with
+    row-level quarantine and per-file lineage."""
     o = A.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", year_of("o_orderdate").alias("year"), "o_totalprice", "o_orderpriority"
     )
@@ -79,6 +81,7 @@ SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n_orders,
 FROM orders GROUP BY 1""",
 )
 def q_partitioned_roundtrip(spark, sf_dir):
+    """Orders written as a year-partitioned table (no shuffle), read back by partition discovery."""
     path = scratch_path(spark, "orders-by-year")
     write_table(_orders_by_year(spark, sf_dir), path, partition_by=["year"], sort_by=["o_orderkey"])
     return count_by_year(read_table(spark, path))
@@ -142,6 +145,8 @@ SELECT CAST(year(o_orderdate) AS BIGINT), o_orderpriority, o_orderstatus, o_cust
 FROM orders WHERE o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW'""",
 )
 def q_header_harmonise(spark, sf_dir):
+    """Two raw tax drops with different delimiters and headers: one header pass, one read per
+    layout, alias harmonisation, Brazilian money and count parsing."""
     o = A.table(spark, sf_dir, "orders").select(
         year_of("o_orderdate").alias("year"), "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
     )
@@ -176,6 +181,7 @@ SELECT o_orderkey,
 FROM orders""",
 )
 def q_money_parse(spark, sf_dir):
+    """The number parsers over formatted order amounts, including the US-text-as-BRL trap."""
     o = A.table(spark, sf_dir, "orders")
     price = F.col("o_totalprice")
     return o.select(
