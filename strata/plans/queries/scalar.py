@@ -58,7 +58,8 @@ WHERE year(o_orderdate) BETWEEN {SILVER_YEARS[0]} AND {SILVER_YEARS[1]}
 )
 def q_silver_filter(spark, sf_dir):
     """Silver-style filters: an inclusive year range (pushed to Parquet as a timestamp range) and open
-    price bounds."""
+    price bounds.
+    """
     o = A.table(spark, sf_dir, "orders")
     lo, hi = SILVER_PRICE_OPEN
     kept = range_filter(

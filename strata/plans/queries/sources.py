@@ -47,7 +47,8 @@ FROM orders""",
 )
 def q_csv_ingest(spark, sf_dir):
     """Orders written as a header CSV in a fixed field order, read back with a text schema, typed with
-    row-level quarantine and per-file lineage."""
+    row-level quarantine and per-file lineage.
+    """
     o = A.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", year_of("o_orderdate").alias("year"), "o_totalprice", "o_orderpriority"
     )
@@ -146,7 +147,8 @@ FROM orders WHERE o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW'""",
 )
 def q_header_harmonise(spark, sf_dir):
     """Two raw tax drops with different delimiters and headers: one header pass, one read per
-    layout, alias harmonisation, Brazilian money and count parsing."""
+    layout, alias harmonisation, Brazilian money and count parsing.
+    """
     o = A.table(spark, sf_dir, "orders").select(
         year_of("o_orderdate").alias("year"), "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
     )
