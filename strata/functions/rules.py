@@ -50,7 +50,7 @@ def normalise_by_rules(c, rules: Sequence[Rule], lowercase: bool = True) -> Colu
     the JVM); a Column builds it node by node.
     """
     if isinstance(c, str) and lowercase and rules:
-        return F.expr(rules_sql(c, rules))
+        return F.expr(rules_sql("`" + c.replace("`", "``") + "`", rules))
     source = as_col(c)
     probe = F.lower(source) if lowercase else source
     expr = None

@@ -127,3 +127,9 @@ def test_sql_and_column_paths_agree(spark):
     ).collect()
     for r in out:
         assert (r.r_sql, r.p_sql, r.q_sql, r.c_sql) == (r.r_col, r.p_col, r.q_col, r.c_col)
+
+
+def test_rules_on_a_column_name_with_spaces(spark):
+    df = spark.createDataFrame([("Saude publica",), ("outra",)], "`Funcao de Governo` string")
+    out = [r[0] for r in df.select(normalise_by_rules("Funcao de Governo", CATEGORY_RULES)).collect()]
+    assert out == ["Health", "outra"]
