@@ -166,3 +166,10 @@ def test_read_csv_keeps_malformed_lines(spark, scratch):
     assert rows[0] == (2020, 1.5, None)
     assert rows[1][0] == 2021 and rows[1][2] == "2021,abc"
     assert rows[2][0] == 2022 and rows[2][2] == "2022"
+
+
+def test_bracket_and_state_strip_all_whitespace(spark):
+    raw = spark.createDataFrame([("2020", "\t Ate 2 SM \t", " sp\t")], "ano string, faixa string, uf string")
+    good, _ = harmonise_tax(raw)
+    r = good.first()
+    assert (r.income_bracket, r.state) == ("Ate 2 SM", "sp")
