@@ -84,7 +84,7 @@ class RejectedRowsError(ValueError):
 
 def _bronze_and_silver(
     spark, layout, domain, raw_df, bronze_fn, silver_fn, years, audit, silver_kwargs, fail_fast=False,
-    silver_checks=(),
+    silver_checks=(), rebalance_bronze=False,
 ):
     """Write bronze and silver; return (bronze table, silver table, observed gate results or None).
 
@@ -100,7 +100,9 @@ def _bronze_and_silver(
         # Reject the whole drop before bronze is touched (the scan stops at the first bad row).
         write_table(bad, layout.rejected(domain), overwrite="all")
         raise RejectedRowsError(f"raw {domain} rows could not be typed; see {layout.rejected(domain)}")
-    write_table(_years_filter(good, years), layout.bronze(domain), ["year"], overwrite)
+    # Raw drops usually arrive per year, so tasks write few year folders; rebalance_bronze adds
+    # one REBALANCE shuffle for drops whose years are scattered across a large input.
+    write_table(_years_filter(good, years), layout.bronze(domain), ["year"], overwrite, rebalance=rebalance_bronze)
     if counts.get.get("rejected", 0) > 0:  # second pass over raw only when rows were rejected
         write_table(bad, layout.rejected(domain), overwrite="all")
     # Read back with the known schema: an empty partitioned write leaves no file to infer it from.
@@ -144,6 +146,7 @@ def run_deforestation(
     sep: str = ",",
     silver_kwargs: dict | None = None,
     fail_fast: bool = False,
+    rebalance_bronze: bool = False,
 ) -> dict:
     """Deforestation domain: raw CSV paths (or a raw frame) to both gold tables.
 
@@ -159,7 +162,7 @@ def run_deforestation(
     ]
     bronze, silver, observed = _bronze_and_silver(
         spark, L, "deforestation", raw_df, deforestation.bronze, deforestation.silver, years, audit, silver_kwargs,
-        fail_fast, silver_checks,
+        fail_fast, silver_checks, rebalance_bronze,
     )
     biome = _write_gold(spark, deforestation.gold_by_biome(silver, mode=mode, audit=audit),
                         L.gold("deforestation_by_biome"), ["biome"], sort_by=["year"])
@@ -184,6 +187,7 @@ def run_spending(
     sep: str = ",",
     silver_kwargs: dict | None = None,
     fail_fast: bool = False,
+    rebalance_bronze: bool = False,
 ) -> dict:
     """Spending domain: raw CSV paths (or a raw frame, e.g. from API items) to gold by function."""
     L = Layout(root)
@@ -194,7 +198,7 @@ def run_spending(
     ]
     bronze, silver, observed = _bronze_and_silver(
         spark, L, "spending", raw_df, spending.bronze, spending.silver, years, audit, silver_kwargs, fail_fast,
-        silver_checks,
+        silver_checks, rebalance_bronze,
     )
     gold = _write_gold(spark, spending.gold_by_function(silver, audit=audit), L.gold("spending_by_function"),
                        ["functional_category"], sort_by=["year"])
@@ -215,6 +219,7 @@ def run_tax(
     sep: str = ",",
     silver_kwargs: dict | None = None,
     fail_fast: bool = False,
+    rebalance_bronze: bool = False,
 ) -> dict:
     """Tax domain: raw CSV paths (or a raw frame) to gold by bracket."""
     L = Layout(root)
@@ -225,6 +230,7 @@ def run_tax(
     ]
     bronze, silver, observed = _bronze_and_silver(
         spark, L, "tax", raw_df, tax.bronze, tax.silver, years, audit, silver_kwargs, fail_fast, silver_checks,
+        rebalance_bronze,
     )
     gold = _write_gold(spark, tax.gold_by_bracket(silver, audit=audit), L.gold("tax_by_bracket"), ["year"],
                        sort_by=["income_bracket"])

@@ -154,3 +154,11 @@ def test_errors_propagate(spark, scratch):
         medallion.run_deforestation(spark, scratch("missing") + "/none/*.csv", scratch("lake-err"))
     with pytest.raises(AnalysisException):
         run_sql(spark, "SELECT no_such_column FROM {t}", frames={"t": spark.range(1)})
+
+
+def test_rebalanced_bronze_gives_the_same_tables(spark, scratch):
+    root = scratch("lake-rebalance")
+    medallion.run_deforestation(spark, fx.deforestation_raw(spark), root, audit=False, rebalance_bronze=True)
+    assert read_table(spark, medallion.Layout(root).bronze("deforestation")).count() == 57
+    biome = {r.year: r for r in read_table(spark, medallion.Layout(root).gold("deforestation_by_biome")).collect()}
+    assert biome[2024].cumulative_km2 == 294886.0
