@@ -30,8 +30,8 @@ DEFORESTATION_BY_STATE = [  # (year, biome, state, area_km2)
     (2024, "Amazon", "RO", 700), (2024, "Amazon", "MA", 520),
 ]
 
-# Spending by function in billions; only the years 2000, 2001 and 2024 of
-# each 25-year series are kept here.
+# Spending by function in billions; only the years 2000, 2001, 2008 and 2024
+# of each 25-year series are kept here.
 SPENDING_2000_2001 = {
     "Saude": [42, 44],
     "Educacao": [23, 25],
@@ -42,6 +42,10 @@ SPENDING_2000_2001 = {
     "Ciencia e Tecnologia": [3.5, 3.8],
     "Seguranca Publica": [4.0, 4.3],
 }
+SPENDING_2008 = {
+    "Saude": 72, "Educacao": 46, "Previdencia Social": 217, "Defesa Nacional": 33,
+    "Assistencia Social": 26, "Meio Ambiente": 4.1, "Ciencia e Tecnologia": 6.9, "Seguranca Publica": 7.5,
+}
 SPENDING_2024 = {
     "Saude": 195, "Educacao": 155, "Previdencia Social": 888, "Defesa Nacional": 84,
     "Assistencia Social": 125, "Meio Ambiente": 3.5, "Ciencia e Tecnologia": 8.0, "Seguranca Publica": 15.5,
@@ -77,7 +81,12 @@ def spending_raw(spark):
         [(k, [float(x) for x in v]) for k, v in SPENDING_2000_2001.items()], "name string, vals array<double>"
     )
     s2 = spark.createDataFrame([(k, [float(v)]) for k, v in SPENDING_2024.items()], "name string, vals array<double>")
-    rows = spending.from_series(s1, "name", "vals", 2000).unionByName(spending.from_series(s2, "name", "vals", 2024))
+    s3 = spark.createDataFrame([(k, [float(v)]) for k, v in SPENDING_2008.items()], "name string, vals array<double>")
+    rows = (
+        spending.from_series(s1, "name", "vals", 2000)
+        .unionByName(spending.from_series(s3, "name", "vals", 2008))
+        .unionByName(spending.from_series(s2, "name", "vals", 2024))
+    )
     return rows.select(*[F.col(c).cast("string").alias(c) for c in spending.RAW_COLUMNS])
 
 

@@ -111,7 +111,9 @@ def test_fiscal_balance(tax_gold, spend_gold):
     assert g[2000].irpf_revenue_brl == 0.0 and g[2000].irpf_covers_pct is None
     assert g[2024].balance_brl == pytest.approx(-1070.300e9, abs=1.0)
     assert g[2024].irpf_covers_pct == 23.6
-    assert g[2008].total_spending_brl == 0.0  # tax only: the spending fixture skips 2008
+    assert g[2008].balance_brl == pytest.approx(-261.875e9, abs=1.0)
+    assert g[2008].irpf_covers_pct == 33.2
+    assert g[2009].total_spending_brl == 0.0  # tax only: the spending fixture skips 2009
 
 
 def test_outcome_vs_spend(def_silver, spend_gold):
