@@ -68,3 +68,30 @@ def test_year_range_reaches_parquet(spark):
     pushed = re.search(r"PushedFilters: \[(.*?)\]\n", plan).group(1)
     assert "GreaterThanOrEqual(o_orderdate" in pushed and "LessThan(o_orderdate" in pushed
     assert "GreaterThan(o_totalprice" in pushed
+
+
+# Each fact table is scanned once: no branch recomputes an input another branch already read.
+SINGLE_SCANS = {
+    "q_annual_trend": {"orders": 1, "customer": 1},
+    "q_share_of_total": {"lineitem": 1},
+    "q_effective_rate": {"lineitem": 1, "orders": 1},
+    "q_rollup_preferred": {"lineitem": 1},
+    "q_rank_in_year": {"lineitem": 1},
+    "q_quarantine": {"orders": 1},
+    "q_quality_ops": {"lineitem": 1},
+}
+
+
+@pytest.mark.parametrize("name", sorted(SINGLE_SCANS))
+def test_fact_tables_scanned_once(spark, name):
+    plan = _final_plan(E.queries()[name](spark, SF_SMALL))
+    tree = plan.split("\n\n(1)", 1)[0]
+    final_ids = set(re.findall(r"\((\d+)\)\s*$", tree.split("== Initial Plan ==", 1)[0], flags=re.M))
+    counts = {}
+    for node_id, body in re.findall(r"\n\((\d+)\) Scan parquet\s*\n(.*?)\n\n", plan, flags=re.S):
+        if node_id in final_ids:
+            loc = re.search(r"Location: \S+ \[(.*?)\]", body)
+            table = loc.group(1).rsplit("/", 1)[-1].replace(".parquet", "") if loc else "?"
+            counts[table] = counts.get(table, 0) + 1
+    for table, n in SINGLE_SCANS[name].items():
+        assert counts.get(table, 0) == n, (name, counts)
