@@ -26,6 +26,7 @@ def _years(text: str | None):
 
 
 def main(argv=None) -> None:
+    """Parse the command line and run one command (see the module docstring)."""
     p = argparse.ArgumentParser(prog="strata")
     p.add_argument("--master", default=None)
     p.add_argument("--profile", default="default", choices=["default", "cluster"])

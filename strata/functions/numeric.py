@@ -126,4 +126,5 @@ def exact_sum(c, as_double: bool = False) -> Column:
 
 
 def to_double(c) -> Column:
+    """Final conversion of an exact decimal result to DOUBLE."""
     return as_col(c).cast("double")

@@ -50,14 +50,17 @@ class Check:
 
 
 def count_rows() -> Column:
+    """Row count of the checked table."""
     return F.count(F.lit(1))
 
 
 def count_where(pred: Column) -> Column:
+    """Rows where ``pred`` holds (NULL counts as false)."""
     return F.count_if(F.coalesce(pred, F.lit(False)))
 
 
 def null_rate(c: str) -> Column:
+    """Share of rows where ``c`` is NULL (0.0 to 1.0)."""
     return F.avg(F.col(c).isNull().cast("double"))
 
 
@@ -169,6 +172,7 @@ def run_sql_checks(spark, checks: Sequence[dict], args: dict | None = None) -> l
 
 
 def assert_details(details: Sequence[dict]) -> dict:
+    """Raise ``QualityCheckFailed`` naming every failed check, else return the summary."""
     failed = [d for d in details if not d["passed"]]
     summary = {"passed": len(details) - len(failed), "failed": len(failed), "details": list(details)}
     if failed:

@@ -17,10 +17,12 @@ def typed_int(c: str) -> Column:
 
 
 def typed_long(c: str) -> Column:
+    """Text or number to BIGINT as SQL casts do it (half to even); bad text is NULL."""
     return F.bround(F.col(c).cast("string").try_cast("double"), 0).try_cast("bigint")
 
 
 def typed_double(c: str) -> Column:
+    """Text or number to DOUBLE; bad text is NULL."""
     return F.col(c).cast("string").try_cast("double")
 
 

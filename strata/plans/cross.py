@@ -20,6 +20,7 @@ WIDE_MONEY = "decimal(38,2)"
 
 
 def yearly(df: DataFrame, measure: str, out: str, where=None) -> DataFrame:
+    """Re-aggregate a gold measure to one exact sum per year (optionally filtered)."""
     src = df if where is None else df.where(where)
     return src.groupBy("year").agg(F.sum(F.col(measure).cast(WIDE_MONEY)).alias(out))
 

@@ -100,4 +100,5 @@ BIOME_ORDER = ["biome", "year"]
 
 
 def state_order():
+    """Output order of the by-state table: latest year first, then biome, then largest area."""
     return [F.col("year").desc(), F.col("biome"), F.col("area_km2").desc()]

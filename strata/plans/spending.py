@@ -32,6 +32,7 @@ SERIES_UNIT = 1e9
 def bronze(
     raw: DataFrame, source_file: str | None = None, audit: bool = True, observation=None
 ) -> tuple[DataFrame, DataFrame]:
+    """Typed bronze rows (plus lineage and audit columns) and rejected rows."""
     keep = ("_source_file",) if "_source_file" in raw.columns else ()
     good, bad = type_columns(raw, BRONZE_TYPES, keep=keep, observation=observation)
     good = with_audit(good, "_ingested_at", audit)
@@ -112,4 +113,5 @@ def gold_by_function(silver_df: DataFrame, audit: bool = True) -> DataFrame:
 
 
 def function_order():
+    """Output order of the by-function table: year, then largest executed amount."""
     return [F.col("year"), F.col("executed_brl").desc()]
