@@ -25,7 +25,13 @@ BOM = "﻿"
 
 
 def header_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file_path, header): the first line of every file under ``path``."""
+    """(file_path, header): the first line of every file under ``path``.
+
+    The text source reads UTF-8; in a file of another encoding, accented
+    header characters come back replaced.  That does not matter here: the line
+    only serves to find the delimiter and to group files with the same header.
+    Column names come from the CSV reader, which takes the file's encoding.
+    """
     paths = [path] if isinstance(path, str) else list(path)
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
@@ -53,11 +59,15 @@ def read_landing(
     path: str | Sequence[str],
     harmonise_fn: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
     candidates: Sequence[str] = (";", ","),
+    encoding: str = "UTF-8",
 ) -> tuple[DataFrame, DataFrame]:
-    """Harmonised rows and rejected rows of every file under ``path``, one read per layout."""
+    """Harmonised rows and rejected rows of every file under ``path``, one read per layout.
+
+    ``encoding`` is the files' text encoding (e.g. ``ISO-8859-1`` for legacy exports).
+    """
     goods, bads = [], []
     for (sep, _header), files in sorted(group_layouts(spark, path, candidates).items()):
-        good, bad = harmonise_fn(read_csv(spark, sorted(files), sep=sep, with_source=True))
+        good, bad = harmonise_fn(read_csv(spark, sorted(files), sep=sep, encoding=encoding, with_source=True))
         goods.append(good)
         bads.append(bad)
     if not goods:

@@ -173,3 +173,15 @@ def test_bracket_and_state_strip_all_whitespace(spark):
     good, _ = harmonise_tax(raw)
     r = good.first()
     assert (r.income_bracket, r.state) == ("Ate 2 SM", "sp")
+
+
+def test_read_landing_latin1_headers(spark, scratch):
+    from strata.sources import read_landing
+
+    root = scratch("latin1")
+    _write(f"{root}/a.csv", "ano;Faixa de Renda;Quantidade de Declarações;Imposto Devido\n2020;A;12;1,5\n",
+           encoding="latin-1")
+    good, _ = read_landing(spark, root, harmonise_tax, encoding="ISO-8859-1")
+    assert [(r.year, r.income_bracket, r.num_declarations, r.tax_due_brl) for r in good.collect()] == [
+        (2020, "A", 12, 1.5)
+    ]
