@@ -38,6 +38,7 @@ def main(argv=None) -> None:
     r.add_argument("--root", required=True)
     r.add_argument("--years", help="backfill range A:B (only those year partitions are replaced)")
     r.add_argument("--sep", default=",")
+    r.add_argument("--encoding", default="UTF-8", help="text encoding of the raw files, e.g. ISO-8859-1")
     r.add_argument("--mode", default="prefer_rollup", choices=["prefer_rollup", "as_executed"])
     r.add_argument("--no-gate", action="store_true")
     r.add_argument("--fail-fast", action="store_true", help="reject the whole drop if any row cannot be typed")
@@ -61,7 +62,8 @@ def main(argv=None) -> None:
     a = p.parse_args(argv)
     spark = get_spark(app=f"strata-{a.cmd}", master=a.master, profile=a.profile)
     if a.cmd == "run":
-        kwargs = {"years": _years(a.years), "gate": not a.no_gate, "sep": a.sep, "fail_fast": a.fail_fast}
+        kwargs = {"years": _years(a.years), "gate": not a.no_gate, "sep": a.sep, "fail_fast": a.fail_fast,
+                  "encoding": a.encoding}
         if a.domain == "deforestation":
             kwargs["mode"] = a.mode
         out = medallion.DOMAINS[a.domain][0](spark, a.raw, a.root, **kwargs)

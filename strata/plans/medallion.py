@@ -70,11 +70,11 @@ def _years_filter(df: DataFrame, years: tuple[int, int] | None) -> DataFrame:
     return df if years is None else df.where(F.col("year").between(*years))
 
 
-def _load_raw(spark: SparkSession, raw, columns: Sequence[str], sep: str) -> DataFrame:
+def _load_raw(spark: SparkSession, raw, columns: Sequence[str], sep: str, encoding: str = "UTF-8") -> DataFrame:
     """Standard raw files: columns are taken from the header by name (any order), as text."""
     if isinstance(raw, DataFrame):
         return raw
-    df = read_csv(spark, raw, sep=sep, with_source=True)
+    df = read_csv(spark, raw, sep=sep, encoding=encoding, with_source=True)
     return df.select(*[F.col(f"`{c}`") for c in columns], "_source_file")
 
 
@@ -147,6 +147,7 @@ def run_deforestation(
     silver_kwargs: dict | None = None,
     fail_fast: bool = False,
     rebalance_bronze: bool = False,
+    encoding: str = "UTF-8",
 ) -> dict:
     """Deforestation domain: raw CSV paths (or a raw frame) to both gold tables.
 
@@ -154,7 +155,7 @@ def run_deforestation(
     row rejects the whole drop before bronze is written (the source's behaviour).
     """
     L = Layout(root)
-    raw_df = _load_raw(spark, raw, deforestation.RAW_COLUMNS, sep)
+    raw_df = _load_raw(spark, raw, deforestation.RAW_COLUMNS, sep, encoding)
     silver_checks = [
         Check("row_count", count_rows()),
         Check("null_years", count_where(F.col("year").isNull()), "eq", 0),
@@ -188,10 +189,11 @@ def run_spending(
     silver_kwargs: dict | None = None,
     fail_fast: bool = False,
     rebalance_bronze: bool = False,
+    encoding: str = "UTF-8",
 ) -> dict:
     """Spending domain: raw CSV paths (or a raw frame, e.g. from API items) to gold by function."""
     L = Layout(root)
-    raw_df = _load_raw(spark, raw, spending.RAW_COLUMNS, sep)
+    raw_df = _load_raw(spark, raw, spending.RAW_COLUMNS, sep, encoding)
     silver_checks = [
         Check("row_count", count_rows()),
         Check("negative_executed", count_where(F.col("executed_brl") < 0), "eq", 0),
@@ -220,10 +222,11 @@ def run_tax(
     silver_kwargs: dict | None = None,
     fail_fast: bool = False,
     rebalance_bronze: bool = False,
+    encoding: str = "UTF-8",
 ) -> dict:
     """Tax domain: raw CSV paths (or a raw frame) to gold by bracket."""
     L = Layout(root)
-    raw_df = _load_raw(spark, raw, tax.RAW_COLUMNS, sep)
+    raw_df = _load_raw(spark, raw, tax.RAW_COLUMNS, sep, encoding)
     silver_checks = [
         Check("row_count", count_rows()),
         Check("negative_tax", count_where(F.col("tax_due_brl") < 0), "eq", 0),

@@ -162,3 +162,17 @@ def test_rebalanced_bronze_gives_the_same_tables(spark, scratch):
     assert read_table(spark, medallion.Layout(root).bronze("deforestation")).count() == 57
     biome = {r.year: r for r in read_table(spark, medallion.Layout(root).gold("deforestation_by_biome")).collect()}
     assert biome[2024].cumulative_km2 == 294886.0
+
+
+def test_latin1_raw_drop(spark, scratch, tmp_path):
+    import os
+
+    from strata.__main__ import main
+
+    root, raw_dir = scratch("lake-latin1"), scratch("raw-latin1")
+    os.makedirs(raw_dir)
+    with open(f"{raw_dir}/prodes.csv", "w", encoding="latin-1") as f:
+        f.write("year,biome,state,area_km2\n2020,Amazônia,ALL,10\n2021,Amazônia,ALL,12\n")
+    main(["run", "deforestation", "--raw", raw_dir, "--root", root, "--encoding", "ISO-8859-1"])
+    biome = {r.year: r.biome for r in read_table(spark, medallion.Layout(root).gold("deforestation_by_biome")).collect()}
+    assert biome == {2020: "Amazonia", 2021: "Amazonia"}
