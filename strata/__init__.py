@@ -18,4 +18,6 @@ Layout:
 
 from strata.session import checkpoint_root, get_spark, scratch_path
 
-__all__ = ["checkpoint_root", "get_spark", "scratch_path"]
+__version__ = "0.1.0"
+
+__all__ = ["__version__", "checkpoint_root", "get_spark", "scratch_path"]
