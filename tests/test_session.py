@@ -21,3 +21,13 @@ def test_scratch_paths_live_under_the_checkpoint_root(spark):
     root = checkpoint_root(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(root) and b.startswith(root) and a != b
+
+
+def test_get_spark_reuses_the_session_and_applies_defaults(spark):
+    from strata import get_spark
+
+    s = get_spark(shuffle_partitions=8)
+    assert s is spark or s.sparkContext is spark.sparkContext
+    assert s.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert s.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert s.conf.get("spark.sql.shuffle.partitions") == "8"
