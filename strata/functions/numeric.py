@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import as_col
 
-# Above 2**52 every double is already an integer; rounding must leave it alone.
+# Above 2**52 every double is already an integer: rounding it is the identity.
 _INTEGRAL_LIMIT = float(2**52)
 
 # Money in the source data carries two decimals; sums run on this type so
@@ -32,16 +32,20 @@ def round_half_away_sql(x: str, decimals: int = 0) -> str:
     whole = f"CAST(floor({a}) AS DOUBLE)"
     rounded = f"({whole} + CASE WHEN {a} - {whole} >= 0.5D THEN 1.0D ELSE 0.0D END)"
     signed = f"CASE WHEN {y} < 0.0D THEN -{rounded} ELSE {rounded} END"
-    return f"CASE WHEN isnan({y}) OR {a} >= {_INTEGRAL_LIMIT!r}D THEN {v} ELSE ({signed}) / {scale} END"
+    r = f"((CASE WHEN isnan({y}) OR {a} >= {_INTEGRAL_LIMIT!r}D THEN {y} ELSE {signed} END) / {scale})"
+    return f"CASE WHEN isnan({r}) OR abs({r}) = CAST('Infinity' AS DOUBLE) THEN {v} ELSE {r} END"
 
 
 def round_half_away(c, decimals: int = 0) -> Column:
     """Round a double half away from zero on its binary value.
 
     This is ``round(x * 10^n) / 10^n`` with C ``round`` semantics, the rule the
-    SQL engines used for the reference apply to DOUBLE.  Spark's ``F.round``
-    rounds the *decimal text* of the double instead, so ``1.005`` becomes
-    ``1.01`` there and ``1.0`` here.  NULL, NaN and infinities pass through.
+    SQL engines used for the reference apply to DOUBLE, step by step: for
+    ``|x * 10^n| >= 2^52`` the product is already whole and the result is
+    ``(x * 10^n) / 10^n`` as the floating-point operations give it; a NaN or
+    infinite result returns ``x``.  Spark's ``F.round`` rounds the *decimal
+    text* of the double instead, so ``1.005`` becomes ``1.01`` there and
+    ``1.0`` here.  NULL, NaN and infinities pass through.
 
     ``c`` may be a column name or SQL text (built as one expression, one call
     into the JVM) or a Column (built node by node).
@@ -55,10 +59,8 @@ def round_half_away(c, decimals: int = 0) -> Column:
     whole = F.floor(a).cast("double")
     rounded = whole + F.when(a - whole >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0))
     signed = F.when(y < 0, -rounded).otherwise(rounded)
-    return (
-        F.when(F.isnan(y) | (a >= F.lit(_INTEGRAL_LIMIT)), x)
-        .otherwise(signed / F.lit(scale))
-    )
+    r = F.when(F.isnan(y) | (a >= F.lit(_INTEGRAL_LIMIT)), y).otherwise(signed) / F.lit(scale)
+    return F.when(F.isnan(r) | (F.abs(r) == F.lit(float("inf"))), x).otherwise(r)
 
 
 def _default_sql(default: float | None) -> str:
