@@ -32,8 +32,11 @@ def round_half_away_sql(x: str, decimals: int = 0) -> str:
     whole = f"CAST(floor({a}) AS DOUBLE)"
     rounded = f"({whole} + CASE WHEN {a} - {whole} >= 0.5D THEN 1.0D ELSE 0.0D END)"
     signed = f"CASE WHEN {y} < 0.0D THEN -{rounded} ELSE {rounded} END"
-    r = f"((CASE WHEN isnan({y}) OR {a} >= {_INTEGRAL_LIMIT!r}D THEN {y} ELSE {signed} END) / {scale})"
-    return f"CASE WHEN isnan({r}) OR abs({r}) = CAST('Infinity' AS DOUBLE) THEN {v} ELSE {r} END"
+    # The result is NaN or infinite exactly when y is; the engine then returns x.
+    return (
+        f"CASE WHEN isnan({y}) OR {a} = CAST('Infinity' AS DOUBLE) THEN {v} "
+        f"WHEN {a} >= {_INTEGRAL_LIMIT!r}D THEN {y} / {scale} ELSE ({signed}) / {scale} END"
+    )
 
 
 def round_half_away(c, decimals: int = 0) -> Column:
@@ -59,8 +62,11 @@ def round_half_away(c, decimals: int = 0) -> Column:
     whole = F.floor(a).cast("double")
     rounded = whole + F.when(a - whole >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0))
     signed = F.when(y < 0, -rounded).otherwise(rounded)
-    r = F.when(F.isnan(y) | (a >= F.lit(_INTEGRAL_LIMIT)), y).otherwise(signed) / F.lit(scale)
-    return F.when(F.isnan(r) | (F.abs(r) == F.lit(float("inf"))), x).otherwise(r)
+    return (
+        F.when(F.isnan(y) | (a == F.lit(float("inf"))), x)
+        .when(a >= F.lit(_INTEGRAL_LIMIT), y / F.lit(scale))
+        .otherwise(signed / F.lit(scale))
+    )
 
 
 def _default_sql(default: float | None) -> str:
