@@ -25,7 +25,7 @@ def op4_secret_scan(spark, sf_dir):
     """Pattern and randomness spans of every whole text."""
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind_no"] < len(secrets.PATTERNS))
-    counts = [F.size(F.filter("spans", lambda s, no=no: s["kind_no"] == no)).cast("long").alias(f"n_{kind}") for no, kind in enumerate(secrets.PATTERNS)]
+    counts = [secrets.count_kind(F.col("spans"), kind).alias(f"n_{kind}") for kind in secrets.PATTERNS]
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest(F.col("spans")).alias("spans"))
 
 

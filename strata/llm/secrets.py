@@ -68,11 +68,11 @@ def _found(text: Column, pattern: str, counted: int = 0) -> Column:
 
 def base_spans(text: Column) -> Column:
     """Pattern spans ``(start, kind_no, end)`` by start, then kind."""
-    kinds = []
-    for no, (pattern, counted, least) in enumerate(PATTERNS.values()):
-        long_enough = F.filter(_found(text, pattern, counted), lambda m, least=least: m["counted"] >= least)
-        kinds.append(F.transform(long_enough, lambda m, no=no: F.struct(m["start"].alias("start"), F.lit(no).alias("kind_no"), m["end"].alias("end"))))
-    return F.array_sort(F.concat(*kinds))
+    def spans_of(no, pattern, counted, least):
+        long_enough = F.filter(_found(text, pattern, counted), lambda m: m["counted"] >= least)
+        return F.transform(long_enough, lambda m: F.struct(m["start"].alias("start"), F.lit(no).alias("kind_no"), m["end"].alias("end")))
+
+    return F.array_sort(F.concat(*(spans_of(no, *rule) for no, rule in enumerate(PATTERNS.values()))))
 
 
 def _tail(z: Column) -> Column:
@@ -186,6 +186,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return found.select("id", spans.alias("spans"))
 
 
+def count_kind(spans: Column, kind: str) -> Column:
+    no = KINDS.index(kind)
+    return F.size(F.filter(spans, lambda s: s["kind_no"] == no)).cast("long")
+
+
 def digest(spans: Column) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     names = F.array(*map(F.lit, KINDS))
