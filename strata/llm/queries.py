@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import exact_dedup, mixing, secrets, sharding
+from strata.llm import exact_dedup, jaccard_join, line_dedup, mixing, packing, ppm, quality_rules, secrets, sharding, warc
 from strata.llm.registry import register, table
+from strata.session import scratch_path
 
+# The ranks of byte_bpe_50k.json for the faster of two installed encoders; tests hold the ids against the tokenizers library.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -75,3 +79,90 @@ def op10_source_mix(spark, sf_dir):
     """Words taken of each document so that sources meet their target weights."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register("op2_line_dedup", rf"""
+WITH numbered AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw,
+                         generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, pos, raw, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS site, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM numbered),
+long_enough AS (SELECT * FROM l WHERE regexp_matches(line, '{line_dedup.at_least_words(3)}')),
+spread AS (SELECT line, arg_min((doc_id, pos), (doc_id, pos)) AS first FROM long_enough GROUP BY line HAVING count(DISTINCT site) >= 6),
+gone AS (SELECT doc_id, pos FROM long_enough JOIN spread USING (line) WHERE (doc_id, pos) <> first),
+rebuilt AS (SELECT l.doc_id, string_agg(raw, chr(10) ORDER BY l.pos) FILTER (WHERE gone.pos IS NULL) AS text,
+                   count(*) AS n_lines, count(gone.pos) AS n_removed
+            FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.pos = gone.pos GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(r.text, '') END AS text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN rebuilt r USING (doc_id)
+""")
+def op2_line_dedup(spark, sf_dir):
+    """Documents without the lines that stand at six or more sources, but for each line's first place."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.dedup_lines(docs).select("doc.doc_id", "doc.text", "n_lines", "n_removed")
+
+
+@register("op7_host_rules", rf"""
+WITH w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
+           FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents)),
+win AS (SELECT doc_id, i, word AS a, lead(word, 1) OVER p AS b, lead(word, 2) OVER p AS c FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM win WHERE c IS NOT NULL) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM twice, range(0, 3) AS r(j) GROUP BY doc_id),
+ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM ln WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id),
+m AS (SELECT d.doc_id, d.source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS n_words,
+             length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+             len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::BIGINT AS n_symbols,
+             coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+      FROM documents d LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS failed FROM f GROUP BY source),
+t AS (SELECT count(*) AS hosts, sum(n) AS n, sum(failed) AS failed, sum(failed) / sum(n) AS mean FROM h),
+v AS (SELECT t.mean, t.mean * (1 - t.mean) AS noise,
+             sum(h.n * (h.failed / h.n - t.mean) ** 2) / any_value(t.n) - t.mean * (1 - t.mean) * any_value(t.hosts) / any_value(t.n) AS between_var
+      FROM h, t GROUP BY t.mean),
+prior AS (SELECT mean, CASE WHEN between_var > 0 THEN least(greatest(noise / between_var - 1, 1), 1e6) ELSE 1e6 END AS weight FROM v),
+bad AS (SELECT source FROM h, prior WHERE (failed + mean * weight) / (n + weight) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM f.source) AS kept FROM f
+""")
+def op7_host_rules(spark, sf_dir):
+    """Base quality rules of every whole text, and the verdict of its source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    path = scratch_path(spark, "quality-measures")  # a few longs per document, measured once for both readers
+    quality_rules.measure(docs).write.parquet(path)
+    judged = quality_rules.judge(spark.read.parquet(path))
+    return judged.select("doc.doc_id", *quality_rules.METRICS, "base_failed", "kept")
+
+
+@register("op1_best_fit_packing")
+def op1_best_fit_packing(spark, sf_dir):
+    """All documents in sequences of at most 1024 tokens."""
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, {"ids_crc32": F.crc32("ids")})
+    return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op6_warc_normalise", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+g AS (SELECT payload, max(page_id) AS best FROM p WHERE octet_length(payload) >= 1000 GROUP BY payload HAVING count(*) > 1)
+SELECT page_id, octet_length(p.payload)::BIGINT AS payload_bytes, sha1(p.payload) AS payload_digest,
+       CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN best <> page_id THEN best END AS refers_to
+FROM p LEFT JOIN g ON p.payload = g.payload
+""")
+def op6_warc_normalise(spark, sf_dir):
+    """All pages through monolithic archives, the normaliser and the offset index, and back."""
+    index = warc.archive(table(spark, sf_dir, "pages"), warc.shared_uri(spark, "warc"))
+    read = warc.read_indexed(index)
+    return read.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@register("op3_ngram_jaccard")
+def op3_ngram_jaccard(spark, sf_dir):
+    """Components of documents whose five-word shingle sets reach a Jaccard similarity of 0.8."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@register("op8_ppm_scores")
+def op8_ppm_scores(spark, sf_dir):
+    """Unigram and PPM scores of every document, learned from nine tenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    return ppm.code_lengths(docs, held).withColumnRenamed("id", "doc_id")
