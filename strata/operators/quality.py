@@ -13,12 +13,24 @@ comparator.  An unknown comparator is an error when the check is built.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-OPS = ("gt", "gte", "lt", "lte", "eq", "between", "not_null")
+# Comparator name -> test of a value against the low and high threshold.  The tests are built from
+# operators that Columns and plain numbers share, so there is one definition for both.
+COMPARATORS = {
+    "gt": lambda v, lo, hi: v > lo,
+    "gte": lambda v, lo, hi: v >= lo,
+    "lt": lambda v, lo, hi: v < lo,
+    "lte": lambda v, lo, hi: v <= lo,
+    "eq": lambda v, lo, hi: v == lo,
+    "between": lambda v, lo, hi: (v >= lo) & (v <= hi),
+    "not_null": lambda v, lo, hi: v > 0,
+}
+OPS = tuple(COMPARATORS)
 
 
 class QualityCheckFailed(Exception):
@@ -65,24 +77,14 @@ def null_rate(c: str) -> Column:
 
 
 def passes(value: Column, op: str, lo: Column, hi: Column) -> Column:
-    """Comparator as a Column predicate; NULL comparisons become FALSE."""
-    if op == "gt":
-        pred = value > lo
-    elif op == "gte":
-        pred = value >= lo
-    elif op == "lt":
-        pred = value < lo
-    elif op == "lte":
-        pred = value <= lo
-    elif op == "eq":
-        pred = value == lo
-    elif op == "between":
-        pred = (lo <= value) & (value <= hi)
-    elif op == "not_null":
-        pred = value.isNotNull() & (value > 0)
-    else:
-        raise ValueError(f"Unknown operator: {op}")
-    return F.coalesce(pred, F.lit(False))
+    """Comparator as a Column predicate; a NULL value or threshold gives FALSE."""
+    return F.coalesce(COMPARATORS[op](value, lo, hi), F.lit(False))
+
+
+def evaluate(value, op: str, threshold) -> bool:
+    """The same comparator on a plain number (or None)."""
+    lo, hi = Check("value", F.lit(0), op, threshold).bounds
+    return value is not None and bool(COMPARATORS[op](value, lo, hi))
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], table: str | None = None) -> DataFrame:
@@ -149,6 +151,21 @@ def load_named_checks(path: str, op: str = "gt", threshold=0) -> list[dict]:
     return checks
 
 
+@dataclass
+class Outcome:
+    """What became of one check; ``error`` is set when its query could not run."""
+
+    check_name: str
+    value: object = None
+    op: str | None = None
+    threshold: object = None
+    passed: bool = False
+    error: str | None = None
+
+    def record(self) -> dict:
+        return {k: v for k, v in asdict(self).items() if v is not None or k == "value"}
+
+
 def run_sql_checks(spark, checks: Sequence[dict], args: dict | None = None) -> list[dict]:
     """Checks given as scalar SQL queries: ``{"name", "sql", "op"="gt", "threshold"=0}``.
 
@@ -157,28 +174,32 @@ def run_sql_checks(spark, checks: Sequence[dict], args: dict | None = None) -> l
     ``IDENTIFIER(:table)``) in every query.  A query that fails counts as a
     failed check with its error text; the remaining checks still run.
     """
-    details = []
-    for chk in checks:
-        name, op, threshold = chk["name"], chk.get("op", "gt"), chk.get("threshold", 0)
+
+    def outcome(name, sql, op="gt", threshold=0) -> Outcome:
+        bound = {k: v for k, v in (args or {}).items() if f":{k}" in sql}
         try:
-            used = {k: v for k, v in (args or {}).items() if f":{k}" in chk["sql"]}
-            row = spark.sql(chk["sql"], args=used).first()
-            value = None if row is None else row[0]
-            details.append({"check_name": name, "value": value, "op": op, "threshold": threshold,
-                            "passed": evaluate(value, op, threshold)})
-        except Exception as exc:  # the failure is the result of this check
-            details.append({"check_name": name, "error": str(exc), "passed": False})
-    return details
+            first = spark.sql(sql, args=bound).first()
+        except PySparkException as exc:
+            return Outcome(name, error=str(exc))
+        value = first[0] if first else None
+        return Outcome(name, value, op, threshold, evaluate(value, op, threshold))
+
+    return [outcome(**check).record() for check in checks]
+
+
+def describe_failure(detail: dict) -> str:
+    if "error" in detail:
+        return f"{detail['check_name']} (not run: {detail['error']})"
+    threshold = detail.get("threshold", detail.get("threshold_lo"))
+    return f"{detail['check_name']} (value {detail.get('value')}, wanted {detail.get('op')} {threshold})"
 
 
 def assert_details(details: Sequence[dict]) -> dict:
-    """Raise ``QualityCheckFailed`` naming every failed check, else return the summary."""
-    failed = [d for d in details if not d["passed"]]
-    summary = {"passed": len(details) - len(failed), "failed": len(failed), "details": list(details)}
-    if failed:
-        names = ", ".join(d["check_name"] for d in failed)
-        raise QualityCheckFailed(f"{len(failed)} quality check(s) failed: {names}. Details: {failed}")
-    return summary
+    """Raise ``QualityCheckFailed`` naming every failed check, else return the counts and the details."""
+    failures = [describe_failure(d) for d in details if not d["passed"]]
+    if failures:
+        raise QualityCheckFailed(f"{len(failures)} of {len(details)} checks failed: {'; '.join(failures)}")
+    return {"passed": len(details), "failed": 0, "details": list(details)}
 
 
 def assert_checks(report: DataFrame) -> dict:
@@ -210,25 +231,3 @@ def evaluate_observation(obs: Observation, checks: Sequence[Check]) -> list[dict
         out.append({"name": c.name, "value": value, "op": c.op, "threshold": c.threshold,
                     "passed": evaluate(value, c.op, c.threshold)})
     return out
-
-
-def evaluate(value, op: str, threshold) -> bool:
-    """Plain-Python comparator with the same semantics as ``passes``."""
-    if op not in OPS:
-        raise ValueError(f"Unknown operator: {op}")
-    if op == "not_null":
-        return value is not None and value > 0
-    if value is None:
-        return False
-    if op == "gt":
-        return value > threshold
-    if op == "gte":
-        return value >= threshold
-    if op == "lt":
-        return value < threshold
-    if op == "lte":
-        return value <= threshold
-    if op == "eq":
-        return value == threshold
-    lo, hi = threshold
-    return lo <= value <= hi

@@ -30,25 +30,20 @@ DEFORESTATION_BY_STATE = [  # (year, biome, state, area_km2)
     (2024, "Amazon", "RO", 700), (2024, "Amazon", "MA", 520),
 ]
 
-# Spending by function in billions; only the years 2000, 2001, 2008 and 2024
-# of each 25-year series are kept here.
-SPENDING_2000_2001 = {
-    "Saude": [42, 44],
-    "Educacao": [23, 25],
-    "Previdencia Social": [108, 117],
-    "Defesa Nacional": [18, 19],
-    "Assistencia Social": [5, 6],
-    "Meio Ambiente": [2.1, 2.3],
-    "Ciencia e Tecnologia": [3.5, 3.8],
-    "Seguranca Publica": [4.0, 4.3],
-}
-SPENDING_2008 = {
-    "Saude": 72, "Educacao": 46, "Previdencia Social": 217, "Defesa Nacional": 33,
-    "Assistencia Social": 26, "Meio Ambiente": 4.1, "Ciencia e Tecnologia": 6.9, "Seguranca Publica": 7.5,
-}
-SPENDING_2024 = {
-    "Saude": 195, "Educacao": 155, "Previdencia Social": 888, "Defesa Nacional": 84,
-    "Assistencia Social": 125, "Meio Ambiente": 3.5, "Ciencia e Tecnologia": 8.0, "Seguranca Publica": 15.5,
+# Spending by function in billions, 2000 to 2024.
+SPENDING_FROM_2000 = {
+    "Saude": [42, 44, 47, 50, 54, 58, 62, 67, 72, 78, 82, 88, 95, 100, 107, 114, 122, 130, 137, 144, 148, 173, 190, 172, 195],
+    "Educacao": [23, 25, 27, 29, 32, 35, 38, 42, 46, 52, 60, 68, 75, 83, 88, 93, 100, 108, 116, 124, 117, 133, 140, 148, 155],
+    "Previdencia Social": [108, 117, 126, 138, 152, 166, 181, 200, 217, 237, 258, 282, 309, 338, 370, 405, 442, 483, 527, 575,
+                           627, 684, 746, 814, 888],
+    "Defesa Nacional": [18, 19, 21, 23, 25, 27, 29, 31, 33, 35, 37, 40, 43, 46, 49, 52, 55, 58, 61, 64, 66, 71, 75, 79, 84],
+    "Assistencia Social": [5, 6, 7, 9, 12, 15, 18, 22, 26, 30, 35, 39, 44, 49, 55, 62, 69, 77, 86, 96, 140, 110, 105, 118, 125],
+    "Meio Ambiente": [2.1, 2.3, 2.5, 2.8, 3.0, 3.2, 3.5, 3.8, 4.1, 3.9, 4.2, 4.5, 4.0, 3.8, 3.5, 3.2, 3.0, 2.8, 2.6, 2.4, 2.2,
+                      2.5, 2.8, 3.1, 3.5],
+    "Ciencia e Tecnologia": [3.5, 3.8, 4.0, 4.3, 4.8, 5.2, 5.7, 6.3, 6.9, 7.5, 8.0, 8.5, 9.0, 9.5, 9.0, 8.5, 8.0, 7.5, 7.0, 6.5,
+                             6.0, 6.5, 7.0, 7.5, 8.0],
+    "Seguranca Publica": [4.0, 4.3, 4.6, 5.0, 5.5, 6.0, 6.5, 7.0, 7.5, 8.0, 8.5, 9.0, 9.5, 10.0, 10.5, 11.0, 11.5, 12.0, 12.5,
+                          13.0, 13.5, 14.0, 14.5, 15.0, 15.5],
 }
 
 # Tax: brackets with effective rates, declaration distribution, yearly national
@@ -77,16 +72,8 @@ def spending_raw(spark):
 
     from strata.plans import spending
 
-    s1 = spark.createDataFrame(
-        [(k, [float(x) for x in v]) for k, v in SPENDING_2000_2001.items()], "name string, vals array<double>"
-    )
-    s2 = spark.createDataFrame([(k, [float(v)]) for k, v in SPENDING_2024.items()], "name string, vals array<double>")
-    s3 = spark.createDataFrame([(k, [float(v)]) for k, v in SPENDING_2008.items()], "name string, vals array<double>")
-    rows = (
-        spending.from_series(s1, "name", "vals", 2000)
-        .unionByName(spending.from_series(s3, "name", "vals", 2008))
-        .unionByName(spending.from_series(s2, "name", "vals", 2024))
-    )
+    series = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in SPENDING_FROM_2000.items()], "name string, vals array<double>")
+    rows = spending.from_series(series, "name", "vals", 2000)
     return rows.select(*[F.col(c).cast("string").alias(c) for c in spending.RAW_COLUMNS])
 
 

@@ -113,7 +113,7 @@ def test_fiscal_balance(tax_gold, spend_gold):
     assert g[2024].irpf_covers_pct == 23.6
     assert g[2008].balance_brl == pytest.approx(-261.875e9, abs=1.0)
     assert g[2008].irpf_covers_pct == 33.2
-    assert g[2009].total_spending_brl == 0.0  # tax only: the spending fixture skips 2009
+    assert g[2009].total_spending_brl == pytest.approx(428.83e9, abs=1.0) and g[2009].irpf_covers_pct == 29.1
 
 
 def test_outcome_vs_spend(def_silver, spend_gold):
@@ -122,7 +122,7 @@ def test_outcome_vs_spend(def_silver, spend_gold):
         g = _by_year(cross.outcome_vs_spend(biome, spend_gold, audit=False))
         assert g[2000].spending_per_km2_deforested == 109459.0
         assert g[2024].spending_per_km2_deforested == expect_2024
-        assert g[2010].env_spending_brl == 0.0  # deforestation only
+        assert g[2010].env_spending_brl == pytest.approx(3.99e9, abs=1.0)
 
 
 def test_bronze_quarantines_bad_casts(spark):
