@@ -4,13 +4,10 @@ from strata.functions.columns import as_col, blank_to_null, strip_ws, year_of, y
 from strata.functions.numeric import (
     MONEY,
     change_pct,
-    exact_sum,
     money,
-    money_product,
     pct,
     ratio,
     round_half_away,
-    to_double,
 )
 from strata.functions.parse import (
     format_brl,
@@ -35,10 +32,8 @@ __all__ = [
     "as_col",
     "blank_to_null",
     "change_pct",
-    "exact_sum",
     "format_brl",
     "money",
-    "money_product",
     "normalise_by_rules",
     "normalise_state",
     "parse_amount",
@@ -51,7 +46,6 @@ __all__ = [
     "round_half_away",
     "rules_sql",
     "strip_ws",
-    "to_double",
     "year_of",
     "year_range",
 ]

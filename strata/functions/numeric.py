@@ -17,6 +17,7 @@ _INTEGRAL_LIMIT = float(2**52)
 # Money in the source data carries two decimals; sums run on this type so
 # they are exact and do not depend on partitioning or row order.
 MONEY = "decimal(18,2)"
+MONEY_LIMIT = 1e16  # absolute amounts from here on don't fit MONEY
 
 
 def _double_sql(x: str) -> str:
@@ -113,26 +114,6 @@ def change_pct(current, previous, decimals: int = 1) -> Column:
     return F.when(prev > 0, value).otherwise(F.lit(None).cast("double"))
 
 
-def money(c) -> Column:
-    """A two-decimal money value as an exact decimal (input must carry <= 2 decimals)."""
-    return as_col(c).cast(MONEY)
-
-
-def money_product(a, b) -> Column:
-    """Exact product of two two-decimal values (scale 4), e.g. price * (1 - discount)."""
-    return money(a) * money(b)
-
-
-def exact_sum(c, as_double: bool = False) -> Column:
-    """Sum of decimal values; exact, so independent of partitioning and order.
-
-    Spark sums ``decimal(p, s)`` into ``decimal(p + 10, s)``: partial sums are
-    combined map-side like any other hash aggregate.
-    """
-    total = F.sum(as_col(c))
-    return total.cast("double") if as_double else total
-
-
-def to_double(c) -> Column:
-    """Final conversion of an exact decimal result to DOUBLE."""
-    return as_col(c).cast("double")
+def money(c, kind: str = MONEY) -> Column:
+    """An amount as an exact decimal; decimals beyond the scale of ``kind`` are rounded off."""
+    return as_col(c).cast(kind)

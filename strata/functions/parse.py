@@ -13,8 +13,19 @@ from pyspark.sql import functions as F
 from strata.functions.columns import as_col
 
 
+# What counts as a number in raw text.  The cast alone would also read "100d", "12f", "NaN" and "Infinity".
+NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def plain_double(c: Column) -> Column:
+    """Text to DOUBLE if it is a plain, finite number (blanks around it aside), else NULL."""
+    text = F.trim(c)
+    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def _try_double(c: Column) -> Column:
-    return c.try_cast("double")
+    return plain_double(c)
 
 
 def parse_brl(c, unparseable: float | None = 0.0) -> Column:

@@ -2,8 +2,7 @@
 
 from strata.operators.aggregate import ROLLUP_MODES, annual_sum, rollup_sum
 from strata.operators.cleaning import range_filter, split_valid, tag_valid
-from strata.operators.join import allocate, bounded_broadcast, outer_balance
-from strata.operators.partitioning import spread_if_narrow
+from strata.operators.join import allocate, outer_balance
 from strata.operators.quality import (
     Check,
     QualityCheckFailed,
@@ -39,7 +38,6 @@ __all__ = [
     "annual_sum",
     "assert_checks",
     "assert_details",
-    "bounded_broadcast",
     "count_rows",
     "count_where",
     "evaluate",
@@ -54,7 +52,6 @@ __all__ = [
     "run_sql_checks",
     "run_suite",
     "split_valid",
-    "spread_if_narrow",
     "tag_valid",
     "top_n",
     "with_cumulative",

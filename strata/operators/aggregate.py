@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import as_col
-from strata.functions.numeric import money
+from strata.functions.numeric import MONEY, money
 
 ROLLUP_MODES = ("prefer_rollup", "as_executed")
 
@@ -25,18 +25,20 @@ def annual_sum(
     measures: Mapping[str, object],
     exact: bool = True,
     counts: Mapping[str, object] | None = None,
+    money_type: str = MONEY,
 ) -> DataFrame:
     """``SELECT keys, sum(m) AS name ... GROUP BY keys``.
 
     ``measures`` maps output name to a column (name or expression).  With
-    ``exact`` the values are summed as ``decimal(18,2)`` and stay decimal, so
+    ``exact`` the values are summed as ``money_type`` and stay decimal, so
     running totals and second-level totals over the result stay exact too;
-    convert with ``to_double`` at the end.  ``counts`` are integer measures
-    summed as BIGINT.
+    cast to DOUBLE at the end.  ``counts`` are integer measures summed as
+    BIGINT.  Values the type cannot hold are an error, not a NULL inside the
+    sum: raw tables reject them first (``type_columns``).
     """
     aggs: list[Column] = []
     for name, c in measures.items():
-        value = money(c) if exact else as_col(c).cast("double")
+        value = money(c, money_type) if exact else as_col(c).cast("double")
         aggs.append(F.sum(value).alias(name))
     for name, c in (counts or {}).items():
         aggs.append(F.sum(as_col(c).cast("bigint")).alias(name))
@@ -52,6 +54,7 @@ def rollup_sum(
     marker: str = "ALL",
     mode: str = "prefer_rollup",
     exact: bool = True,
+    money_type: str = MONEY,
 ) -> DataFrame:
     """Sum a measure per key where the input mixes rollup rows and detail rows.
 
@@ -62,20 +65,20 @@ def rollup_sum(
       if there is one, else the sum of the detail rows.  One aggregate, no join.
     * ``as_executed``: the predicate
       ``m = 'ALL' OR m NOT IN (SELECT DISTINCT m ... WHERE m = 'ALL')`` whose
-      subquery is not correlated.  Its set is ``{'ALL'}`` as soon as one rollup
-      row exists anywhere, so rollup **and** detail rows are summed (double
-      counting) and NULL markers drop; with no rollup row at all every row is
-      kept.  Computed in one pass: per key, the sums of rollup, detail and
-      NULL-marker rows are aggregated once and checkpointed (one row per key);
-      the global "any rollup row" flag is read from that small frame and the
-      kept parts are added per key.  Keys with no kept row disappear, as with
-      ``WHERE`` before ``GROUP BY``.
+      subquery is not correlated: its key comparisons compare a row's keys with
+      themselves, which only rows with a NULL key fail.  Its set is ``{'ALL'}``
+      as soon as one rollup row without NULL keys exists anywhere, so rollup
+      **and** detail rows are summed (double counting) and NULL markers drop;
+      otherwise every row is kept.  Per key, the sums of rollup, detail and
+      NULL-marker rows are aggregated once; the flag is a scalar subquery over
+      the same aggregate, which Spark reads from the same exchange.  Keys with
+      no kept row disappear, as with ``WHERE`` before ``GROUP BY``.
     """
     if mode not in ROLLUP_MODES:
         raise ValueError(f"mode must be one of {ROLLUP_MODES}, got {mode!r}")
     out = out or measure
     m = F.col(marker_col)
-    value = money(measure) if exact else F.col(measure).cast("double")
+    value = money(measure, money_type) if exact else F.col(measure).cast("double")
     is_marker = m == F.lit(marker)
     if mode == "prefer_rollup":
         rolled = F.sum(F.when(is_marker, value))
@@ -92,9 +95,11 @@ def rollup_sum(
             F.count(F.when(m.isNotNull() & ~is_marker, F.lit(1))).alias("_n_detail"),
             F.count(F.when(m.isNull(), F.lit(1))).alias("_n_null"),
         )
-        .checkpoint()
     )
-    has_rollup = parts.select((F.sum("_n_marker") > 0).alias("f")).scalar()
+    whole_key = F.lit(True)
+    for k in keys:
+        whole_key = whole_key & F.col(k).isNotNull()
+    has_rollup = parts.select((F.sum(F.when(whole_key, F.col("_n_marker"))) > 0).alias("f")).scalar()
     keep_null = ~F.coalesce(has_rollup, F.lit(False))
     kept_rows = F.col("_n_marker") + F.col("_n_detail") + F.when(keep_null, F.col("_n_null")).otherwise(F.lit(0))
     parts_kept = [F.col("_s_marker"), F.col("_s_detail"), F.when(keep_null, F.col("_s_null"))]

@@ -1,4 +1,4 @@
-"""Joins: bounded broadcasts, full-outer balances and proportional allocation."""
+"""Joins: full-outer balances and proportional allocation."""
 
 from __future__ import annotations
 
@@ -10,18 +10,6 @@ from pyspark.sql import functions as F
 from strata.functions.numeric import round_half_away
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (the limit is pushed into the
-    scan), so it is cheap for dimension tables.  Beyond the bound the frame is
-    returned unchanged and the planner falls back to a shuffled join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def outer_balance(left: DataFrame, right: DataFrame, on: Sequence[str] | str = "year") -> DataFrame:
     """Full outer equi-join whose key columns are coalesced from both sides.
 
@@ -41,22 +29,18 @@ def allocate(
     total_col: str,
     out: str,
     decimals: int | None = 2,
-    weights_row_bound: int | None = None,
 ) -> DataFrame:
     """Split each total over its members in proportion to their weights.
 
     ``out = total * w_i / sum(w over the same key)``.  Both inputs carry the
     join keys ``on`` (e.g. ``year``): this is an equi-join, never a cross
     product.  The weight sum per key is a grouped aggregate joined back, so no
-    key has to fit one task.  With ``weights_row_bound`` the weights are
-    broadcast after a check that they hold at most that many rows; otherwise
-    AQE broadcasts them at run time if their measured size is small.
+    key has to fit one task; AQE broadcasts the weights at run time if their
+    measured size is small.
     """
     keys = list(on)
     wsum = weights.groupBy(*keys).agg(F.sum(weight_col).alias("_wsum"))
     w = weights.join(wsum, on=keys, how="inner")
-    if weights_row_bound is not None:
-        w = bounded_broadcast(w, weights_row_bound)
     joined = totals.join(w, on=keys, how="inner")
     share = f"CAST({total_col} AS DOUBLE) * CAST({weight_col} AS DOUBLE) / CAST(_wsum AS DOUBLE)"
     value = F.when(F.col("_wsum") > 0, F.expr(share))

@@ -7,23 +7,29 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import round_half_away
+from strata.functions.numeric import MONEY_LIMIT, round_half_away
+from strata.functions.parse import plain_double
 from strata.operators.cleaning import split_valid
 
 
 def typed_int(c: str) -> Column:
     """Text or number to INT as SQL casts do it: decimals round half to even; bad text is NULL."""
-    return F.bround(F.col(c).cast("string").try_cast("double"), 0).try_cast("int")
+    return typed_long(c).try_cast("int")
 
 
 def typed_long(c: str) -> Column:
-    """Text or number to BIGINT as SQL casts do it (half to even); bad text is NULL."""
-    return F.bround(F.col(c).cast("string").try_cast("double"), 0).try_cast("bigint")
+    """Text or number to BIGINT as SQL casts do it; bad text is NULL.
+
+    Whole numbers are read exactly; only text with a decimal part or an exponent goes through
+    DOUBLE (rounded half to even).
+    """
+    text = F.trim(F.col(c).cast("string"))
+    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint")).otherwise(F.bround(plain_double(text), 0).try_cast("bigint"))
 
 
 def typed_double(c: str) -> Column:
-    """Text or number to DOUBLE; bad text is NULL."""
-    return F.col(c).cast("string").try_cast("double")
+    """Text or number to DOUBLE; text that is no plain number, and NaN and infinities, are NULL."""
+    return plain_double(F.col(c).cast("string"))
 
 
 def _typed(name: str, kind: str) -> Column:
@@ -36,6 +42,9 @@ def _typed(name: str, kind: str) -> Column:
     return F.col(name).cast("string")
 
 
+CORRUPT = "_corrupt_record"
+
+
 def type_columns(
     df: DataFrame, types: Mapping[str, str], keep: tuple[str, ...] = (), observation=None
 ) -> tuple[DataFrame, DataFrame]:
@@ -43,13 +52,23 @@ def type_columns(
 
     Every standard column is cast to its type.  A row whose non-NULL raw value
     does not cast goes to the rejected frame (with the reason) instead of
-    failing the load; NULL stays NULL, as a SQL cast would leave it.  Columns
-    that already have their type (a typed source such as parsed API items)
-    pass through without a cast or a check.
+    failing the load; NULL stays NULL, as a SQL cast would leave it.  The same
+    holds for amounts that a later exact sum could not hold: NaN, infinities and
+    values from ``MONEY_LIMIT`` on.  A record the CSV reader could not split into
+    its fields (``_corrupt_record``) is rejected as ``malformed``.  Columns that
+    already have their type (a typed source such as parsed API items) are
+    checked for range only.
     """
     current = dict(df.dtypes)
     to_cast = {n: k for n, k in types.items() if current.get(n) != k}
-    checks = {f"bad_{n}": F.col(n).isNull() | _typed(n, k).isNotNull() for n, k in to_cast.items() if k != "string"}
+    checks = {}
+    if CORRUPT in df.columns:
+        checks["malformed"] = F.col(CORRUPT).isNull()
+    checks |= {f"bad_{n}": F.col(n).isNull() | _typed(n, k).isNotNull() for n, k in to_cast.items() if k != "string"}
+    checks |= {
+        f"range_{n}": F.col(n).isNull() | (F.abs(_typed(n, k) if n in to_cast else F.col(n)) < F.lit(MONEY_LIMIT))
+        for n, k in types.items() if k == "double"
+    }
     if not checks:
         checks = {"never": F.lit(True)}  # keeps the observation wiring uniform
     good, bad = split_valid(df, checks, observation=observation)

@@ -78,9 +78,6 @@ def gold_by_state(silver_df: DataFrame, audit: bool = True) -> DataFrame:
     """Annual area per (biome, state) without rollup rows, previous year, YoY % and rank in year."""
     detail = silver_df.where(F.col("state") != F.lit("ALL"))
     annual = annual_sum(detail, ["year", "biome", "state"], {"area_km2": "area_km2"})
-    # Both windows below, (biome, state) and (year, biome), are clustered by biome alone:
-    # one exchange of the aggregate (one row per year, biome and state) serves both.
-    annual = annual.repartition("biome")
     ranked = with_prev(annual, ["biome", "state"], "year", "area_km2", "prev_year_km2")
     ranked = with_rank(ranked, ["year", "biome"], "area_km2", "rank_in_year")
     out = ranked.select(

@@ -14,6 +14,7 @@ raises ``QualityCheckFailed`` and the views are not published.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -31,6 +32,7 @@ from strata.operators.quality import (
     run_suite,
 )
 from strata.plans import cross, deforestation, spending, tax
+from strata.plans.common import CORRUPT, typed_int
 from strata.sources.csv import read_csv, string_schema
 from strata.streaming.incremental import process_new_files
 from strata.sources.tables import read_table, register_views, write_table
@@ -47,6 +49,17 @@ GOLD_TABLES = ("deforestation_by_biome", "deforestation_by_state", "spending_by_
 # ---------------------------------------------------------------------------
 
 
+# Gold tables whose partition columns are text that may look like numbers.
+GOLD_SCHEMAS = {
+    "deforestation_by_biome": "year int, area_km2 double, cumulative_km2 double, prev_year_km2 double, yoy_change_pct double, "
+                              "_computed_at timestamp, biome string",
+    "spending_by_function": "year int, executed_brl double, budgeted_brl double, pct_of_total double, yoy_nominal_growth_pct double, "
+                            "_computed_at timestamp, functional_category string",
+    "tax_by_bracket": "income_bracket string, total_declarations bigint, total_taxable_income double, total_tax_due double, "
+                      "effective_rate_pct double, pct_of_total_tax double, yoy_growth_pct double, _computed_at timestamp, year int",
+}
+
+
 @dataclass(frozen=True)
 class Layout:
     root: str
@@ -74,8 +87,9 @@ def _load_raw(spark: SparkSession, raw, columns: Sequence[str], sep: str, encodi
     """Standard raw files: columns are taken from the header by name (any order), as text."""
     if isinstance(raw, DataFrame):
         return raw
-    df = read_csv(spark, raw, sep=sep, encoding=encoding, with_source=True)
-    return df.select(*[F.col(f"`{c}`") for c in columns], "_source_file")
+    header = read_csv(spark, raw, sep=sep, encoding=encoding).columns
+    df = read_csv(spark, raw, schema=string_schema(header), sep=sep, encoding=encoding, corrupt_column=CORRUPT, with_source=True)
+    return df.select(*[F.col(f"`{c}`") for c in columns], CORRUPT, "_source_file")
 
 
 class RejectedRowsError(ValueError):
@@ -84,7 +98,7 @@ class RejectedRowsError(ValueError):
 
 def _bronze_and_silver(
     spark, layout, domain, raw_df, bronze_fn, silver_fn, years, audit, silver_kwargs, fail_fast=False,
-    silver_checks=(), rebalance_bronze=False,
+    silver_checks=(), rebalance_bronze=True, run_id=None,
 ):
     """Write bronze and silver; return (bronze table, silver table, observed gate results or None).
 
@@ -92,19 +106,28 @@ def _bronze_and_silver(
     the bronze row count comes from the rejected-rows observation, so neither
     table is scanned again for the gate.  A backfill (``years``) returns None:
     its gate must cover the whole tables, not only the rewritten years.
+
+    Rejected rows are kept per run: each run writes the partition ``run_id`` of
+    the quarantine table and touches no other, so a batch that is repeated
+    replaces its own rejects only.
     """
+    run_id = run_id or uuid.uuid4().hex
+
+    def quarantine():
+        write_table(bad.withColumn("run_id", F.lit(run_id)), layout.rejected(domain), ["run_id"], overwrite="partitions")
+
     overwrite = "partitions" if years else "all"
     counts = Observation(f"bronze_{domain}")
     good, bad = bronze_fn(raw_df, audit=audit, observation=counts)
     if fail_fast and bad.limit(1).count() > 0:
         # Reject the whole drop before bronze is touched (the scan stops at the first bad row).
-        write_table(bad, layout.rejected(domain), overwrite="all")
+        quarantine()
         raise RejectedRowsError(f"raw {domain} rows could not be typed; see {layout.rejected(domain)}")
-    # Raw drops usually arrive per year, so tasks write few year folders; rebalance_bronze adds
-    # one REBALANCE shuffle for drops whose years are scattered across a large input.
+    # One REBALANCE shuffle on the year keeps the number of files near the size of the data; without
+    # it every task writes a file per year it holds (fine for drops that arrive per year).
     write_table(_years_filter(good, years), layout.bronze(domain), ["year"], overwrite, rebalance=rebalance_bronze)
     if counts.get.get("rejected", 0) > 0:  # second pass over raw only when rows were rejected
-        write_table(bad, layout.rejected(domain), overwrite="all")
+        quarantine()
     # Read back with the known schema: an empty partitioned write leaves no file to infer it from.
     bronze = _years_filter(read_table(spark, layout.bronze(domain), schema=good.schema), years)
     silver = silver_fn(bronze, audit=audit, **(silver_kwargs or {}))
@@ -146,8 +169,9 @@ def run_deforestation(
     sep: str = ",",
     silver_kwargs: dict | None = None,
     fail_fast: bool = False,
-    rebalance_bronze: bool = False,
+    rebalance_bronze: bool = True,
     encoding: str = "UTF-8",
+    run_id: str | None = None,
 ) -> dict:
     """Deforestation domain: raw CSV paths (or a raw frame) to both gold tables.
 
@@ -163,13 +187,12 @@ def run_deforestation(
     ]
     bronze, silver, observed = _bronze_and_silver(
         spark, L, "deforestation", raw_df, deforestation.bronze, deforestation.silver, years, audit, silver_kwargs,
-        fail_fast, silver_checks, rebalance_bronze,
+        fail_fast, silver_checks, rebalance_bronze, run_id,
     )
     biome = _write_gold(spark, deforestation.gold_by_biome(silver, mode=mode, audit=audit),
-                        L.gold("deforestation_by_biome"), ["biome"], sort_by=["year"])
-    # One file, like the other state-grained output: its size is years x biomes x states.
+                        L.gold("deforestation_by_biome"), ["biome"], sort_by=deforestation.BIOME_ORDER)
     state = _write_gold(spark, deforestation.gold_by_state(silver, audit=audit), L.gold("deforestation_by_state"),
-                        sort_by=deforestation.state_order(), single_file=True)
+                        sort_by=deforestation.state_order())
     suite = [("gold.deforestation_by_biome", biome, [Check("row_count", count_rows())])]
     if observed is None:
         suite = [("bronze.deforestation", bronze, [Check("row_count", count_rows())]),
@@ -188,8 +211,9 @@ def run_spending(
     sep: str = ",",
     silver_kwargs: dict | None = None,
     fail_fast: bool = False,
-    rebalance_bronze: bool = False,
+    rebalance_bronze: bool = True,
     encoding: str = "UTF-8",
+    run_id: str | None = None,
 ) -> dict:
     """Spending domain: raw CSV paths (or a raw frame, e.g. from API items) to gold by function."""
     L = Layout(root)
@@ -200,10 +224,10 @@ def run_spending(
     ]
     bronze, silver, observed = _bronze_and_silver(
         spark, L, "spending", raw_df, spending.bronze, spending.silver, years, audit, silver_kwargs, fail_fast,
-        silver_checks, rebalance_bronze,
+        silver_checks, rebalance_bronze, run_id,
     )
     gold = _write_gold(spark, spending.gold_by_function(silver, audit=audit), L.gold("spending_by_function"),
-                       ["functional_category"], sort_by=["year"])
+                       ["functional_category"], sort_by=spending.function_order())
     suite = [("gold.spending_by_function", gold, [Check("row_count", count_rows())])]
     if observed is None:
         suite = [("bronze.spending", bronze, [Check("row_count", count_rows())]),
@@ -221,8 +245,9 @@ def run_tax(
     sep: str = ",",
     silver_kwargs: dict | None = None,
     fail_fast: bool = False,
-    rebalance_bronze: bool = False,
+    rebalance_bronze: bool = True,
     encoding: str = "UTF-8",
+    run_id: str | None = None,
 ) -> dict:
     """Tax domain: raw CSV paths (or a raw frame) to gold by bracket."""
     L = Layout(root)
@@ -233,10 +258,10 @@ def run_tax(
     ]
     bronze, silver, observed = _bronze_and_silver(
         spark, L, "tax", raw_df, tax.bronze, tax.silver, years, audit, silver_kwargs, fail_fast, silver_checks,
-        rebalance_bronze,
+        rebalance_bronze, run_id,
     )
     gold = _write_gold(spark, tax.gold_by_bracket(silver, audit=audit), L.gold("tax_by_bracket"), ["year"],
-                       sort_by=["income_bracket"])
+                       sort_by=tax.BRACKET_ORDER)
     suite = [("gold.tax_by_bracket", gold, [Check("row_count", count_rows())])]
     if observed is None:
         suite = [("bronze.tax", bronze, [Check("row_count", count_rows())]),
@@ -247,14 +272,14 @@ def run_tax(
 def run_cross_domain(spark: SparkSession, root: str, category: str = "Environment", audit: bool = True) -> dict:
     """Cross-domain gold (year grained, one file each) and views over all gold tables present."""
     L = Layout(root)
-    gold = lambda t: read_table(spark, L.gold(t))
+    gold = lambda t: read_table(spark, L.gold(t), schema=GOLD_SCHEMAS[t])  # a category '02' stays text
     write_table(cross.fiscal_balance(gold("tax_by_bracket"), gold("spending_by_function"), audit=audit),
                 L.gold("fiscal_balance"), sort_by=["year"], single_file=True)
     write_table(
         cross.outcome_vs_spend(gold("deforestation_by_biome"), gold("spending_by_function"), category, audit=audit),
         L.gold("deforestation_vs_spending"), sort_by=["year"], single_file=True,
     )
-    return {"views": register_views(spark, {f"{VIEW_PREFIX}{n}": L.gold(n) for n in GOLD_TABLES})}
+    return {"views": register_views(spark, {f"{VIEW_PREFIX}{n}": gold(n) if n in GOLD_SCHEMAS else L.gold(n) for n in GOLD_TABLES})}
 
 
 def _finish(spark, suite, gate, gold: dict[str, DataFrame], observed: list[dict] | None = None) -> dict:
@@ -272,6 +297,9 @@ DOMAINS = {
 }
 
 
+BRONZE = {"deforestation": deforestation.bronze, "spending": spending.bronze, "tax": tax.bronze}
+
+
 def run_incremental(
     spark: SparkSession,
     domain: str,
@@ -284,36 +312,35 @@ def run_incremental(
 ) -> list[dict]:
     """Run a domain only for files that arrived since the last run ("only if the source changed").
 
-    An AvailableNow stream over ``landing`` hands each batch of new files to
-    the domain run, which replaces the years those rows carry (dynamic
-    overwrite) and recomputes gold.  Each file is expected to hold complete
-    years.  With no new file nothing runs.  The stream checkpoint commits
-    after the batch has been written, so a failed run is retried next time.
-    ``max_files_per_batch`` bounds each batch, so a large backlog is worked off
-    as several bounded runs (AvailableNow still stops when it is done).
+    An AvailableNow stream over ``landing`` says which files are new.  The years
+    those files carry are then rebuilt from **all** landing files (dynamic
+    overwrite), so a year may lie in any number of files, arrive over any number
+    of runs, and ``max_files_per_batch`` changes how often the run works, never
+    what it leaves.  Gold is recomputed.  With no new file nothing runs.  The
+    stream checkpoint commits after the batch has been written, so a failed run
+    is repeated next time; its rejects (quarantine partition ``batch-<id>``: those
+    of all the years it rebuilt) are replaced, not doubled.
     """
     run_fn, columns = DOMAINS[domain]
     ckpt = checkpoint or os.path.join(root, "_checkpoints", f"landing_{domain}")
     results: list[dict] = []
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        # The batch is read twice (its year range, then the run): keep it for the batch only.
-        # A lost executor recomputes the cached blocks from the landing files.
-        df.persist()
-        try:
-            years = df.select(F.col("year").try_cast("double").try_cast("int").alias("y")).agg(
-                F.min("y").alias("lo"), F.max("y").alias("hi")
-            ).first()
-            if years is None or years.lo is None:
-                return
-            summary = run_fn(spark, df, root, years=(years.lo, years.hi), **run_kwargs)
-            summary["batch_id"] = batch_id
-            results.append(summary)
-        finally:
-            df.unpersist()
+        years = df.select(typed_int("year").alias("y")).agg(F.min("y").alias("lo"), F.max("y").alias("hi")).first()
+        options_now = {"run_id": f"batch-{batch_id}"} | run_kwargs
+        no_year = df.where(typed_int("year").isNull())  # rejected with this batch, not lost
+        if years.lo is None:
+            bad = BRONZE[domain](no_year, audit=False)[1].withColumn("run_id", F.lit(options_now["run_id"]))
+            write_table(bad, Layout(root).rejected(domain), ["run_id"], overwrite="partitions")
+            return
+        landed = read_csv(spark, landing, schema=string_schema(columns), sep=sep, corrupt_column=CORRUPT, with_source=True)
+        raw = landed.where(typed_int("year").between(years.lo, years.hi)).unionByName(no_year, allowMissingColumns=True)
+        summary = run_fn(spark, raw, root, years=(years.lo, years.hi), **options_now)
+        summary["batch_id"] = batch_id
+        results.append(summary)
 
     # A stream needs a schema; enforceSchema=false checks every file's header against it.
-    options = {"sep": sep, "enforceSchema": "false"}
+    options = {"sep": sep, "enforceSchema": "false", "escape": '"', "multiLine": "true"}
     if max_files_per_batch:
         options["maxFilesPerTrigger"] = str(int(max_files_per_batch))
     process_new_files(spark, landing, string_schema(columns), ckpt, batch, options=options)

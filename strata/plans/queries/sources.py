@@ -10,7 +10,6 @@ from strata.functions.numeric import money, round_half_away
 from strata.functions.parse import format_brl, parse_amount, parse_area, parse_brl, parse_count
 from strata.functions.rules import CATEGORY_RULES, rules_sql
 from strata.operators.cleaning import tag_valid
-from strata.operators.partitioning import spread_if_narrow
 from strata.plans import deforestation, spending, tax
 from strata.plans import tpch_analogues as A
 from strata.plans.common import type_columns
@@ -256,8 +255,7 @@ SELECT l_orderkey, '', 'tax', CAST(0 AS DOUBLE) FROM lineitem""",
 )
 def q_json_items(spark, sf_dir):
     """API-style payloads (a text amount, a numeric amount, an empty item) exploded into items."""
-    # Per-row text work: spread a narrow scan over all cores first (no-op on large inputs).
-    li = spread_if_narrow(A.table(spark, sf_dir, "lineitem").select("l_orderkey", *_PAYLOAD_COLUMNS))
+    li = A.table(spark, sf_dir, "lineitem").select("l_orderkey", *_PAYLOAD_COLUMNS)
     return explode_items(li.select("l_orderkey", _item_payload().alias("payload")), "payload", keep=["l_orderkey"])
 
 
@@ -293,9 +291,7 @@ def _api_rows_sql() -> str:
 def q_api_spending(spark, sf_dir):
     """API payloads (JSON lines) -> items -> spending bronze/silver -> gold by function."""
     root = scratch_path(spark, "api-landing")
-    li = spread_if_narrow(A.table(spark, sf_dir, "lineitem").select(
-        "l_shipdate", "l_returnflag", "l_linenumber", "l_extendedprice", "l_discount"
-    ))
+    li = A.table(spark, sf_dir, "lineitem").select("l_shipdate", "l_returnflag", "l_linenumber", "l_extendedprice", "l_discount")
     li.select(_api_payload().alias("value")).write.mode("overwrite").text(root)
     items = read_json_lines_items(spark, root, fields={"year": "int"})
     raw, _rejected = spending.api_items_to_raw(items)
@@ -400,17 +396,11 @@ FROM a""",
 )
 def q_allocate(spark, sf_dir):
     """Yearly order totals split over segments by weight = orders x rate (an equi-join on year)."""
-    o = A.table(spark, sf_dir, "orders").select("o_custkey", year_of("o_orderdate").alias("year"), "o_totalprice")
+    o = A.orders_by_customer_year(spark, sf_dir)
     c = A.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     oc = o.join(c, o.o_custkey == c.c_custkey)
-    # One row per (year, segment).  Both allocation inputs derive from it, so
-    # it is checkpointed (shared checkpoint dir) instead of recomputing the
-    # orders-customer join once per branch.
-    seg = (
-        oc.groupBy("year", F.col("c_mktsegment").alias("income_bracket"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(money("o_totalprice")).alias("p"))
-        .checkpoint()
-    )
+    # One row per (year, segment); the branches below read it from one exchange.
+    seg = oc.groupBy("year", F.col("c_mktsegment").alias("income_bracket")).agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
     yearly = seg.groupBy("year").agg(
         F.sum("n").alias("total_declarations"), F.sum("p").cast("double").alias("total_tax")
     )

@@ -24,13 +24,15 @@ def q_gold_views(spark, sf_dir):
 
 
 SQL_STAGE_TEXT = """
-WITH annual AS (
-    SELECT year(o.o_orderdate) AS year, c.c_mktsegment,
-           sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS total_price
-    FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
-    WHERE o.o_orderdate >= make_timestamp_ntz(:first_year, 1, 1, 0, 0, 0)
-      AND o.o_orderdate < make_timestamp_ntz(:last_year + 1, 1, 1, 0, 0, 0)
+WITH per_customer AS (
+    SELECT o_custkey, year(o_orderdate) AS year, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total_price
+    FROM {orders}
+    WHERE o_orderdate >= make_timestamp_ntz(:first_year, 1, 1, 0, 0, 0)
+      AND o_orderdate < make_timestamp_ntz(:last_year + 1, 1, 1, 0, 0, 0)
     GROUP BY 1, 2
+), annual AS (
+    SELECT p.year, c.c_mktsegment, sum(p.total_price) AS total_price
+    FROM per_customer p JOIN {customer} c ON p.o_custkey = c.c_custkey GROUP BY 1, 2
 )
 SELECT CAST(year AS BIGINT) AS year, c_mktsegment, CAST(total_price AS DOUBLE) AS total_price,
        CAST(sum(total_price) OVER (PARTITION BY c_mktsegment ORDER BY year) AS DOUBLE) AS cumulative_price

@@ -71,9 +71,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Resolution order: the ``spark.checkpoint.dir`` setting, then a directory
-    already given to ``SparkContext.setCheckpointDir``, then (bare local test
-    sessions only) a private folder under the system temp dir, registered as
-    the context's checkpoint dir.  The setting itself is a startup option and
+    already given to ``SparkContext.setCheckpointDir``, then, on a ``local``
+    master only, a private folder under the system temp dir, registered as the
+    context's checkpoint dir; on any other master an unset folder is an error.  The setting itself is a startup option and
     cannot be changed on a running session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -85,6 +85,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = None
     if current:
         return current.rstrip("/")
+    if not (spark.conf.get("spark.master", "") or "").startswith("local"):  # a cluster's executors don't share it
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     fallback = tempfile.mkdtemp(prefix="strata-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(fallback)

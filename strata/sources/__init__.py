@@ -16,7 +16,7 @@ from strata.sources.tables import (
     create_path_view,
     read_table,
     register_views,
-    resolve_sql,
+    sql_text,
     run_sql,
     with_audit,
     write_table,
@@ -40,7 +40,7 @@ __all__ = [
     "read_landing",
     "read_table",
     "register_views",
-    "resolve_sql",
+    "sql_text",
     "run_sql",
     "sniff_delimiter",
     "string_schema",

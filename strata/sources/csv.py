@@ -23,6 +23,7 @@ def read_csv(
     encoding: str = "UTF-8",
     corrupt_column: str | None = None,
     with_source: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV scan with an explicit schema (or header-named all-string columns).
 
@@ -30,14 +31,30 @@ def read_csv(
     which avoids ``inferSchema``'s extra pass.  A UTF-8 byte-order mark in the
     header is dropped by the reader.  With ``with_source`` each row carries the
     file it came from (``_source_file``).
+
+    Quoted fields may hold the delimiter, doubled quotes and line breaks.  A
+    quoted line break means that a file cannot be split, so one file is one
+    task; for large files known to have none, ``multi_line=False`` makes them
+    splittable.  With ``corrupt_column`` a record that has too few or too many
+    fields keeps its text there.  A schema is held against each file's header
+    by name; another order or other names are an error.
     """
     reader = (
         spark.read.option("header", header)
         .option("sep", sep)
         .option("encoding", encoding)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("enforceSchema", not header)
         .option("mode", "PERMISSIVE")
         .option("inferSchema", False)
     )
+    paths = paths if isinstance(paths, str) else list(paths)
+    if schema is None and header and multi_line:
+        # The header's names are taken by the line reader: the other one lists files by pattern, which
+        # misses names with glob characters.  A header with a line break inside a name isn't supported.
+        schema = string_schema(reader.option("multiLine", False).csv(paths).columns)
+        reader = reader.option("multiLine", True)
     if schema is not None:
         if corrupt_column:
             if isinstance(schema, str):
@@ -46,7 +63,7 @@ def read_csv(
                 schema = StructType(list(schema.fields) + [StructField(corrupt_column, StringType(), True)])
             reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
         reader = reader.schema(schema)
-    df = reader.csv(paths if isinstance(paths, str) else list(paths))
+    df = reader.csv(paths)
     if with_source:
         df = df.withColumn("_source_file", F.col("_metadata.file_path"))
     return df
@@ -57,14 +74,12 @@ def sniff_delimiter(
 ) -> str:
     """Pick the first candidate found in the first ``sample_chars`` of a file.
 
-    Reads a bounded number of leading lines of one file, never the whole file.
+    A line has its line end at least, so the sample's lines are among the first
+    ``sample_chars``; no line brings more than the sample to the driver.
     """
-    lines = spark.read.text(path).limit(64).collect()
-    sample = "\n".join(r.value for r in lines)[:sample_chars]
-    for c in candidates:
-        if c in sample:
-            return c
-    return candidates[-1]
+    lines = spark.read.text(path).limit(sample_chars).select(F.substring("value", 1, sample_chars)).collect()
+    sample = "\n".join(r[0] for r in lines)[:sample_chars]
+    return next((c for c in candidates if c in sample), candidates[-1])
 
 
 def write_csv(
@@ -77,4 +92,4 @@ def write_csv(
 ) -> None:
     """CSV with a header and a fixed field order (one file per task)."""
     out = df.select(*columns) if columns else df
-    out.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+    out.write.mode(mode).option("header", header).option("sep", sep).option("escape", '"').csv(path)

@@ -41,13 +41,12 @@ def explode_items(
     ``amount`` is NULL only for string amounts that cannot be parsed (the
     source raised there), so callers can quarantine them.  ``fields`` maps
     top-level payload fields to SQL types (e.g. ``{"year": "int"}``); they are
-    read in the same single parse and carried onto every item.
+    read in the same single parse and carried onto every item.  Payloads that
+    cannot be read give no items here; ``rejected_payloads`` returns them.
     """
     keep = keep or []
     fields = fields or {}
-    schema = ", ".join([f"{k} {t}" for k, t in fields.items()] + [ITEMS_SCHEMA])
-    doc = F.from_json(F.col(json_col), schema)
-    parsed = df.select(*keep, doc.alias("_doc"))
+    parsed = df.select(*keep, _document(json_col, fields).alias("_doc")).where(_reason(fields).isNull())
     items = parsed.select(
         *keep, *[F.col("_doc").getField(k).alias(k) for k in fields], F.inline(F.col("_doc").getField("items"))
     )
@@ -60,6 +59,31 @@ def explode_items(
     )
 
 
+def _document(json_col: str, fields: dict[str, str]) -> Column:
+    schema = ", ".join([f"{k} {t}" for k, t in fields.items()] + [ITEMS_SCHEMA, "_unread string"])
+    return F.from_json(F.col(json_col), schema, {"columnNameOfCorruptRecord": "_unread"})
+
+
+def _reason(fields: dict[str, str]) -> Column:
+    """Why a parsed payload (``_doc``) is rejected; NULL for a good one (its item list may be empty)."""
+    doc = F.col("_doc")
+    reason = F.when(doc.isNull() | (doc.getField("items").isNull() & doc.getField("_unread").isNotNull()), F.lit("unreadable"))
+    for name in fields:
+        reason = reason.when(doc.getField(name).isNull(), F.lit(f"no_{name}"))
+    return reason.when(doc.getField("_unread").isNotNull(), F.lit("unreadable")).when(doc.getField("items").isNull(), F.lit("no_items"))
+
+
+def rejected_payloads(df: DataFrame, json_col: str, keep: list[str] | None = None, fields: dict[str, str] | None = None) -> DataFrame:
+    """The payloads ``explode_items`` cannot read: ``keep``, ``payload`` (the text as it came) and ``_reject_reason``.
+
+    ``unreadable``: not a JSON document of the expected shape; ``no_<field>``: a requested field is
+    missing or has another type; ``no_items``: no item list.  A NULL payload is unreadable.
+    """
+    fields = fields or {}
+    parsed = df.select(*(keep or []), F.col(json_col).alias("payload"), _document(json_col, fields).alias("_doc"))
+    return parsed.withColumn("_reject_reason", _reason(fields)).where(F.col("_reject_reason").isNotNull()).drop("_doc")
+
+
 def read_json_items(spark: SparkSession, path: str) -> DataFrame:
     """Each file is one payload document (one API response).
 

@@ -13,8 +13,10 @@ the file listing Spark keeps on the driver anyway).
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,10 +52,15 @@ def group_layouts(
     for row in header_lines(spark, path).collect():
         header = (row.header or "").lstrip(BOM)
         sep = next((c for c in candidates if c in header), candidates[-1])
-        layouts[(sep, header)].append(row.file_path)
+        layouts[(sep, header)].append(literal_path(row.file_path))
     return dict(layouts)
 
 
+def literal_path(uri: str) -> str:
+    """A file's URI (as in ``_metadata.file_path``) as a path to read: decoded, glob characters escaped."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", unquote(uri))
+
+
 def read_landing(
     spark: SparkSession,
     path: str | Sequence[str],

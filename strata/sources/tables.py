@@ -104,28 +104,25 @@ def register_views(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -
 
 def create_path_view(spark: SparkSession, name: str, path: str) -> None:
     """A view defined over a Parquet path (re-reads the files at every use)."""
+    quoted = path.replace("`", "``")
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY VIEW IDENTIFIER(:name) AS SELECT * FROM parquet.`" + path.replace("`", "") + "`",
+        f"CREATE OR REPLACE TEMPORARY VIEW IDENTIFIER(:name) AS SELECT * FROM parquet.`{quoted}`",
         args={"name": name},
     )
 
 
-def resolve_sql(sql: str | None = None, sql_file: str | None = None) -> str:
-    """SQL text from inline text or a file; a missing file and no input are errors."""
-    if sql_file:
-        if not os.path.exists(sql_file):
-            raise FileNotFoundError(f"SQL file not found: {sql_file}")
-        with open(sql_file, encoding="utf-8") as f:
-            return f.read()
-    if sql:
-        return sql
-    raise ValueError("either sql or sql_file must be provided")
+def sql_text(spark: SparkSession, source: str | os.PathLike) -> str:
+    """The text of a SQL stage: a path object names a file (read through Spark, from any store), a string is the text."""
+    if isinstance(source, os.PathLike):
+        source = spark.read.option("wholetext", True).text(os.fspath(source)).first().value
+    if not source.strip():
+        raise ValueError("the SQL text is empty")
+    return source
 
 
 def run_sql(
     spark: SparkSession,
-    sql: str | None = None,
-    sql_file: str | None = None,
+    sql: str | os.PathLike,
     args: Mapping[str, object] | None = None,
     frames: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
@@ -135,8 +132,7 @@ def run_sql(
     with ``IDENTIFIER(:tbl)``: nothing is spliced into the text.  ``frames``
     are DataFrames referenced as ``{name}`` in the text.
     """
-    text = resolve_sql(sql, sql_file)
-    return spark.sql(text, args=dict(args or {}), **dict(frames or {}))
+    return spark.sql(sql_text(spark, sql), args=dict(args or {}), **dict(frames or {}))
 
 
 def with_audit(df: DataFrame, column: str, enabled: bool = True) -> DataFrame:

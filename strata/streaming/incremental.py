@@ -91,12 +91,13 @@ def process_new_files(
 def row_fingerprint(df: DataFrame, columns: Sequence[str]) -> F.Column:
     """128-bit fingerprint of the row's values as two 64-bit hashes.
 
-    The hashed text is the row as JSON with NULL fields kept, so NULLs and
-    field names are part of it.  Fixed-width longs keep the diff aggregate a
-    hash aggregate (string maxima would force a sort-based one).
+    The typed columns are hashed themselves, at their full precision (timestamps
+    to the microsecond), with a NULL flag each, since the hash skips NULLs.
+    Fixed-width longs keep the diff aggregate a hash aggregate (string maxima
+    would force a sort-based one).
     """
-    text = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
-    return F.struct(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("#"), text).alias("h2"))
+    values = [v for c in columns for v in (F.col(c).isNull(), F.col(c))]
+    return F.struct(F.xxhash64(*values).alias("h1"), F.xxhash64(F.lit("#"), *values).alias("h2"))
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:

@@ -12,9 +12,9 @@ from strata.sources import (
     read_json_items,
     read_table,
     register_views,
-    resolve_sql,
     run_sql,
     sniff_delimiter,
+    sql_text,
     write_table,
 )
 from strata.sources.tables import create_path_view
@@ -107,11 +107,12 @@ def test_run_sql_binds_parameters_and_frames(spark, tmp_path):
     assert out.first().n == 2
     sql_file = tmp_path / "q.sql"
     sql_file.write_text("SELECT 1 AS one")
-    assert resolve_sql(sql_file=str(sql_file)) == "SELECT 1 AS one"
-    with pytest.raises(FileNotFoundError):
-        resolve_sql(sql_file=str(tmp_path / "missing.sql"))
+    assert sql_text(spark, sql_file) == "SELECT 1 AS one"
+    assert run_sql(spark, sql_file).first().one == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sql_text(spark, tmp_path / "missing.sql")
     with pytest.raises(ValueError):
-        resolve_sql()
+        sql_text(spark, " ")
 
 
 def test_path_view(spark, scratch):
@@ -185,3 +186,50 @@ def test_read_landing_latin1_headers(spark, scratch):
     assert [(r.year, r.income_bracket, r.num_declarations, r.tax_due_brl) for r in good.collect()] == [
         (2020, "A", 12, 1.5)
     ]
+
+
+def test_quoted_csv_round_trip(spark, scratch):
+    """Delimiters, quotes and line breaks inside fields survive; records with a wrong field count keep their text."""
+    from strata.sources import write_csv
+
+    root = scratch("quoted")
+    rows = [("a", 'He said "hi", ok', "10"), ("b", "two\nlines", "11"), ("c", "plain", "12"), ("d", 'ends with "', None)]
+    write_csv(spark.createDataFrame(rows, "k string, t string, v string"), f"{root}/w")
+    back = read_csv(spark, f"{root}/w", schema="k string, t string, v string")
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    _write(f"{root}/r/a.csv", 'k,t,v\n1,"x, ""y""",9\n2,too,many,fields\n3,short\n4,"a\nb",5\n')
+    got = read_csv(spark, f"{root}/r", schema="k string, t string, v string", corrupt_column="_corrupt").collect()
+    assert sorted((r.k, r._corrupt is None) for r in got) == [("1", True), ("2", False), ("3", False), ("4", True)]
+    assert {r.t for r in got if r._corrupt is None} == {'x, "y"', "a\nb"}
+    with pytest.raises(Exception):
+        read_csv(spark, f"{root}/r", schema="t string, k string, v string").collect()
+
+
+def test_sniff_reads_the_first_two_kilobytes(spark, scratch):
+    root = scratch("sniff")
+    _write(f"{root}/a.csv", "x,y\n" * 70 + "a;b\n")
+    assert sniff_delimiter(spark, f"{root}/a.csv") == ";"
+    _write(f"{root}/b.csv", "x,y\n" * 700 + "a;b\n")
+    assert sniff_delimiter(spark, f"{root}/b.csv") == ","
+
+
+def test_landing_takes_any_file_name(spark, scratch):
+    from strata.sources import read_landing
+
+    root = scratch("names")
+    for i, name in enumerate(["prodes 2020.csv", "a[1].csv", "50%.csv", "b{x,y}.csv", "c*?.csv"]):
+        _write(f"{root}/{name}", f"ano;faixa;quantidade;uf\n20{10 + i};A;{i};sp\n")
+    good, _ = read_landing(spark, root, harmonise_tax)
+    assert sorted((r.year, r.num_declarations) for r in good.collect()) == [(2010 + i, i) for i in range(5)]
+
+
+def test_unreadable_payloads_are_kept(spark):
+    from strata.sources.json_items import rejected_payloads
+
+    docs = [(1, '{"year": 2020, "items": [{"coluna": "A", "valor": 1}]}'), (2, "not json"), (3, '{"year": 2020, "items": [{"colu'),
+            (4, '{"year": "x", "items": [{"coluna": "B", "valor": 2}]}'), (5, '{"year": 2021}'), (6, '{"year": 2021, "items": []}'), (7, None)]
+    df = spark.createDataFrame(docs, "k int, value string")
+    items = explode_items(df, "value", keep=["k"], fields={"year": "int"}).collect()
+    assert [(r.k, r.year, r.category) for r in items] == [(1, 2020, "A")]
+    bad = {r.k: r._reject_reason for r in rejected_payloads(df, "value", keep=["k"], fields={"year": "int"}).collect()}
+    assert bad == {2: "unreadable", 3: "unreadable", 4: "no_year", 5: "no_items", 7: "unreadable"}
