@@ -18,6 +18,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ from strata.operators.quality import (
 from strata.plans import cross, deforestation, spending, tax
 from strata.plans.common import CORRUPT, typed_int
 from strata.sources.csv import read_csv, string_schema
-from strata.streaming.incremental import process_new_files
+from strata.streaming.incremental import changed_files, file_state, process_new_files
 from strata.sources.tables import read_table, register_views, write_table
 
 
@@ -300,6 +301,31 @@ DOMAINS = {
 BRONZE = {"deforestation": deforestation.bronze, "spending": spending.bronze, "tax": tax.bronze}
 
 
+def run_if_changed(spark: SparkSession, domain: str, landing: str, root: str, sep: str = ",", hash_bytes: int = 64 << 20, **run_kwargs) -> dict | None:
+    """Run a domain over all of ``landing`` if any file was added, changed under its name, or removed.
+
+    The files' state (path, length, modification time, content hash) is a table under the lake root,
+    compared by a join and replaced only after the run has succeeded.  Use this where a source
+    publishes under fixed names; ``run_incremental`` sees new names only.
+    """
+    base = os.path.join(root, "_state", f"landing_{domain}")
+    name = uuid.uuid4().hex
+    file_state(spark, landing, hash_bytes).write.parquet(f"{base}/{name}")
+    try:  # the log has a line "number state" per finished run
+        split = F.split("value", " ")
+        number, known = spark.read.text(f"{base}/log").select(F.max(F.struct(split[0].cast("int").alias("n"), split[1].alias("s"))).alias("m")).first()["m"]
+    except AnalysisException:
+        number, known = 0, None
+    before = spark.read.parquet(f"{base}/{known}") if known else None
+    changes = changed_files(spark.read.parquet(f"{base}/{name}"), before).groupBy("change").count().collect()  # three rows at most
+    if not changes:
+        return None
+    summary = DOMAINS[domain][0](spark, landing, root, sep=sep, **run_kwargs)
+    spark.createDataFrame([(f"{number + 1} {name}",)], "value string").coalesce(1).write.mode("append").text(f"{base}/log")
+    summary["changes"] = {r["change"]: r["count"] for r in changes}
+    return summary
+
+
 def run_incremental(
     spark: SparkSession,
     domain: str,

@@ -88,6 +88,35 @@ def process_new_files(
     )
 
 
+def file_state(spark: SparkSession, landing: str, hash_bytes: int = 64 << 20) -> DataFrame:
+    """``path, length, modified, digest`` of every file under ``landing`` (a folder or a glob).
+
+    ``digest`` is the SHA-256 of the content.  A file is read as one value for it, so files over
+    ``hash_bytes`` go by length and modification time alone (digest NULL).
+    """
+    reader = spark.read.format("binaryFile")
+    kept = ["path", "length", F.col("modificationTime").alias("modified")]
+    small = reader.load(landing).where(F.col("length") <= hash_bytes).select(*kept, F.sha2("content", 256).alias("digest"))
+    large = reader.load(landing).where(F.col("length") > hash_bytes).select(*kept, F.lit(None).cast("string").alias("digest"))
+    return small.unionByName(large)
+
+
+def changed_files(state: DataFrame, before: DataFrame | None) -> DataFrame:
+    """``path, change``: files ``added``, ``changed`` or ``removed`` since an earlier ``file_state``.
+
+    A file published again under its name is changed when its content is; for a file without a digest,
+    when its length or modification time is.  A touched file with the same content is not.
+    """
+    if before is None:
+        return state.select("path", F.lit("added").alias("change"))
+    old = before.select("path", *[F.col(c).alias(f"_{c}") for c in ("length", "modified", "digest")], F.lit(True).alias("_known"))
+    both = state.withColumn("_here", F.lit(True)).join(old, "path", "full_outer")
+    same = F.when(F.col("digest").isNotNull() & F.col("_digest").isNotNull(), F.col("digest") == F.col("_digest")).otherwise(
+        (F.col("length") == F.col("_length")) & (F.col("modified") == F.col("_modified")))
+    change = F.when(F.col("_known").isNull(), "added").when(F.col("_here").isNull(), "removed").when(~same, "changed")
+    return both.select("path", change.alias("change")).where("change IS NOT NULL")
+
+
 def row_fingerprint(df: DataFrame, columns: Sequence[str]) -> F.Column:
     """128-bit fingerprint of the row's values as two 64-bit hashes.
 

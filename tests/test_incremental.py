@@ -58,3 +58,15 @@ def test_failed_batch_is_retried_on_the_next_run(spark, scratch):
     seen = []
     process_new_files(spark, f"{landing}/*", schema, ckpt, lambda df, bid: seen.append(df.count()))
     assert seen == [2]
+
+
+def test_microsecond_changes_are_changes(spark):
+    old = spark.sql("SELECT 1 AS k, TIMESTAMP '2020-01-01 00:00:00.000001' AS t, CAST(NULL AS STRING) AS s UNION ALL SELECT 2, TIMESTAMP '2020-01-01', NULL")
+    new = spark.sql("SELECT 1 AS k, TIMESTAMP '2020-01-01 00:00:00.000002' AS t, CAST(NULL AS STRING) AS s UNION ALL SELECT 2, TIMESTAMP '2020-01-01', NULL")
+    assert {r.k: r.change_type for r in diff_snapshots(old, new, ["k"]).collect()} == {1: "changed", 2: "unchanged"}
+
+
+def test_nulls_do_not_swap_between_columns(spark):
+    old = spark.createDataFrame([(1, "a", None)], "k int, x string, y string")
+    new = spark.createDataFrame([(1, None, "a")], "k int, x string, y string")
+    assert diff_snapshots(old, new, ["k"]).first().change_type == "changed"

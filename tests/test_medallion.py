@@ -176,3 +176,72 @@ def test_latin1_raw_drop(spark, scratch, tmp_path):
     main(["run", "deforestation", "--raw", raw_dir, "--root", root, "--encoding", "ISO-8859-1"])
     biome = {r.year: r.biome for r in read_table(spark, medallion.Layout(root).gold("deforestation_by_biome")).collect()}
     assert biome == {2020: "Amazonia", 2021: "Amazonia"}
+
+
+@pytest.mark.parametrize("cap", [1, 2, None])
+def test_years_over_several_files_do_not_depend_on_batches(spark, scratch, cap):
+    """A year in several files keeps all its rows, whatever the batch size; later files add to earlier years."""
+    root, landing = scratch("lake-split"), scratch("landing-split")
+    raw = fx.deforestation_raw(spark)
+    for i in range(3):
+        write_csv(raw.where(F.pmod(F.crc32("state"), F.lit(3)) == i).coalesce(1), f"{landing}/d{i}")
+    medallion.run_incremental(spark, "deforestation", f"{landing}/*", root, max_files_per_batch=cap, audit=False)
+    silver = read_table(spark, medallion.Layout(root).silver("deforestation"))
+    assert silver.count() == 57
+    late = spark.createDataFrame([("2024", "Amazon", "TO", "1"), ("x", "Amazon", "TO", "2"), ("2024", "Amazon", "RR", "NaN")], raw.schema)
+    write_csv(late.coalesce(1), f"{landing}/late")
+    medallion.run_incremental(spark, "deforestation", f"{landing}/*", root, audit=False)
+    assert read_table(spark, medallion.Layout(root).silver("deforestation")).count() == 58
+    rejected = read_table(spark, medallion.Layout(root).rejected("deforestation")).collect()
+    assert sorted(r._reject_reason for r in rejected) == ["bad_area_km2", "bad_year"]
+
+
+def test_a_batch_without_a_readable_year_is_kept_as_rejects(spark, scratch):
+    root, landing = scratch("lake-noyear"), scratch("landing-noyear")
+    write_csv(spark.createDataFrame([("2020d", "Amazon", "PA", "1")], fx.deforestation_raw(spark).schema).coalesce(1), f"{landing}/d")
+    assert medallion.run_incremental(spark, "deforestation", f"{landing}/*", root, audit=False) == []
+    assert [r._reject_reason for r in read_table(spark, medallion.Layout(root).rejected("deforestation")).collect()] == ["bad_year"]
+
+
+def test_run_if_changed_sees_a_file_published_again(spark, scratch):
+    import os
+
+    root, landing = scratch("lake-changed"), scratch("landing-changed")
+    os.makedirs(landing)
+    rows = [r for r in fx.deforestation_raw(spark).collect()]
+
+    def publish(name, rows):
+        with open(f"{landing}/{name}", "w") as f:
+            f.write("year,biome,state,area_km2\n" + "".join(",".join(r) + "\n" for r in rows))
+
+    publish("a.csv", rows)
+    run = lambda: medallion.run_if_changed(spark, "deforestation", landing, root, audit=False)
+    assert run()["changes"] == {"added": 1}
+    assert run() is None
+    publish("a.csv", rows)  # the same content again
+    assert run() is None
+    publish("a.csv", [(y, b, s, "7000" if (y, s) == ("2024", "ALL") else a) for y, b, s, a in rows])
+    publish("b.csv", [("2025", "Amazon", "ALL", "5000")])
+    assert run()["changes"] == {"changed": 1, "added": 1}
+    gold = {r.year: r.area_km2 for r in read_table(spark, medallion.Layout(root).gold("deforestation_by_biome")).collect()}
+    assert gold[2024] == 7000.0 and gold[2025] == 5000.0
+
+
+def test_amounts_a_sum_cannot_hold_are_rejected(spark, scratch):
+    root = scratch("lake-amounts")
+    base = [("2020", "Saude", "x", "10", "9"), ("2020", "Saude", "x", "1", "NaN"), ("2020", "Saude", "x", "1", "Infinity"),
+            ("2020", "Saude", "x", "1", "2e16"), ("2020", "Saude", "x", "1", "100d"), ("9007199254740993", "Saude", "x", "1", "1")]
+    raw = spark.createDataFrame(base, "year string, functional_category string, description string, budgeted_brl string, executed_brl string")
+    medallion.run_spending(spark, raw, root, audit=False)
+    (gold,) = read_table(spark, medallion.Layout(root).gold("spending_by_function")).collect()
+    assert (gold.budgeted_brl, gold.executed_brl) == (10.0, 9.0)
+    reasons = sorted(r._reject_reason for r in read_table(spark, medallion.Layout(root).rejected("spending")).collect())
+    assert reasons == ["bad_executed_brl"] * 3 + ["bad_year", "range_executed_brl"]
+
+
+def test_whole_numbers_are_read_exactly(spark):
+    from strata.plans.common import typed_int, typed_long
+
+    df = spark.createDataFrame([("9007199254740993",), ("-9223372036854775808",), ("12.5",), ("1e3",), ("12f",), ("99999999999999999999",), (" 7 ",), (None,)], "s string")
+    got = [tuple(r) for r in df.select(typed_long("s"), typed_int("s")).collect()]
+    assert got == [(9007199254740993, None), (-9223372036854775808, None), (12, 12), (1000, 1000), (None, None), (None, None), (7, 7), (None, None)]

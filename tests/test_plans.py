@@ -95,3 +95,31 @@ def test_fact_tables_scanned_once(spark, name):
             counts[table] = counts.get(table, 0) + 1
     for table, n in SINGLE_SCANS[name].items():
         assert counts.get(table, 0) == n, (name, counts)
+
+
+@pytest.fixture()
+def no_broadcasts(spark):
+    """What a large cluster plans: every join shuffles."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]
+    old = {n: spark.conf.get(n) for n in names}
+    spark.conf.set(names[0], "-1")
+    spark.conf.set(names[1], "false")
+    yield
+    for n, v in old.items():
+        spark.conf.set(n, v)
+
+
+def test_one_exchange_serves_the_order_aggregate_and_its_join(spark, no_broadcasts):
+    from strata.plans import tpch_analogues as A
+
+    plan = A.tax_rows(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(o_orderkey", plan)) == 1
+
+
+@pytest.mark.parametrize("name", ["q_annual_trend", "q_allocate", "q_sql_stage", "q_gold_views", "q_posexplode_series"])
+def test_orders_are_aggregated_before_the_customer_join(spark, no_broadcasts, name):
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for block in re.findall(r"Exchange hashpartitioning\([^)]*\)[^\n]*\n[^\n]*", plan):
+        assert "FileScan" not in block or "o_totalprice" not in block, block
