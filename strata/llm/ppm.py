@@ -30,7 +30,7 @@ from strata.session import scratch_path
 
 ORDER = 3
 EDGE = 0xFF  # stands before and after a text; the byte doesn't occur in UTF-8
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 FAN = 64  # chunks merged, or answered, in one task
 WORD_BUCKET_BYTES = 32 << 20  # text per bucket of words
 END = int(textops.mix64(np.array([0x00C0FFEE], np.uint64))[0])  # the end token's hash
@@ -192,10 +192,17 @@ def _kind(df: DataFrame) -> str:
     return df.schema["id"].dataType.simpleString()
 
 
+def _bucket(keys: np.ndarray, kind: str, word_buckets: int) -> np.ndarray:
+    return (keys % np.uint64(word_buckets) if kind == "word" else keys >> 8 & 255).astype(np.int64)
+
+
 def _chunks(docs: DataFrame, word_buckets: int, chunk_bytes: int) -> DataFrame:
-    """Rows of three kinds: ``doc`` (the documents of a chunk), ``word`` and ``gram`` (its counts per bucket)."""
-    names = ["kind", "chunk", "id", "held", "text", "bucket", "keys", "counts"]
-    types = [pa.string(), pa.int64(), None, pa.bool_(), pa.string(), pa.int32(), pa.binary(), pa.binary()]
+    """Rows of three kinds: ``doc`` (some documents of a chunk, their lower-case bytes compressed), ``word`` and ``gram`` (the chunk's counts per bucket)."""
+    names = ["kind", "chunk", "ids", "held", "offsets", "blob", "bucket", "keys", "counts"]
+    types = [pa.string(), pa.int64(), None, pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+
+    def rows_of(n, **columns):
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, types, strict=True)], names)
 
     def run(batches):
         first = TaskContext.get().partitionId() << 24
@@ -205,14 +212,12 @@ def _chunks(docs: DataFrame, word_buckets: int, chunk_bytes: int) -> DataFrame:
         def report():
             for kind, (asked, learned) in seen.items():
                 keys, counts = _tally(asked, learned)
-                bucket = (keys % np.uint64(word_buckets)).astype(np.int64) if kind == "word" else (keys >> 8 & 255).astype(np.int64)
-                rows = list(_split(keys, counts, bucket))
-                columns = [[kind] * len(rows), [first + seq] * len(rows), pa.nulls(len(rows), types[2]), pa.nulls(len(rows), pa.bool_()), pa.nulls(len(rows), pa.string())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*columns, *map(list, zip(*rows, strict=True))], types, strict=True)], names)
+                bucket, keys, counts = zip(*_split(keys, counts, _bucket(keys, kind, word_buckets)), strict=True)
+                yield rows_of(len(keys), kind=[kind] * len(keys), chunk=[first + seq] * len(keys), bucket=bucket, keys=keys, counts=counts)
 
         for batch in batches:
-            types[2] = batch.schema.field("id").type
-            for lo, hi in textops.slices(batch.column("text"), min(chunk_bytes, 1 << 20)):
+            types[2] = pa.list_(batch.schema.field("id").type)
+            for lo, hi in textops.slices(batch.column("text"), min(chunk_bytes, 1 << 19)):
                 part = batch.slice(lo, hi - lo)
                 data, offsets = textops.text_bytes(part.column("text"))
                 data, learn = textops.LOWER[data], ~part.column("held").to_numpy(zero_copy_only=False)
@@ -220,9 +225,8 @@ def _chunks(docs: DataFrame, word_buckets: int, chunk_bytes: int) -> DataFrame:
                     mask = np.repeat(learn, np.diff(before))
                     seen[kind][0].append(np.unique(values[~mask]))
                     seen[kind][1].append(values[mask])
-                nothing = pa.nulls(len(part))
-                yield pa.RecordBatch.from_arrays([pa.array(["doc"] * len(part)), pa.array(np.full(len(part), first + seq)), part.column("id"), part.column("held"), part.column("text"),
-                                                  nothing.cast(pa.int32()), nothing.cast(pa.binary()), nothing.cast(pa.binary())], names)
+                blob = pa.compress(data.tobytes(), "zstd", asbytes=True)
+                yield rows_of(1, kind=["doc"], chunk=[first + seq], ids=[part.column("id").to_pylist()], held=[part.column("held").to_pylist()], offsets=[offsets.tobytes()], blob=[blob])
                 size += len(data)
                 if size >= chunk_bytes:
                     yield from report()
@@ -231,7 +235,7 @@ def _chunks(docs: DataFrame, word_buckets: int, chunk_bytes: int) -> DataFrame:
         if size or seen["word"][0]:
             yield from report()
 
-    return docs.mapInArrow(run, f"kind string, chunk long, id {_kind(docs)}, held boolean, text string, bucket int, keys binary, counts binary")
+    return docs.mapInArrow(run, f"kind string, chunk long, ids array<{_kind(docs)}>, held array<boolean>, offsets binary, blob binary, bucket int, keys binary, counts binary")
 
 
 def _width(kind: str):
@@ -260,7 +264,7 @@ def _merged(counts: DataFrame, kind: str, chunks: int) -> DataFrame:
 
 
 def _answers(requests: DataFrame, model: DataFrame, kind: str, chunks: int) -> DataFrame:
-    """``chunk, kind, keys, answers`` for every request; a task answers about ``FAN`` chunks of a bucket."""
+    """``chunk, kind, bucket, answers`` for every request, in the order of its keys; a task answers about ``FAN`` chunks of a bucket."""
     dtype, parts = _width(kind), -(-chunks // FAN)
     salted = requests.select("chunk", "bucket", "keys", F.pmod(F.xxhash64("chunk"), F.lit(parts)).alias("part"))
     spread = model.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>")))
@@ -268,39 +272,49 @@ def _answers(requests: DataFrame, model: DataFrame, kind: str, chunks: int) -> D
     def answer(asked, known):
         keys, values = _joined(known.column("keys"), dtype), _joined(known.column("answers"), np.float64)
         out = [values[np.searchsorted(keys, np.frombuffer(b.as_buffer(), dtype))].tobytes() for b in asked.column("keys")]
-        return pa.table({"chunk": asked.column("chunk"), "kind": pa.array([kind] * len(out), pa.string()), "keys": asked.column("keys"), "answers": pa.array(out, pa.binary())})
+        return pa.table({"chunk": asked.column("chunk"), "kind": pa.array([kind] * len(out), pa.string()), "bucket": asked.column("bucket"), "answers": pa.array(out, pa.binary())})
 
-    return salted.groupBy("bucket", "part").cogroup(spread.groupBy("bucket", "part")).applyInArrow(answer, "chunk long, kind string, keys binary, answers binary")
+    return salted.groupBy("bucket", "part").cogroup(spread.groupBy("bucket", "part")).applyInArrow(answer, "chunk long, kind string, bucket int, answers binary")
 
 
 _place: list[np.ndarray] = []  # context -> row, one table of 2**24 per worker process, cleared after use
 
 
-def score_chunk(ids, held, column, words, word_counts, grams, gram_logs, total: int, distinct: int) -> dict:
-    """Scores of the documents of one chunk, given the model's answers for all its words and contexts."""
+def _answered(values: list[np.ndarray], kind: str, word_buckets: int, answers: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct keys of a chunk, ascending, and the model's answer to each): requests went out in this order per bucket."""
+    keys = np.unique(np.concatenate(values))
+    bucket = _bucket(keys, kind, word_buckets)
+    out = np.empty(len(keys))
+    for b in np.unique(bucket):
+        out[bucket == b] = answers[int(b)]
+    return keys, out
+
+
+def score_chunk(parts, answers: dict[str, dict[int, np.ndarray]], word_buckets: int, total: int, distinct: int) -> list[dict]:
+    """Scores of the documents of one chunk; ``parts`` are (lower-case bytes, offsets), ``answers`` the model's, by kind and bucket."""
     if not _place:
         _place.append(np.zeros(1 << 24, np.int32))
     place = _place[0]
+    tokens = [word_tokens(data, offsets) for data, offsets in parts]
+    words, word_counts = _answered([np.unique(t) for t, _ in tokens], "word", word_buckets, answers["word"])
+    grams, gram_logs = _answered([np.unique(context_keys(data, offsets)[0]) for data, offsets in parts], "gram", word_buckets, answers["gram"])
     contexts, row = np.unique(grams >> 8, return_inverse=True)
     place[contexts] = np.arange(len(contexts))
     table = np.zeros(len(contexts) * 256)
     table[row * 256 + (grams & 255).astype(np.int64)] = gram_logs
-    order = np.argsort(words)
-    words, word_counts = words[order], word_counts[order]
     logs = np.log10(word_counts + 0.1) - math.log10(total + 0.1 * (distinct + 1))
-    out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
-    for lo, hi in textops.slices(column):
-        data, offsets = textops.text_bytes(column.slice(lo, hi - lo))
-        data = textops.LOWER[data]
-        tokens, before = word_tokens(data, offsets)
-        at = np.searchsorted(words, tokens)
-        out["n_tokens"].append(np.diff(before))
-        out["n_known"].append(np.add.reduceat((word_counts[at] > 0).astype(np.int64), before[:-1]))
-        out["base_score"].append(np.add.reduceat(logs[at], before[:-1]))
-        keys, before = context_keys(data, offsets)
-        out["score"].append(np.add.reduceat(table[place[keys >> 8] * np.int64(256) + (keys & 255)], before[:-1]))
+    out = []
+    for (data, offsets), (token, before) in zip(parts, tokens, strict=True):
+        at, heads = np.searchsorted(words, token), before[:-1]
+        keys, starts = context_keys(data, offsets)
+        out.append({
+            "n_tokens": np.diff(before),
+            "n_known": np.add.reduceat((word_counts[at] > 0).astype(np.int64), heads),
+            "base_score": np.add.reduceat(logs[at], heads),
+            "score": np.add.reduceat(table[place[keys >> 8] * np.int64(256) + (keys & 255)], starts[:-1]),
+        })
     place[contexts] = 0
-    return {"id": ids, "held_out": held, **{k: np.concatenate(v) for k, v in out.items()}}
+    return out
 
 
 def code_lengths(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -317,7 +331,8 @@ def code_lengths(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(True)).alias("held"), text.alias("text"))
     n_bytes = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     path = scratch_path(spark, "ppm-chunks")
-    _chunks(source, max(8, -(-n_bytes // WORD_BUCKET_BYTES)), chunk_bytes).write.parquet(path)
+    word_buckets = max(8, -(-n_bytes // WORD_BUCKET_BYTES))
+    _chunks(source, word_buckets, chunk_bytes).write.parquet(path)
     rows = spark.read.parquet(path)
     chunks = rows.where("kind = 'gram'").agg(F.countDistinct("chunk")).first()[0] or 1
 
@@ -357,19 +372,22 @@ def code_lengths(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col
     found = _answers(rows.where("kind = 'word'"), words.repartition("bucket").mapInArrow(as_floats, answered), "word", chunks).unionByName(
         _answers(rows.where("kind = 'gram'"), grams.repartition("bucket").mapInArrow(learned, answered), "gram", chunks))
 
-    def score(documents, answers):
-        kind = answers.column("kind").to_numpy()
-        words_, grams_ = (answers.filter(pa.array(kind == k)) for k in ("word", "gram"))
-        text = documents.column("text").combine_chunks()
-        if isinstance(text, pa.ChunkedArray):
-            text = text.chunk(0)
-        got = score_chunk(documents.column("id"), documents.column("held"), text, _joined(words_.column("keys"), np.uint64), _joined(words_.column("answers"), np.float64),
-                          _joined(grams_.column("keys"), np.uint32), _joined(grams_.column("answers"), np.float64), total, distinct)
-        return pa.table(got)
-
-    documents = rows.where("kind = 'doc'").select("chunk", "id", "held", "text")
+    def score(documents, found_):
+        answers = {"word": {}, "gram": {}}
+        for kind, bucket, blob in zip(found_.column("kind").to_pylist(), found_.column("bucket").to_pylist(), found_.column("answers"), strict=True):
+            answers[kind][bucket] = np.frombuffer(blob.as_buffer(), np.float64)
+        parts = []
+        for offsets, blob in zip(documents.column("offsets"), documents.column("blob"), strict=True):
+            offsets = np.frombuffer(offsets.as_buffer(), np.int64)
+            parts.append((np.frombuffer(pa.decompress(blob.as_buffer(), int(offsets[-1]), "zstd", asbytes=True), np.uint8), offsets))
+        got = score_chunk(parts, answers, word_buckets, total, distinct)
+        columns = {name: np.concatenate([g[name] for g in got]) for name in got[0]}
+        ids, held_ = (documents.column(c).combine_chunks().flatten() for c in ("ids", "held"))
+        return pa.table({"id": ids, "held_out": held_, **columns})
+
+    documents = rows.where("kind = 'doc'").select("chunk", "ids", "held", "offsets", "blob")
     scored = documents.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
-        score, f"id {_kind(documents)}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        score, f"id {_kind(source)}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
 
 
