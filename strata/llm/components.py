@@ -34,16 +34,14 @@ def components(edges: DataFrame) -> DataFrame:
         df.write.parquet(path)
         return spark.read.parquet(path)
 
-    def state(df):
-        return df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+    def finished(df):
+        """Stars: every node has one neighbour, and no centre has one of its own."""
+        several = df.groupBy("u").count().where("count > 1")
+        chained = df.select("v").distinct().join(df.select(F.col("u").alias("v")), "v", "left_semi")
+        return several.isEmpty() and chained.isEmpty()
 
     edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
-    before = state(edges)
-    while True:
+    while not finished(edges):
         edges = written(_star(_star(edges, large=True), large=False))
-        now = state(edges)
-        if now == before:
-            break
-        before = now
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

@@ -36,7 +36,7 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # base**i and its inve
 
 def _power_tables(n: int) -> list[np.ndarray]:
     if len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 19)
         for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
             table = np.full(size, base, np.uint64)
             table[0] = 1
@@ -58,8 +58,9 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(column, max_bytes: int = 1 << 20):
-    """Split a string column into (start, stop) row ranges of about ``max_bytes`` (one long text may exceed it)."""
+def slices(column, max_bytes: int = 1 << 18):
+    """Split a string column into (start, stop) row ranges of about ``max_bytes``, which keeps the arrays of a slice in
+    the processor's cache; one long text may exceed it."""
     _, offsets = text_bytes(column)
     at, n = 0, len(offsets) - 1
     while at < n:
@@ -106,21 +107,28 @@ def window_hashes(words: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     return total
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> list[np.ndarray]:
-    """Per text the sorted distinct hashes of its k-word shingles (the whole sequence if shorter; none without words)."""
+def shingles(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, bounds): the sorted distinct hashes of each text's k-word shingles.
+
+    A text of fewer words has one, its whole sequence; a text without words has none.
+    """
     data = LOWER[data]
     starts, ends, bounds = word_spans(data, offsets)
     words = span_hashes(data, starts, ends)
-    first, before = window_index(bounds, k)
-    hashes = window_hashes(words, first, k)
     n_words = np.diff(bounds)
-    short = {}
+    counts = np.where(n_words >= k, n_words - k + 1, n_words > 0)
+    before = np.concatenate([[0], np.cumsum(counts)])
+    first = np.arange(before[-1]) + np.repeat(bounds[:-1] - before[:-1], counts)
+    long = np.repeat(n_words >= k, counts)
+    hashes = np.empty(len(first), np.uint64)
+    hashes[long] = window_hashes(words, first[long], k)
     for n in range(1, k):
         texts = np.flatnonzero(n_words == n)
-        for d, h in zip(texts, window_hashes(words, bounds[:-1][texts], n), strict=True):
-            short[d] = np.array([h], np.uint64)
-    none = np.zeros(0, np.uint64)
-    return [
-        np.unique(hashes[before[d] : before[d + 1]]) if n_words[d] >= k else short.get(d, none)
-        for d in range(len(n_words))
-    ]
+        hashes[before[texts]] = window_hashes(words, bounds[texts], n)
+    for d in np.flatnonzero(counts > 1):
+        hashes[before[d] : before[d + 1]].sort()
+    keep = np.ones(len(hashes), bool)
+    keep[1:] = hashes[1:] != hashes[:-1]
+    keep[before[:-1][counts > 0]] = True
+    kept = np.concatenate([[0], np.cumsum(keep)])
+    return hashes[keep], kept[before]

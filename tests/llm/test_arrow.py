@@ -58,7 +58,8 @@ def test_measures_and_shingles():
     texts = ODD_TEXTS + ["".join(rnd.choice("ab \n\t#é") for _ in range(rnd.randint(0, 90))) for _ in range(300)]
     got = quality_rules.measure_texts(pa.array(texts))
     assert [[int(got[m][i]) for m in quality_rules.METRICS] for i in range(len(texts))] == [brute_measures(t) for t in texts]
-    sets, want = textops.shingles(*textops.text_bytes(pa.array(texts))), [brute_shingles(t) for t in texts]
+    hashes, bounds = textops.shingles(*textops.text_bytes(pa.array(texts)))
+    sets, want = [hashes[a:b] for a, b in itertools.pairwise(bounds)], [brute_shingles(t) for t in texts]
     assert [len(s) for s in sets] == [len(s) for s in want]
     for i, j in itertools.combinations(range(0, len(texts), 5), 2):
         assert len(np.intersect1d(sets[i], sets[j])) == len(want[i] & want[j])
@@ -261,16 +262,19 @@ def near_texts(rnd, words, copies, change):
     return [" ".join(w if rnd.random() > change else f"m{rnd.randint(0, 10**6)}" for w in base) for _ in range(copies)]
 
 
-@pytest.mark.parametrize(("rounds", "list_max"), [(2, jaccard_join.LIST_MAX), (0, jaccard_join.LIST_MAX), (1, 3)])
-def test_jaccard_components(spark, monkeypatch, rounds, list_max):
+@pytest.mark.parametrize(("list_max", "block"), [(jaccard_join.LIST_MAX, jaccard_join.HOOD_BLOCK), (3, 4)])
+def test_jaccard_components(spark, monkeypatch, list_max, block):
+    monkeypatch.setattr(jaccard_join, "PARTNERS", 5)
+    monkeypatch.setattr(jaccard_join, "HOOD_BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "PROBES", 50 * block)
     rnd = random.Random(7)
     passage = " ".join(f"p{k}" for k in range(40))
     texts = list(ODD_TEXTS)
-    for change in (0.0, 0.01, 0.02, 0.03, 0.05):
+    for change in (0.0, 0.01, 0.02, 0.03, 0.05, 0.08):
         texts += near_texts(rnd, 90, 12, change) + near_texts(rnd, 30, 6, change)
     texts += [f"{passage} {' '.join(near_texts(rnd, 12, 1, 0))}" for _ in range(25)] + ["Same Words Here", "same words here", "a b c d e", "A B C D E f"]
     rows = [(i, t, "s") for i, t in enumerate(texts)] + [(9_000, texts[20], "s"), (None, texts[21], "s"), (None, "lonely words", "s"), (3, texts[3], "s")]
-    got = jaccard_join.jaccard_components(docs_of(spark, rows), rounds=rounds, list_max=list_max).collect()
+    got = jaccard_join.jaccard_components(docs_of(spark, rows), list_max=list_max).collect()
     sets = [brute_shingles(t) for _, t, _ in rows]
     edges = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     comp = brute_components(range(len(rows)), edges)
@@ -283,6 +287,40 @@ def test_jaccard_components(spark, monkeypatch, rounds, list_max):
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
 
 
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2**63, 4000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, n)) for n in (1, 5, 255, 256, 257, 900, 3000, 3500)] * 2
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    blob, ends = jaccard_join.bitmaps(np.concatenate(sets), bounds)
+    maps = [blob[a:b] for a, b in itertools.pairwise(ends)]
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        differ = len(np.setxor1d(sets[i], sets[j]))
+        assert jaccard_join.least_difference(maps[i], maps[j]) <= differ
+    assert jaccard_join.least_difference(maps[6], maps[14]) == 0 and jaccard_join.least_difference(maps[5], maps[7]) > 100
+
+
+def test_list_pairs_against_all_pairs(monkeypatch):
+    rnd = random.Random(11)
+    monkeypatch.setattr(jaccard_join, "PROBES", 7)
+    for _ in range(100):
+        n = rnd.randint(0, 60)
+        token, label, hood = (np.array([rnd.randint(0, 3) for _ in range(n)], np.int64) for _ in range(3))
+        sid, size = np.arange(n), np.array([rnd.randint(1, 30) for _ in range(n)], np.int64)
+        place = np.array([rnd.randint(0, max(0, s // 5)) for s in size], np.int64)
+        got = set(zip(*jaccard_join.list_pairs(token, sid, size, place, label, hood, 80, 100).tolist(), strict=True))
+        assert got == {(i, j) for i, j in itertools.combinations(range(n), 2) if token[i] == token[j] and label[i] != label[j] and hood[i] != hood[j]
+                       and 5 * min(size[i], size[j]) >= 4 * max(size[i], size[j]) and 180 * min(size[i] - place[i], size[j] - place[j]) >= 80 * (size[i] + size[j])}
+
+
+def test_tile_links_span_the_components():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 60).astype(np.uint64)
+    tokens = [np.unique(np.concatenate([base[rng.random(60) > c], rng.integers(0, 2**63, int(60 * c)).astype(np.uint64)])) for c in rng.uniform(0, 0.3, 60)]
+    edges = [(i, j) for i, j in itertools.combinations(range(60), 2) if 100 * (o := len(np.intersect1d(tokens[i], tokens[j]))) >= 80 * (len(tokens[i]) + len(tokens[j]) - o)]
+    assert brute_components(range(60), jaccard_join.tile_links(tokens, 80, 100)) == brute_components(range(60), edges)
+
+
 def test_jaccard_empty(spark):
     assert jaccard_join.jaccard_components(docs_of(spark, [])).count() == 0
     only = jaccard_join.jaccard_components(docs_of(spark, [(1, None, None), (2, "", None)])).collect()
