@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from strata.session import scratch_path
 
 
+SALTS = 16
+
+
 def content_hash(text: Column) -> tuple[Column, Column]:
     """128 bits of content hash as two longs."""
     return F.xxhash64(text), F.xxhash64(F.lit("second half"), text)
@@ -44,9 +47,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     else:
         best = F.max(F.struct(F.col("id").isNotNull().alias("some"), "id", "row"))
     groups = narrow.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
-    shared = groups.where("group_size > 1").select("h1", "h2")
-    members = rows.select("h1", "h2", "text").join(shared, ["h1", "h2"], "left_semi")
-    collided = members.groupBy("h1", "h2").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).where("lo != hi").select("h1", "h2")
+    # The texts of a group are compared in SALTS parts first, so a hot group is not one task.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))
+    shared = groups.where("group_size > 1").select("h1", "h2", salts.alias("salt"))
+    key = ["h1", "h2", "salt"]
+    members = rows.select("h1", "h2", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"), "text").join(shared, key, "left_semi")
+    parts = members.groupBy(key).agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
+    collided = parts.groupBy("h1", "h2").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("h1", "h2")
 
     clean = narrow.join(collided, ["h1", "h2"], "left_anti").join(groups, ["h1", "h2"])
     # Rows of collided hashes are grouped by their digest instead (and again by 128 bits of another family).
