@@ -201,7 +201,8 @@ def normalise(files: DataFrame, folder: str) -> DataFrame:
                 for lo in range(0, len(rows), 1000):
                     yield pa.RecordBatch.from_pylist(rows[lo : lo + 1000])
 
-    return files.select("path").repartition("path").mapInArrow(run, _INDEX)
+    # One task per file: the list is tiny, so left to itself Spark would merge all files into one task.
+    return files.select("path").repartition(max(1, files.count())).mapInArrow(run, _INDEX)
 
 
 def read_indexed(index: DataFrame) -> DataFrame:
@@ -234,7 +235,8 @@ def read_indexed(index: DataFrame) -> DataFrame:
         if stream is not None:
             stream.close()
 
-    placed = index.select("path", "offset", "length").repartition("path").sortWithinPartitions("path", "offset")
+    files = index.select("path").distinct().count()
+    placed = index.select("path", "offset", "length").repartition(max(1, files), "path").sortWithinPartitions("path", "offset")
     return placed.mapInArrow(run, "id string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary")
 
 
