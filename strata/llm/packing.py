@@ -206,6 +206,8 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 def _pack_round(items: DataFrame, n_items: int, capacity: int, round_no: int, islands: int, size: int, children: int, epochs: int) -> DataFrame:
     """``uid, size`` -> ``uid, sequence_id, offset, filled`` for one round over all blocks."""
     blocks = max(1, round(n_items / BLOCK))
+    # Rows are few and small but each is much work: so many tasks, whatever their bytes.
+    tasks = max(items.sparkSession.sparkContext.defaultParallelism, blocks * islands // 64)
     dealt = items.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(round_no)), F.lit(blocks)))
     state = dealt.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("size", "uid")), asc=False).alias("x")).select(
         "block", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), F.col("x.uid").alias("uids"), F.col("x.size").alias("sizes"),
@@ -215,7 +217,7 @@ def _pack_round(items: DataFrame, n_items: int, capacity: int, round_no: int, is
         if epoch:  # the best packing of each island also joins the next island of its block
             migrants = state.select("block", F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"), F.slice("population", 1, 1).alias("migrant"))
             state = state.join(migrants, ["block", "island"]).withColumn("population", F.concat("migrant", "population")).drop("migrant")
-        state = _written(_epoch(state.repartition("block", "island"), capacity, size, children, epoch), "packing-islands")
+        state = _written(_epoch(state.repartition(tasks, "block", "island"), capacity, size, children, epoch), "packing-islands")
     n = F.array_max(F.element_at("population", 1)) + 1
     best = state.groupBy("block").agg(F.min(F.struct(n.alias("n"), "island")).alias("b")).select("block", F.col("b.island").alias("island"))
 
