@@ -123,16 +123,22 @@ def q_quarantine_table(spark, sf_dir):
     return rejected.groupBy("run_id", F.col("_reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _publish(spark, df, folder, name):
-    """Write ``df`` as the one file ``folder/name``, replacing what was published under that name."""
+def _publish(spark, df, folder, name, key):
+    """Write ``df`` as the files ``folder/name-<part>.csv``, replacing what was published under that name.
+
+    Rows are dealt by the hash of ``key`` and sorted inside a part, so the same rows give the same files again.
+    """
     work = scratch_path(spark, "publish")
-    write_csv(df.coalesce(1), work)
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    write_csv(df.repartition(parts, key).sortWithinPartitions(*df.columns), work)
     hadoop = spark._jvm.org.apache.hadoop.fs
     store = hadoop.Path(work).getFileSystem(spark._jsc.hadoopConfiguration())
-    part = next(f.getPath() for f in store.globStatus(hadoop.Path(f"{work}/part-*")))
     store.mkdirs(hadoop.Path(folder))
-    store.delete(hadoop.Path(f"{folder}/{name}"), False)
-    store.rename(part, hadoop.Path(f"{folder}/{name}"))
+    for old in store.globStatus(hadoop.Path(f"{folder}/{name}-*.csv")):
+        store.delete(old.getPath(), False)
+    for part in store.globStatus(hadoop.Path(f"{work}/part-*")):
+        number = part.getPath().getName().split("-")[1]
+        store.rename(part.getPath(), hadoop.Path(f"{folder}/{name}-{number}.csv"))
 
 
 @register(
@@ -142,21 +148,24 @@ SELECT CASE l_linestatus_file WHEN 'F' THEN 'kept' WHEN 'O' THEN 'changed' ELSE
 FROM (SELECT o_orderstatus AS l_linestatus_file, count(*) AS n_rows FROM orders GROUP BY 1)""",
 )
 def q_republished_file(spark, sf_dir):
-    """A file rewritten under its name with other content is found by its hash; one rewritten alike is not."""
+    """Files rewritten under their names with other content are found by their hash; those rewritten alike are not."""
     root = scratch_path(spark, "republished")
-    o = A.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus").orderBy("o_orderkey")
-    of = lambda status: o.where(F.col("o_orderstatus") == status)
+    o = A.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+    def publish(status, df):
+        _publish(spark, df.where(F.col("o_orderstatus") == status), f"{root}/landing", status, "o_orderkey")
+
     for status in ("F", "O"):
-        _publish(spark, of(status), f"{root}/landing", f"{status}.csv")
+        publish(status, o)
     file_state(spark, f"{root}/landing").write.parquet(f"{root}/state")
-    _publish(spark, of("F"), f"{root}/landing", "F.csv")
-    _publish(spark, of("O").withColumn("o_totalprice", F.col("o_totalprice") + 1), f"{root}/landing", "O.csv")
-    _publish(spark, of("P"), f"{root}/landing", "P.csv")
+    publish("F", o)
+    publish("O", o.withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    publish("P", o)
     changes = changed_files(file_state(spark, f"{root}/landing"), spark.read.parquet(f"{root}/state"))
-    rows = read_csv(spark, f"{root}/landing").select("o_orderstatus")
-    named = changes.select(F.regexp_extract("path", r"([A-Z])\.csv$", 1).alias("o_orderstatus"), "change")
-    joined = rows.join(named, "o_orderstatus", "left")
-    return joined.groupBy(F.coalesce("change", F.lit("kept")).alias("change")).agg(F.count(F.lit(1)).alias("n_rows"))
+    named = changes.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "change")
+    rows = read_csv(spark, f"{root}/landing").groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    joined = rows.join(named, "file", "left")
+    return joined.groupBy(F.coalesce("change", F.lit("kept")).alias("change")).agg(F.sum("n").alias("n_rows"))
 
 
 @register("q_medallion_tax", TAX_GOLD_SQL)

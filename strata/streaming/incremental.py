@@ -10,8 +10,11 @@ schedule instead of being skipped.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -88,31 +91,58 @@ def process_new_files(
     )
 
 
+PIECE_BYTES = 8 << 20
+
+
+def _open(path: str):
+    """A file by the path that Spark lists it under, for reading in pieces."""
+    from pyarrow import fs
+
+    scheme, authority, rest = re.fullmatch(r"(?:([\w+.-]+):)?(?://([^/]*))?(/.*)", path, re.DOTALL).groups()
+    if scheme in (None, "file"):
+        return fs.LocalFileSystem().open_input_stream(rest, compression=None)
+    store, base = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{authority or ''}/")
+    return store.open_input_stream(base.rstrip("/") + rest, compression=None)
+
+
+def _digests(batches):
+    for batch in batches:
+        found = []
+        for path in batch.column("path").to_pylist():
+            digest = hashlib.sha256()
+            with _open(path) as f:
+                while piece := f.read(PIECE_BYTES):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "digest"])
+
+
 def file_state(spark: SparkSession, landing: str, hash_bytes: int = 64 << 20) -> DataFrame:
     """``path, length, modified, digest`` of every file under ``landing`` (a folder or a glob).
 
-    ``digest`` is the SHA-256 of the content.  A file is read as one value for it, so files over
-    ``hash_bytes`` go by length and modification time alone (digest NULL).
+    ``digest`` is the SHA-256 of the content, whatever the length.  A file of up to ``hash_bytes`` is
+    read as one value for it; a larger one is streamed in pieces through the hash, by the task that
+    lists it, from a store that ``pyarrow.fs`` knows (any other is an error, not a missing digest).  Spark
+    doesn't list empty files.
     """
     reader = spark.read.format("binaryFile")
     kept = ["path", "length", F.col("modificationTime").alias("modified")]
     small = reader.load(landing).where(F.col("length") <= hash_bytes).select(*kept, F.sha2("content", 256).alias("digest"))
-    large = reader.load(landing).where(F.col("length") > hash_bytes).select(*kept, F.lit(None).cast("string").alias("digest"))
-    return small.unionByName(large)
+    large = reader.load(landing).where(F.col("length") > hash_bytes).select(*kept)
+    return small.unionByName(large.mapInArrow(_digests, "path string, length long, modified timestamp, digest string"))
 
 
 def changed_files(state: DataFrame, before: DataFrame | None) -> DataFrame:
     """``path, change``: files ``added``, ``changed`` or ``removed`` since an earlier ``file_state``.
 
-    A file published again under its name is changed when its content is; for a file without a digest,
-    when its length or modification time is.  A touched file with the same content is not.
+    A file published again under its name is changed when its content is; a touched file with the same
+    content is not.  A file whose earlier state has no digest counts as changed.
     """
     if before is None:
         return state.select("path", F.lit("added").alias("change"))
-    old = before.select("path", *[F.col(c).alias(f"_{c}") for c in ("length", "modified", "digest")], F.lit(True).alias("_known"))
+    old = before.select("path", F.col("digest").alias("_digest"), F.lit(True).alias("_known"))
     both = state.withColumn("_here", F.lit(True)).join(old, "path", "full_outer")
-    same = F.when(F.col("digest").isNotNull() & F.col("_digest").isNotNull(), F.col("digest") == F.col("_digest")).otherwise(
-        (F.col("length") == F.col("_length")) & (F.col("modified") == F.col("_modified")))
+    same = F.coalesce(F.col("digest") == F.col("_digest"), F.lit(False))
     change = F.when(F.col("_known").isNull(), "added").when(F.col("_here").isNull(), "removed").when(~same, "changed")
     return both.select("path", change.alias("change")).where("change IS NOT NULL")
 

@@ -227,6 +227,26 @@ def test_run_if_changed_sees_a_file_published_again(spark, scratch):
     assert gold[2024] == 7000.0 and gold[2025] == 5000.0
 
 
+def test_run_if_changed_hashes_files_over_the_bound(spark, scratch):
+    import os
+
+    root, landing = scratch("lake-large"), scratch("landing-large")
+    os.makedirs(landing)
+
+    def publish(area, at):
+        with open(f"{landing}/a.csv", "w") as f:
+            f.write(f"year,biome,state,area_km2\n2024,Amazon,ALL,{area}\n")
+        os.utime(f"{landing}/a.csv", (at, at))
+
+    run = lambda: medallion.run_if_changed(spark, "deforestation", landing, root, hash_bytes=4, audit=False)
+    publish(5000, 1_600_000_000)
+    assert run()["changes"] == {"added": 1}
+    publish(5000, 1_700_000_000)
+    assert run() is None
+    publish(6000, 1_600_000_000)
+    assert run()["changes"] == {"changed": 1}
+
+
 def test_amounts_a_sum_cannot_hold_are_rejected(spark, scratch):
     root = scratch("lake-amounts")
     base = [("2020", "Saude", "x", "10", "9"), ("2020", "Saude", "x", "1", "NaN"), ("2020", "Saude", "x", "1", "Infinity"),
