@@ -14,6 +14,8 @@ the state after each epoch, so a lost executor costs one epoch of some islands.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -29,10 +31,19 @@ BLOCK = 4096
 # --- tokens -------------------------------------------------------------------------------------
 
 _encoders: dict[str, object] = {}
+LONG_RUN = 100_000  # the ranks' encoder backtracks over a run of white space and fails within a million
+
+
+def _has_long_run(text: str) -> bool:
+    return len(text) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in re.finditer(r"\s+", text))
 
 
 def encoder(path: str):
-    """``text -> ids`` for a tokenizer file: ``.tiktoken`` ranks, or any file of the tokenizers library."""
+    """``text -> ids`` for a tokenizer file: ``.tiktoken`` ranks, or any file of the tokenizers library.
+
+    With ranks, a text with ``LONG_RUN`` white-space characters in a row goes through the ``.json`` file
+    of the same name, which gives the same ids for runs of any length.
+    """
     if path not in _encoders:
         if path.endswith(".tiktoken"):
             import base64
@@ -47,6 +58,8 @@ def encoder(path: str):
             (name,) = end
 
             def encode(text, model=model, name=name):
+                if _has_long_run(text):
+                    return encoder(path.removesuffix(".tiktoken") + ".json")(text)
                 return model.encode(text, allowed_special="all") if name in text else model.encode_ordinary(text)
         else:
             from tokenizers import Tokenizer

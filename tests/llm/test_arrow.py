@@ -145,6 +145,21 @@ def test_encoders_agree():
         assert fast(text) == slow(text)
 
 
+def test_encoders_agree_on_long_runs(spark, monkeypatch):
+    fast, slow = packing.encoder(RANKS), packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    n = 2_000_000
+    texts = ["a" + " " * n + "b <|endoftext|>", "\n" * n, " " * (packing.LONG_RUN - 1) + "x"]
+    want = [slow(t) for t in texts]
+    assert [fast(t) for t in texts] == want
+    pieces = packing.token_pieces(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)]), RANKS, capacity=1 << 30).select("id", "ids").collect()
+    assert {r["id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in pieces} == {i: [*ids, 2] for i, ids in enumerate(want)}
+    monkeypatch.setattr(packing, "LONG_RUN", 3)
+    rnd = random.Random(6)
+    for _ in range(300):
+        text = "".join(rnd.choices(list("ab1. \n\t\u3000\x85\x1c"), k=60))
+        assert fast(text) == slow(text)
+
+
 def test_genetic_algorithm_keeps_items_and_improves():
     rng = np.random.default_rng(0)
     sizes = rng.choice([300, 340, 350, 400, 500, 520, 640, 700], 500)
