@@ -1,6 +1,6 @@
 """Language-model scores: prediction by partial matching (PPM) over bytes, and a unigram base score.
 
-The model is a trie of byte contexts up to order 3.  A symbol is predicted in the
+The model is a trie of byte contexts up to a given order (7 at most).  A symbol is predicted in the
 longest context that was seen; if it wasn't seen there, the model escapes to the
 next shorter context (escape estimate: the number of distinct symbols seen there),
 and symbols that the longer context would have predicted are excluded from the
@@ -18,6 +18,7 @@ totals; no model is broadcast.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from strata.llm import textops
 from strata.session import scratch_path
 
 ORDER = 3
+ORDER_MAX = 7  # a 64-bit key holds seven context bytes and the symbol
 EDGE = 0xFF  # stands before and after a text; the byte doesn't occur in UTF-8
 CHUNK_BYTES = 8 << 20
 FAN = 64  # chunks merged, or answered, in one task
@@ -75,16 +77,16 @@ class AdaptivePPM:
         return total
 
 
-def model_answers(keys: np.ndarray, counts: np.ndarray, zero: np.ndarray) -> np.ndarray:
-    """log10 probability of every 4-byte key (three context bytes, then the symbol) of one last context byte.
+def model_answers(keys: np.ndarray, counts: np.ndarray, zero: np.ndarray, orders: Sequence[int] = (ORDER,)) -> np.ndarray:
+    """log10 probability of every key (context bytes, then the symbol) of one last context byte: a row per order.
 
-    ``counts`` are training counts, 0 for keys that are only asked for; ``zero`` the 256 counts without context.
+    Keys have as many context bytes as the largest order; a smaller one takes the last of them.  ``counts`` are training counts, 0 for keys that are only asked for; ``zero`` the 256 counts without context.
     """
     keys = keys.astype(np.int64)
     symbol = keys & 255
     seen = counts > 0
     levels = []  # longest first: (row of each key, per row: count, distinct, mass of its symbols one level below; n of each key)
-    for n in (3, 2, 1, 0):
+    for n in range(max(orders), -1, -1):
         context = keys >> 8 & (1 << 8 * n) - 1
         rows, row = np.unique(context, return_inverse=True)
         if n == 0:
@@ -120,49 +122,55 @@ def model_answers(keys: np.ndarray, counts: np.ndarray, zero: np.ndarray) -> np.
         pair, n = entries(table)
         total, distinct = np.bincount(pair // 256, n, minlength=len(rows)), np.bincount(pair // 256, minlength=len(rows))
         below = np.zeros(len(rows))
-        if i < 3:
+        if i < len(levels) - 1:
             lower_rows, _, lower = levels[i + 1]
-            shorter = np.searchsorted(lower_rows, rows & (1 << 8 * (2 - i)) - 1)  # the row of each context's suffix
+            shorter = np.searchsorted(lower_rows, rows & (1 << 8 * (len(levels) - 2 - i)) - 1)  # the row of each context's suffix
             below = np.bincount(pair // 256, lookup(lower, shorter[pair // 256] * 256 + pair % 256), minlength=len(rows))
         stats.append((total, distinct, below))
 
-    out = np.zeros(len(keys))
-    open_ = np.ones(len(keys), bool)
-    gone_n, gone_d = np.zeros(len(keys)), np.zeros(len(keys), np.int64)  # excluded mass and symbols at the level at hand
-    for (rows, row, table), (total, distinct, below) in zip(levels, stats, strict=True):
-        n = lookup(table, row * 256 + symbol)
-        fresh = distinct[row] - gone_d
-        room = total[row] - gone_n + fresh
-        usable = open_ & (fresh > 0)
-        hit = usable & (n > 0)
-        out[hit] += np.log10(n[hit] / room[hit])
-        miss = usable & (n == 0)
-        out[miss] += np.log10(fresh[miss] / room[miss])
-        open_ &= n == 0
-        known = distinct[row] > 0
-        gone_n = np.where(known, below[row], 0.0)
-        gone_d = np.where(known, distinct[row], 0)
     rest = 256 - int((zero > 0).sum())
-    out[open_] -= math.log10(rest) if rest else 0.0
-    return out
+
+    def walk(order):
+        out = np.zeros(len(keys))
+        open_ = np.ones(len(keys), bool)
+        gone_n, gone_d = np.zeros(len(keys)), np.zeros(len(keys), np.int64)  # excluded mass and symbols at the level at hand
+        for (rows, row, table), (total, distinct, below) in list(zip(levels, stats, strict=True))[len(levels) - 1 - order :]:
+            n = lookup(table, row * 256 + symbol)
+            fresh = distinct[row] - gone_d
+            room = total[row] - gone_n + fresh
+            usable = open_ & (fresh > 0)
+            hit = usable & (n > 0)
+            out[hit] += np.log10(n[hit] / room[hit])
+            miss = usable & (n == 0)
+            out[miss] += np.log10(fresh[miss] / room[miss])
+            open_ &= n == 0
+            known = distinct[row] > 0
+            gone_n = np.where(known, below[row], 0.0)
+            gone_d = np.where(known, distinct[row], 0)
+        out[open_] -= math.log10(rest) if rest else 0.0
+        return out
+
+    return np.stack([walk(order) for order in orders])
 
 
 # --- chunks -------------------------------------------------------------------------------------
 
 
-def context_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(4-byte keys of every byte and every end, keys before each text)."""
+def context_keys(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """(keys of every byte and every end: ``order`` context bytes and the symbol, keys before each text)."""
     n = np.diff(offsets)
-    starts = offsets[:-1] + 4 * np.arange(len(n))
-    padded = np.full(len(data) + 4 * len(n), EDGE, np.uint32)
+    starts = offsets[:-1] + (order + 1) * np.arange(len(n))
+    padded = np.full(len(data) + (order + 1) * len(n), EDGE, np.uint64)
     text = np.ones(len(padded), bool)
-    for j in range(3):
+    for j in range(order):
         text[starts + j] = False
-    text[starts + n + 3] = False
+    text[starts + n + order] = False
     padded[text] = data
-    text[starts + n + 3] = True  # the end is predicted too
+    text[starts + n + order] = True  # the end is predicted too
     at = np.flatnonzero(text)
-    keys = padded[at - 3] << 24 | padded[at - 2] << 16 | padded[at - 1] << 8 | padded[at]
+    keys = padded[at]
+    for j in range(1, order + 1):
+        keys |= padded[at - j] << np.uint64(8 * j)
     return keys, np.concatenate([[0], np.cumsum(n + 1)])
 
 
@@ -172,20 +180,48 @@ def word_tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.insert(textops.span_hashes(data, starts, ends), bounds[1:], np.uint64(END)), bounds + np.arange(len(bounds))
 
 
-def _tally(values: list[np.ndarray], learned: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(all distinct values, how often each was among the learned ones)."""
-    known, n = np.unique(np.concatenate(learned), return_counts=True)
+def _tally(values: list[np.ndarray], learned: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(all distinct values, how often each was among the learned ones, which come as (values, counts))."""
+    known, at = np.unique(np.concatenate([v for v, _ in learned]), return_inverse=True)
     keys = np.union1d(known, np.concatenate(values))
     counts = np.zeros(len(keys), np.int64)
-    counts[np.searchsorted(keys, known)] = n
+    counts[np.searchsorted(keys, known)] = np.bincount(at, np.concatenate([n for _, n in learned]), minlength=len(known))
     return keys, counts
 
 
+def _packed(values: np.ndarray) -> bytes:
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(blob, dtype) -> np.ndarray:
+    buffer = blob.as_buffer()
+    return np.frombuffer(pa.decompress(buffer.slice(8), int.from_bytes(buffer.slice(0, 8).to_pybytes(), "little"), "zstd", asbytes=True), dtype)
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as the byte planes of their differences, compressed."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+
+
+def _unpacked_keys(blob) -> np.ndarray:
+    planes = _unpacked(blob, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _joined(column, dtype) -> np.ndarray:
+    return np.concatenate([_unpacked(b, dtype) for b in column]) if len(column) else np.zeros(0, dtype)
+
+
+def _joined_keys(column) -> np.ndarray:
+    return np.concatenate([_unpacked_keys(b) for b in column]) if len(column) else np.zeros(0, np.uint64)
+
+
 def _split(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray):
     order = np.argsort(bucket, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         if len(part):
-            yield int(bucket[part[0]]), keys[part].tobytes(), counts[part].tobytes()
+            yield int(bucket[part[0]]), _packed_keys(keys[part]), _packed(counts[part])
 
 
 def _kind(df: DataFrame) -> str:
@@ -193,10 +229,10 @@ def _kind(df: DataFrame) -> str:
 
 
 def _bucket(keys: np.ndarray, kind: str, word_buckets: int) -> np.ndarray:
-    return (keys % np.uint64(word_buckets) if kind == "word" else keys >> 8 & 255).astype(np.int64)
+    return (keys % np.uint64(word_buckets) if kind == "word" else keys >> np.uint64(8) & np.uint64(255)).astype(np.int64)
 
 
-def _chunks(docs: DataFrame, word_buckets: int, chunk_bytes: int) -> DataFrame:
+def _chunks(docs: DataFrame, word_buckets: int, chunk_bytes: int, order: int) -> DataFrame:
     """Rows of three kinds: ``doc`` (some documents of a chunk, their lower-case bytes compressed), ``word`` and ``gram`` (the chunk's counts per bucket)."""
     names = ["kind", "chunk", "ids", "held", "offsets", "blob", "bucket", "keys", "counts"]
     types = [pa.string(), pa.int64(), None, pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
@@ -221,10 +257,10 @@ def _chunks(docs: DataFrame, word_buckets: int, chunk_bytes: int) -> DataFrame:
                 part = batch.slice(lo, hi - lo)
                 data, offsets = textops.text_bytes(part.column("text"))
                 data, learn = textops.LOWER[data], ~part.column("held").to_numpy(zero_copy_only=False)
-                for kind, (values, before) in (("word", word_tokens(data, offsets)), ("gram", context_keys(data, offsets))):
+                for kind, (values, before) in (("word", word_tokens(data, offsets)), ("gram", context_keys(data, offsets, order))):
                     mask = np.repeat(learn, np.diff(before))
                     seen[kind][0].append(np.unique(values[~mask]))
-                    seen[kind][1].append(values[mask])
+                    seen[kind][1].append(np.unique(values[mask], return_counts=True))
                 blob = pa.compress(data.tobytes(), "zstd", asbytes=True)
                 yield rows_of(1, kind=["doc"], chunk=[first + seq], ids=[part.column("id").to_pylist()], held=[part.column("held").to_pylist()], offsets=[offsets.tobytes()], blob=[blob])
                 size += len(data)
@@ -238,22 +274,12 @@ def _chunks(docs: DataFrame, word_buckets: int, chunk_bytes: int) -> DataFrame:
     return docs.mapInArrow(run, f"kind string, chunk long, ids array<{_kind(docs)}>, held array<boolean>, offsets binary, blob binary, bucket int, keys binary, counts binary")
 
 
-def _width(kind: str):
-    return np.uint64 if kind == "word" else np.uint32
-
-
-def _joined(column, dtype) -> np.ndarray:
-    return np.concatenate([np.frombuffer(b.as_buffer(), dtype) for b in column]) if len(column) else np.zeros(0, dtype)
-
-
-def _merged(counts: DataFrame, kind: str, chunks: int) -> DataFrame:
+def _merged(counts: DataFrame, chunks: int) -> DataFrame:
     """``bucket, keys, counts`` over all chunks, merged ``FAN`` at a time."""
-    dtype = _width(kind)
-
     def merge(key, table):
-        keys, at = np.unique(_joined(table.column("keys"), dtype), return_inverse=True)
+        keys, at = np.unique(_joined_keys(table.column("keys")), return_inverse=True)
         total = np.bincount(at, _joined(table.column("counts"), np.int64), minlength=len(keys)).astype(np.int64)
-        return pa.table({"part": pa.array([key[1].as_py()], pa.int64()), "bucket": pa.array([key[0].as_py()], pa.int32()), "keys": [keys.tobytes()], "counts": [total.tobytes()]})
+        return pa.table({"part": pa.array([key[1].as_py()], pa.int64()), "bucket": pa.array([key[0].as_py()], pa.int32()), "keys": [_packed_keys(keys)], "counts": [_packed(total)]})
 
     rows, parts = counts.select(F.col("chunk").alias("part"), "bucket", "keys", "counts"), chunks
     while True:
@@ -265,80 +291,84 @@ def _merged(counts: DataFrame, kind: str, chunks: int) -> DataFrame:
 
 def _answers(requests: DataFrame, model: DataFrame, kind: str, chunks: int) -> DataFrame:
     """``chunk, kind, bucket, answers`` for every request, in the order of its keys; a task answers about ``FAN`` chunks of a bucket."""
-    dtype, parts = _width(kind), -(-chunks // FAN)
+    parts = -(-chunks // FAN)
     salted = requests.select("chunk", "bucket", "keys", F.pmod(F.xxhash64("chunk"), F.lit(parts)).alias("part"))
     spread = model.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>")))
 
     def answer(asked, known):
-        keys, values = _joined(known.column("keys"), dtype), _joined(known.column("answers"), np.float64)
-        out = [values[np.searchsorted(keys, np.frombuffer(b.as_buffer(), dtype))].tobytes() for b in asked.column("keys")]
+        keys = _joined_keys(known.column("keys"))
+        values = _joined(known.column("answers"), np.float64).reshape(-1, max(1, len(keys)))  # a row per order
+        out = [_packed(values[:, np.searchsorted(keys, _unpacked_keys(b))]) for b in asked.column("keys")]
         return pa.table({"chunk": asked.column("chunk"), "kind": pa.array([kind] * len(out), pa.string()), "bucket": asked.column("bucket"), "answers": pa.array(out, pa.binary())})
 
     return salted.groupBy("bucket", "part").cogroup(spread.groupBy("bucket", "part")).applyInArrow(answer, "chunk long, kind string, bucket int, answers binary")
 
 
-_place: list[np.ndarray] = []  # context -> row, one table of 2**24 per worker process, cleared after use
-
-
-def _answered(values: list[np.ndarray], kind: str, word_buckets: int, answers: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(the distinct keys of a chunk, ascending, and the model's answer to each): requests went out in this order per bucket."""
-    keys = np.unique(np.concatenate(values))
+def _answered(keys: np.ndarray, kind: str, word_buckets: int, answers: dict[int, np.ndarray], rows: int) -> np.ndarray:
+    """The model's answers (a row per order) to the distinct keys of a chunk, ascending: requests went out in this order per bucket."""
     bucket = _bucket(keys, kind, word_buckets)
-    out = np.empty(len(keys))
+    out = np.empty((rows, len(keys)))
     for b in np.unique(bucket):
-        out[bucket == b] = answers[int(b)]
-    return keys, out
+        out[:, bucket == b] = answers[int(b)].reshape(rows, -1)
+    return out
 
 
-def score_chunk(parts, answers: dict[str, dict[int, np.ndarray]], word_buckets: int, total: int, distinct: int) -> list[dict]:
+def score_chunk(parts, answers: dict[str, dict[int, np.ndarray]], word_buckets: int, total: int, distinct: int, orders: Sequence[int] = (ORDER,)) -> list[dict]:
     """Scores of the documents of one chunk; ``parts`` are (lower-case bytes, offsets), ``answers`` the model's, by kind and bucket."""
-    if not _place:
-        _place.append(np.zeros(1 << 24, np.int32))
-    place = _place[0]
     tokens = [word_tokens(data, offsets) for data, offsets in parts]
-    words, word_counts = _answered([np.unique(t) for t, _ in tokens], "word", word_buckets, answers["word"])
-    grams, gram_logs = _answered([np.unique(context_keys(data, offsets)[0]) for data, offsets in parts], "gram", word_buckets, answers["gram"])
-    contexts, row = np.unique(grams >> 8, return_inverse=True)
-    place[contexts] = np.arange(len(contexts))
-    table = np.zeros(len(contexts) * 256)
-    table[row * 256 + (grams & 255).astype(np.int64)] = gram_logs
+    words = np.unique(np.concatenate([np.unique(t) for t, _ in tokens]))
+    (word_counts,) = _answered(words, "word", word_buckets, answers["word"], 1)
+    held = []  # of each part: its distinct keys, the place of each key among them, keys before each text
+    for data, offsets in parts:
+        keys, starts = context_keys(data, offsets, max(orders))
+        own, at = np.unique(keys, return_inverse=True)
+        held.append((own, at.astype(np.int32), starts))
+    grams = np.unique(np.concatenate([own for own, _, _ in held]))
+    gram_logs = _answered(grams, "gram", word_buckets, answers["gram"], len(orders))
     logs = np.log10(word_counts + 0.1) - math.log10(total + 0.1 * (distinct + 1))
     out = []
-    for (data, offsets), (token, before) in zip(parts, tokens, strict=True):
+    for (token, before), (own, place, starts) in zip(tokens, held, strict=True):
         at, heads = np.searchsorted(words, token), before[:-1]
-        keys, starts = context_keys(data, offsets)
+        found = gram_logs[:, np.searchsorted(grams, own)]
         out.append({
             "n_tokens": np.diff(before),
             "n_known": np.add.reduceat((word_counts[at] > 0).astype(np.int64), heads),
             "base_score": np.add.reduceat(logs[at], heads),
-            "score": np.add.reduceat(table[place[keys >> 8] * np.int64(256) + (keys & 255)], starts[:-1]),
+            **{name: np.add.reduceat(row[place], starts[:-1]) for name, row in zip(score_names(orders), found, strict=True)},
         })
-    place[contexts] = 0
     return out
 
 
-def code_lengths(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def score_names(orders: Sequence[int]) -> list[str]:
+    return ["score", *(f"score_{n}" for n in orders[1:])]
+
+
+def code_lengths(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES,
+                 orders: Sequence[int] = (ORDER,)) -> DataFrame:
     """One row per document: ``id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     ``held`` marks documents that nothing is learned from (null: held out).  ``base_score`` sums, over the words in
     lower case and one end, log10((c + 0.1) / (N + 0.1 (V + 1))); ``score`` is PPM's log10 probability
-    of the bytes and the end (the code length in bits is -score / log10(2)).  A null text is empty:
+    of the bytes and the end (the code length in bits is -score / log10(2)) with contexts of up to
+    ``orders[0]`` bytes; each further order n adds a column ``score_n``, from the same counts.  A null text is empty:
     one end token.  With no training documents every symbol is equally likely.  Repeated rows are
     scored, and learned from, each for itself; an empty table gives no rows; other columns are not read.
     """
+    if not all(0 < n <= ORDER_MAX for n in orders):
+        raise ValueError(f"orders must be from 1 to {ORDER_MAX}")
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(True)).alias("held"), text.alias("text"))
     n_bytes = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     path = scratch_path(spark, "ppm-chunks")
     word_buckets = max(8, -(-n_bytes // WORD_BUCKET_BYTES))
-    _chunks(source, word_buckets, chunk_bytes).write.parquet(path)
+    _chunks(source, word_buckets, chunk_bytes, max(orders)).write.parquet(path)
     rows = spark.read.parquet(path)
     chunks = rows.where("kind = 'gram'").agg(F.countDistinct("chunk")).first()[0] or 1
 
     def model(kind):
         path = scratch_path(spark, f"ppm-{kind}s")
-        _merged(rows.where(F.col("kind") == kind), kind, chunks).write.parquet(path)
+        _merged(rows.where(F.col("kind") == kind), chunks).write.parquet(path)
         return spark.read.parquet(path)
 
     words, grams = model("word"), model("gram")
@@ -350,7 +380,7 @@ def code_lengths(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col
 
     def symbols(batches):
         for batch in batches:
-            n = np.bincount(_joined(batch.column("keys"), np.uint32) & 255, _joined(batch.column("counts"), np.int64), minlength=256).astype(np.int64)
+            n = np.bincount((_joined_keys(batch.column("keys")) & np.uint64(255)).astype(np.int64), _joined(batch.column("counts"), np.int64), minlength=256).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(n)], ["symbol", "n"])
 
     total, distinct = words.mapInArrow(totals, "n long, v long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
@@ -360,13 +390,13 @@ def code_lengths(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col
     def learned(batches):
         for batch in batches:
             for b, k, n in zip(batch.column("bucket").to_pylist(), batch.column("keys"), batch.column("counts"), strict=True):
-                answers = model_answers(np.frombuffer(k.as_buffer(), np.uint32), np.frombuffer(n.as_buffer(), np.int64), zero)
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([k.as_py()]), pa.array([answers.tobytes()])], ["bucket", "keys", "answers"])
+                answers = model_answers(_unpacked_keys(k), _unpacked(n, np.int64), zero, orders)
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([k.as_py()]), pa.array([_packed(answers)])], ["bucket", "keys", "answers"])
 
     def as_floats(batches):
         for batch in batches:
             for b, k, n in zip(batch.column("bucket").to_pylist(), batch.column("keys"), batch.column("counts"), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([k.as_py()]), pa.array([np.frombuffer(n.as_buffer(), np.int64).astype(np.float64).tobytes()])], ["bucket", "keys", "answers"])
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([k.as_py()]), pa.array([_packed(_unpacked(n, np.int64).astype(np.float64))])], ["bucket", "keys", "answers"])
 
     answered = "bucket int, keys binary, answers binary"
     found = _answers(rows.where("kind = 'word'"), words.repartition("bucket").mapInArrow(as_floats, answered), "word", chunks).unionByName(
@@ -375,20 +405,21 @@ def code_lengths(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col
     def score(documents, found_):
         answers = {"word": {}, "gram": {}}
         for kind, bucket, blob in zip(found_.column("kind").to_pylist(), found_.column("bucket").to_pylist(), found_.column("answers"), strict=True):
-            answers[kind][bucket] = np.frombuffer(blob.as_buffer(), np.float64)
+            answers[kind][bucket] = _unpacked(blob, np.float64)
         parts = []
         for offsets, blob in zip(documents.column("offsets"), documents.column("blob"), strict=True):
             offsets = np.frombuffer(offsets.as_buffer(), np.int64)
             parts.append((np.frombuffer(pa.decompress(blob.as_buffer(), int(offsets[-1]), "zstd", asbytes=True), np.uint8), offsets))
-        got = score_chunk(parts, answers, word_buckets, total, distinct)
+        got = score_chunk(parts, answers, word_buckets, total, distinct, orders)
         columns = {name: np.concatenate([g[name] for g in got]) for name in got[0]}
         ids, held_ = (documents.column(c).combine_chunks().flatten() for c in ("ids", "held"))
         return pa.table({"id": ids, "held_out": held_, **columns})
 
+    scores = ", ".join(f"{name} double" for name in score_names(orders))
     documents = rows.where("kind = 'doc'").select("chunk", "ids", "held", "offsets", "blob")
     scored = documents.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
-        score, f"id {_kind(source)}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return scored.select("id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
+        score, f"id {_kind(source)}, held_out boolean, n_tokens long, n_known long, base_score double, {scores}")
+    return scored.select("id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", *score_names(orders))
 
 
 def adaptive_code_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:

@@ -374,6 +374,28 @@ def test_ppm_scores(spark, monkeypatch, chunk_bytes):
         assert g[:5] == w[:5] and all(math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9) for x, y in zip(g[5:], w[5:], strict=True)), (g, w)
 
 
+def test_ppm_longer_contexts(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "FAN", 3)
+    rnd = random.Random(12)
+    passage = "".join(rnd.choices("abcdé \n", k=300))
+    rows = [(i, "".join(rnd.choices("abcé  \n", k=rnd.randint(0, 60))) + passage[at : at + 60], "s") for i, at in enumerate(rnd.choices(range(240), k=60))] + [(100, None, "s"), (101, "", "s"), (None, passage, "s")]
+    held = [i is None or i % 5 == 0 for i, _, _ in rows]
+    got = ppm.code_lengths(docs_of(spark, rows), F.col("doc_id") % 5 == 0, chunk_bytes=300, orders=(3, 5, 7)).collect()
+    scores = {r["id"]: (r["score"], r["score_5"], r["score_7"]) for r in got}
+    for at, order in enumerate((3, 5, 7)):
+        model = ppm.AdaptivePPM(order)
+        for (_, t, _), out in zip(rows, held, strict=True):
+            if not out:
+                padded = b"\xff" * order + lower(t).encode() + b"\xff"
+                for i in range(order, len(padded)):
+                    model.update(padded[i - order : i], padded[i])
+        for i, t, _ in rows:
+            assert math.isclose(scores[i][at], model.read(lower(t).encode(), learn=False), rel_tol=1e-9, abs_tol=1e-9)
+    assert scores[None][1] > scores[None][0]  # a repeated passage is cheaper with the longer contexts
+    with pytest.raises(ValueError):
+        ppm.code_lengths(docs_of(spark, rows), F.lit(False), orders=(8,))
+
+
 def test_ppm_is_a_distribution_and_learns(spark):
     model = ppm.AdaptivePPM()
     model.read(b"abracadabra abracadabra", learn=True)
