@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import exact_dedup, jaccard_join, line_dedup, mixing, packing, ppm, quality_rules, secrets, sharding, warc
+from strata.llm import collocations, exact_dedup, jaccard_join, line_dedup, mixing, packing, ppm, quality_rules, secrets, sharding, token_files, vector_codes, warc
 from strata.llm.registry import register, table
 from strata.session import scratch_path
 
@@ -166,3 +166,78 @@ def op8_ppm_scores(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
     return ppm.code_lengths(docs, held, orders=(ppm.ORDER, 5)).withColumnRenamed("id", "doc_id")
+
+
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op11_token_files")
+def op11_token_files(spark, sf_dir):
+    """All documents as token files, read back through their index."""
+    index = token_files.write_token_files(table(spark, sf_dir, "documents"), WORD_TOKENIZER, warc.shared_uri(spark, "token-files"))
+    read = token_files.read_token_files(index)
+    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def _codes_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Every round as a query of its own: distances of all parts to all entries, the least one, the floored means."""
+    steps = [f"""
+WITH clean AS (SELECT vec_id, label, embedding AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+v AS (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS no FROM clean),
+x AS MATERIALIZED (
+  SELECT no, ((i - 1) // (n // {parts}))::INT AS part, ((i - 1) % (n // {parts}))::INT AS place, floor({scale} * v[i]::DOUBLE)::BIGINT AS c
+  FROM (SELECT no, v, len(v) AS n, unnest(range(1, len(v) + 1)) AS i FROM v)),
+book0 AS MATERIALIZED (SELECT part, no - 1 AS entry, place, c FROM x WHERE no <= {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT no, part, min((d, entry)) AS best
+  FROM (SELECT no, part, entry, sum((x.c - b.c) * (x.c - b.c))::BIGINT AS d FROM x JOIN book{r} b USING (part, place) GROUP BY no, part, entry)
+  GROUP BY no, part)""")
+        if r < rounds:
+            steps.append(f"""
+mean{r} AS (SELECT x.part, best[2] AS entry, place, sum(c) AS s, count(*) AS n FROM x JOIN near{r} USING (no, part) GROUP BY x.part, best[2], place),
+book{r + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.place, CASE WHEN n IS NULL THEN b.c ELSE ((s - ((s % n) + n) % n) // n)::BIGINT END AS c
+  FROM book{r} b LEFT JOIN mean{r} m USING (part, entry, place))""")
+    return ",".join(steps) + f""",
+digest AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM book{rounds}),
+coded AS (SELECT no, string_agg(format('{{:02x}}', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error FROM near{rounds} GROUP BY no)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM v JOIN coded USING (no), digest
+"""
+
+
+@register("op12_vector_codes", _codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE))
+def op12_vector_codes(spark, sf_dir):
+    """Product-quantisation codes of all vectors, with their errors and the codebooks' hash."""
+    coded = vector_codes.with_label_error(vector_codes.quantise(table(spark, sf_dir, "embeddings")))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@register("op13_collocations", rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?
+-]')), '[^ 	]+') AS ws FROM d),
+w AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM p WHERE len(ws) > 0),
+f AS MATERIALIZED (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*)::BIGINT AS f
+  FROM w, range(1, {collocations.LONGEST + 1}) AS r(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+n AS (SELECT lang, count(*)::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1),
+inside AS (
+  SELECT DISTINCT c.lang, array_to_string(string_split(c.phrase, ' ')[b:b + part - 1], ' ') AS phrase, c.f
+  FROM c, range(2, {collocations.LONGEST}) AS s(part), range(1, {collocations.LONGEST}) AS q(b) WHERE part < c.k AND b + part - 1 <= c.k),
+covered AS (SELECT lang, phrase, max(f) AS most FROM inside GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN covered USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * f),
+cut AS (SELECT lang, phrase, f AS a, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS l_phrase, array_to_string(string_split(phrase, ' ')[j + 1:k], ' ') AS r_phrase
+        FROM kept, range(1, {collocations.LONGEST}) AS r(j) WHERE j < k),
+scored AS (SELECT cut.lang, cut.phrase, a, j, fl.f AS l, fr.f AS r, n, ((1000::HUGEINT * a * n) // (fl.f::HUGEINT * fr.f))::BIGINT AS score
+           FROM cut JOIN f fl ON fl.lang = cut.lang AND fl.phrase = l_phrase JOIN f fr ON fr.lang = cut.lang AND fr.phrase = r_phrase JOIN n ON n.lang = cut.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {collocations.TOP}
+""")
+def op13_collocations(spark, sf_dir):
+    """The first 2,000 phrases of two to five words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
