@@ -18,6 +18,9 @@ leaves behind is in no index and is never read.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
+import struct
 import uuid
 
 import numpy as np
@@ -40,25 +43,63 @@ LEVEL = 3
 FILE_BYTES = 64 << 20  # a task starts another file beyond this
 BLOCK_BYTES = 32 << 20  # frames read by one task, about
 BATCH_BYTES = 4 << 20
-WORDS_HELD = 1 << 19  # words whose ids a task remembers
+WORDS_HELD = 3 << 18  # words whose ids a task remembers
 
 
 # --- ids of texts -----------------------------------------------------------------------------------
 
 
-class WordIds(dict):
-    """Ids of a white-space-free word as bytes, worked out once per word.
+# A file with this pattern, whose other characters are dropped, makes white space a boundary that nothing crosses: the
+# pattern has none, and the normalizer composes nothing with it.  A text's ids are then those of its words in turn, and a
+# word's those of the pattern's matches in turn.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed by the vocabulary
+_COMMON = re.compile("[!-~À-ÖØ-öø-ÿ \\t-\\r]*")  # characters that no normal form changes, and whose class is plain
+_MATCHES = re.compile("[a-zß-öø-ÿ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^a-z0-9ß-öø-ÿ \\t-\\r]+")  # the pattern on those, lower-cased
 
-    The tokenizer turns white space into a boundary that nothing crosses (its pattern has no white
-    space, its normalizer composes nothing with it), so a text's ids are those of its words in turn.
-    """
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if printable, else the next from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
+class Matches(dict):
+    """Ids of a match of the pattern as bytes, worked out once each."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.merge = model.model.tokenize
+        self.letters = _byte_letters()
+
+    def __missing__(self, match: str) -> bytes:
+        ids = [t.id for t in self.merge(match if match.isascii() else "".join(self.letters[b] for b in match.encode()))]
+        ids = struct.pack(f"<{len(ids)}I", *ids)
+        if len(match) <= 64:
+            if len(self) >= WORDS_HELD:
+                self.clear()
+            self[match] = ids
+        return ids
+
+
+class WordIds(dict):
+    """Ids of a white-space-free word as bytes, worked out once each."""
 
     def __init__(self, model):
         super().__init__()
-        self.model = model
+        self.model, self.matches = model, Matches(model)
+
+    def common(self, text: str) -> bytes | None:
+        """Ids of a text of common characters, without special tokens."""
+        if _COMMON.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self.matches.__getitem__, _MATCHES.findall(text.lower())))
+        return None
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.model.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        text = word.decode()
+        ids = self.common(text)
+        if ids is None:
+            ids = np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= 64:
             if len(self) >= WORDS_HELD:
                 self.clear()
@@ -70,22 +111,31 @@ _models: dict[str, tuple] = {}
 
 
 def _model(path: str):
-    """(ids by word, size of the vocabulary) of a tokenizers file."""
+    """(tokenizer, its ids by word or None where white space counts, size of the vocabulary) of a tokenizers file."""
     if path not in _models:
         from tokenizers import Tokenizer
 
         model = Tokenizer.from_file(path)
-        _models[path] = WordIds(model), model.get_vocab_size(with_added_tokens=True)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        known = split.get("pattern") == {"Regex": PATTERN} and split.get("behavior") == "Removed" and split.get("invert") is True
+        steps = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        words = WordIds(model) if known and steps == ["NFC", "Replace", "Lowercase"] else None
+        _models[path] = model, words, model.get_vocab_size(with_added_tokens=True)
     return _models[path]
 
 
 def text_ids(path: str, text: str | None, end_id: int) -> bytes:
-    """Ids of a text and the end id as little-endian unsigned 32-bit integers; a null text is empty.
-
-    For tokenizers that drop white space, as ``word_bpe_49k.json`` does.
-    """
-    words, _ = _model(path)
-    return b"".join([*map(words.__getitem__, (text or "").encode().split()), end_id.to_bytes(4, "little")])
+    """Ids of a text and the end id as little-endian unsigned 32-bit integers; a null text is empty."""
+    model, words, _ = _model(path)
+    end = end_id.to_bytes(4, "little")
+    if words is None:
+        return np.array(model.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes() + end
+    ids = words.common(text or "")
+    if ids is None:
+        ids = b"".join(map(words.__getitem__, text.encode().split()))
+    return ids + end
 
 
 # --- dictionary -------------------------------------------------------------------------------------
@@ -102,9 +152,13 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> byte
 
 
 def _sample(docs: DataFrame, most: int, most_chars: int) -> list[str]:
-    """Texts of the ``most`` short documents that come first in the order of a hash, whatever the partitions."""
-    short = docs.where(F.length("text").between(1, most_chars))
-    return [r["text"] for r in short.orderBy(F.xxhash64("id", "text"), "text").limit(most).collect()]
+    """Texts of at most ``most`` short documents, chosen by a hash of id and text."""
+    total = docs.select(F.lit(1)).count()  # from the files' footers
+    if not most or not total:
+        return []
+    share = min(1.0, 2 * most / total)
+    chosen = docs.where(F.length("text").between(1, most_chars)).where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return [r["text"] for r in chosen.select("text").limit(most).collect()]
 
 
 def _write_dictionary(uri: str, blob: bytes) -> bytes:
@@ -173,7 +227,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, uri: str, id_col: str = "
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    _, vocabulary = _model(tokenizer)
+    *_, vocabulary = _model(tokenizer)
     width = 2 if max(vocabulary - 1, end_id) < 1 << 16 else 4
     arrays = [np.frombuffer(text_ids(tokenizer, t, end_id), "<u4").astype(f"<u{width}").tobytes() for t in _sample(docs, sample, SAMPLE_CHARS)]
     digest = _write_dictionary(uri, train_dictionary(arrays))
