@@ -7,8 +7,8 @@ Looking up the nearest entry follows LAESA.  A few pivots per part position are
 start, and the distances of all parts to them are computed once and stored with the parts.  In
 a round only the distances of the pivots to the codebook's entries are new.  By the triangle
 inequality the largest difference of two such distances bounds the distance of a part to an
-entry from below.  Entries are evaluated in the order of these bounds; those whose bound is
-above the best distance so far are never evaluated.  Bounds are kept in 32-bit floats with room
+entry from below.  The entry with the lowest bound is evaluated first; those whose bound is above
+its distance are never evaluated.  Bounds are kept in 32-bit floats with room
 for their rounding, so they only ever prune what is certain; distances themselves are integers.
 
 A round is one pass over the stored parts.  Every task adds up its parts per entry, Spark adds
@@ -31,7 +31,7 @@ from strata.session import scratch_path
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 PIVOTS = 6
 ROWS = 2048  # vectors looked up together
-WAVE = 6  # entries evaluated at first, in the order of their bounds
+GROUP = 128  # parts whose remaining entries are evaluated together
 SLACK = np.float32(2.0**-19)  # more than the bounds' relative rounding error
 
 
@@ -61,30 +61,34 @@ def lower_bounds(to_pivots: np.ndarray, entry_pivots: np.ndarray) -> np.ndarray:
 
 def nearest(parts: np.ndarray, entries: np.ndarray, to_pivots: np.ndarray, entry_pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """(index of the nearest entry, squared distance, evaluations); ties go to the lower index."""
-    n, m = len(parts), len(entries)
+    n = len(parts)
     rows = np.arange(n)
     bound = lower_bounds(to_pivots, entry_pivots)
-    first = np.argpartition(bound, min(WAVE, m) - 1, axis=1)[:, :WAVE] if m > WAVE else np.tile(np.arange(m), (n, 1))
-    first = np.sort(first, axis=1)
-    exact = squared(parts[:, None, :], entries[first])
-    at = exact.argmin(axis=1)  # the first of equal ones has the lowest index
-    best, index = exact[rows, at], first[rows, at]
-    # What is left after the first wave: entries that may still be as near.
+    # The entry with the lowest bound comes first; its distance rules out all entries with a larger bound.
+    index = bound.argmin(axis=1)
+    best = squared(parts, entries[index])
     reach = np.nextafter(np.sqrt(best.astype(np.float64)).astype(np.float32), np.float32(np.inf))
     left = bound <= reach[:, None]
-    left[rows[:, None], first] = False
-    r, c = np.nonzero(left)
-    if len(r):
-        d = squared(parts[r], entries[c])
-        # Rows come in order, entries in order within a row: a stable sort by distance leaves the lowest index first.
-        order = np.argsort(d, kind="stable")
-        order = order[np.argsort(r[order], kind="stable")]
-        r, c, d = r[order], c[order], d[order]
-        head = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        r, c, d = r[head], c[head], d[head]
-        nearer = (d < best[r]) | ((d == best[r]) & (c < index[r]))
-        best[r[nearer]], index[r[nearer]] = d[nearer], c[nearer]
-    return index, best, first.size + int(left.sum())
+    # What is left is evaluated for groups of parts that begin with the same entry, and so have like bounds.
+    order = np.argsort(index, kind="stable")
+    evaluated = n
+    for lo in range(0, n, GROUP):
+        some = order[lo : lo + GROUP]
+        columns = np.flatnonzero(left[some].any(axis=0))
+        exact = distances(parts[some], entries[columns])
+        at = exact.argmin(axis=1)  # columns ascend, so the first of equal ones has the lowest index
+        best[some], index[some] = exact[rows[: len(some)], at], columns[at]
+        evaluated += exact.size
+    return index, best, evaluated
+
+
+def distances(parts: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """Exact squared distances of all parts to all entries, by a matrix product where a double holds its integers."""
+    largest = max(np.abs(parts).max(), np.abs(entries).max())
+    if 4.0 * parts.shape[1] * float(largest) ** 2 >= 2.0**53:
+        return squared(parts[:, None, :], entries[None])
+    x, e = parts.astype(np.float64), entries.astype(np.float64)
+    return np.rint((x * x).sum(axis=1)[:, None] + (e * e).sum(axis=1) - 2 * (x @ e.T)).astype(np.int64)
 
 
 def choose_pivots(entries: np.ndarray, count: int) -> np.ndarray:
