@@ -29,7 +29,8 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 BITS = 1 << 26  # of the bitmap (8 MB)
-CHUNK = 1 << 21  # counted words or phrases that a task holds before it hands them on
+CHUNK = 1 << 19  # counted phrases that a task holds before it hands them on (and four times the words)
+BLOBS = ("prefixes", "lengths", "words", "numbers", "counts")  # a bucket's stripes as a task hands them on
 BUCKET = 1 << 20  # counted phrases of a bucket, about
 HOT = 1024  # a prefix with this part of all words is hot
 SLICES = 64  # pieces of a hot prefix's stripe
@@ -83,13 +84,31 @@ def _hashed(batch):
 
 
 def _counted(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows, sorted, and the sum of their counts."""
+    """Distinct rows and the sum of their counts."""
     if not len(counts):
         return columns, counts
-    order = np.lexsort(columns[::-1])
-    columns, counts = [c[order] for c in columns], counts[order]
-    head = np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns], axis=0)]))
-    return [c[head] for c in columns], np.add.reduceat(counts, head)
+    mixed = columns[0]
+    for c in columns[1:]:
+        mixed = textops.mix64(mixed + c * _STEP[0])
+    order = np.argsort(mixed)
+    mixed, sorted_ = mixed[order], [c[order] for c in columns]
+    new = np.any([c[1:] != c[:-1] for c in sorted_], axis=0)
+    if (new & (mixed[1:] == mixed[:-1])).any():  # two rows share the mixed value: sort by all columns
+        order = np.lexsort(columns)
+        sorted_ = [c[order] for c in columns]
+        new = np.any([c[1:] != c[:-1] for c in sorted_], axis=0)
+    head = np.flatnonzero(np.concatenate([[True], new]))
+    return [c[head] for c in sorted_], np.add.reduceat(counts[order], head)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers below 2**32 as four planes of bytes: the upper ones are mostly zero, which compresses away."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unplaned(blob) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 class _Counter:
@@ -124,51 +143,60 @@ def _keys(a: np.ndarray, b: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(a), [None, pa.py_buffer((np.arange(len(a) + 1) * 16).astype(np.int32)), pa.py_buffer(both)])
 
 
-def _words(docs: DataFrame, chunk: int) -> DataFrame:
-    """``lang, word, key, n``: every distinct word of a language, its two hashes, its occurrences."""
+def _words(docs: DataFrame, held_most: int) -> DataFrame:
+    """``lang, word, n``: every distinct word of a language, and its occurrences."""
 
     def run(batches):
-        held: dict[str, dict[bytes, list]] = {}
+        held: dict[str, dict[bytes, int]] = {}
         size = 0
 
         def out():
             for lang, words in held.items():
-                keys = np.array([v[0] for v in words.values()], U64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array([w.decode() for w in words]), _keys(keys[:, 0], keys[:, 1]),
-                                                  pa.array([v[1] for v in words.values()], pa.int64())], ["lang", "word", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array([w.decode() for w in words]), pa.array(words.values(), pa.int64())], ["lang", "word", "n"])
+            held.clear()
 
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for lo, data, starts, ends, bounds, _, (a, b) in _hashed(batch):
                 raw, n = data.tobytes(), np.diff(bounds)
-                (ua, ub), counts, where = _first_places(a, b)
+                counts, where = _first_places(a, b)
                 owner = np.repeat(np.arange(len(n)), n)[where] + lo  # hashes include the language
-                for i, row, x, y, c in zip(where.tolist(), owner.tolist(), ua.tolist(), ub.tolist(), counts.tolist(), strict=True):
+                for s, e, row, c in zip(starts[where].tolist(), ends[where].tolist(), owner.tolist(), counts.tolist(), strict=True):
                     words = held.setdefault(langs[row], {})
-                    word = raw[starts[i] : ends[i]]
+                    word = raw[s:e]
                     if word in words:
-                        words[word][1] += c
+                        words[word] += c
                     else:
-                        words[word] = [(x, y), c]
+                        words[word] = c
                         size += 1
-                if size >= chunk // 4:
+                if size >= held_most:
                     yield from out()
-                    held.clear()
                     size = 0
         yield from out()
 
-    counted = docs.mapInArrow(run, "lang string, word string, key binary, n long")
-    return counted.groupBy("lang", "word").agg(F.first("key").alias("key"), F.sum("n").alias("n"))
+    return docs.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def _keyed(words: DataFrame) -> DataFrame:
+    """Adds ``key``, the two hashes of a word in its language, to ``lang, phrase``."""
+
+    def run(batches):
+        for batch in batches:
+            at = [words for *_, words in _hashed(pa.RecordBatch.from_arrays([batch.column("phrase"), batch.column("lang")], ["text", "lang"]))]
+            keys = [np.concatenate([w[i] for w in at]) if at else np.zeros(0, U64) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, _keys(*keys)], [*batch.schema.names, "key"])
+
+    return words.mapInArrow(run, "lang string, phrase string, f long, key binary")
 
 
 def _first_places(a: np.ndarray, b: np.ndarray):
-    """Distinct pairs of hashes, their counts, and where each stands first."""
+    """Of distinct pairs of hashes: their counts, and where each stands."""
     if not len(a):
-        return (a, b), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    order = np.lexsort((b, a))  # stable, so equal pairs stay in order
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.lexsort((b, a))
     x, y = a[order], b[order]
     head = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
-    return (x[head], y[head]), np.diff(np.append(head, len(a))), order[head]
+    return np.diff(np.append(head, len(a))), order[head]
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -201,21 +229,23 @@ def _stripes(docs: DataFrame, k: int, known: np.ndarray, hot: np.ndarray, total:
         counter = _Counter(4, chunk)
 
         def out():
-            """Stripes in one row per bucket: prefixes, the lengths of their stripes, next words, counts."""
+            """Stripes in one row per bucket: prefixes, the lengths of their stripes, words, next words, counts."""
             (p, q, w, v), n = counter.rows()
             counter.clear()
             if not len(n):
                 return
             part = np.where(np.isin(p, hot), w % U64(SLICES), U64(0))
             bucket = (textops.mix64(p + part * _STEP[0]) % U64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")  # prefixes stay in order
+            order = np.lexsort((q, p, bucket))
             p, q, w, v, n, bucket = (x[order] for x in (p, q, w, v, n, bucket))
             ends = np.flatnonzero(np.diff(bucket, append=-1)) + 1
             rows = []
             for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
                 head = np.flatnonzero(np.concatenate([[True], (p[lo + 1 : hi] != p[lo : hi - 1]) | (q[lo + 1 : hi] != q[lo : hi - 1])])) + lo
-                lengths = np.diff(np.append(head, hi)).astype(np.uint32)
-                rows.append((int(bucket[lo]), p[head].tobytes() + q[head].tobytes(), lengths.tobytes(), w[lo:hi].tobytes() + v[lo:hi].tobytes(), n[lo:hi].astype(np.uint32).tobytes()))
+                # next words as numbers of the bucket's own list of words
+                _, at, number = np.unique(w[lo:hi] ^ textops.mix64(v[lo:hi]), return_index=True, return_inverse=True)
+                rows.append((int(bucket[lo]), p[head].tobytes() + q[head].tobytes(), _planes(np.diff(np.append(head, hi))),
+                             w[lo:hi][at].tobytes() + v[lo:hi][at].tobytes(), _planes(number), _planes(n[lo:hi])))
                 if len(rows) == 64:
                     yield batch_of(rows)
                     rows = []
@@ -223,8 +253,8 @@ def _stripes(docs: DataFrame, k: int, known: np.ndarray, hot: np.ndarray, total:
                 yield batch_of(rows)
 
         def batch_of(rows):
-            kinds = (pa.int64(), *[pa.binary()] * 4)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["bucket", "prefixes", "lengths", "words", "counts"])
+            kinds = (pa.int64(), *[pa.binary()] * 5)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["bucket", *BLOBS])
 
         for batch in batches:
             for _, _, _, _, _, piece, words in _hashed(batch):
@@ -242,21 +272,22 @@ def _stripes(docs: DataFrame, k: int, known: np.ndarray, hot: np.ndarray, total:
 
     def merge(table: pa.Table) -> pa.Table:
         columns, counts = [[], [], [], []], []
-        for prefixes, lengths, words, n in zip(*(table.column(c) for c in ("prefixes", "lengths", "words", "counts")), strict=True):
-            lengths = np.frombuffer(lengths.as_buffer(), np.uint32)
-            prefix = np.frombuffer(prefixes.as_buffer(), U64).reshape(2, -1)
-            word = np.frombuffer(words.as_buffer(), U64).reshape(2, -1)
-            for held, values in zip(columns, (*(np.repeat(x, lengths) for x in prefix), *word), strict=True):
+        for blobs in zip(*(table.column(c) for c in BLOBS), strict=True):
+            prefixes, lengths, words, numbers, n = (b.as_buffer() for b in blobs)
+            lengths, numbers = _unplaned(lengths), _unplaned(numbers)
+            prefix, word = (np.frombuffer(b, U64).reshape(2, -1) for b in (prefixes, words))
+            for held, values in zip(columns, (*(np.repeat(x, lengths) for x in prefix), *(x[numbers] for x in word)), strict=True):
                 held.append(values)
-            counts.append(np.frombuffer(n.as_buffer(), np.uint32).astype(np.int64))
+            counts.append(_unplaned(n).astype(np.int64))
         (p, q, w, v), n = _counted([np.concatenate(c) for c in columns], np.concatenate(counts))
         some = n >= least
-        p, q, w, v, n = (x[some] for x in (p, q, w, v, n))
+        order = np.lexsort((q[some], p[some]))
+        p, q, w, v, n = (x[some][order] for x in (p, q, w, v, n))
         head = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])])) if len(p) else np.zeros(0, np.int64)
         offsets = pa.array(np.append(head, len(p)).astype(np.int32))
         return pa.table([_keys(p[head], q[head]), pa.ListArray.from_arrays(offsets, _keys(w, v)), pa.ListArray.from_arrays(offsets, pa.array(n))], ["prefix", "next", "n"])
 
-    dealt = docs.mapInArrow(count, "bucket long, prefixes binary, lengths binary, words binary, counts binary")
+    dealt = docs.mapInArrow(count, "bucket long, " + ", ".join(f"{b} binary" for b in BLOBS))
     return dealt.groupBy("bucket").applyInArrow(merge, "prefix binary, next array<binary>, n array<long>")
 
 
@@ -296,10 +327,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         return spark.read.parquet(path)
 
     docs = docs.select(F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"))
-    counted = written(_words(docs, chunk), "words")
+    counted = written(_words(docs, chunk // 4), "words")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     total = counted.agg(F.sum("n")).first()[0] or 0
-    words = written(counted.where(F.col("n") >= least).select("lang", F.col("word").alias("phrase"), "key", F.col("n").alias("f")), "phrases-1")
+    words = written(_keyed(counted.where(F.col("n") >= least).select("lang", F.col("word").alias("phrase"), F.col("n").alias("f"))), "phrases-1")
 
     levels = [words]
     for k in range(2, longest + 1):
