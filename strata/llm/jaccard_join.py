@@ -116,8 +116,7 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
             return values[often], counts[often]
 
         def frequent(values, counts, kind):
-            nothing = pa.nulls(len(values))
-            return pa.RecordBatch.from_arrays([nothing.cast(kind), nothing.cast(pa.int32()), nothing.cast(pa.int64()), nothing.cast(pa.int64()), pa.array(_i64(values)), pa.array(counts.astype(np.int64))], names)
+            return pa.RecordBatch.from_arrays([*(pa.nulls(len(values), t) for t in (kind, pa.int32(), pa.int64(), pa.int64())), pa.array(_i64(values)), pa.array(counts.astype(np.int64))], names)
 
         names = ["id", "n", "f1", "f2", "token", "reported"]
         kind = pa.int64()
@@ -354,15 +353,17 @@ def list_pairs(token, sid, size, place, label, hood, num: int, den: int):
 
     Answers are known inside a neighbourhood (``hood``) and inside a component (``label``).
     """
+    n = len(token)
+    if not n:  # no list holds two sets
+        return np.zeros((2, 0), np.int64)
     order = np.lexsort((sid, hood, size, token))
     token, sid, size, place, label, hood = (x[order] for x in (token, sid, size, place, label, hood))
-    n = len(token)
     out = [np.zeros((2, 0), np.int64)]
     held = 0
-    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if n else np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
     end = np.repeat(np.append(first[1:], n), np.diff(np.append(first, n)))
     # Where the run of one neighbourhood that an entry stands in ends: the block a probe of it jumps over.
-    change = np.flatnonzero(np.concatenate([(token[1:] != token[:-1]) | (hood[1:] != hood[:-1]), [True]])) + 1 if n else np.zeros(0, np.int64)
+    change = np.flatnonzero(np.concatenate([(token[1:] != token[:-1]) | (hood[1:] != hood[:-1]), [True]])) + 1
     jump = np.repeat(change, np.diff(np.concatenate([[0], change])))
     for lo in range(0, n, PROBES):
         probe, at = np.arange(lo, min(lo + PROBES, n)), jump[lo : lo + PROBES].copy()
