@@ -340,7 +340,7 @@ def score_chunk(parts, answers: dict[str, dict[int, np.ndarray]], word_buckets:
 
 
 def score_names(orders: Sequence[int]) -> list[str]:
-    return ["score", *(f"score_{n}" for n in orders[1:])]
+    return ["score" if n == max(orders) else f"score_{n}" for n in orders]
 
 
 def code_lengths(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES,
@@ -350,7 +350,7 @@ def code_lengths(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col
     ``held`` marks documents that nothing is learned from (null: held out).  ``base_score`` sums, over the words in
     lower case and one end, log10((c + 0.1) / (N + 0.1 (V + 1))); ``score`` is PPM's log10 probability
     of the bytes and the end (the code length in bits is -score / log10(2)) with contexts of up to
-    ``orders[0]`` bytes; each further order n adds a column ``score_n``, from the same counts.  A null text is empty:
+    the largest of ``orders`` bytes; each shorter order n adds a column ``score_n``, from the same counts.  A null text is empty:
     one end token.  With no training documents every symbol is equally likely.  Repeated rows are
     scored, and learned from, each for itself; an empty table gives no rows; other columns are not read.
     """

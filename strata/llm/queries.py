@@ -85,7 +85,7 @@ def op10_source_mix(spark, sf_dir):
 WITH numbered AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw,
                          generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
 l AS (SELECT doc_id, pos, raw, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS site, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM numbered),
-long_enough AS (SELECT * FROM l WHERE regexp_matches(line, '{line_dedup.at_least_words(3)}')),
+long_enough AS (SELECT * FROM l WHERE regexp_matches(line, '{line_dedup.at_least_words(1)}')),
 spread AS (SELECT line, arg_min((doc_id, pos), (doc_id, pos)) AS first FROM long_enough GROUP BY line HAVING count(DISTINCT site) >= 6),
 gone AS (SELECT doc_id, pos FROM long_enough JOIN spread USING (line) WHERE (doc_id, pos) <> first),
 rebuilt AS (SELECT l.doc_id, string_agg(raw, chr(10) ORDER BY l.pos) FILTER (WHERE gone.pos IS NULL) AS text,
@@ -162,7 +162,7 @@ def op3_ngram_jaccard(spark, sf_dir):
 
 @register("op8_ppm_scores")
 def op8_ppm_scores(spark, sf_dir):
-    """Unigram and PPM scores (contexts of up to three and up to five bytes) of every document, learned from nine tenths of them."""
+    """Unigram and PPM scores (contexts of up to five bytes; ``score_3``: three) of every document, learned from nine tenths of them."""
     docs = table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
     return ppm.code_lengths(docs, held, orders=(ppm.ORDER, 5)).withColumnRenamed("id", "doc_id")
@@ -218,7 +218,8 @@ def op12_vector_codes(spark, sf_dir):
 @register("op13_collocations", rf"""
 WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 p AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?
--]')), '[^ 	]+') AS ws FROM d),
+-
+]')), '[^ 	]+') AS ws FROM d),
 w AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM p WHERE len(ws) > 0),
 f AS MATERIALIZED (
   SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*)::BIGINT AS f
