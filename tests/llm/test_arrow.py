@@ -116,7 +116,7 @@ def test_line_dedup(spark, band):
     rows += [(100 + i, t, "a") for i, t in enumerate(ODD_TEXTS)] + [(200, "all of it\nall of it\nall of it", s) for s in "abcdef"]
     got = line_dedup.dedup_lines(docs_of(spark, rows), band=band).select("doc.doc_id", "doc.text", "n_lines", "n_removed").collect()
     key = lambda r: tuple((x is None, str(x)) for x in r)
-    want = brute_lines(rows, 6, 3)
+    want = brute_lines(rows, 6, 1)
     assert any(r[3] for r in want)
     # rows that repeat an id at several sites hold the first place once
     first = [r for r in want if r[0] == 200]
@@ -336,6 +336,13 @@ def test_tile_links_span_the_components():
     assert brute_components(range(60), jaccard_join.tile_links(tokens, 80, 100)) == brute_components(range(60), edges)
 
 
+@pytest.mark.parametrize("texts", [["one two three four five six"], ["a b c d e f g", "h i j k l m n"], [f"w{i} x{i} y{i} z{i} u{i} v{i}" for i in range(20)], ["a b c d e f"] * 3])
+def test_jaccard_without_shared_shingles(spark, texts):
+    got = jaccard_join.jaccard_components(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()
+    sets = [brute_shingles(t) for t in texts]
+    assert sorted(map(tuple, got)) == [(i, len(s), sets.index(s)) for i, s in enumerate(sets)]
+
+
 def test_jaccard_empty(spark):
     assert jaccard_join.jaccard_components(docs_of(spark, [])).count() == 0
     only = jaccard_join.jaccard_components(docs_of(spark, [(1, None, None), (2, "", None)])).collect()
@@ -345,15 +352,15 @@ def test_jaccard_empty(spark):
 # --- PPM
 
 
-def brute_scores(rows, held):
-    model, counts = ppm.AdaptivePPM(), Counter()
+def brute_scores(rows, held, order=3):
+    model, counts = ppm.AdaptivePPM(order), Counter()
     tokens = {at: [*WORD.findall(lower(t)), None] for at, (_, t, _) in enumerate(rows)}
     for at, (_, t, _) in enumerate(rows):
         if not held[at]:
             counts.update(tokens[at])
-            padded = b"\xff" * 3 + lower(t).encode() + b"\xff"
-            for i in range(3, len(padded)):
-                model.update(padded[i - 3 : i], padded[i])
+            padded = b"\xff" * order + lower(t).encode() + b"\xff"
+            for i in range(order, len(padded)):
+                model.update(padded[i - order : i], padded[i])
     total, v = sum(counts.values()), len(counts)
     base = [sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (v + 1))) for w in tokens[at]) for at in range(len(rows))]
     return total, counts, tokens, base, [model.read(lower(t).encode(), learn=False) for _, t, _ in rows]
@@ -381,7 +388,7 @@ def test_ppm_longer_contexts(spark, monkeypatch):
     rows = [(i, "".join(rnd.choices("abcé  \n", k=rnd.randint(0, 60))) + passage[at : at + 60], "s") for i, at in enumerate(rnd.choices(range(240), k=60))] + [(100, None, "s"), (101, "", "s"), (None, passage, "s")]
     held = [i is None or i % 5 == 0 for i, _, _ in rows]
     got = ppm.code_lengths(docs_of(spark, rows), F.col("doc_id") % 5 == 0, chunk_bytes=300, orders=(3, 5, 7)).collect()
-    scores = {r["id"]: (r["score"], r["score_5"], r["score_7"]) for r in got}
+    scores = {r["id"]: (r["score_3"], r["score_5"], r["score"]) for r in got}
     for at, order in enumerate((3, 5, 7)):
         model = ppm.AdaptivePPM(order)
         for (_, t, _), out in zip(rows, held, strict=True):
