@@ -31,10 +31,23 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest id) of each component of similar shingle sets."""
-    found = jaccard_join.jaccard_components(docs)
-    keep = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    """One row of each component of similar shingle sets: the smallest id, null ids last.
+
+    Rows that share an id are told apart by a hash of the whole row; of equal rows with words one
+    stays.  Texts without words are linked with nothing, so all of their rows stay.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("row"))
+    keyed = docs.withColumn("_key", key)
+    found = jaccard_join.jaccard_components(keyed, id_col="_key")
+    kept = found.where(F.col("id") == F.col("component_id")).groupBy(F.col("id").alias("_key")).agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"))
+    path = scratch_path(spark, "pipeline-kept")
+    kept.select("_key", ((F.col("copies") > 1) & (F.col("n") > 0)).alias("several")).write.parquet(path)
+    kept = spark.read.parquet(path)
+    out = keyed.join(kept.where("NOT several"), "_key", "left_semi")
+    equal = kept.where("several")
+    if not equal.isEmpty():
+        out = out.unionByName(keyed.join(equal, "_key", "left_semi").dropDuplicates(["_key"]))
+    return out.select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
