@@ -19,8 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
-import struct
 import uuid
 
 import numpy as np
@@ -29,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm import textops
 from strata.llm.warc import _open
 from strata.session import scratch_path
 
@@ -43,18 +42,25 @@ LEVEL = 3
 FILE_BYTES = 64 << 20  # a task starts another file beyond this
 BLOCK_BYTES = 32 << 20  # frames read by one task, about
 BATCH_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20  # text worked out at once
 WORDS_HELD = 3 << 18  # words whose ids a task remembers
 
 
 # --- ids of texts -----------------------------------------------------------------------------------
 
 
-# A file with this pattern, whose other characters are dropped, makes white space a boundary that nothing crosses: the
-# pattern has none, and the normalizer composes nothing with it.  A text's ids are then those of its words in turn, and a
-# word's those of the pattern's matches in turn.
+# A file with this pattern, whose other characters are dropped, makes white space a boundary that nothing crosses, and a
+# text's ids those of the pattern's matches in turn.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed by the vocabulary
-_COMMON = re.compile("[!-~À-ÖØ-öø-ÿ \\t-\\r]*")  # characters that no normal form changes, and whose class is plain
-_MATCHES = re.compile("[a-zß-öø-ÿ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^a-z0-9ß-öø-ÿ \\t-\\r]+")  # the pattern on those, lower-cased
+# Texts of ASCII and of the letters from U+00C0 to U+00FF are worked out here: no normal form changes those characters, and
+# the class of each is plain.  Texts with any other go through the tokenizer as they are.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_CLASS[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = _LETTER  # of lower-cased bytes
+_CLASS[0x30:0x3A] = _DIGIT
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[*range(0x20, 0x7F), *range(0x09, 0x0E)]] = True
 
 
 def _byte_letters() -> list[str]:
@@ -64,54 +70,91 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
-class Matches(dict):
-    """Ids of a match of the pattern as bytes, worked out once each."""
+_LETTERS = _byte_letters()
+
+
+def _after(data: np.ndarray, byte: int) -> np.ndarray:
+    """Where the byte before is ``byte``."""
+    out = np.zeros(len(data), bool)
+    out[1:] = data[:-1] == byte
+    return out
+
+
+def _lower(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lower-cased bytes, whether a byte belongs to a character that is worked out here)."""
+    second = _after(data, 0xC3)
+    plain = _PLAIN[data] | (data == 0xC3) | (second & (data != 0x97) & (data != 0xB7))
+    plain[1:] &= ~((data[1:] == 0x7C) & (data[:-1] == 0x3C))  # "<|" may open a special token
+    low = textops.LOWER[data]
+    low[second & (data >= 0x80) & (data <= 0x9E)] += 0x20
+    return low, plain
+
+
+def _matches(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the pattern's matches in lower-cased texts."""
+    kind = _CLASS[low]
+    new = np.ones(len(low), bool)
+    new[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    new[offsets[:-1][offsets[:-1] < len(low)]] = True
+    edges = np.append(np.flatnonzero(new), len(low))
+    starts, ends = edges[:-1], edges[1:].copy()
+    # A lone apostrophe takes a short ending from the letters after it.
+    mark = np.flatnonzero((low[starts] == 0x27) & (ends - starts == 1)) if len(starts) else starts
+    mark = mark[mark + 1 < len(starts)]
+    mark = mark[(kind[starts[mark + 1]] == _LETTER) & ~np.isin(starts[mark + 1], offsets)]
+    at = starts[mark + 1]
+    first, second = low[at], np.where(at + 1 < ends[mark + 1], low[np.minimum(at + 1, len(low) - 1)], 0)
+    taken = np.where(np.isin(first, list(b"stmd")), 1, 0)
+    taken[((first == 0x72) & (second == 0x65)) | ((first == 0x76) & (second == 0x65)) | ((first == 0x6C) & (second == 0x6C))] = 2
+    starts = starts.copy()
+    ends[mark] += taken
+    starts[mark + 1] += taken
+    keep = (kind[np.minimum(starts, len(low) - 1)] != _SPACE) & (ends > starts) if len(starts) else np.zeros(0, bool)
+    return starts[keep], ends[keep]
+
+
+class Words:
+    """Ids of the matches met so far, by their 64-bit hash; sorted arrays, so a million take some tens of MB."""
 
     def __init__(self, model):
-        super().__init__()
         self.merge = model.model.tokenize
-        self.letters = _byte_letters()
-
-    def __missing__(self, match: str) -> bytes:
-        ids = [t.id for t in self.merge(match if match.isascii() else "".join(self.letters[b] for b in match.encode()))]
-        ids = struct.pack(f"<{len(ids)}I", *ids)
-        if len(match) <= 64:
-            if len(self) >= WORDS_HELD:
-                self.clear()
-            self[match] = ids
-        return ids
-
-
-class WordIds(dict):
-    """Ids of a white-space-free word as bytes, worked out once each."""
-
-    def __init__(self, model):
-        super().__init__()
-        self.model, self.matches = model, Matches(model)
-
-    def common(self, text: str) -> bytes | None:
-        """Ids of a text of common characters, without special tokens."""
-        if _COMMON.fullmatch(text) and "<|" not in text:
-            return b"".join(map(self.matches.__getitem__, _MATCHES.findall(text.lower())))
-        return None
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        ids = self.common(text)
-        if ids is None:
-            ids = np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:
-            if len(self) >= WORDS_HELD:
-                self.clear()
-            self[word] = ids
-        return ids
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        found = [[t.id for t in self.merge(w.decode() if w.isascii() else "".join(_LETTERS[b] for b in w))] for w in words]
+        n = np.array([len(f) for f in found], np.int64)
+        at = len(self.ids) + np.cumsum(n) - n
+        self.ids = np.concatenate([self.ids, np.array([i for f in found for i in f], np.uint32)])
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.at, self.n = (np.insert(x, place, y) for x, y in ((self.hashes, hashes), (self.at, at), (self.n, n)))
+
+    def read(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all matches in turn, how many each has)."""
+        unique, first, inverse = np.unique(textops.span_hashes(low, starts, ends), return_index=True, return_inverse=True)
+        if len(self.hashes) + len(unique) > WORDS_HELD:
+            self.forget()
+        place = np.searchsorted(self.hashes, unique)
+        known = np.zeros(len(unique), bool)
+        inside = place < len(self.hashes)
+        known[inside] = self.hashes[place[inside]] == unique[inside]
+        if not known.all():
+            raw, new = low.tobytes(), np.flatnonzero(~known)
+            self._learn(unique[new], [raw[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
+            place = np.searchsorted(self.hashes, unique)
+        at, n = self.at[place][inverse], self.n[place][inverse]
+        before = np.cumsum(n) - n
+        return self.ids[np.arange(n.sum()) + np.repeat(at - before, n)], n
 
 
 _models: dict[str, tuple] = {}
 
 
 def _model(path: str):
-    """(tokenizer, its ids by word or None where white space counts, size of the vocabulary) of a tokenizers file."""
+    """(tokenizer, its ids by match or None where the file has another pattern, size of the vocabulary) of a tokenizers file."""
     if path not in _models:
         from tokenizers import Tokenizer
 
@@ -121,21 +164,33 @@ def _model(path: str):
         split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         known = split.get("pattern") == {"Regex": PATTERN} and split.get("behavior") == "Removed" and split.get("invert") is True
         steps = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
-        words = WordIds(model) if known and steps == ["NFC", "Replace", "Lowercase"] else None
+        words = Words(model) if known and steps == ["NFC", "Replace", "Lowercase"] else None
         _models[path] = model, words, model.get_vocab_size(with_added_tokens=True)
     return _models[path]
 
 
-def text_ids(path: str, text: str | None, end_id: int) -> bytes:
-    """Ids of a text and the end id as little-endian unsigned 32-bit integers; a null text is empty."""
+def text_ids(path: str, texts: pa.Array, end_id: int):
+    """Ids of every text and the end id, as unsigned 32-bit integers; a null text is empty."""
     model, words, _ = _model(path)
-    end = end_id.to_bytes(4, "little")
+    end = np.array([end_id], np.uint32)
+
+    def whole(text):
+        return np.concatenate([np.array(model.encode(text.as_py() or "", add_special_tokens=False).ids, np.uint32), end])
+
     if words is None:
-        return np.array(model.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes() + end
-    ids = words.common(text or "")
-    if ids is None:
-        ids = b"".join(map(words.__getitem__, text.encode().split()))
-    return ids + end
+        yield from map(whole, texts)
+        return
+    for lo, hi in textops.slices(texts, SLICE_BYTES):
+        data, offsets = textops.text_bytes(texts.slice(lo, hi - lo))
+        low, plain = _lower(data)
+        odd = np.diff(np.concatenate([[0], np.cumsum(~plain)])[offsets]) > 0
+        starts, ends = _matches(low, offsets)
+        own = np.searchsorted(offsets, starts, "right") - 1
+        some = ~odd[own]
+        ids, n = words.read(low, starts[some], ends[some])
+        stops = np.cumsum(np.bincount(own[some], n, hi - lo).astype(np.int64))
+        for i, (stop, other) in enumerate(zip(stops.tolist(), odd.tolist(), strict=True)):
+            yield whole(texts[lo + i]) if other else np.concatenate([ids[stops[i - 1] if i else 0 : stop], end])
 
 
 # --- dictionary -------------------------------------------------------------------------------------
@@ -229,7 +284,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, uri: str, id_col: str = "
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     *_, vocabulary = _model(tokenizer)
     width = 2 if max(vocabulary - 1, end_id) < 1 << 16 else 4
-    arrays = [np.frombuffer(text_ids(tokenizer, t, end_id), "<u4").astype(f"<u{width}").tobytes() for t in _sample(docs, sample, SAMPLE_CHARS)]
+    arrays = [ids.astype(f"<u{width}").tobytes() for ids in text_ids(tokenizer, pa.array(_sample(docs, sample, SAMPLE_CHARS), pa.string()), end_id)]
     digest = _write_dictionary(uri, train_dictionary(arrays))
 
     def write(batches):
@@ -238,10 +293,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, uri: str, id_col: str = "
         for batch in batches:
             codec = codec or _codec(load_dictionary(uri, digest), "write")
             rows = []
-            for text in batch.column("text"):
-                ids = text_ids(tokenizer, text.as_py(), end_id)
-                n = len(ids) // 4
-                frame = codec.compress(ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes())
+            for ids in text_ids(tokenizer, batch.column("text"), end_id):
+                n = len(ids)
+                frame = codec.compress(ids.astype(f"<u{width}").tobytes())
                 file = file or _File(uri, width, digest)
                 rows.append((part, file.uri, file.add(frame, n), len(frame), n, start))
                 start += n

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tests.conftest import SF_SMALL
 from tests.llm.test_arrow import ODD_TEXTS, docs_of, lower
@@ -28,14 +29,20 @@ def tokenizer():
 # --- token files
 
 
-def test_ids_by_word_are_those_of_the_text(tokenizer):
+def test_ids_by_word_are_those_of_the_text(tokenizer, monkeypatch):
     rnd = random.Random(3)
     alphabet = "aB1'é .,\t\n\r\x0b\x0c\x1c\x85\xa0  ́İΣσ½ǆ한日<|>\U0001f600￾́"
     texts = [*(t or "" for t in ODD_TEXTS), "it's we'LL 12 34", "<|endoftext|> a<|startoftext|>b", "e ́ à", " " * 50_000, "ab" * 40_000]
     texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(2000)]
-    for text in texts:
-        want = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
-        assert np.frombuffer(token_files.text_ids(PATH, text, 2), "<u4").tolist() == want, text[:80]
+    plain = "aBsStTrReEvVlLmMdD''ÀéßÞ×÷Ÿ 12.,\t\n"
+    texts += ["".join(rnd.choice(plain) for _ in range(rnd.randint(0, 60))) for _ in range(4000)] + ["'", "a'", "'s", "''s", "x'll", "x'l", "don't've", "\"'re", "'", "é'Ré", "'"]
+    for held in (token_files.WORDS_HELD, 500):
+        monkeypatch.setattr(token_files, "WORDS_HELD", held)
+        for text, ids in zip(texts, token_files.text_ids(PATH, pa.array(texts), 2), strict=True):
+            assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text[:80]
+    assert [i.tolist() for i in token_files.text_ids(PATH, pa.array([None, ""], pa.string()), 2)] == [[2], [2]]
+    other = public_tokenizers.path("byte_bpe_50k.json")  # white space counts there
+    assert next(token_files.text_ids(other, pa.array(["a  b"]), 2)).tolist() == [*Tokenizer.from_file(other).encode("a  b", add_special_tokens=False).ids, 2]
 
 
 def expected(tokenizer, rows):
