@@ -29,9 +29,9 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 BITS = 1 << 26  # of the bitmap (8 MB)
-CHUNK = 1 << 19  # counted phrases that a task holds before it hands them on (and four times the words)
+CHUNK = 1 << 21  # counted phrases that a task holds before it hands them on (and a sixteenth as many words)
 BLOBS = ("prefixes", "lengths", "words", "numbers", "counts")  # a bucket's stripes as a task hands them on
-BUCKET = 1 << 20  # counted phrases of a bucket, about
+BUCKET = 1 << 22  # counted phrases of a bucket, about
 HOT = 1024  # a prefix with this part of all words is hot
 SLICES = 64  # pieces of a hot prefix's stripe
 SPREAD = 64  # parts of a language when its best phrases are chosen
@@ -83,22 +83,62 @@ def _hashed(batch):
         yield lo, data, starts, ends, bounds, piece, words
 
 
-def _counted(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows and the sum of their counts."""
-    if not len(counts):
-        return columns, counts
-    mixed = columns[0]
-    for c in columns[1:]:
-        mixed = textops.mix64(mixed + c * _STEP[0])
-    order = np.argsort(mixed)
-    mixed, sorted_ = mixed[order], [c[order] for c in columns]
-    new = np.any([c[1:] != c[:-1] for c in sorted_], axis=0)
-    if (new & (mixed[1:] == mixed[:-1])).any():  # two rows share the mixed value: sort by all columns
-        order = np.lexsort(columns)
-        sorted_ = [c[order] for c in columns]
-        new = np.any([c[1:] != c[:-1] for c in sorted_], axis=0)
-    head = np.flatnonzero(np.concatenate([[True], new]))
-    return [c[head] for c in sorted_], np.add.reduceat(counts[order], head)
+class _Numbers:
+    """Numbers the distinct hashes that a task meets, so that a counted pair takes eight bytes.
+
+    Inside a task hashes are told apart by their first 64 bits; between tasks by all 128.
+    """
+
+    def __init__(self):
+        self.sorted, self.order = np.zeros(0, U64), np.zeros(0, np.int64)
+        self.first, self.second = np.zeros(0, U64), np.zeros(0, U64)
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def read(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        unique, at, inverse = np.unique(a, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.sorted, unique)
+        known = np.zeros(len(unique), bool)
+        inside = place < len(self.sorted)
+        known[inside] = self.sorted[place[inside]] == unique[inside]
+        if not known.all():
+            new = ~known
+            numbers = len(self.first) + np.arange(new.sum())
+            self.first, self.second = np.concatenate([self.first, unique[new]]), np.concatenate([self.second, b[at[new]]])
+            self.sorted, self.order = np.insert(self.sorted, place[new], unique[new]), np.insert(self.order, place[new], numbers)
+            place = np.searchsorted(self.sorted, unique)
+        return self.order[place][inverse]
+
+
+class _Pairs:
+    """Counts pairs of a prefix and a next word, each by its number."""
+
+    def __init__(self):
+        self.prefixes, self.words = _Numbers(), _Numbers()
+        self.held, self.counts, self.size = [], [], 0
+
+    def add(self, p: np.ndarray, q: np.ndarray, w: np.ndarray, v: np.ndarray, counts: np.ndarray | None = None) -> None:
+        self.held.append(self.prefixes.read(p, q) << 32 | self.words.read(w, v))
+        self.counts.append(np.ones(len(p), np.int64) if counts is None else counts)
+        self.size += len(p)
+
+    def merge(self) -> int:
+        """Adds equal pairs up; returns how many there are."""
+        if len(self.held) > 1 or self.size:
+            pairs, counts = np.concatenate(self.held), np.concatenate(self.counts)
+            order = np.argsort(pairs)
+            pairs, counts = pairs[order], counts[order]
+            head = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, np.int64)
+            self.held, self.counts = [pairs[head]], [np.add.reduceat(counts, head) if len(head) else counts]
+            self.size = len(head)
+        return self.size
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of the prefix, number of the next word, count) of all pairs, by prefix."""
+        self.merge()
+        pairs, counts = (self.held[0], self.counts[0]) if self.held else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return pairs >> 32, pairs & 0xFFFFFFFF, counts
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -111,32 +151,6 @@ def _unplaned(blob) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-class _Counter:
-    """Counts rows of hashes; distinct rows are merged whenever many have come in."""
-
-    def __init__(self, width: int, chunk: int):
-        self.chunk = chunk
-        self.none = [np.zeros(0, U64)] * width
-        self.clear()
-
-    def clear(self) -> None:
-        self.held, self.counts, self.size = [self.none], [np.zeros(0, np.int64)], 0
-
-    def add(self, columns: list[np.ndarray]) -> bool:
-        """Whether so many distinct rows are held that they should be handed on."""
-        self.held.append(columns)
-        self.counts.append(np.ones(len(columns[0]), np.int64))
-        self.size += len(columns[0])
-        if self.size < 2 * self.chunk:
-            return False
-        columns, counts = self.rows()
-        self.held, self.counts, self.size = [columns], [counts], len(counts)
-        return self.size >= self.chunk
-
-    def rows(self):
-        return _counted([np.concatenate(c) for c in zip(*self.held, strict=True)], np.concatenate(self.counts))
-
-
 def _keys(a: np.ndarray, b: np.ndarray) -> pa.Array:
     """Two hashes as 16 bytes."""
     both = np.ascontiguousarray(np.stack([a, b], axis=1))
@@ -226,27 +240,24 @@ def _stripes(docs: DataFrame, k: int, known: np.ndarray, hot: np.ndarray, total:
 
     def count(batches):
         known, hot = given.value
-        counter = _Counter(4, chunk)
+        pairs = _Pairs()
 
-        def out():
+        def out(pairs):
             """Stripes in one row per bucket: prefixes, the lengths of their stripes, words, next words, counts."""
-            (p, q, w, v), n = counter.rows()
-            counter.clear()
-            if not len(n):
-                return
-            part = np.where(np.isin(p, hot), w % U64(SLICES), U64(0))
-            bucket = (textops.mix64(p + part * _STEP[0]) % U64(buckets)).astype(np.int64)
-            order = np.lexsort((q, p, bucket))
-            p, q, w, v, n, bucket = (x[order] for x in (p, q, w, v, n, bucket))
+            p, w, n = pairs.rows()
+            first, second = pairs.prefixes.first, pairs.prefixes.second
+            part = np.where(np.isin(first, hot)[p], pairs.words.first[w] % U64(SLICES), U64(0))
+            bucket = (textops.mix64(first[p] + part * _STEP[0]) % U64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")  # prefixes stay together
+            p, w, n, bucket = (x[order] for x in (p, w, n, bucket))
             ends = np.flatnonzero(np.diff(bucket, append=-1)) + 1
             rows = []
-            for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
-                head = np.flatnonzero(np.concatenate([[True], (p[lo + 1 : hi] != p[lo : hi - 1]) | (q[lo + 1 : hi] != q[lo : hi - 1])])) + lo
-                # next words as numbers of the bucket's own list of words
-                _, at, number = np.unique(w[lo:hi] ^ textops.mix64(v[lo:hi]), return_index=True, return_inverse=True)
-                rows.append((int(bucket[lo]), p[head].tobytes() + q[head].tobytes(), _planes(np.diff(np.append(head, hi))),
-                             w[lo:hi][at].tobytes() + v[lo:hi][at].tobytes(), _planes(number), _planes(n[lo:hi])))
-                if len(rows) == 64:
+            for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True) if len(p) else ():
+                head = np.flatnonzero(np.concatenate([[True], p[lo + 1 : hi] != p[lo : hi - 1]])) + lo
+                own, number = np.unique(w[lo:hi], return_inverse=True)  # next words as numbers of the bucket's own list
+                rows.append((int(bucket[lo]), first[p[head]].tobytes() + second[p[head]].tobytes(), _planes(np.diff(np.append(head, hi))),
+                             pairs.words.first[own].tobytes() + pairs.words.second[own].tobytes(), _planes(number), _planes(n[lo:hi])))
+                if len(rows) == 16:
                     yield batch_of(rows)
                     rows = []
             if rows:
@@ -266,26 +277,31 @@ def _stripes(docs: DataFrame, k: int, known: np.ndarray, hot: np.ndarray, total:
                     inner = [follow(x[: len(x) - 1], w[j:][: len(x) - 1], i) for i, (x, w) in enumerate(zip(inner, words, strict=True))]
                 fine = _holds(known, inner[0])
                 at = np.flatnonzero(fine[:m] & fine[1 : m + 1] & (piece[:m] == piece[k - 1 :]))
-                if len(at) and counter.add([inner[0][at], inner[1][at], words[0][at + k - 1], words[1][at + k - 1]]):
-                    yield from out()
-        yield from out()
+                if len(at):
+                    pairs.add(inner[0][at], inner[1][at], words[0][at + k - 1], words[1][at + k - 1])
+                if pairs.size >= 2 * chunk and pairs.merge() >= chunk:
+                    yield from out(pairs)
+                    pairs = _Pairs()
+        yield from out(pairs)
 
     def merge(table: pa.Table) -> pa.Table:
-        columns, counts = [[], [], [], []], []
+        pairs = _Pairs()
         for blobs in zip(*(table.column(c) for c in BLOBS), strict=True):
             prefixes, lengths, words, numbers, n = (b.as_buffer() for b in blobs)
             lengths, numbers = _unplaned(lengths), _unplaned(numbers)
-            prefix, word = (np.frombuffer(b, U64).reshape(2, -1) for b in (prefixes, words))
-            for held, values in zip(columns, (*(np.repeat(x, lengths) for x in prefix), *(x[numbers] for x in word)), strict=True):
-                held.append(values)
-            counts.append(_unplaned(n).astype(np.int64))
-        (p, q, w, v), n = _counted([np.concatenate(c) for c in columns], np.concatenate(counts))
+            (p, q), (w, v) = (np.frombuffer(b, U64).reshape(2, -1) for b in (prefixes, words))
+            pairs.held.append(np.repeat(pairs.prefixes.read(p, q), lengths) << 32 | pairs.words.read(w, v)[numbers])
+            pairs.counts.append(_unplaned(n).astype(np.int64))
+            pairs.size += len(numbers)
+            if pairs.size >= 2 * BUCKET:
+                pairs.merge()
+        p, w, n = pairs.rows()
         some = n >= least
-        order = np.lexsort((q[some], p[some]))
-        p, q, w, v, n = (x[some][order] for x in (p, q, w, v, n))
-        head = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])])) if len(p) else np.zeros(0, np.int64)
+        p, w, n = p[some], w[some], n[some]
+        head = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]])) if len(p) else np.zeros(0, np.int64)
         offsets = pa.array(np.append(head, len(p)).astype(np.int32))
-        return pa.table([_keys(p[head], q[head]), pa.ListArray.from_arrays(offsets, _keys(w, v)), pa.ListArray.from_arrays(offsets, pa.array(n))], ["prefix", "next", "n"])
+        first, second = ((x.first[i], x.second[i]) for x, i in ((pairs.prefixes, p[head]), (pairs.words, w)))
+        return pa.table([_keys(*first), pa.ListArray.from_arrays(offsets, _keys(*second)), pa.ListArray.from_arrays(offsets, pa.array(n))], ["prefix", "next", "n"])
 
     dealt = docs.mapInArrow(count, "bucket long, " + ", ".join(f"{b} binary" for b in BLOBS))
     return dealt.groupBy("bucket").applyInArrow(merge, "prefix binary, next array<binary>, n array<long>")
@@ -327,7 +343,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         return spark.read.parquet(path)
 
     docs = docs.select(F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"))
-    counted = written(_words(docs, chunk // 4), "words")
+    counted = written(_words(docs, max(1, chunk // 16)), "words")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     total = counted.agg(F.sum("n")).first()[0] or 0
     words = written(_keyed(counted.where(F.col("n") >= least).select("lang", F.col("word").alias("phrase"), F.col("n").alias("f"))), "phrases-1")
