@@ -12,11 +12,9 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.errors import AnalysisException
-
 from strata.plans import medallion
 from strata.session import get_spark
-from strata.sources.tables import register_views
+from strata.sources.versions import attach_views
 
 def _years(text: str | None):
     if not text:
@@ -41,6 +39,9 @@ def main(argv=None) -> None:
     r.add_argument("--encoding", default="UTF-8", help="text encoding of the raw files, e.g. ISO-8859-1")
     r.add_argument("--mode", default="prefer_rollup", choices=["prefer_rollup", "as_executed"])
     r.add_argument("--no-gate", action="store_true")
+    r.add_argument("--mixed", action="store_true", help="files of any layout: each has its delimiter and headers, found by their aliases")
+    r.add_argument("--checks", help="SQL file of named checks (-- name:, -- expect: eq 0) that the run must pass; tables are {bronze}, {silver}, {<gold table>}")
+    r.add_argument("--atomic", action="store_true", help="versioned tables: readers see a run's tables whole or not at all")
     r.add_argument("--fail-fast", action="store_true", help="reject the whole drop if any row cannot be typed")
 
     i = sub.add_parser("incremental", help="run a domain for new landing files only")
@@ -49,6 +50,8 @@ def main(argv=None) -> None:
     i.add_argument("--root", required=True)
     i.add_argument("--sep", default=",")
     i.add_argument("--max-files-per-batch", type=int, default=None)
+    i.add_argument("--encoding", default="UTF-8", help="text encoding of the landing files")
+    i.add_argument("--mixed", action="store_true", help="files of any layout")
 
     c = sub.add_parser("cross", help="cross-domain KPIs and views")
     c.add_argument("--root", required=True)
@@ -63,26 +66,19 @@ def main(argv=None) -> None:
     spark = get_spark(app=f"strata-{a.cmd}", master=a.master, profile=a.profile)
     if a.cmd == "run":
         kwargs = {"years": _years(a.years), "gate": not a.no_gate, "sep": a.sep, "fail_fast": a.fail_fast,
-                  "encoding": a.encoding}
+                  "encoding": a.encoding, "mixed": a.mixed, "atomic": a.atomic, "checks": a.checks}
         if a.domain == "deforestation":
             kwargs["mode"] = a.mode
         out = medallion.DOMAINS[a.domain][0](spark, a.raw, a.root, **kwargs)
         print(json.dumps({k: v for k, v in out.items() if k != "details"}, default=str))
     elif a.cmd == "incremental":
         out = medallion.run_incremental(spark, a.domain, a.landing, a.root, sep=a.sep,
-                                        max_files_per_batch=a.max_files_per_batch)
+                                        max_files_per_batch=a.max_files_per_batch, encoding=a.encoding, mixed=a.mixed)
         print(json.dumps({"batches": len(out)}))
     elif a.cmd == "cross":
         print(json.dumps(medallion.run_cross_domain(spark, a.root, a.category)))
     else:
-        layout = medallion.Layout(a.root)
-        present = {}
-        for t in medallion.GOLD_TABLES:
-            try:  # a domain that has not run yet has no table
-                present[f"{medallion.VIEW_PREFIX}{t}"] = spark.read.parquet(layout.gold(t))
-            except AnalysisException:
-                continue
-        register_views(spark, present)
+        attach_views(spark, a.root)
         spark.sql(a.sql).show(a.rows, truncate=False)
 
 

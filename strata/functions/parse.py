@@ -14,18 +14,24 @@ from strata.functions.columns import as_col
 
 
 # What counts as a number in raw text.  The cast alone would also read "100d", "12f", "NaN" and "Infinity".
-NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER = r"^ *([+-]?(?:[0-9]+(?:[.][0-9]*)?|[.][0-9]+)(?:[eE][+-]?[0-9]+)?) *$"
+# The same with a decimal part or an exponent: numbers that an integer cast doesn't read.
+FRACTIONAL = r"^ *([+-]?(?:[0-9]+[.][0-9]*|[.][0-9]+|[0-9]+(?=[eE]))(?:[eE][+-]?[0-9]+)?) *$"
 
 
-def plain_double(c: Column) -> Column:
-    """Text to DOUBLE if it is a plain, finite number (blanks around it aside), else NULL."""
-    text = F.trim(c)
-    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
+def plain_double(c: Column, pattern: str = NUMBER) -> Column:
+    """Text to DOUBLE if it is a plain, finite number (blanks around it aside), else NULL.
+
+    The pattern's match is what is cast, so the text stands in the value once (and the value twice in
+    the result): nested expressions don't multiply, inside CASE branches either.
+    """
+    value = F.regexp_extract(c, pattern, 1).try_cast("double")  # no match is empty text, which casts to NULL
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
-def _try_double(c: Column) -> Column:
-    return plain_double(c)
+# Every dot of a text that has a comma anywhere, with what stands before it: the first match needs a comma ahead,
+# each further one starts where the last ended.
+DOTS_BEFORE_COMMA = r"(?:^(?=[^,]*,)|\G(?!^))([^.]*)[.]"
 
 
 def parse_brl(c, unparseable: float | None = 0.0) -> Column:
@@ -36,16 +42,9 @@ def parse_brl(c, unparseable: float | None = 0.0) -> Column:
     is the decimal mark; otherwise the text is read as is.  Text that still
     does not parse gives ``unparseable`` (0.0 by default, NULL to quarantine).
     """
-    s = F.trim(F.replace(F.trim(as_col(c).cast("string")), F.lit("R$"), F.lit("")))
-    has_comma = F.contains(s, F.lit(","))
-    has_dot = F.contains(s, F.lit("."))
-    no_dots = F.replace(s, F.lit("."), F.lit(""))
-    normal = (
-        F.when(has_comma & has_dot, F.replace(no_dots, F.lit(","), F.lit(".")))
-        .when(has_comma, F.replace(s, F.lit(","), F.lit(".")))
-        .otherwise(s)
-    )
-    value = _try_double(normal)
+    s = F.replace(F.trim(as_col(c).cast("string")), F.lit("R$"), F.lit(""))
+    no_dots = F.regexp_replace(s, DOTS_BEFORE_COMMA, "$1")
+    value = plain_double(F.replace(no_dots, F.lit(","), F.lit(".")))
     if unparseable is None:
         return value
     return F.coalesce(value, F.lit(float(unparseable)))
@@ -60,12 +59,12 @@ def parse_amount(c) -> Column:
     col = as_col(c)
     s = col.cast("string")
     text = F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return _try_double(text)
+    return plain_double(text)
 
 
 def parse_area(c) -> Column:
     """Decimal comma to dot; anything else unreadable gives NULL."""
-    return _try_double(F.replace(F.trim(as_col(c).cast("string")), F.lit(","), F.lit(".")))
+    return plain_double(F.replace(F.trim(as_col(c).cast("string")), F.lit(","), F.lit(".")))
 
 
 def parse_count(c, missing: int | None = 0) -> Column:
@@ -75,17 +74,15 @@ def parse_count(c, missing: int | None = 0) -> Column:
     ``missing``; unreadable text gives NULL.
     """
     s = F.trim(as_col(c).cast("string"))
-    digits = F.regexp_replace(s, r"[,.]", "")
-    value = _try_double(digits).try_cast("bigint")
-    if missing is None:
-        return value
-    return F.when(s.isNull() | (s == F.lit("")), F.lit(missing).cast("bigint")).otherwise(value)
+    if missing is not None:
+        s = F.regexp_replace(F.coalesce(s, F.lit("")), r"^\z", str(missing))
+    return plain_double(F.regexp_replace(s, r"[,.]", "")).try_cast("bigint")
 
 
 def parse_year(c) -> Column:
     """``int(float(text without ','))``; unreadable gives NULL."""
     s = F.replace(F.trim(as_col(c).cast("string")), F.lit(","), F.lit(""))
-    return _try_double(s).try_cast("int")
+    return plain_double(s).try_cast("int")
 
 
 def format_brl(c, decimals: int = 2, prefix: str = "R$ ") -> Column:

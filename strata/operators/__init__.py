@@ -13,6 +13,7 @@ from strata.operators.quality import (
     evaluate,
     evaluate_observation,
     load_named_checks,
+    parse_named_checks,
     null_rate,
     observe_checks,
     run_checks,
@@ -43,6 +44,7 @@ __all__ = [
     "evaluate",
     "evaluate_observation",
     "load_named_checks",
+    "parse_named_checks",
     "null_rate",
     "observe_checks",
     "outer_balance",

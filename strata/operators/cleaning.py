@@ -28,15 +28,15 @@ def range_filter(
     return df if pred is None else df.where(pred)
 
 
-def tag_valid(df: DataFrame, checks: Mapping[str, Column], reason_col: str = "_reject_reason") -> DataFrame:
-    """Add the name of the first failed check (NULL for a good row); see ``split_valid``."""
+def tag_valid(df: DataFrame, checks: Mapping[str, Column], reason_col: str = "_reject_reason", first: Column | None = None) -> DataFrame:
+    """Add the name of the first failed check (NULL for a good row); see ``split_valid``.  A reason in ``first`` goes before."""
     if not checks:
         raise ValueError("tag_valid needs at least one check")
     reason = None
     for name, pred in checks.items():
         failed = ~F.coalesce(pred, F.lit(False))
         reason = F.when(failed, F.lit(name)) if reason is None else reason.when(failed, F.lit(name))
-    return df.withColumn(reason_col, reason)
+    return df.withColumn(reason_col, reason if first is None else F.coalesce(first, reason))
 
 
 def split_valid(
@@ -44,6 +44,7 @@ def split_valid(
     checks: Mapping[str, Column],
     reason_col: str = "_reject_reason",
     observation: Observation | None = None,
+    first: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Split rows into (good, bad) instead of rejecting a whole file.
 
@@ -54,7 +55,7 @@ def split_valid(
     the good rows are written, so the bad rows need a pass of their own only
     when there are any.
     """
-    tagged = tag_valid(df, checks, reason_col)
+    tagged = tag_valid(df, checks, reason_col, first)
     if observation is not None:
         tagged = tagged.observe(
             observation,

@@ -122,33 +122,31 @@ def run_suite(suite: Sequence[tuple[str, DataFrame, Sequence[Check]]]) -> DataFr
 
 
 def load_named_checks(path: str, op: str = "gt", threshold=0) -> list[dict]:
-    """Checks from a SQL file whose statements follow ``-- name: <check>`` lines.
+    """Checks from a SQL file; see ``parse_named_checks``."""
+    with open(path, encoding="utf-8") as f:
+        return parse_named_checks(f.read(), op, threshold)
 
-    Other comment lines are dropped; each statement keeps its text up to the
-    next marker (a trailing ``;`` is removed).  Comparator and threshold apply
-    to all checks of the file and can be changed per check afterwards.
-    """
-    checks: list[dict] = []
-    name, lines = None, []
 
-    def flush():
-        if name is not None:
-            sql = "\n".join(lines).strip().rstrip(";").strip()
-            checks.append({"name": name, "sql": sql, "op": op, "threshold": threshold})
+def parse_named_checks(text: str, op: str = "gt", threshold=0) -> list[dict]:
+    """Checks from SQL text whose statements follow ``-- name: <check>`` lines.
 
-    with open(path, encoding="utf-8") as f:
-        for raw in f:
-            line = raw.rstrip("\n")
-            stripped = line.strip()
-            if stripped.lower().startswith("-- name:"):
-                flush()
-                name, lines = stripped.split(":", 1)[1].strip(), []
-            elif stripped.startswith("--") or name is None:
-                continue
-            else:
-                lines.append(line)
-    flush()
-    return checks
+    A line ``-- expect: <comparator> <number>`` after the name says what the value is held against
+    (``-- expect: eq 0``); without one, ``op`` and ``threshold`` do.  Other comment lines are dropped;
+    each statement keeps its text up to the next marker (a trailing ``;`` is removed).
+    """
+    checks: list[dict] = []
+    for raw in text.splitlines():
+        line = raw.strip()
+        if line.lower().startswith("-- name:"):
+            checks.append({"name": line.split(":", 1)[1].strip(), "sql": "", "op": op, "threshold": threshold})
+        elif not checks:
+            continue
+        elif line.lower().startswith("-- expect:"):
+            wanted, number = line.split(":", 1)[1].split()
+            checks[-1] |= {"op": wanted, "threshold": float(number) if "." in number else int(number)}
+        elif not line.startswith("--"):
+            checks[-1]["sql"] += raw + "\n"
+    return [c | {"sql": c["sql"].strip().rstrip(";").strip()} for c in checks]
 
 
 @dataclass
@@ -166,19 +164,21 @@ class Outcome:
         return {k: v for k, v in asdict(self).items() if v is not None or k == "value"}
 
 
-def run_sql_checks(spark, checks: Sequence[dict], args: dict | None = None) -> list[dict]:
+def run_sql_checks(spark, checks: Sequence[dict], args: dict | None = None, frames: dict | None = None) -> list[dict]:
     """Checks given as scalar SQL queries: ``{"name", "sql", "op"="gt", "threshold"=0}``.
 
     Each query must return one row (a global aggregate), so fetching its first
     cell is bounded.  ``args`` binds named parameters (``:silver``,
-    ``IDENTIFIER(:table)``) in every query.  A query that fails counts as a
+    ``IDENTIFIER(:table)``) in every query; ``frames`` are DataFrames that queries name as ``{silver}``.  A
+    query that fails counts as a
     failed check with its error text; the remaining checks still run.
     """
 
     def outcome(name, sql, op="gt", threshold=0) -> Outcome:
         bound = {k: v for k, v in (args or {}).items() if f":{k}" in sql}
+        tables = {k: v for k, v in (frames or {}).items() if f"{{{k}}}" in sql}
         try:
-            first = spark.sql(sql, args=bound).first()
+            first = spark.sql(sql, args=bound, **tables).first()
         except PySparkException as exc:
             return Outcome(name, error=str(exc))
         value = first[0] if first else None

@@ -29,14 +29,18 @@ from strata.operators.quality import (
     count_where,
     evaluate,
     evaluate_observation,
+    load_named_checks,
     observe_checks,
+    run_sql_checks,
     run_suite,
 )
 from strata.plans import cross, deforestation, spending, tax
 from strata.plans.common import CORRUPT, typed_int
-from strata.sources.csv import read_csv, string_schema
-from strata.streaming.incremental import changed_files, file_state, process_new_files
-from strata.sources.tables import read_table, register_views, write_table
+from strata.sources.harmonise import tag_deforestation, tag_tax
+from strata.sources.ranges import CANDIDATES, RANGE_BYTES, read_columns
+from strata.sources.tables import read_table, write_table
+from strata.sources.versions import is_versioned, publish_views, read_version, write_version
+from strata.streaming.incremental import changed_files, digests, file_state, new_files
 
 
 # --- Fixed values: lake layout and view names users already query ---------
@@ -63,7 +67,21 @@ GOLD_SCHEMAS = {
 
 @dataclass(frozen=True)
 class Layout:
+    """Folders of a lake; with ``atomic`` its tables are versioned (see ``sources.versions``)."""
+
     root: str
+    atomic: bool = False
+
+    def write(self, df: DataFrame, path: str, partition_by=None, overwrite: str = "all", **options) -> None:
+        if self.atomic:
+            write_version(df, path, partition_by, overwrite, **options)
+        else:
+            write_table(df, path, partition_by, overwrite, **options)
+
+    def read(self, spark: SparkSession, path: str, schema=None) -> DataFrame:
+        if self.atomic or is_versioned(spark, path):
+            return read_version(spark, path)
+        return read_table(spark, path, schema=schema)
 
     def bronze(self, domain: str) -> str:
         return os.path.join(self.root, "bronze", DOMAIN_DIRS.get(domain, domain))
@@ -80,17 +98,32 @@ class Layout:
         return os.path.join(self.root, "quarantine", DOMAIN_DIRS.get(domain, domain))
 
 
-def _years_filter(df: DataFrame, years: tuple[int, int] | None) -> DataFrame:
-    return df if years is None else df.where(F.col("year").between(*years))
+def _years_filter(df: DataFrame, years) -> DataFrame:
+    """``years``: a tuple is a range with both its ends, a set is just its years, None is all."""
+    if years is None:
+        return df
+    return df.where(F.col("year").isin(sorted(years)) if isinstance(years, (set, frozenset)) else F.col("year").between(*years))
 
 
-def _load_raw(spark: SparkSession, raw, columns: Sequence[str], sep: str, encoding: str = "UTF-8") -> DataFrame:
-    """Standard raw files: columns are taken from the header by name (any order), as text."""
-    if isinstance(raw, DataFrame):
-        return raw
-    header = read_csv(spark, raw, sep=sep, encoding=encoding).columns
-    df = read_csv(spark, raw, schema=string_schema(header), sep=sep, encoding=encoding, corrupt_column=CORRUPT, with_source=True)
-    return df.select(*[F.col(f"`{c}`") for c in columns], CORRUPT, "_source_file")
+# Raw columns of each domain, and how its drops of other layouts are brought to them (spending's come as API items).
+RAW_COLUMNS = {"deforestation": deforestation.RAW_COLUMNS, "spending": spending.RAW_COLUMNS, "tax": tax.RAW_COLUMNS}
+HARMONISE = {"deforestation": tag_deforestation, "tax": tag_tax}
+
+
+def load_raw(spark: SparkSession, domain: str, raw, sep: str = ",", encoding: str = "UTF-8", mixed: bool = False, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Raw rows of a domain with lineage, from a path, paths or a frame of files (``ranges.list_files``).
+
+    Standard drops have the domain's columns in any order, as text.  With ``mixed``, every file has a
+    delimiter and headers of its own; columns are found by their aliases and numbers read by the source's
+    rules, and what cannot be read carries a ``_reject_reason``.  Files are read in ranges of
+    ``range_bytes``, quoted line breaks or not.
+    """
+    if isinstance(raw, DataFrame) and "file_path" not in raw.columns:
+        return raw  # rows already
+    if mixed and domain in HARMONISE:
+        return HARMONISE[domain](read_columns(spark, raw, HARMONISE[domain].columns, CANDIDATES, encoding, range_bytes, CORRUPT, as_map=True))
+    columns = RAW_COLUMNS[domain]
+    return read_columns(spark, raw, columns, CANDIDATES if mixed else (sep,), encoding, range_bytes, CORRUPT, required=columns)
 
 
 class RejectedRowsError(ValueError):
@@ -117,7 +150,7 @@ def _bronze_and_silver(
     def quarantine():
         write_table(bad.withColumn("run_id", F.lit(run_id)), layout.rejected(domain), ["run_id"], overwrite="partitions")
 
-    overwrite = "partitions" if years else "all"
+    overwrite = "all" if years is None else "partitions"
     counts = Observation(f"bronze_{domain}")
     good, bad = bronze_fn(raw_df, audit=audit, observation=counts)
     if fail_fast and bad.limit(1).count() > 0:
@@ -126,18 +159,18 @@ def _bronze_and_silver(
         raise RejectedRowsError(f"raw {domain} rows could not be typed; see {layout.rejected(domain)}")
     # One REBALANCE shuffle on the year keeps the number of files near the size of the data; without
     # it every task writes a file per year it holds (fine for drops that arrive per year).
-    write_table(_years_filter(good, years), layout.bronze(domain), ["year"], overwrite, rebalance=rebalance_bronze)
+    layout.write(_years_filter(good, years), layout.bronze(domain), ["year"], overwrite, rebalance=rebalance_bronze)
     if counts.get.get("rejected", 0) > 0:  # second pass over raw only when rows were rejected
         quarantine()
     # Read back with the known schema: an empty partitioned write leaves no file to infer it from.
-    bronze = _years_filter(read_table(spark, layout.bronze(domain), schema=good.schema), years)
+    bronze = _years_filter(layout.read(spark, layout.bronze(domain), good.schema), years)
     silver = silver_fn(bronze, audit=audit, **(silver_kwargs or {}))
     observed = None
     if years is None and silver_checks:
         silver, observed = observe_checks(silver, silver_checks, name=f"silver_{domain}")
-    write_table(silver, layout.silver(domain), ["year"], overwrite)
-    bronze_all = read_table(spark, layout.bronze(domain), schema=good.schema)
-    silver_all = read_table(spark, layout.silver(domain), schema=silver.schema)
+    layout.write(silver, layout.silver(domain), ["year"], overwrite)
+    bronze_all = layout.read(spark, layout.bronze(domain), good.schema)
+    silver_all = layout.read(spark, layout.silver(domain), silver.schema)
     details = None
     if observed is not None:
         rows = counts.get.get("rows", 0) - counts.get.get("rejected", 0)
@@ -154,9 +187,9 @@ def _detail(table, name, value, op, threshold, passed=None) -> dict:
             "passed": evaluate(value, op, threshold) if passed is None else passed}
 
 
-def _write_gold(spark, df: DataFrame, path: str, partition_by=None, sort_by=None, single_file=False) -> DataFrame:
-    write_table(df, path, partition_by, sort_by=sort_by, single_file=single_file)
-    return read_table(spark, path, schema=df.schema)
+def _write_gold(spark, layout: Layout, df: DataFrame, path: str, partition_by=None, sort_by=None, single_file=False) -> DataFrame:
+    layout.write(df, path, partition_by, sort_by=sort_by, single_file=single_file)
+    return layout.read(spark, path, df.schema)
 
 
 def run_deforestation(
@@ -173,14 +206,17 @@ def run_deforestation(
     rebalance_bronze: bool = True,
     encoding: str = "UTF-8",
     run_id: str | None = None,
+    mixed: bool = False,
+    atomic: bool = False,
+    checks: str | Sequence[dict] | None = None,
 ) -> dict:
     """Deforestation domain: raw CSV paths (or a raw frame) to both gold tables.
 
     Rows that cannot be typed go to quarantine; with ``fail_fast`` one such
     row rejects the whole drop before bronze is written (the source's behaviour).
     """
-    L = Layout(root)
-    raw_df = _load_raw(spark, raw, deforestation.RAW_COLUMNS, sep, encoding)
+    L = Layout(root, atomic)
+    raw_df = load_raw(spark, "deforestation", raw, sep, encoding, mixed)
     silver_checks = [
         Check("row_count", count_rows()),
         Check("null_years", count_where(F.col("year").isNull()), "eq", 0),
@@ -190,16 +226,16 @@ def run_deforestation(
         spark, L, "deforestation", raw_df, deforestation.bronze, deforestation.silver, years, audit, silver_kwargs,
         fail_fast, silver_checks, rebalance_bronze, run_id,
     )
-    biome = _write_gold(spark, deforestation.gold_by_biome(silver, mode=mode, audit=audit),
+    biome = _write_gold(spark, L, deforestation.gold_by_biome(silver, mode=mode, audit=audit),
                         L.gold("deforestation_by_biome"), ["biome"], sort_by=deforestation.BIOME_ORDER)
-    state = _write_gold(spark, deforestation.gold_by_state(silver, audit=audit), L.gold("deforestation_by_state"),
+    state = _write_gold(spark, L, deforestation.gold_by_state(silver, audit=audit), L.gold("deforestation_by_state"),
                         sort_by=deforestation.state_order())
     suite = [("gold.deforestation_by_biome", biome, [Check("row_count", count_rows())])]
     if observed is None:
         suite = [("bronze.deforestation", bronze, [Check("row_count", count_rows())]),
                  ("silver.deforestation", silver, silver_checks)] + suite
-    return _finish(spark, suite, gate, {"deforestation_by_biome": biome, "deforestation_by_state": state},
-                   observed)
+    return _finish(spark, L, suite, gate, {"deforestation_by_biome": biome, "deforestation_by_state": state},
+                   observed, checks, {"bronze": bronze, "silver": silver})
 
 
 def run_spending(
@@ -215,10 +251,13 @@ def run_spending(
     rebalance_bronze: bool = True,
     encoding: str = "UTF-8",
     run_id: str | None = None,
+    mixed: bool = False,
+    atomic: bool = False,
+    checks: str | Sequence[dict] | None = None,
 ) -> dict:
     """Spending domain: raw CSV paths (or a raw frame, e.g. from API items) to gold by function."""
-    L = Layout(root)
-    raw_df = _load_raw(spark, raw, spending.RAW_COLUMNS, sep, encoding)
+    L = Layout(root, atomic)
+    raw_df = load_raw(spark, "spending", raw, sep, encoding, mixed)
     silver_checks = [
         Check("row_count", count_rows()),
         Check("negative_executed", count_where(F.col("executed_brl") < 0), "eq", 0),
@@ -227,13 +266,13 @@ def run_spending(
         spark, L, "spending", raw_df, spending.bronze, spending.silver, years, audit, silver_kwargs, fail_fast,
         silver_checks, rebalance_bronze, run_id,
     )
-    gold = _write_gold(spark, spending.gold_by_function(silver, audit=audit), L.gold("spending_by_function"),
+    gold = _write_gold(spark, L, spending.gold_by_function(silver, audit=audit), L.gold("spending_by_function"),
                        ["functional_category"], sort_by=spending.function_order())
     suite = [("gold.spending_by_function", gold, [Check("row_count", count_rows())])]
     if observed is None:
         suite = [("bronze.spending", bronze, [Check("row_count", count_rows())]),
                  ("silver.spending", silver, silver_checks)] + suite
-    return _finish(spark, suite, gate, {"spending_by_function": gold}, observed)
+    return _finish(spark, L, suite, gate, {"spending_by_function": gold}, observed, checks, {"bronze": bronze, "silver": silver})
 
 
 def run_tax(
@@ -249,10 +288,13 @@ def run_tax(
     rebalance_bronze: bool = True,
     encoding: str = "UTF-8",
     run_id: str | None = None,
+    mixed: bool = False,
+    atomic: bool = False,
+    checks: str | Sequence[dict] | None = None,
 ) -> dict:
     """Tax domain: raw CSV paths (or a raw frame) to gold by bracket."""
-    L = Layout(root)
-    raw_df = _load_raw(spark, raw, tax.RAW_COLUMNS, sep, encoding)
+    L = Layout(root, atomic)
+    raw_df = load_raw(spark, "tax", raw, sep, encoding, mixed)
     silver_checks = [
         Check("row_count", count_rows()),
         Check("negative_tax", count_where(F.col("tax_due_brl") < 0), "eq", 0),
@@ -261,33 +303,35 @@ def run_tax(
         spark, L, "tax", raw_df, tax.bronze, tax.silver, years, audit, silver_kwargs, fail_fast, silver_checks,
         rebalance_bronze, run_id,
     )
-    gold = _write_gold(spark, tax.gold_by_bracket(silver, audit=audit), L.gold("tax_by_bracket"), ["year"],
+    gold = _write_gold(spark, L, tax.gold_by_bracket(silver, audit=audit), L.gold("tax_by_bracket"), ["year"],
                        sort_by=tax.BRACKET_ORDER)
     suite = [("gold.tax_by_bracket", gold, [Check("row_count", count_rows())])]
     if observed is None:
         suite = [("bronze.tax", bronze, [Check("row_count", count_rows())]),
                  ("silver.tax", silver, silver_checks)] + suite
-    return _finish(spark, suite, gate, {"tax_by_bracket": gold}, observed)
-
-
-def run_cross_domain(spark: SparkSession, root: str, category: str = "Environment", audit: bool = True) -> dict:
-    """Cross-domain gold (year grained, one file each) and views over all gold tables present."""
-    L = Layout(root)
-    gold = lambda t: read_table(spark, L.gold(t), schema=GOLD_SCHEMAS[t])  # a category '02' stays text
-    write_table(cross.fiscal_balance(gold("tax_by_bracket"), gold("spending_by_function"), audit=audit),
-                L.gold("fiscal_balance"), sort_by=["year"], single_file=True)
-    write_table(
-        cross.outcome_vs_spend(gold("deforestation_by_biome"), gold("spending_by_function"), category, audit=audit),
-        L.gold("deforestation_vs_spending"), sort_by=["year"], single_file=True,
-    )
-    return {"views": register_views(spark, {f"{VIEW_PREFIX}{n}": gold(n) if n in GOLD_SCHEMAS else L.gold(n) for n in GOLD_TABLES})}
+    return _finish(spark, L, suite, gate, {"tax_by_bracket": gold}, observed, checks, {"bronze": bronze, "silver": silver})
+
 
+def run_cross_domain(spark: SparkSession, root: str, category: str = "Environment", audit: bool = True, atomic: bool = False) -> dict:
+    """Cross-domain gold (year grained, one file each) and views over all gold tables present, published for later sessions too."""
+    L = Layout(root, atomic)
+    plain = Layout(root)  # the domains' tables may be versioned or not
+    gold = lambda t: plain.read(spark, plain.gold(t), GOLD_SCHEMAS.get(t))  # a category '02' stays text
+    balance = cross.fiscal_balance(gold("tax_by_bracket"), gold("spending_by_function"), audit=audit)
+    outcome = cross.outcome_vs_spend(gold("deforestation_by_biome"), gold("spending_by_function"), category, audit=audit)
+    for name, df in (("fiscal_balance", balance), ("deforestation_vs_spending", outcome)):
+        L.write(df, L.gold(name), sort_by=["year"], single_file=True)
+    return {"views": publish_views(spark, root, {f"{VIEW_PREFIX}{n}": (L.gold(n), gold(n)) for n in GOLD_TABLES})}
 
-def _finish(spark, suite, gate, gold: dict[str, DataFrame], observed: list[dict] | None = None) -> dict:
-    """Gate (observed results plus the scanned suite), then publish views over the gold tables."""
+
+def _finish(spark, layout: Layout, suite, gate, gold: dict[str, DataFrame], observed: list[dict] | None = None, checks=None, layers=None) -> dict:
+    """Gate (observed results, the scanned suite, the run's own named checks), then publish views over the gold tables, for this session and later ones."""
     details = list(observed or []) + [r.asDict() for r in run_suite(suite).collect()]
+    if checks:  # a file's, or given; their SQL names the run's tables as {bronze}, {silver} and by their gold names
+        named = load_named_checks(checks) if isinstance(checks, str) else checks
+        details += run_sql_checks(spark, named, frames={**(layers or {}), **gold})
     summary = assert_details(details) if gate else {"details": details}
-    summary["views"] = register_views(spark, {f"{VIEW_PREFIX}{t}": df for t, df in gold.items()})
+    summary["views"] = publish_views(spark, layout.root, {f"{VIEW_PREFIX}{t}": (layout.gold(t), df) for t, df in gold.items()})
     return summary
 
 
@@ -301,7 +345,7 @@ DOMAINS = {
 BRONZE = {"deforestation": deforestation.bronze, "spending": spending.bronze, "tax": tax.bronze}
 
 
-def run_if_changed(spark: SparkSession, domain: str, landing: str, root: str, sep: str = ",", hash_bytes: int = 64 << 20, **run_kwargs) -> dict | None:
+def run_if_changed(spark: SparkSession, domain: str, landing: str, root: str, sep: str = ",", **run_kwargs) -> dict | None:
     """Run a domain over all of ``landing`` if any file was added, changed under its name, or removed.
 
     The files' state (path, length, modification time, content hash) is a table under the lake root,
@@ -310,7 +354,7 @@ def run_if_changed(spark: SparkSession, domain: str, landing: str, root: str, se
     """
     base = os.path.join(root, "_state", f"landing_{domain}")
     name = uuid.uuid4().hex
-    file_state(spark, landing, hash_bytes).write.parquet(f"{base}/{name}")
+    file_state(spark, landing).write.parquet(f"{base}/{name}")
     try:  # the log has a line "number state" per finished run
         split = F.split("value", " ")
         number, known = spark.read.text(f"{base}/log").select(F.max(F.struct(split[0].cast("int").alias("n"), split[1].alias("s"))).alias("m")).first()["m"]
@@ -326,6 +370,21 @@ def run_if_changed(spark: SparkSession, domain: str, landing: str, root: str, se
     return summary
 
 
+LANDING_INDEX = "batch int, path string, length long, file_path string, digest string, year int, rows long"
+
+
+def landing_index(spark: SparkSession, root: str, domain: str) -> DataFrame:
+    """Which file holds how many rows of which year (null: none that can be read), as of the batches so far."""
+    try:
+        return read_table(spark, _index_path(root, domain), schema=LANDING_INDEX)
+    except AnalysisException:  # no batch yet
+        return spark.createDataFrame([], LANDING_INDEX)
+
+
+def _index_path(root: str, domain: str) -> str:
+    return os.path.join(root, "_state", f"landing_index_{domain}")
+
+
 def run_incremental(
     spark: SparkSession,
     domain: str,
@@ -334,40 +393,56 @@ def run_incremental(
     checkpoint: str | None = None,
     sep: str = ",",
     max_files_per_batch: int | None = None,
+    encoding: str = "UTF-8",
+    mixed: bool = False,
     **run_kwargs,
 ) -> list[dict]:
     """Run a domain only for files that arrived since the last run ("only if the source changed").
 
-    An AvailableNow stream over ``landing`` says which files are new.  The years
-    those files carry are then rebuilt from **all** landing files (dynamic
-    overwrite), so a year may lie in any number of files, arrive over any number
-    of runs, and ``max_files_per_batch`` changes how often the run works, never
-    what it leaves.  Gold is recomputed.  With no new file nothing runs.  The
-    stream checkpoint commits after the batch has been written, so a failed run
-    is repeated next time; its rejects (quarantine partition ``batch-<id>``: those
-    of all the years it rebuilt) are replaced, not doubled.
+    An AvailableNow stream over ``landing`` says which files are new; it lists them and reads nothing.  A
+    batch reads its new files once to index them: a row per file and year, with the file's content hash,
+    in the batch's partition of the landing index.  The years found there are dirty.  They are rebuilt (dynamic
+    overwrite) from all files that the index knows to hold any of them, and from no others; years between
+    them are left alone.  So a year may lie in any number of files, arrive over any number of runs, and
+    ``max_files_per_batch`` changes how often the run works, never what it leaves.  Gold is recomputed.
+    With no new file nothing runs.  The stream checkpoint commits after the batch has been written, so a
+    failed batch is repeated next time; its index rows and its rejects (quarantine partition ``batch-<id>``:
+    those of all the years it rebuilt) are replaced, not doubled.
+
+    Each summary says how many files and bytes the batch opened (``files_opened``, ``bytes_opened``).
     """
-    run_fn, columns = DOMAINS[domain]
+    run_fn, _ = DOMAINS[domain]
     ckpt = checkpoint or os.path.join(root, "_checkpoints", f"landing_{domain}")
     results: list[dict] = []
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        years = df.select(typed_int("year").alias("y")).agg(F.min("y").alias("lo"), F.max("y").alias("hi")).first()
-        options_now = {"run_id": f"batch-{batch_id}"} | run_kwargs
-        no_year = df.where(typed_int("year").isNull())  # rejected with this batch, not lost
-        if years.lo is None:
-            bad = BRONZE[domain](no_year, audit=False)[1].withColumn("run_id", F.lit(options_now["run_id"]))
+    def batch(files: DataFrame, batch_id: int) -> None:
+        state = os.path.join(root, "_state", f"new_{domain}")
+        write_table(digests(files), state)
+        new = read_table(spark, state)
+        rows = load_raw(spark, domain, new, sep, encoding, mixed)
+        per_year = rows.groupBy(F.col("_source_file").alias("file_path"), typed_int("year").alias("year")).agg(F.count(F.lit(1)).alias("rows"))
+        index = new.join(per_year, "file_path", "left").select(F.lit(batch_id).alias("batch"), "path", "length", "file_path", "digest", "year", "rows")
+        write_table(index, _index_path(root, domain), ["batch"], overwrite="partitions")
+
+        known = landing_index(spark, root, domain)
+        mine = known.where(F.col("batch") == batch_id)
+        dirty = frozenset(r.year for r in mine.where("year IS NOT NULL").select("year").distinct().collect())
+        run_id = run_kwargs.get("run_id", f"batch-{batch_id}")
+        if not dirty:  # rejected with this batch, not lost
+            bad = BRONZE[domain](rows, audit=False)[1].withColumn("run_id", F.lit(run_id))
             write_table(bad, Layout(root).rejected(domain), ["run_id"], overwrite="partitions")
             return
-        landed = read_csv(spark, landing, schema=string_schema(columns), sep=sep, corrupt_column=CORRUPT, with_source=True)
-        raw = landed.where(typed_int("year").between(years.lo, years.hi)).unionByName(no_year, allowMissingColumns=True)
-        summary = run_fn(spark, raw, root, years=(years.lo, years.hi), **options_now)
-        summary["batch_id"] = batch_id
-        results.append(summary)
-
-    # A stream needs a schema; enforceSchema=false checks every file's header against it.
-    options = {"sep": sep, "enforceSchema": "false", "escape": '"', "multiLine": "true"}
-    if max_files_per_batch:
-        options["maxFilesPerTrigger"] = str(int(max_files_per_batch))
-    process_new_files(spark, landing, string_schema(columns), ckpt, batch, options=options)
+        holding = known.where(F.col("year").isin(sorted(dirty)) | (F.col("batch") == batch_id)).select("path", "length", "file_path").distinct()
+        files_path = os.path.join(root, "_state", f"opened_{domain}")
+        write_table(holding, files_path)
+        opened = read_table(spark, files_path)
+        # Rows without a year are rejected with the batch that brings them.
+        raw = load_raw(spark, domain, opened, sep, encoding, mixed).withColumn("_year", typed_int("year"))
+        fresh = mine.select(F.col("file_path").alias("_source_file")).distinct().withColumn("_fresh", F.lit(True))
+        raw = raw.join(fresh, "_source_file", "left").where(F.col("_year").isin(sorted(dirty)) | (F.col("_year").isNull() & F.col("_fresh")))
+        summary = run_fn(spark, raw.drop("_year", "_fresh"), root, years=dirty, **({"run_id": run_id} | run_kwargs))
+        size = opened.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b")).first()
+        results.append(summary | {"batch_id": batch_id, "years": sorted(dirty), "files_opened": size.n, "bytes_opened": size.b})
+
+    new_files(spark, landing, ckpt, batch, max_files_per_batch)
     return results

@@ -11,8 +11,8 @@ from strata.plans.queries.gold import FLAG_ROWS_SQL, TAX_GOLD_SQL, rollup_sql, s
 from strata.plans.queries.registry import register
 from strata.plans.queries.sql import dbl, def_rows_sql
 from strata.session import scratch_path
-from strata.sources.csv import read_csv, write_csv
-from strata.sources.json_items import explode_items, rejected_payloads
+from strata.sources.csv import publish_csv, read_csv, write_csv
+from strata.sources.json_items import split_payloads
 from strata.sources.tables import read_table
 from strata.streaming.incremental import changed_files, file_state
 
@@ -75,8 +75,7 @@ def q_json_rejects(spark, sf_dir):
         .otherwise(good)
     )
     docs = li.select(*key, payload.alias("payload"))
-    items = explode_items(docs, "payload", keep=key, fields={"year": "int"})
-    bad = rejected_payloads(docs, "payload", keep=key, fields={"year": "int"})
+    items, bad = split_payloads(docs, "payload", keep=key, fields={"year": "int"})
     return (
         items.select(*key, F.lit("good").alias("outcome"), "amount")
         .unionByName(bad.select(*key, F.col("_reject_reason").alias("outcome"), F.lit(None).cast("double").alias("amount")))
@@ -123,24 +122,6 @@ def q_quarantine_table(spark, sf_dir):
     return rejected.groupBy("run_id", F.col("_reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _publish(spark, df, folder, name, key):
-    """Write ``df`` as the files ``folder/name-<part>.csv``, replacing what was published under that name.
-
-    Rows are dealt by the hash of ``key`` and sorted inside a part, so the same rows give the same files again.
-    """
-    work = scratch_path(spark, "publish")
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    write_csv(df.repartition(parts, key).sortWithinPartitions(*df.columns), work)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    store = hadoop.Path(work).getFileSystem(spark._jsc.hadoopConfiguration())
-    store.mkdirs(hadoop.Path(folder))
-    for old in store.globStatus(hadoop.Path(f"{folder}/{name}-*.csv")):
-        store.delete(old.getPath(), False)
-    for part in store.globStatus(hadoop.Path(f"{work}/part-*")):
-        number = part.getPath().getName().split("-")[1]
-        store.rename(part.getPath(), hadoop.Path(f"{folder}/{name}-{number}.csv"))
-
-
 @register(
     "q_republished_file",
     """
@@ -150,10 +131,11 @@ FROM (SELECT o_orderstatus AS l_linestatus_file, count(*) AS n_rows FROM orders
 def q_republished_file(spark, sf_dir):
     """Files rewritten under their names with other content are found by their hash; those rewritten alike are not."""
     root = scratch_path(spark, "republished")
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     o = A.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
 
     def publish(status, df):
-        _publish(spark, df.where(F.col("o_orderstatus") == status), f"{root}/landing", status, "o_orderkey")
+        publish_csv(df.where(F.col("o_orderstatus") == status), f"{root}/landing", status, "o_orderkey", parts)
 
     for status in ("F", "O"):
         publish(status, o)

@@ -133,28 +133,30 @@ def spending_rows_by_part_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The line statuses of the generator, and the state each stands for.
 LINE_STATES = {"O": "ALL", "F": "F"}
+REST = "REST"
 
 
 def tax_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tax-shaped rows at (order, line status) grain.
 
-    Open lines are the national ('ALL') rows; closed lines carry their status.
-    Lineitem is aggregated per order alone, each status in sums of its own, so
-    one exchange on the order key serves the aggregate and the join.
+    Open lines are the national ('ALL') rows; closed lines carry their status; lines of any other
+    status, or of none, are one further row (``REST``).  Lineitem is aggregated per order alone, each
+    status in sums of its own, so one exchange on the order key serves the aggregate and the join.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linestatus", F.col("l_extendedprice").alias("base"), round_half_away("l_extendedprice * l_tax", 2).alias("tax")
     )
     sums = []
-    for status in LINE_STATES:
-        mine = F.col("l_linestatus") == status
+    states = LINE_STATES | {REST: REST}
+    for status in states:
+        mine = F.col("l_linestatus") == status if status != REST else ~F.coalesce(F.col("l_linestatus").isin(*LINE_STATES), F.lit(False))
         sums += [F.count_if(mine).alias(f"n_{status}"), F.sum(F.when(mine, money("base"))).alias(f"base_{status}"),
                  F.sum(F.when(mine, money("tax"))).alias(f"tax_{status}")]
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     wide = li.groupBy("l_orderkey").agg(*sums)
     rows = F.array(*(
         F.struct(F.lit(state).alias("state"), F.col(f"n_{status}").alias("n"), F.col(f"base_{status}").alias("base"), F.col(f"tax_{status}").alias("tax"))
-        for status, state in LINE_STATES.items()
+        for status, state in states.items()
     ))
     joined = wide.join(orders, wide.l_orderkey == orders.o_orderkey)
     return joined.select("o_orderdate", "o_orderpriority", F.inline(rows)).where("n > 0").select(

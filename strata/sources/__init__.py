@@ -11,6 +11,7 @@ from strata.sources.harmonise import (
 )
 from strata.sources.json_items import explode_items, read_json_items, read_json_lines_items
 from strata.sources.landing import group_layouts, header_lines, read_landing
+from strata.sources.ranges import file_heads, list_files, read_columns
 from strata.sources.series import explode_series
 from strata.sources.tables import (
     create_path_view,
@@ -28,12 +29,15 @@ __all__ = [
     "create_path_view",
     "explode_items",
     "explode_series",
+    "file_heads",
     "first_alias",
     "group_layouts",
     "harmonise",
     "harmonise_deforestation",
     "harmonise_tax",
     "header_lines",
+    "list_files",
+    "read_columns",
     "read_csv",
     "read_json_items",
     "read_json_lines_items",

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata.session import scratch_path
+from strata.sources import stores
+
 
 def string_schema(columns: Sequence[str]) -> StructType:
     """All-string schema: raw text is typed later with ``try_cast`` (no inference pass)."""
@@ -82,6 +86,23 @@ def sniff_delimiter(
     return next((c for c in candidates if c in sample), candidates[-1])
 
 
+def publish_csv(df: DataFrame, folder: str, name: str, key: str, parts: int) -> None:
+    """Write ``df`` as the files ``folder/name-<part>.csv``, replacing what was published under that name.
+
+    Rows are dealt by the hash of ``key`` and sorted inside a part, so the same rows give the same files
+    again.  Tasks write the files; the driver only names them.
+    """
+    spark = df.sparkSession
+    work, folder = stores.qualified(spark, scratch_path(spark, "publish")), stores.qualified(spark, folder)
+    write_csv(df.repartition(parts, key).sortWithinPartitions(*df.columns), work)
+    for old, is_folder in stores.names(folder):
+        if not is_folder and re.fullmatch(rf"{re.escape(name)}-[0-9]+\.csv", old):
+            stores.remove_file(f"{folder}/{old}")
+    for part, _ in stores.names(work):
+        if part.startswith("part-"):
+            stores.move_file(f"{work}/{part}", f"{folder}/{name}-{part.split('-')[1]}.csv")
+
+
 def write_csv(
     df: DataFrame,
     path: str,

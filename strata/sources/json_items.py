@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.parse import parse_amount
+from strata.session import scratch_path
 
 ITEMS_SCHEMA = "items array<struct<coluna:string, rotulo:string, valor:variant>>"
 
@@ -44,14 +45,21 @@ def explode_items(
     read in the same single parse and carried onto every item.  Payloads that
     cannot be read give no items here; ``rejected_payloads`` returns them.
     """
-    keep = keep or []
-    fields = fields or {}
-    parsed = df.select(*keep, _document(json_col, fields).alias("_doc")).where(_reason(fields).isNull())
-    items = parsed.select(
-        *keep, *[F.col("_doc").getField(k).alias(k) for k in fields], F.inline(F.col("_doc").getField("items"))
-    )
-    return items.select(
-        *keep,
+    doc = df.select(*(keep or []), _document(json_col, fields or {}).alias("_doc"))
+    good = F.when(_reason(fields or {}).isNull(), F.col("_doc").getField("items"))
+    return _items(doc, good, {k: F.col("_doc").getField(k) for k in fields or {}}, keep)
+
+
+def _items(df: DataFrame, items: Column, fields: dict[str, Column], keep: list[str] | None) -> DataFrame:
+    """One typed row per element of ``items``.
+
+    The generator takes an expression, and gives the fields too: conditions on a plain column under it,
+    or on columns beside it, would be pushed below the parse and repeat it.
+    """
+    if fields:
+        items = F.transform(items, lambda i: F.struct(*[i.getField(c).alias(c) for c in ("coluna", "rotulo", "valor")], *[v.alias(k) for k, v in fields.items()]))
+    return df.select(*(keep or []), F.inline(items)).select(
+        *(keep or []),
         *fields,
         F.coalesce(F.col("coluna"), F.lit("")).alias("category"),
         F.coalesce(F.col("rotulo"), F.lit("")).alias("description"),
@@ -59,6 +67,27 @@ def explode_items(
     )
 
 
+def parse_payloads(df: DataFrame, json_col: str, keep: list[str] | None = None, fields: dict[str, str] | None = None) -> DataFrame:
+    """Every payload with what it says: ``keep``, ``fields``, ``items`` and, of a rejected one, ``payload`` and ``_reject_reason``."""
+    doc = df.select(*(keep or []), F.col(json_col).alias("payload"), _document(json_col, fields or {}).alias("_doc"))
+    tagged = doc.withColumn("_reject_reason", _reason(fields or {}))
+    return tagged.select(
+        *(keep or []), *[F.col("_doc").getField(k).alias(k) for k in fields or {}],
+        F.when(F.col("_reject_reason").isNull(), F.col("_doc").getField("items")).alias("items"),
+        F.when(F.col("_reject_reason").isNotNull(), F.col("payload")).alias("payload"), "_reject_reason",
+    )
+
+
+def split_payloads(df: DataFrame, json_col: str, keep: list[str] | None = None, fields: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(items, rejected payloads) of payloads that are parsed once, into a table that both are read from."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "payloads")
+    parse_payloads(df, json_col, keep, fields).write.parquet(path)
+    parsed = spark.read.parquet(path)
+    bad = parsed.where("_reject_reason IS NOT NULL")
+    return _items(parsed, F.col("items"), {k: F.col(k) for k in fields or {}}, keep), bad.select(*(keep or []), "payload", "_reject_reason")
+
+
 def _document(json_col: str, fields: dict[str, str]) -> Column:
     schema = ", ".join([f"{k} {t}" for k, t in fields.items()] + [ITEMS_SCHEMA, "_unread string"])
     return F.from_json(F.col(json_col), schema, {"columnNameOfCorruptRecord": "_unread"})
@@ -79,9 +108,8 @@ def rejected_payloads(df: DataFrame, json_col: str, keep: list[str] | None = Non
     ``unreadable``: not a JSON document of the expected shape; ``no_<field>``: a requested field is
     missing or has another type; ``no_items``: no item list.  A NULL payload is unreadable.
     """
-    fields = fields or {}
-    parsed = df.select(*(keep or []), F.col(json_col).alias("payload"), _document(json_col, fields).alias("_doc"))
-    return parsed.withColumn("_reject_reason", _reason(fields)).where(F.col("_reject_reason").isNotNull()).drop("_doc")
+    parsed = parse_payloads(df, json_col, keep, fields)
+    return parsed.where("_reject_reason IS NOT NULL").select(*(keep or []), "payload", "_reject_reason")
 
 
 def read_json_items(spark: SparkSession, path: str) -> DataFrame:

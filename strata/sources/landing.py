@@ -2,13 +2,9 @@
 
 Raw drops of one source arrive with different delimiters and header names.
 One CSV read over files of mixed layouts would apply the first file's header
-to all of them, so files are grouped by layout (delimiter + header line) and
-read once per layout; each group is harmonised to the standard schema and the
-groups are unioned.
-
-The header lines come from one distributed job: the first line of each file's
-first split.  Its result has one short row per file (the same order of size as
-the file listing Spark keeps on the driver anyway).
+to all of them.  Here each file's first bytes are read by tasks over the list of
+files, and its delimiter and column names travel with its byte ranges
+(``ranges.read_columns``): one scan, and one plan, for any number of layouts.
 """
 
 from __future__ import annotations
@@ -21,38 +17,21 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.csv import read_csv
-
-BOM = "﻿"
+from strata.sources.ranges import CANDIDATES, file_heads, read_columns
 
 
-def header_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file_path, header): the first line of every file under ``path``.
-
-    The text source reads UTF-8; in a file of another encoding, accented
-    header characters come back replaced.  That does not matter here: the line
-    only serves to find the delimiter and to group files with the same header.
-    Column names come from the CSV reader, which takes the file's encoding.
-    """
-    paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        "value",
-    )
-    first_split = lines.where(F.col("_start") == 0).withColumn("_pos", F.monotonically_increasing_id())
-    return first_split.groupBy("file_path").agg(F.min_by("value", "_pos").alias("header"))
+def header_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    """(file_path, header): the first record of every file under ``path``, without a byte-order mark."""
+    return file_heads(spark, path, encoding=encoding).select("file_path", "header")
 
 
 def group_layouts(
-    spark: SparkSession, path: str | Sequence[str], candidates: Sequence[str] = (";", ",")
+    spark: SparkSession, path: str | Sequence[str], candidates: Sequence[str] = CANDIDATES, encoding: str = "UTF-8"
 ) -> dict[tuple[str, str], list[str]]:
-    """{(delimiter, header): [files]}; the delimiter is the first candidate found in the header."""
+    """{(delimiter, header): [files]}, for a look at a folder; reads don't need it."""
     layouts: dict[tuple[str, str], list[str]] = defaultdict(list)
-    for row in header_lines(spark, path).collect():
-        header = (row.header or "").lstrip(BOM)
-        sep = next((c for c in candidates if c in header), candidates[-1])
-        layouts[(sep, header)].append(literal_path(row.file_path))
+    for row in file_heads(spark, path, candidates, encoding).select("sep", "header", "file_path").collect():
+        layouts[(row.sep, row.header)].append(literal_path(row.file_path))
     return dict(layouts)
 
 
@@ -63,24 +42,15 @@ def literal_path(uri: str) -> str:
 
 def read_landing(
     spark: SparkSession,
-    path: str | Sequence[str],
+    path: str | Sequence[str] | DataFrame,
     harmonise_fn: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
-    candidates: Sequence[str] = (";", ","),
+    candidates: Sequence[str] = CANDIDATES,
     encoding: str = "UTF-8",
 ) -> tuple[DataFrame, DataFrame]:
-    """Harmonised rows and rejected rows of every file under ``path``, one read per layout.
+    """Harmonised rows and rejected rows of every file under ``path``.
 
-    ``encoding`` is the files' text encoding (e.g. ``ISO-8859-1`` for legacy exports).
+    ``harmonise_fn.columns`` are the raw header names that the function looks for.  Records with too few
+    or too many fields are rejected as ``malformed``.  ``encoding`` is the files' text encoding (e.g.
+    ``ISO-8859-1`` for legacy exports).
     """
-    goods, bads = [], []
-    for (sep, _header), files in sorted(group_layouts(spark, path, candidates).items()):
-        good, bad = harmonise_fn(read_csv(spark, sorted(files), sep=sep, encoding=encoding, with_source=True))
-        goods.append(good)
-        bads.append(bad)
-    if not goods:
-        raise FileNotFoundError(f"no files under {path}")
-    good, bad = goods[0], bads[0]
-    for g, b in zip(goods[1:], bads[1:]):
-        good = good.unionByName(g)
-        bad = bad.unionByName(b, allowMissingColumns=True)
-    return good, bad
+    return harmonise_fn(read_columns(spark, path, harmonise_fn.columns, candidates, encoding, as_map=True))

@@ -3,6 +3,7 @@ partition discovery, name them as views, run parameterised SQL over them."""
 
 from __future__ import annotations
 
+import datetime
 import os
 from collections.abc import Mapping, Sequence
 
@@ -92,6 +93,35 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
+def write_ordered(df: DataFrame, path: str, order_by: Sequence, files: int | None = None) -> None:
+    """Write ``df`` as files that follow one another in the order of ``order_by`` (ranges, each sorted).
+
+    Rows that tie are spread too, so no order value makes a file of its own.  ``read_ordered`` hands
+    the rows back in this order.
+    """
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*order_by, F.col("_row")]
+    dealt = df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(n, *by).sortWithinPartitions(*by)
+    dealt.drop("_row").write.mode("overwrite").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, position: str = "_position") -> DataFrame:
+    """The rows of ``write_ordered`` with their place in the order, from 0.
+
+    The place is the file's first one (from the files' row counts, a row per file) plus the row's index
+    in its file, so it is the same however the files are split.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    number = F.regexp_extract("_file", "part-([0-9]+)", 1).cast("int")
+    counts = rows.groupBy("_file", number.alias("_no")).agg((F.max("_index") + 1).alias("n")).orderBy("_no").collect()
+    starts, at = [], 0
+    for row in counts:
+        starts.append((row["_file"], at))
+        at += row["n"]
+    placed = rows.join(spark.createDataFrame(starts, "_file string, _start long"), "_file")
+    return placed.withColumn(position, F.col("_start") + F.col("_index")).drop("_file", "_index", "_start")
+
+
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -> list[str]:
     """Name each table (a DataFrame or a Parquet path) as a temporary view."""
     names = []
@@ -135,6 +165,8 @@ def run_sql(
     return spark.sql(sql_text(spark, sql), args=dict(args or {}), **dict(frames or {}))
 
 
-def with_audit(df: DataFrame, column: str, enabled: bool = True) -> DataFrame:
-    """Audit timestamp (one value per query).  Disabled for reproducible outputs."""
+def with_audit(df: DataFrame, column: str, enabled: bool | datetime.datetime = True) -> DataFrame:
+    """Audit timestamp (one value per query).  Disabled, or given as a fixed time, for reproducible outputs."""
+    if isinstance(enabled, datetime.datetime):
+        return df.withColumn(column, F.lit(enabled))
     return df.withColumn(column, F.current_timestamp()) if enabled else df

@@ -11,7 +11,6 @@ schedule instead of being skipped.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -19,11 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.sources.stores import open_stream
+
 
 def _reader(spark: SparkSession, schema: StructType, fmt: str, options: dict | None):
     r = spark.readStream.schema(schema).format(fmt)
-    # CSV: every file's header is checked against the schema instead of being mapped by position.
-    opts = {"header": "true", "enforceSchema": "false"} if fmt == "csv" else {}
+    # CSV: every file's header is checked against the schema instead of being mapped by position; quotes as in read_csv.
+    opts = {"header": "true", "enforceSchema": "false", "escape": '"', "multiLine": "true"} if fmt == "csv" else {}
     opts.update(options or {})
     for k, v in opts.items():
         r = r.option(k, v)
@@ -74,6 +75,7 @@ def process_new_files(
     batch_fn: Callable[[DataFrame, int], None],
     fmt: str = "csv",
     options: dict | None = None,
+    columns: Sequence | None = None,
 ) -> None:
     """Run ``batch_fn(new_rows, batch_id)`` over files not seen before, then stop.
 
@@ -82,6 +84,8 @@ def process_new_files(
     overwrite of the years present in the batch.
     """
     stream = _reader(spark, schema, fmt, options).load(landing)
+    if columns is not None:
+        stream = stream.select(*columns)
     (
         stream.writeStream.foreachBatch(batch_fn)
         .option("checkpointLocation", checkpoint)
@@ -91,18 +95,18 @@ def process_new_files(
     )
 
 
-PIECE_BYTES = 8 << 20
+def new_files(spark: SparkSession, landing: str, checkpoint: str, batch_fn: Callable[[DataFrame, int], None], max_files_per_batch: int | None = None) -> None:
+    """Run ``batch_fn(files, batch_id)`` over files not seen before (``path, length, modified, file_path``), then stop.
 
+    Only the listing is read, not the files.  ``batch_fn`` must be idempotent per ``batch_id``.
+    """
+    schema = StructType.fromDDL("path string, modificationTime timestamp, length bigint, content binary")
+    options = {"maxFilesPerTrigger": str(int(max_files_per_batch))} if max_files_per_batch else {}
+    listed = ["path", "length", F.col("modificationTime").alias("modified"), F.col("_metadata.file_path").alias("file_path")]
+    process_new_files(spark, landing, schema, checkpoint, batch_fn, fmt="binaryFile", options=options, columns=listed)
 
-def _open(path: str):
-    """A file by the path that Spark lists it under, for reading in pieces."""
-    from pyarrow import fs
 
-    scheme, authority, rest = re.fullmatch(r"(?:([\w+.-]+):)?(?://([^/]*))?(/.*)", path, re.DOTALL).groups()
-    if scheme in (None, "file"):
-        return fs.LocalFileSystem().open_input_stream(rest, compression=None)
-    store, base = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{authority or ''}/")
-    return store.open_input_stream(base.rstrip("/") + rest, compression=None)
+PIECE_BYTES = 8 << 20
 
 
 def _digests(batches):
@@ -110,26 +114,27 @@ def _digests(batches):
         found = []
         for path in batch.column("path").to_pylist():
             digest = hashlib.sha256()
-            with _open(path) as f:
+            with open_stream(path) as f:
                 while piece := f.read(PIECE_BYTES):
                     digest.update(piece)
             found.append(digest.hexdigest())
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "digest"])
 
 
-def file_state(spark: SparkSession, landing: str, hash_bytes: int = 64 << 20) -> DataFrame:
+def file_state(spark: SparkSession, landing: str) -> DataFrame:
     """``path, length, modified, digest`` of every file under ``landing`` (a folder or a glob).
 
-    ``digest`` is the SHA-256 of the content, whatever the length.  A file of up to ``hash_bytes`` is
-    read as one value for it; a larger one is streamed in pieces through the hash, by the task that
-    lists it, from a store that ``pyarrow.fs`` knows (any other is an error, not a missing digest).  Spark
-    doesn't list empty files.
+    ``digest`` is the SHA-256 of the content, streamed in pieces by the task that lists the file, from a
+    store that ``pyarrow.fs`` knows (any other is an error).  Spark doesn't list empty files.
     """
-    reader = spark.read.format("binaryFile")
-    kept = ["path", "length", F.col("modificationTime").alias("modified")]
-    small = reader.load(landing).where(F.col("length") <= hash_bytes).select(*kept, F.sha2("content", 256).alias("digest"))
-    large = reader.load(landing).where(F.col("length") > hash_bytes).select(*kept)
-    return small.unionByName(large.mapInArrow(_digests, "path string, length long, modified timestamp, digest string"))
+    listed = spark.read.format("binaryFile").load(landing).select("path", "length", F.col("modificationTime").alias("modified"))
+    return digests(listed)
+
+
+def digests(files: DataFrame) -> DataFrame:
+    """Adds ``digest``, the SHA-256 of the content, to a frame of files (``path`` and any other columns)."""
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
+    return files.mapInArrow(_digests, f"{kept}, digest string")
 
 
 def changed_files(state: DataFrame, before: DataFrame | None) -> DataFrame:

@@ -91,29 +91,28 @@ def test_files_over_the_bound_go_by_content(spark, scratch, monkeypatch):
 
     for name, content in text.items():
         put(name, content, 1_600_000_000)
-    file_state(spark, f"{root}/landing", hash_bytes=4).write.parquet(f"{root}/state")
+    file_state(spark, f"{root}/landing").write.parquet(f"{root}/state")
     before = spark.read.parquet(f"{root}/state")
     assert {r.path.rsplit("/", 1)[1]: (r.length, r.digest) for r in before.collect()} == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in text.items()}
     put("alike", text["alike"], 1_700_000_000)  # the same bytes, later
     put("other, too", b"z" * 20, 1_600_000_000)  # other bytes of the same length and time
     os.remove(f"{root}/landing/gone")
     put("new", b"n" * 9, 1_600_000_000)
-    for bound in (4, 1 << 20):  # the bound doesn't change what is found
-        got = {r.path.rsplit("/", 1)[1]: r.change for r in changed_files(file_state(spark, f"{root}/landing", hash_bytes=bound), before).collect()}
-        assert got == {"other, too": "changed", "gone": "removed", "new": "added"}
+    got = {r.path.rsplit("/", 1)[1]: r.change for r in changed_files(file_state(spark, f"{root}/landing"), before).collect()}
+    assert got == {"other, too": "changed", "gone": "removed", "new": "added"}
 
 
 def test_published_files_are_many_and_the_same_again(spark, scratch):
     import hashlib
     import os
 
-    from strata.plans.queries.runs import _publish
+    from strata.sources.csv import publish_csv
 
     root = scratch("published")
     rows = spark.range(2000).selectExpr("id AS k", "id % 7 AS v")
     content = lambda: {f: hashlib.sha256(open(f"{root}/{f}", "rb").read()).digest() for f in os.listdir(root) if f.endswith(".csv")}  # noqa: E731, SIM115
-    _publish(spark, rows, root, "F", "k")
+    publish_csv(rows, root, "F", "k", 8)
     first = content()
     assert len(first) >= 8 and max(os.path.getsize(f"{root}/{f}") for f in first) < sum(os.path.getsize(f"{root}/{f}") for f in first) / 4
-    _publish(spark, rows.orderBy(F.desc("k")), root, "F", "k")
+    publish_csv(rows.orderBy(F.desc("k")), root, "F", "k", 8)
     assert content() == first
