@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import change_pct, pct
+from strata.session import scratch_path
 
 
 def _spec(partition_by: Sequence[str], order_by: Sequence[str] | str):
@@ -122,6 +123,9 @@ def with_share(
     * ``method="window"`` (default): ``sum(x) OVER (PARTITION BY total_keys)``.
       The aggregate is computed once; the only extra cost is an exchange of
       the aggregated rows by period, which hold one row per member.
+    * ``method="table"``: for years with very many members.  The aggregate is written, totals are a
+      second aggregate (map-side first) over what was written, and are joined back, so no year's members
+      meet in one task.
     * ``method="join"``: a second aggregate to one row per period, joined
       back (the literal two-CTE form); AQE broadcasts the totals at run time
       once their measured size is known to be small.  Spark does not share
@@ -132,10 +136,14 @@ def with_share(
     tcol = total_col or f"_total_{measure}"
     if method == "window":
         joined = df.withColumn(tcol, F.sum(measure).over(Window.partitionBy(*total_keys)))
-    elif method == "join":
+    elif method in ("join", "table"):
+        if method == "table":
+            path = scratch_path(df.sparkSession, "shares")
+            df.write.parquet(path)
+            df = df.sparkSession.read.parquet(path)
         totals = df.groupBy(*total_keys).agg(F.sum(measure).alias(tcol))
         joined = df.join(totals, on=list(total_keys), how="inner")
     else:
-        raise ValueError("method must be 'window' or 'join'")
+        raise ValueError("method must be 'window', 'table' or 'join'")
     joined = joined.withColumn(out, pct(measure, tcol, decimals, default))
     return joined if total_col else joined.drop(tcol)

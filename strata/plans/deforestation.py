@@ -10,6 +10,7 @@ from strata.functions.rules import BIOME_RULES, normalise_by_rules, normalise_st
 from strata.operators.aggregate import annual_sum, rollup_sum
 from strata.operators.cleaning import range_filter
 from strata.operators.window import with_prev, with_rank, with_trend
+from strata.operators.yearly import update_trend
 from strata.plans.common import rounded, type_columns
 from strata.sources.tables import with_audit
 
@@ -74,6 +75,24 @@ def gold_by_biome(silver_df: DataFrame, mode: str = "prefer_rollup", audit: bool
     return with_audit(out, "_computed_at", audit)
 
 
+def update_gold_by_biome(silver_df: DataFrame, path: str, years, mode: str = "prefer_rollup") -> DataFrame:
+    """The by-biome table after some ``years`` of silver changed, from a state kept at ``path`` (see ``operators.yearly``).
+
+    Silver is read for those years only, and only they and later years of the state are written.  With
+    ``as_executed``, whose flag looks at all years, every year has to be among them.
+    """
+    annual = rollup_sum(silver_df.where(F.col("year").isin(sorted(years))), ["year", "biome"], "state", "area_km2", mode=mode)
+    state = update_trend(path, annual, ["biome"], "area_km2", years)
+    return state.select(
+        "year",
+        "biome",
+        rounded("area_km2").alias("area_km2"),
+        rounded("total").alias("cumulative_km2"),
+        rounded("before").alias("prev_year_km2"),
+        change_pct("area_km2", "before", 1).alias("yoy_change_pct"),
+    )
+
+
 def gold_by_state(silver_df: DataFrame, audit: bool = True) -> DataFrame:
     """Annual area per (biome, state) without rollup rows, previous year, YoY % and rank in year."""
     detail = silver_df.where(F.col("state") != F.lit("ALL"))

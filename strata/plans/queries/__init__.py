@@ -7,7 +7,7 @@ ratios DOUBLE; sums are exact decimals converted at the end, so both engines
 produce bit-identical doubles.
 
 Modules register in this order: gold KPIs, scalar operators, sources and
-sinks, quality gates, views and SQL stages, incremental, whole runs.
+sinks, quality gates, views and SQL stages, incremental, whole runs, lake (mixed drops, versions, catalogue, order, spread keys).
 """
 
 from strata.plans.queries.registry import ORACLE_SQL, QUERIES, register
@@ -20,5 +20,6 @@ from strata.plans.queries import quality  # noqa: E402,F401
 from strata.plans.queries import views  # noqa: E402,F401
 from strata.plans.queries import incremental  # noqa: E402,F401
 from strata.plans.queries import runs  # noqa: E402,F401
+from strata.plans.queries import lake  # noqa: E402,F401
 
 __all__ = ["ORACLE_SQL", "QUERIES", "register"]
