@@ -62,8 +62,18 @@ def _found(text: Column, pattern: str, counted: int = 0) -> Column:
         one = F.struct(begin.alias("start"), end.alias("end"), part["counted"].alias("counted"), part["token"].alias("token"))
         return F.struct(end.alias("at"), F.concat(acc["all"], F.array(one)).alias("all"))
 
-    all_spans = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("all")), add, lambda acc: acc["all"])
-    return F.when(text.rlike(pattern), all_spans).otherwise(none)
+    def add_block(acc, block):
+        inner = F.aggregate(block, F.struct(acc["at"].alias("at"), none.alias("all")), add)
+        return F.struct(inner["at"].alias("at"), F.concat(acc["all"], F.array(inner["all"])).alias("all"))
+
+    def all_spans(parts):
+        """Blocks of the root of the count: no array is appended to more often than that."""
+        size = F.ceil(F.sqrt(F.size(parts).cast("double"))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), size - 1), lambda b: F.slice(parts, b * size + 1, size))
+        folded = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("all")), lambda acc, b: _let(F.struct(acc.alias("acc"), b.alias("b")), lambda x: add_block(x["acc"], x["b"])))
+        return F.flatten(folded["all"])
+
+    return F.when(text.rlike(pattern), _let(parts, all_spans)).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:

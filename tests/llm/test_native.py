@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import exact_dedup, mixing, secrets, sharding
+from strata.session import scratch_path
 
 SCHEMA = "doc_id long, text string, source string, kept string, id string, size string, shard string"
 
@@ -115,6 +116,26 @@ def test_sharding_splits_only_what_is_too_large(spark):
     assert not any(a != b and b.startswith(a) for a in shards for b in shards if len(shards[b]) > 1 or shards[b][0]["n_bytes"] <= limit)
 
 
+def test_shards_are_written_whole(spark):
+    rnd = random.Random(2)
+    rows = [(i, "x" * rnd.randint(0, 200), "s") for i in range(100)] + [(7, f"y{i}" * 40, "s") for i in range(20)] + [(None, "no id", None), (None, None, None)]
+    path = scratch_path(spark, "shards")
+    sharding.write_shards(docs_of(spark, rows), path, 1000)
+    got = spark.read.parquet(path)
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(((r["doc_id"], r["text"], r["source"]) for r in got.collect()), key=key) == sorted(rows, key=key)
+    sizes = got.groupBy("_shard").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("b")).collect()
+    assert len(sizes) > 5 and max(r["b"] for r in sizes) <= 1000
+    assert sharding.shard_documents(docs_of(spark, []), 1000).count() == 0
+    assert {r["shard"] for r in sharding.shard_documents(docs_of(spark, rows[:3]), 10**6).collect()} == {""}
+
+
+def test_many_spans_in_one_text(spark):
+    text = "".join(f"{i:016x} " for i in range(20_000))
+    (row,) = secrets.scan_secrets(docs_of(spark, [(1, text, "s"), ])).select(F.filter("spans", lambda s: s["kind_no"] == 2).alias("spans")).collect()
+    assert [(s["start"], s["end"]) for s in row["spans"]] == [(17 * i, 17 * i + 16) for i in range(20_000)]
+
+
 def brute_base(text):
     spans = []
     for m in re.finditer(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
