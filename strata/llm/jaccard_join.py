@@ -107,6 +107,7 @@ class Order:
 def _profile(docs: DataFrame, k: int) -> DataFrame:
     """First pass: ``id, n, f1, f2`` of every document, and ``token, reported`` of what a chunk holds more than once."""
 
+    @textops.tidy
     def run(batches):
         held, size = [], 0
 
@@ -180,6 +181,7 @@ def _prefixes(docs: DataFrame, order, k: int, num: int, den: int) -> DataFrame:
     ``bits`` is its bitmap.
     """
 
+    @textops.tidy
     def run(batches):
         for batch in batches:
             for _, tokens, bounds in _sets(batch, "text", k):
@@ -214,6 +216,7 @@ def _bloom(keys: DataFrame) -> np.ndarray:
 def _promising(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose bitmaps don't rule them out: similar sets differ in few tokens, so their bitmaps in few bits."""
 
+    @textops.tidy
     def run(batches):
         for batch in batches:
             keep = []
@@ -237,6 +240,7 @@ def _gather(docs: DataFrame, sets: DataFrame, roles: DataFrame, k: int) -> DataF
     wanted = _written(sets.select("sid", "n", "f1", "f2").join(roles, "sid"), "jaccard-wanted")
     bits = spark.sparkContext.broadcast(_bloom(wanted))
 
+    @textops.tidy
     def scan(batches):
         for batch in batches:
             for _, tokens, bounds in _sets(batch, "text", k):
@@ -265,6 +269,7 @@ def _compared(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, num: i
     roles = dealt.select(F.col("a").alias("sid"), F.col("b").alias("group"), "part", F.lit(1).alias("role")).unionByName(
         dealt.select(F.col("b").alias("sid"), F.col("b").alias("group"), "part", F.lit(0).alias("role")).distinct())
 
+    @textops.tidy
     def compare(batches):
         held, group = np.zeros(0, np.uint64), None
         for batch in batches:
@@ -319,6 +324,7 @@ def _hoods(docs: DataFrame, sets: DataFrame, members: DataFrame, k: int, num: in
     part = F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")
     roles = other.select("sid", F.col("hood").alias("group"), part.alias("part"), F.lit(1).alias("role"))
 
+    @textops.tidy
     def meet(batches):
         held, tile = [], None
 
@@ -397,6 +403,7 @@ def _candidates(sets: DataFrame, order: Order, labels: DataFrame, hoods: DataFra
     parts = spark.sparkContext.broadcast((order.tokens[big], -(-order.counts[big] // list_max)))
     skip = None
     if big.any():  # lists of one component need no pairs: a minimum and a maximum per list, for the few large ones
+        @textops.tidy
         def postings(batches):
             tokens, _ = parts.value
             for batch in batches:
@@ -409,6 +416,7 @@ def _candidates(sets: DataFrame, order: Order, labels: DataFrame, hoods: DataFra
     skip = spark.sparkContext.broadcast(np.zeros(0, np.uint64) if skip is None else skip)
     buckets = max(1, -(-n_postings // BUCKET), spark.sparkContext.defaultParallelism)
 
+    @textops.tidy
     def deal(batches):
         """Prefixes to index entries, in one blob per bucket and batch."""
         tokens_big, groups = parts.value

@@ -9,6 +9,9 @@ a multi-byte character.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -45,6 +48,21 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def tidy(work):
+    """A partition function that hands freed memory back when it ends, since its worker may stay idle beside other stages."""
+
+    @functools.wraps(work)
+    def run(batches):
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return run
+
+
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
