@@ -59,7 +59,8 @@ def mix_sources(docs: DataFrame, source_col: str = "source", size: Column | None
                 weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = 7) -> DataFrame:
     """Documents with ``size, source_size, target, copies``; a copy count of 0 leaves the document out of the mix.
 
-    ``carry`` are columns to hand through (default: ``order_col``).  Null source is a source of its
+    ``carry`` are columns to hand through (default: ``order_col``); their names must differ from the four
+    outputs', so rows with such columns are carried as one struct.  Null source is a source of its
     own, null or blank text has size 0.  Reruns agree: the order is (size, id) and the offset comes
     from a hash of the source and the seed; rows that repeat id and size are interchangeable.  A
     source whose texts are all empty has target 0.  An empty table gives an empty table.

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 
 import numpy as np
@@ -59,6 +60,7 @@ _CLASS = np.full(256, _OTHER, np.uint8)
 _CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
 _CLASS[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = _LETTER  # of lower-cased bytes
 _CLASS[0x30:0x3A] = _DIGIT
+_BLANK = re.compile("[ \\t-\\r]")
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[*range(0x20, 0x7F), *range(0x09, 0x0E)]] = True
 
@@ -171,17 +173,37 @@ def _model(path: str):
 
 def text_ids(path: str, texts: pa.Array, end_id: int):
     """Ids of every text and the end id, as unsigned 32-bit integers; a null text is empty."""
-    model, words, _ = _model(path)
     end = np.array([end_id], np.uint32)
+    for ids in _plain_ids(path, texts):
+        yield np.concatenate([ids, end])
+
+
+def _cut(text: str):
+    """A long text in parts of about ``SLICE_BYTES`` characters, cut before white space."""
+    at = 0
+    while at < len(text):
+        found = _BLANK.search(text, min(at + SLICE_BYTES, len(text)))
+        stop = found.start() if found else len(text)
+        yield text[at:stop]
+        at = stop
+
+
+def _plain_ids(path: str, texts: pa.Array):
+    model, words, _ = _model(path)
 
-    def whole(text):
-        return np.concatenate([np.array(model.encode(text.as_py() or "", add_special_tokens=False).ids, np.uint32), end])
+    def whole(text: str | None) -> np.ndarray:
+        return np.array(model.encode(text or "", add_special_tokens=False).ids, np.uint32)
 
     if words is None:
-        yield from map(whole, texts)
+        for text in texts:
+            yield whole(text.as_py())
         return
     for lo, hi in textops.slices(texts, SLICE_BYTES):
-        data, offsets = textops.text_bytes(texts.slice(lo, hi - lo))
+        part = texts.slice(lo, hi - lo)
+        if hi - lo == 1 and len(text := part[0].as_py() or "") > 2 * SLICE_BYTES and _BLANK.search(text, SLICE_BYTES):
+            yield np.concatenate([ids for piece in _cut(text) for ids in _plain_ids(path, pa.array([piece]))])
+            continue
+        data, offsets = textops.text_bytes(part)
         low, plain = _lower(data)
         odd = np.diff(np.concatenate([[0], np.cumsum(~plain)])[offsets]) > 0
         starts, ends = _matches(low, offsets)
@@ -190,7 +212,7 @@ def text_ids(path: str, texts: pa.Array, end_id: int):
         ids, n = words.read(low, starts[some], ends[some])
         stops = np.cumsum(np.bincount(own[some], n, hi - lo).astype(np.int64))
         for i, (stop, other) in enumerate(zip(stops.tolist(), odd.tolist(), strict=True)):
-            yield whole(texts[lo + i]) if other else np.concatenate([ids[stops[i - 1] if i else 0 : stop], end])
+            yield whole(texts[lo + i].as_py()) if other else ids[stops[i - 1] if i else 0 : stop]
 
 
 # --- dictionary -------------------------------------------------------------------------------------

@@ -41,6 +41,10 @@ def test_ids_by_word_are_those_of_the_text(tokenizer, monkeypatch):
         for text, ids in zip(texts, token_files.text_ids(PATH, pa.array(texts), 2), strict=True):
             assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text[:80]
     assert [i.tolist() for i in token_files.text_ids(PATH, pa.array([None, ""], pa.string()), 2)] == [[2], [2]]
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 40)
+    long = ["It's a long text, cut at blanks \u00e9\u0301 and " * 30, "x" * 500, "word " * 50 + "y" * 300 + " end", "no\tblank\nbut\rthese" * 40]
+    for text, ids in zip(long, token_files.text_ids(PATH, pa.array(long), 2), strict=True):
+        assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text[:80]
     other = public_tokenizers.path("byte_bpe_50k.json")  # white space counts there
     assert next(token_files.text_ids(other, pa.array(["a  b"]), 2)).tolist() == [*Tokenizer.from_file(other).encode("a  b", add_special_tokens=False).ids, 2]
 
