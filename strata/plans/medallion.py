@@ -37,7 +37,7 @@ from strata.operators.quality import (
 from strata.plans import cross, deforestation, spending, tax
 from strata.plans.common import CORRUPT, typed_int
 from strata.sources.harmonise import tag_deforestation, tag_tax
-from strata.sources.ranges import CANDIDATES, RANGE_BYTES, read_columns
+from strata.sources.ranges import CANDIDATES, RANGE_BYTES, list_files, read_columns
 from strata.sources.tables import read_table, write_table
 from strata.sources.versions import is_versioned, publish_views, read_version, write_version
 from strata.streaming.incremental import changed_files, digests, file_state, new_files
@@ -402,8 +402,8 @@ def run_incremental(
     An AvailableNow stream over ``landing`` says which files are new; it lists them and reads nothing.  A
     batch reads its new files once to index them: a row per file and year, with the file's content hash,
     in the batch's partition of the landing index.  The years found there are dirty.  They are rebuilt (dynamic
-    overwrite) from all files that the index knows to hold any of them, and from no others; years between
-    them are left alone.  So a year may lie in any number of files, arrive over any number of runs, and
+    overwrite) from all files that the index knows to hold any of them and that are still there, and from
+    no others; years between them are left alone.  So a year may lie in any number of files, arrive over any number of runs, and
     ``max_files_per_batch`` changes how often the run works, never what it leaves.  Gold is recomputed.
     With no new file nothing runs.  The stream checkpoint commits after the batch has been written, so a
     failed batch is repeated next time; its index rows and its rejects (quarantine partition ``batch-<id>``:
@@ -433,6 +433,7 @@ def run_incremental(
             write_table(bad, Layout(root).rejected(domain), ["run_id"], overwrite="partitions")
             return
         holding = known.where(F.col("year").isin(sorted(dirty)) | (F.col("batch") == batch_id)).select("path", "length", "file_path").distinct()
+        holding = holding.join(list_files(spark, landing).select("path"), "path", "left_semi")  # files that are still there
         files_path = os.path.join(root, "_state", f"opened_{domain}")
         write_table(holding, files_path)
         opened = read_table(spark, files_path)

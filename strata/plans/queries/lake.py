@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 from strata.functions.columns import year_of
 from strata.functions.numeric import money
 from strata.operators import annual_sum, parse_named_checks, spread, with_share
-from strata.plans import deforestation, medallion
+from strata.plans import deforestation, medallion, spending
 from strata.plans import tpch_analogues as A
 from strata.plans.common import type_columns
 from strata.plans.queries.gold import BY_STATE_SQL, by_state_sql, rollup_sql
 from strata.plans.queries.registry import register
 from strata.plans.queries.sources import ORDERS_RAW, ORDERS_TYPES
-from strata.plans.queries.runs import WIDE_AREAS, _as_text, _gold_biome
+from strata.plans.queries.runs import WIDE_AREAS, WIDE_SILVER, _as_text
 from strata.plans.queries.sql import dbl, def_rows_sql
 from strata.session import scratch_path
 from strata.sources.csv import write_csv
+from strata.sources.json_items import read_payload_lines
 from strata.sources.ranges import read_columns
 from strata.sources.tables import read_ordered, read_table, with_audit, write_ordered, write_table
 from strata.sources.versions import attach_views, read_version, versions, write_version
@@ -142,6 +143,33 @@ def q_landing_index(spark, sf_dir):
         F.sum("rows").alias("n_rows"))
 
 
+@register(
+    "q_api_rejects",
+    """
+SELECT CASE WHEN l_returnflag = 'A' AND l_linenumber = 1 THEN 'unreadable' WHEN l_returnflag = 'R' AND l_linenumber = 2 THEN 'no_year'
+            WHEN l_linenumber = 3 THEN 'bad_amount' ELSE 'good' END AS outcome, count(*) AS n_rows
+FROM lineitem GROUP BY 1""",
+)
+def q_api_rejects(spark, sf_dir):
+    """A spending run over API payloads, some cut off, some without a year, some with an amount that is no
+    number: bronze rows, and what is in quarantine.
+    """
+    root = scratch_path(spark, "api-rejects")
+    li = A.table(spark, sf_dir, "lineitem")
+    year = F.year("l_shipdate").cast("string")
+    amount = F.when(F.col("l_linenumber") == 3, F.lit('"x,y"')).otherwise(F.col("l_quantity").cast("string"))
+    no_year = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 2)
+    payload = F.concat(F.lit('{"year":'), F.when(no_year, F.lit('"unknown"')).otherwise(year), F.lit(',"items":[{"coluna":"Saude","rotulo":"x","valor":'), amount, F.lit("}]}"))
+    cut = F.when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 1), F.substring(payload, 1, 30)).otherwise(payload)
+    li.select(cut.alias("value")).write.text(f"{root}/landing")
+    raw = spending.api_raw(read_payload_lines(spark, f"{root}/landing"))
+    medallion.run_spending(spark, raw, f"{root}/lake", audit=False, silver_kwargs=WIDE_SILVER, run_id="api")
+    L = medallion.Layout(f"{root}/lake")
+    count = F.count(F.lit(1)).alias("n_rows")
+    good = read_table(spark, L.bronze("spending")).groupBy(F.lit("good").alias("outcome")).agg(count)
+    return good.unionByName(read_table(spark, L.rejected("spending")).groupBy(F.col("_reject_reason").alias("outcome")).agg(count))
+
+
 NAMED_CHECKS = """
 -- rows of each layer
 -- name: bronze_row_count

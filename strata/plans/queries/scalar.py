@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import year_of, year_range
 from strata.functions.numeric import pct, ratio, round_half_away
-from strata.functions.rules import normalise_by_rules, normalise_state, rules_sql
+from strata.functions.rules import normalise_by_rules, normalise_state
 from strata.operators.cleaning import range_filter
 from strata.plans import tpch_analogues as A
 from strata.plans.queries.registry import register
@@ -27,8 +27,11 @@ PART_TYPE_RULES = [
 
 @register(
     "q_rule_normalise",
-    f"""
-SELECT p_partkey, {rules_sql('p_type', PART_TYPE_RULES)} AS type_group,
+    """
+SELECT p_partkey,
+       CASE WHEN contains(lower(p_type), 'promo') THEN 'Promotional'
+            WHEN regexp_matches(lower(p_type), 's.*a.*l') OR contains(lower(p_type), 'medium') THEN 'Compact'
+            WHEN regexp_matches(lower(p_type), 'stand|econ') THEN 'Regular' ELSE p_type END AS type_group,
        upper(p_brand) AS brand_code, CAST(length(p_name) AS BIGINT) AS name_len
 FROM part""",
 )

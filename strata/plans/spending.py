@@ -11,6 +11,7 @@ from strata.operators.aggregate import annual_sum
 from strata.operators.cleaning import range_filter, split_valid
 from strata.operators.window import with_prev, with_share
 from strata.plans.common import rounded, type_columns
+from strata.sources.json_items import split_payloads
 from strata.sources.series import explode_series
 from strata.sources.tables import with_audit
 
@@ -65,6 +66,25 @@ def api_items_to_raw(items: DataFrame, year_col: str = "year") -> tuple[DataFram
     return from_api_items(good, year_col), bad
 
 
+def api_raw(payloads: DataFrame, json_col: str = "value", keep: tuple[str, ...] = ("_source_file",)) -> DataFrame:
+    """All that a drop of API payloads says, as raw rows for a run: good items, and rejects with their reason.
+
+    Payloads are parsed once.  Items whose amount cannot be read (``bad_amount``) and payloads that
+    cannot be read (their text in ``_raw_record``) carry ``_reject_reason`` and end in the run's quarantine.
+    """
+    keep = [c for c in keep if c in payloads.columns]
+    items, rejected = split_payloads(payloads, json_col, keep=keep, fields={"year": "int"})
+    unread = F.col("amount").isNull()
+    item = F.to_json(F.struct("year", "category", "description"))
+    rows = items.select(
+        F.col("year").cast("int").alias("year"), F.col("category").alias("functional_category"), "description",
+        F.col("amount").alias("budgeted_brl"), F.col("amount").alias("executed_brl"), *keep,
+        F.when(unread, F.lit("bad_amount")).alias("_reject_reason"), F.when(unread, item).alias("_raw_record"),
+    )
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in BRONZE_TYPES.items()]
+    return rows.unionByName(rejected.select(*nothing, *keep, "_reject_reason", F.col("payload").alias("_raw_record")))
+
+
 def from_series(series: DataFrame, key: str, values_col: str, first_year: int) -> DataFrame:
     """Compiled yearly series (one array per function) -> raw rows.
 

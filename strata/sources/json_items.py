@@ -129,5 +129,9 @@ def read_json_lines_items(spark: SparkSession, path: str, fields: dict[str, str]
     ``fields`` maps top-level payload fields to SQL types, e.g. ``{"year": "int"}``,
     parsed together with the items.
     """
-    docs = spark.read.text(path).withColumn("_source_file", F.col("_metadata.file_path"))
-    return explode_items(docs, "value", keep=["_source_file"], fields=fields)
+    return explode_items(read_payload_lines(spark, path), "value", keep=["_source_file"], fields=fields)
+
+
+def read_payload_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value, _source_file``: one payload per line, as text."""
+    return spark.read.text(path).withColumn("_source_file", F.col("_metadata.file_path"))
