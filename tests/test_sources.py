@@ -233,3 +233,25 @@ def test_unreadable_payloads_are_kept(spark):
     assert [(r.k, r.year, r.category) for r in items] == [(1, 2020, "A")]
     bad = {r.k: r._reject_reason for r in rejected_payloads(df, "value", keep=["k"], fields={"year": "int"}).collect()}
     assert bad == {2: "unreadable", 3: "unreadable", 4: "no_year", 5: "no_items", 7: "unreadable"}
+
+
+def test_partitioned_writes_do_not_hold_their_rows(spark, scratch, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(type(spark.range(1)), "sortWithinPartitions", lambda self, *a: pytest.fail("rows are sorted"))
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda self, *a, f=type(spark.range(1)).hint: (seen.append(a), f(self, *a))[1])
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(spark.conf.get(key)), write(self, *a, **k))[1])
+    before, parts = spark.conf.get(key, None), spark.conf.get("spark.sql.shuffle.partitions")
+    rows = spark.range(0, 5000, 1, 2).select("id", (F.col("id") % 50).alias("year"))
+    spark.conf.set("spark.sql.shuffle.partitions", "900")
+    try:
+        for rebalance in (False, True):  # 50 values: more than a task writes side by side
+            path = scratch("not-sorted")
+            write_table(rows, path, ["year"], rebalance=rebalance)
+            assert sorted(map(tuple, read_table(spark, path).select("id", "year").collect())) == sorted(map(tuple, rows.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert [x for x in seen if isinstance(x, str)] == ["32", "32"] and ("rebalance", 200, "year") in seen
+    assert spark.conf.get(key, None) == before
