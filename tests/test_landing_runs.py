@@ -118,6 +118,11 @@ def test_texts_are_parsed_once(spark):
     assert money.count("format_number") <= 8  # four texts, twice each
 
 
+def test_amounts_of_items_are_made_once(spark):
+    plan = plan_of(E.queries()["q_api_spending"](spark, SF_SMALL))
+    assert plan.count("schemaOfVariant(") <= 4 and plan.count("try_variant_get") <= 5  # those of one amount
+
+
 def test_number_texts(spark):
     texts = ["1.234,56", "1,234.56", "1234.56", "R$ 1.000.000,5", "R$-7", "12,5", "1.2.3", "1,2,3", "", " 3 ", "12d", "NaN", "1e400", "1e5", "-.5", "5.", None, ".", ",", "9223372036854775808", "9223372036854775807", "2.5", "3.5", "1e3"]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select(
