@@ -24,6 +24,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +34,9 @@ from strata.sources.stores import open_random
 HEAD_BYTES = 2048
 RANGE_BYTES = 64 << 20
 RECORD_MAX = 512 << 20  # a longer record is an error: a quote that is never closed
-PIECE_BYTES = 1 << 20
-BATCH_ROWS = 1 << 16
+PIECE_BYTES = 1 << 20  # of a range that a task holds at a time
+STEP_BYTES = 1 << 12  # first look for the end of a line or record
+BATCH_ROWS = 1 << 14
 BOM = b"\xef\xbb\xbf"
 CANDIDATES = (";", ",")
 
@@ -54,48 +56,74 @@ def _patterns(sep: str) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
     return re.compile(whole.encode()), re.compile(inside.encode()), re.compile(text, re.DOTALL)
 
 
+def _turns(array: np.ndarray, quotes: np.ndarray, sep: str) -> np.ndarray:
+    """For each quote, whether quotes open and close in turn if it is an opening one: each that then opens stands at the start of a field, or doubles the one before."""
+    mark = sep.encode()
+    out = np.ones(len(quotes) + 2, bool)
+    before = array[np.maximum(quotes - 1, 0)]
+    fine = ((quotes == 0) | (before == mark[0]) | (before == 10) | (before == 34)) & (len(mark) == 1)
+    for first in (0, 1):
+        out[first : len(quotes) : 2] = np.logical_and.accumulate(fine[first::2][::-1])[::-1]
+    return out
+
+
 def record_bounds(data: bytes, sep: str, inside: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
     """(starts, ends, quoted, open): the records that start in ``data``, which starts at a line.
 
     ``inside``: the line is the middle of a quoted field; the record around it is not among them.  ``open``:
     the data ends inside quotes; the record that is open then comes last, up to the end of the data.
+
+    From where quotes open and close in turn, records are found at once; before, one by one.
     """
     whole, rest, _ = _patterns(sep)
     array = np.frombuffer(data, np.uint8)
-    breaks = np.flatnonzero(array == 10)
+    breaks, quotes = np.flatnonzero(array == 10), np.flatnonzero(array == 34)
+    turns = _turns(array, quotes, sep)
+    if turns[int(inside)]:
+        return _paired_bounds(len(data), breaks, quotes, 0, inside)
     lines = np.concatenate([[0], breaks + 1])
     if lines[-1] == len(data):
         lines = lines[:-1]
     ends = np.append(lines[1:], len(data)) if len(lines) else lines
-    quotes = np.flatnonzero(array == 34)
     marked = np.unique(np.searchsorted(lines, quotes, "right") - 1)  # lines that hold a quote
-    out_s, out_e, out_q = [], [], []
-    line, is_open = 0, inside
+    found_bounds = []
+    line, is_open = 0, False
     if inside:
         found = rest.match(data)
         if found is None:
             return lines[:0], lines[:0], np.zeros(0, bool), True
-        line, is_open = int(np.searchsorted(lines, found.end())), False
+        line = int(np.searchsorted(lines, found.end()))
     for at in marked.tolist():
         if at < line:
             continue
-        out_s.append(lines[line:at])
-        out_e.append(ends[line:at])
-        out_q.append(np.zeros(at - line, bool))
-        found = whole.match(data, int(lines[at]))
+        found_bounds.append((lines[line:at], ends[line:at], np.zeros(at - line, bool)))
+        line, start = at, int(lines[at])
+        if turns[np.searchsorted(quotes, start)]:
+            *others, is_open = _paired_bounds(len(data), breaks, quotes, start, False)
+            found_bounds.append(others)
+            line = len(lines)
+            break
+        found = whole.match(data, start)
         stop = found.end() if found else len(data)
-        out_s.append(lines[at : at + 1])
-        out_e.append(np.array([stop]))
-        out_q.append(np.ones(1, bool))
+        found_bounds.append((lines[at : at + 1], np.array([stop]), np.ones(1, bool)))
         line, is_open = int(np.searchsorted(lines, stop)), found is None
         if is_open:
             break
     if not is_open:
-        out_s.append(lines[line:])
-        out_e.append(ends[line:])
-        out_q.append(np.zeros(len(lines) - line, bool))
-    empty = [lines[:0]]
-    return np.concatenate(out_s or empty), np.concatenate(out_e or empty), np.concatenate(out_q) if out_q else np.zeros(0, bool), is_open
+        found_bounds.append((lines[line:], ends[line:], np.zeros(len(lines) - line, bool)))
+    starts, stops, quoted = (np.concatenate(x) for x in zip(*found_bounds, strict=True))
+    return starts, stops, quoted, is_open
+
+
+def _paired_bounds(size: int, breaks: np.ndarray, quotes: np.ndarray, at: int, inside: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """``record_bounds`` from a start of a line on, of quotes that open and close in turn: a record ends at a line end outside them."""
+    breaks, quotes = breaks[np.searchsorted(breaks, at) :], quotes[np.searchsorted(quotes, at) :]
+    outer = breaks[(np.searchsorted(quotes, breaks) + inside) % 2 == 0] + 1
+    starts = outer if inside else np.concatenate([[at], outer])
+    if len(starts) and starts[-1] == size:
+        starts = starts[:-1]
+    ends = np.append(starts[1:], size) if len(starts) else starts
+    return starts, ends, np.searchsorted(quotes, ends) > np.searchsorted(quotes, starts), (len(quotes) + inside) % 2 == 1
 
 
 def fields_of(record: str, sep: str) -> list[str | None]:
@@ -131,13 +159,13 @@ def _to_line(src, at: int, size: int) -> int:
     """The first start of a line at or after ``at`` (the end of the file if there is none)."""
     if at == 0:
         return 0
-    at -= 1
+    at, n = at - 1, STEP_BYTES
     while at < size:
-        piece = src.read_at(min(PIECE_BYTES, size - at), at)
+        piece = src.read_at(min(n, size - at), at)
         found = piece.find(b"\n")
         if found >= 0:
             return at + found + 1
-        at += len(piece)
+        at, n = at + len(piece), min(4 * n, PIECE_BYTES)
     return size
 
 
@@ -210,6 +238,24 @@ def _region(src, row) -> tuple[int, int]:
     return lo, max(lo, _to_line(src, row["hi"], row["length"]))
 
 
+def _piece(src, at: int, hi: int, size: int) -> bytes:
+    """What of a range is read next: lines of about ``PIECE_BYTES``, so that memory doesn't depend on the range's size."""
+    return src.read_at(min(hi, _to_line(src, at + PIECE_BYTES, size)) - at, at)
+
+
+def _end_states(src, row: dict) -> tuple[bool, bool]:
+    """Whether a range ends inside quotes, if it starts outside and if it starts inside; without quotes it ends as it starts."""
+    states = [False, True]
+    at, hi = _region(src, row)
+    while at < hi:
+        data = _piece(src, at, hi, row["length"])
+        if b'"' in data:
+            known = {state: bool(record_bounds(data, row["sep"], state)[3]) for state in set(states)}
+            states = [known[state] for state in states]
+        at += len(data)
+    return states[0], states[1]
+
+
 def _states(ranges: DataFrame, tasks: int) -> DataFrame:
     """``path, no, inside``: whether a range starts inside quotes."""
 
@@ -218,10 +264,7 @@ def _states(ranges: DataFrame, tasks: int) -> DataFrame:
             out = []
             for row in batch.to_pylist():
                 with open_random(row["path"]) as src:
-                    lo, hi = _region(src, row)
-                    data = src.read_at(hi - lo, lo)
-                # whether the range ends inside quotes, for either start; without quotes it ends as it starts
-                out.append((row["path"], row["no"], *((record_bounds(data, row["sep"], start)[3] for start in (False, True)) if b'"' in data else (False, True))))
+                    out.append((row["path"], row["no"], *_end_states(src, row)))
             kinds = (pa.string(), pa.int64(), pa.bool_(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, kinds, strict=True)], ["path", "no", "from_out", "from_in"])
 
@@ -240,7 +283,7 @@ def _states(ranges: DataFrame, tasks: int) -> DataFrame:
 
 def _open_record(src, at: int, size: int, sep: str) -> bytes:
     """A record that starts at ``at``, as far as it goes."""
-    n = PIECE_BYTES
+    n = STEP_BYTES
     while True:
         data = src.read_at(min(n, size - at), at)
         found = _patterns(sep)[0].match(data)
@@ -301,13 +344,34 @@ def _records(src, row: dict, columns: list[str], encoding: str):
     """Record batches of the records that start in a range."""
     sep, names = row["sep"], row["names"]
     places = [names.index(c) if c in names else None for c in columns]
-    lo, hi = _region(src, row)
-    data = src.read_at(hi - lo, lo)
-    starts, ends, quoted, is_open = record_bounds(data, sep, row["inside"])
-    tail = None
-    if is_open and len(starts):
-        tail = _open_record(src, lo + int(starts[-1]), row["length"], sep)
-        starts, ends, quoted = starts[:-1], ends[:-1], quoted[:-1]
+    at, hi = _region(src, row)
+    inside = row["inside"]
+    while at < hi:
+        data = _piece(src, at, hi, row["length"])
+        starts, ends, quoted, is_open = record_bounds(data, sep, inside)
+        after, inside, tail = at + len(data), is_open, None
+        if is_open and len(starts):
+            start, inside = at + int(starts[-1]), False
+            if after < hi and start > at:  # the next piece starts with it
+                after = start
+            else:
+                tail = _open_record(src, start, row["length"], sep)
+                after = start + len(tail)
+            starts, ends, quoted = starts[:-1], ends[:-1], quoted[:-1]
+        at = after
+        yield from _split_records(data, starts, ends, quoted, sep, len(names), places, row["file_path"], encoding)
+        if tail is not None:
+            yield from _split([_decoded(tail, encoding)], sep, len(names), places, row["file_path"], plain=False)
+
+
+def _split_records(data: bytes, starts: np.ndarray, ends: np.ndarray, quoted: np.ndarray, sep: str, width: int, places: list[int | None], file: str, encoding: str):
+    """Record batches of records that follow one another."""
+    if not len(starts):
+        return
+    text = data[starts[0] : ends[-1]]
+    if _simple(text, sep):
+        yield from _parsed(_decoded(text, encoding).encode(), sep, width, places, file)
+        return
     # Runs of records without quotes are split at once, by Arrow; the others one by one.
     turns = np.flatnonzero(np.diff(quoted)) + 1
     for a, b in zip(np.concatenate([[0], turns]), np.append(turns, len(starts)), strict=True):
@@ -315,12 +379,45 @@ def _records(src, row: dict, columns: list[str], encoding: str):
             to = min(at + BATCH_ROWS, int(b))
             if quoted[at]:
                 texts = [_decoded(data[s:e], encoding) for s, e in zip(starts[at:to].tolist(), ends[at:to].tolist(), strict=True)]
-                yield from _split(texts, sep, len(names), places, row["file_path"], plain=False)
+                yield from _split(texts, sep, width, places, file, plain=False)
             else:
                 texts = _decoded(data[starts[at] : ends[to - 1]], encoding).split("\n")
-                yield from _split(texts, sep, len(names), places, row["file_path"], plain=True)
-    if tail is not None:
-        yield from _split([_decoded(tail, encoding)], sep, len(names), places, row["file_path"], plain=False)
+                yield from _split(texts, sep, width, places, file, plain=True)
+
+
+def _simple(text: bytes, sep: str) -> bool:
+    """Whether whole records are such that Arrow's CSV reader sees the fields that ``fields_of`` sees: quotes around whole fields only, no carriage returns."""
+    if b"\r" in text or text.startswith(BOM) or len(text) > 1 << 30:
+        return False
+    array = np.frombuffer(text, np.uint8)
+    quotes = np.flatnonzero(array == 34)
+    if not _turns(array, quotes, sep)[0] or len(sep.encode()) != 1:
+        return False
+    closing = quotes[1::2]
+    after = array[closing[closing < len(array) - 1] + 1]
+    return bool(np.all((after == sep.encode()[0]) | (after == 10) | (after == 34)))
+
+
+def _parsed(text: bytes, sep: str, width: int, places: list[int | None], file: str):
+    """Record batches of ``_simple`` records; those with too few or too many fields are split one by one."""
+    ragged = []
+
+    def keep(row) -> str:
+        ragged.append(row.text)
+        return "skip"
+
+    names = [f"f{i}" for i in range(width)]
+    table = pacsv.read_csv(
+        pa.BufferReader(text),
+        pacsv.ReadOptions(use_threads=False, block_size=len(text) + 1, column_names=names),
+        pacsv.ParseOptions(delimiter=sep, newlines_in_values=True, invalid_row_handler=keep),
+        pacsv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), include_columns=sorted({f"f{p}" for p in places if p is not None}) or names[:1],
+                             null_values=[""], strings_can_be_null=True, check_utf8=False),
+    )
+    for batch in table.to_batches(max_chunksize=BATCH_ROWS):
+        n = batch.num_rows
+        yield _batch([batch.column(f"f{p}") if p is not None else pa.nulls(n, pa.string()) for p in places], pa.nulls(n, pa.string()), file)
+    yield from _split(ragged, sep, width, places, file, plain=False)
 
 
 def _ended(text: str) -> str:
@@ -355,4 +452,4 @@ def _split(texts: list[str], sep: str, width: int, places: list[int | None], fil
 
 def _batch(found: list, corrupt, file: str) -> pa.RecordBatch:
     names = [f"c{i}" for i in range(len(found))]
-    return pa.RecordBatch.from_arrays([*found, corrupt, pa.array([file] * len(corrupt), pa.string())], [*names, "corrupt", "file"])
+    return pa.RecordBatch.from_arrays([*found, corrupt, pa.repeat(pa.scalar(file, pa.string()), len(corrupt))], [*names, "corrupt", "file"])

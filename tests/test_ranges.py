@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.sources import read_csv, read_landing, write_csv
+from strata.sources import ranges
 from strata.sources.harmonise import harmonise_tax
 from strata.sources.ranges import fields_of, file_heads, read_columns, record_bounds
 
@@ -165,3 +166,70 @@ def test_written_csv_comes_back(spark, scratch):
     rows = [("a", 'He said "hi", ok', "10"), ("b", "two\nlines", "11"), ("c", None, None), ("d", 'ends with "', "é")]
     write_csv(spark.createDataFrame(rows, "k string, t string, v string"), root)
     assert sorted((r.k, r.t, r.v) for r in read_columns(spark, root, ["k", "t", "v"], range_bytes=17).collect()) == sorted(rows)
+
+
+class Recorder:
+    """A file in memory that notes how much is asked of it at a time."""
+
+    def __init__(self, data):
+        self.data, self.sizes = data, []
+
+    def read_at(self, n, at):
+        self.sizes.append(n)
+        return self.data[at : at + n]
+
+
+def records_of(src, length, step, names):
+    """The rows of a file read range by range, each range's start state from the ranges before."""
+    inside, rows = False, []
+    for no, lo in enumerate(range(0, length, step)):
+        row = {"path": "f", "file_path": "f", "length": length, "sep": ",", "names": names, "no": no, "lo": lo, "hi": min(lo + step, length), "inside": inside}
+        for batch in ranges._records(src, row, names, "utf-8"):
+            rows += [tuple(r.values())[:-1] for r in batch.to_pylist()]
+        inside = ranges._end_states(src, row)[inside]
+    return rows
+
+
+def test_a_range_is_read_in_pieces(monkeypatch):
+    monkeypatch.setattr(ranges, "PIECE_BYTES", 1 << 12)
+    rows = [(str(i), f'line {i}\nand "more"' if i % 3 else f"plain {i}") for i in range(20_000)]
+    data = "".join(f'{k},"{t}"\n'.replace('"more"', '""more""') if "\n" in t else f"{k},{t}\n" for k, t in rows).encode()
+    src = Recorder(data)
+    assert [r[:2] for r in records_of(src, len(data), len(data), ["k", "t"])] == rows
+    assert max(src.sizes) < 20_000 < len(data) // 10
+
+
+def test_pieces_and_ranges_give_the_records_of_the_whole(monkeypatch):
+    monkeypatch.setattr(ranges, "PIECE_BYTES", 7)
+    monkeypatch.setattr(ranges, "STEP_BYTES", 3)
+    rnd = random.Random(3)
+    key = lambda r: tuple(map(str, r))
+    for _ in range(1500):
+        text = "".join(rnd.choice(["a", "b", ",", ",", '"', '""', '"a\n",', "\n", "\r\n", ";", "é"]) for _ in range(rnd.randint(0, 25)))
+        bounds, _ = machine(text, ",")
+        want = []
+        for record in (text[s:e].removesuffix("\n").removesuffix("\r") for s, e in bounds):
+            if record:
+                fields = fields_of(record, ",")
+                want.append((fields[0], fields[1] if len(fields) > 1 else None, None if len(fields) == 2 else record))
+        data = text.encode()
+        for step in (5, 1000):
+            assert sorted(records_of(Recorder(data), len(data), step, ["k", "t"]), key=key) == sorted(want, key=key), (text, step)
+
+
+def test_quotes_around_fields_are_not_matched_one_by_one(monkeypatch):
+    matched, patterns = [], ranges._patterns
+
+    class Counted:
+        def __init__(self, pattern):
+            self.pattern = pattern
+
+        def match(self, *args):
+            matched.append(args)
+            return self.pattern.match(*args)
+
+    monkeypatch.setattr(ranges, "_patterns", lambda sep: tuple(map(Counted, patterns(sep))))
+    data = b"".join(b'%d,"says ""x"", twice\nover two lines"\n' % i for i in range(1000))
+    rows = records_of(Recorder(data), len(data), 8192, ["k", "t"])
+    assert rows == [(str(i), 'says "x", twice\nover two lines', None) for i in range(1000)]
+    assert len(matched) < 100  # a few at the ends of ranges
