@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from strata.functions.columns import year_of
@@ -83,6 +84,13 @@ def q_mixed_rejects(spark, sf_dir):
     return rejected.groupBy(F.col("_reject_reason").alias("reason"), F.col("_raw_record").alias("record")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _joined_lines(batches):
+    """The rows of a batch as one text of several lines."""
+    for batch in batches:
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(["\n".join(batch.column(0).to_pylist())])], ["value"])
+
+
 @register(
     "q_csv_ranges",
     """
@@ -100,7 +108,9 @@ def q_csv_ranges(spark, sf_dir):
     whole = F.concat_ws(",", F.col("o_orderkey").cast("string"), quoted, F.col("o_totalprice").cast("string"))
     record = F.when(F.col("o_orderstatus") == "P", F.concat_ws(",", F.col("o_orderkey").cast("string"), quoted)).otherwise(whole)
     header = spark.createDataFrame([("o_orderkey,note,price",)], "value string").coalesce(1)
-    header.unionByName(o.select(record.alias("value")).coalesce(1)).coalesce(1).write.text(path)
+    # Records are made, and joined to long texts, by all tasks: the one that writes the file copies those.
+    blocks = o.select(record.alias("value")).mapInArrow(_joined_lines, "value string")
+    header.unionByName(blocks.repartition(1)).coalesce(1).write.text(path)
     raw = read_columns(spark, path, ["o_orderkey", "note", "price"], range_bytes=1 << 16)
     good, bad = type_columns(raw, {"o_orderkey": "bigint", "note": "string", "price": "double"})
     rejects = bad.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("_reject_reason").alias("outcome"),

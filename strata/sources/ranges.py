@@ -4,7 +4,8 @@ A line break inside quotes is not the end of a record, so where a record starts
 file depends on everything before.  Each range therefore answers two questions at once: if it starts
 at a record, does it end inside quotes, and if it starts inside quotes, does it?  The answers of all
 ranges compose by a scan over a small table (a row per range), which gives every range its true start.
-A second pass then reads the records that start in each range, by as many tasks as there are ranges.
+A second pass then reads the records that start in each range; a task has a range, or several small
+ones, and holds a piece of one at a time.
 Files of one range skip the first pass.
 
 Delimiter and column names are each file's own: the first bytes of every file are read by tasks over
@@ -35,6 +36,7 @@ HEAD_BYTES = 2048
 RANGE_BYTES = 64 << 20
 RECORD_MAX = 512 << 20  # a longer record is an error: a quote that is never closed
 PIECE_BYTES = 1 << 20  # of a range that a task holds at a time
+TASK_BYTES = 16 << 20  # of small ranges that a task reads, one after the other
 STEP_BYTES = 1 << 12  # first look for the end of a line or record
 BATCH_ROWS = 1 << 14
 BOM = b"\xef\xbb\xbf"
@@ -318,10 +320,14 @@ def read_columns(spark: SparkSession, path: str | Sequence[str] | DataFrame, col
         if bad is not None:
             raise ValueError(f"{bad.file_path} has no column {', '.join(bad.lacks)}")
     ranges = _ranges(heads, range_bytes)
-    files, parts = heads.where("length > body").count(), ranges.count()
-    tasks = max(1, min(parts, 20_000))
-    if parts > files:
-        ranges = ranges.join(_states(ranges, tasks), ["path", "no"])
+    files = heads.where("length > body").count()
+    size = ranges.agg(F.count(F.lit(1)).alias("parts"), F.coalesce(F.sum(F.col("hi") - F.col("lo")), F.lit(0)).alias("bytes")).first()
+    # A task reads a range, or several small ones: as many tasks as the bytes ask for, and enough for all cores.
+    tasks = max(1, min(size.parts, max(8 * spark.sparkContext.defaultParallelism, -(-size.bytes // TASK_BYTES)), 20_000))
+    if size.parts > files:
+        state_path = scratch_path(spark, "range-states")  # the first pass runs once, however often the rows are read
+        _states(ranges, tasks).write.parquet(state_path)
+        ranges = ranges.join(spark.read.parquet(state_path), ["path", "no"])
     else:
         ranges = ranges.withColumn("inside", F.lit(False))
     kinds = ", ".join(f"c{i} string" for i in range(len(columns)))

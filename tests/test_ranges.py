@@ -233,3 +233,11 @@ def test_quotes_around_fields_are_not_matched_one_by_one(monkeypatch):
     rows = records_of(Recorder(data), len(data), 8192, ["k", "t"])
     assert rows == [(str(i), 'says "x", twice\nover two lines', None) for i in range(1000)]
     assert len(matched) < 100  # a few at the ends of ranges
+
+
+def test_small_ranges_share_tasks(spark, scratch):
+    root = scratch("small-ranges")
+    put(f"{root}/a.csv", "k,t\n" + "".join(f'{i},"line {i}\nend"\n' for i in range(4000)))
+    df = read_columns(spark, root, ["k", "t"], range_bytes=64)
+    assert df.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
+    assert {(r.k, r.t) for r in df.collect()} == {(str(i), f"line {i}\nend") for i in range(4000)}
